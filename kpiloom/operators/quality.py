@@ -10,7 +10,7 @@ Null passes every check except ``not_null``.  What counts as one failure:
 * ``between``: every row outside the range.
 
 :func:`run_checks` evaluates a whole suite and returns one summary row per
-check ``(model, column_name, check, failures)``.  Row-wise checks of one model
+check ``(model, column_name, check_name, failures)``.  Row-wise checks of one model
 (not_null, accepted_values, between) are folded into a single aggregate pass
 over that model; uniqueness and relationships need a shuffle each.
 """
@@ -89,7 +89,7 @@ class Check:
 
 _ROWWISE = ("not_null", "accepted_values", "between")
 
-SUMMARY_SCHEMA = "model string, column_name string, check string, failures bigint"
+SUMMARY_SCHEMA = "model string, column_name string, check_name string, failures bigint"
 
 
 def _rowwise_failure(c: Check) -> Column:
@@ -100,7 +100,7 @@ def _rowwise_failure(c: Check) -> Column:
 
 def _summary_row(c: Check, failures: Column) -> Column:
     return F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
-                    F.lit(c.kind).alias("check"), failures.cast("long").alias("failures"))
+                    F.lit(c.kind).alias("check_name"), failures.cast("long").alias("failures"))
 
 
 def _rowwise_pass(df: DataFrame, checks: List[Check]) -> DataFrame:

@@ -85,7 +85,7 @@ def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
 def quality_report(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
                    as_of=DEFAULT_AS_OF, marts: Optional[Dict[str, DataFrame]] = None,
                    checks=None) -> DataFrame:
-    """All 68 declared checks → ``(model, column_name, check, failures)``."""
+    """All 68 declared checks → ``(model, column_name, check_name, failures)``."""
     frames = model_frames(sources, cfg, as_of, marts)
     return quality.run_checks(frames, checks if checks is not None else quality.ALL_CHECKS)
 

@@ -18,7 +18,7 @@ from kpiloom.functions.spine import month_spine
 from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
-from kpiloom.plans.marts import STAGING_NAMES, build_mart, model_frames
+from kpiloom.plans.marts import MART_NAMES, STAGING_NAMES, build_mart
 from kpiloom.sources.driver_tables import load_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 CFG, AS_OF = DEFAULT_CONFIG, DEFAULT_AS_OF
 
 
+_STAGED: Dict[tuple, Dict[str, DataFrame]] = {}
+
+
 def staged(spark: SparkSession, sf_dir: str) -> Dict[str, DataFrame]:
-    return staging.stage_all(load_sources(spark, sf_dir), CFG, AS_OF)
+    """Staged frames for ``sf_dir``; the (lazy, immutable) plans are built once
+    per session and shared by every query."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        _STAGED[key] = staging.stage_all(load_sources(spark, sf_dir), CFG, AS_OF)
+    return _STAGED[key]
 
 
 def _stage_query(model: str) -> Query:
@@ -88,7 +96,9 @@ def q_classify_nps(st):
 def _dq(kinds) -> Query:
     def run(spark, sf):
         checks = [c for c in quality.ALL_CHECKS if c.kind in kinds]
-        frames = model_frames(load_sources(spark, sf), CFG, AS_OF)
+        st = staged(spark, sf)
+        frames = {model: st[key] for model, key in STAGING_NAMES.items()}
+        frames.update({name: build_mart(name, st, CFG, AS_OF) for name in MART_NAMES})
         return quality.run_checks(frames, checks)
     return run
 
@@ -131,9 +141,7 @@ QUERIES: Dict[str, Query] = {
         satisfaction.enriched_surveys(st["surv"], st["cust"], st["subs"]))),
     "response_rate": _part(lambda st: satisfaction.response_rate(st["cust"], st["surv"])),
     # the six marts
-    **{name: _mart_query(name) for name in (
-        "mart_supply_demand", "mart_churn", "mart_upselling", "mart_roi_partnerships",
-        "mart_debt_collection", "mart_customer_satisfaction")},
+    **{name: _mart_query(name) for name in MART_NAMES},
     # macros
     "safe_divide": _part(q_safe_divide),
     "pct": _part(q_pct),

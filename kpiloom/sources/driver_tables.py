@@ -11,8 +11,7 @@ seeds, so the staging layer does the same cleaning work on both.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.sources.io import read_source
 from kpiloom.sources.schemas import SOURCE_SCHEMAS
@@ -21,150 +20,148 @@ from kpiloom.sources.schemas import SOURCE_SCHEMAS
 MARKETS = ["DK", "NO", "SE", "DE", "NL", "US"]
 
 
-def _market(key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(m) for m in MARKETS]), (key % 6 + 1).cast("int"))
+def _market(key: str) -> str:
+    labels = ", ".join(f"'{m}'" for m in MARKETS)
+    return f"element_at(array({labels}), cast(({key}) % 6 + 1 as int))"
 
 
-def _pick(index: Column, labels) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), (index + 1).cast("int"))
+def _pick(index: str, labels) -> str:
+    quoted = ", ".join(f"'{v}'" for v in labels)
+    return f"element_at(array({quoted}), cast({index} + 1 as int))"
 
 
-def _day(base: str, offset: Column) -> Column:
-    """``base + offset`` days, as ISO text."""
-    return F.date_add(F.lit(base).cast("date"), offset.cast("int")).cast("string")
+def _day(base: str, offset: str) -> str:
+    """``base + offset`` days, as ISO text (``base`` a date literal or expression)."""
+    start = f"date'{base}'" if base[0].isdigit() else base
+    return f"cast(date_add({start}, cast({offset} as int)) as string)"
 
 
-def _conform(df: DataFrame, name: str) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name)
-                      for f in SOURCE_SCHEMAS[name].fields])
+def _project(df: DataFrame, name: str, exprs: dict) -> DataFrame:
+    """One projection of SQL expressions, cast to the declared source schema."""
+    types = {f.name: f.dataType.simpleString() for f in SOURCE_SCHEMAS[name].fields}
+    return df.selectExpr(*[f"cast({exprs[c]} as {types[c]}) as {c}" for c in types])
 
 
 def customers(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    seg = F.col("c_mktsegment")
-    bal = F.col("c_acctbal")
-    return _conform(customer.select(
-        F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        _market(k).alias("country"),
-        F.when(seg.isin("AUTOMOBILE", "BUILDING"), "SMB")
-         .when(seg.isin("FURNITURE", "MACHINERY"), "MID").otherwise("ENT").alias("segment"),
-        _day("2019-01-01", k * 37 % 1910).alias("signup_date"),
-        F.when(bal < 3000, "basic").when(bal < 7000, "premium")
-         .otherwise("enterprise").alias("plan_type"),
-        (500 + (k % 97) * 60).alias("monthly_revenue"),
-        F.when(k % 5 != 0, F.concat(F.lit("P"), (k % 8).cast("string"))).alias("partner_id"),
-    ), "customers")
+    return _project(customer, "customers", {
+        "customer_id": "concat('C', c_custkey)",
+        "customer_name": "c_name",
+        "country": _market("c_custkey"),
+        "segment": "case when c_mktsegment in ('AUTOMOBILE', 'BUILDING') then 'SMB' "
+                   "when c_mktsegment in ('FURNITURE', 'MACHINERY') then 'MID' else 'ENT' end",
+        "signup_date": _day("2019-01-01", "c_custkey * 37 % 1910"),
+        "plan_type": "case when c_acctbal < 3000 then 'basic' "
+                     "when c_acctbal < 7000 then 'premium' else 'enterprise' end",
+        "monthly_revenue": "500 + (c_custkey % 97) * 60",
+        "partner_id": "case when c_custkey % 5 != 0 then concat('P', c_custkey % 8) end",
+    })
 
 
 def subscriptions(orders: DataFrame) -> DataFrame:
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    start_off = k * 13 % 1750
-    ended = _day("2019-06-01", start_off + 60 + k % 200)
-    return _conform(orders.filter(k % 10 == 3).select(
-        F.concat(F.lit("S"), k.cast("string")).alias("subscription_id"),
-        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        _pick(k % 7 % 3, ["basic", "premium", "enterprise"]).alias("plan_type"),
-        _day("2019-06-01", start_off).alias("start_date"),
-        F.when((st == "F") | ((st == "P") & (k % 4 == 1)), ended)
-         .otherwise(F.lit("")).alias("end_date"),
-        F.when(st == "F", ended).otherwise(F.lit("")).alias("churn_date"),
-        F.when(st == "F", _pick(k % 3, ["price_too_high", "competitor", "not_using"]))
-         .otherwise(F.lit(" ")).alias("churn_reason"),
-        (500 + (k % 41) * 50).alias("mrr"),
-        _market(F.col("o_custkey")).alias("country"),
-    ), "subscriptions")
-
-
-def _event_day(offset: Column) -> Column:
-    return F.date_add(F.col("ts").cast("date"), offset.cast("int")).cast("string")
+    ended = _day("2019-06-01", "o_orderkey * 13 % 1750 + 60 + o_orderkey % 200")
+    return _project(orders.filter("o_orderkey % 10 = 3"), "subscriptions", {
+        "subscription_id": "concat('S', o_orderkey)",
+        "customer_id": "concat('C', o_custkey)",
+        "plan_type": _pick("o_orderkey % 7 % 3", ["basic", "premium", "enterprise"]),
+        "start_date": _day("2019-06-01", "o_orderkey * 13 % 1750"),
+        "end_date": f"case when o_orderstatus = 'F' or (o_orderstatus = 'P' and "
+                    f"o_orderkey % 4 = 1) then {ended} else '' end",
+        "churn_date": f"case when o_orderstatus = 'F' then {ended} else '' end",
+        "churn_reason": "case when o_orderstatus = 'F' then "
+                        + _pick("o_orderkey % 3", ["price_too_high", "competitor", "not_using"])
+                        + " else ' ' end",
+        "mrr": "500 + (o_orderkey % 41) * 50",
+        "country": _market("o_custkey"),
+    })
+
+
+# shared by the three event-derived sources
+_EVENT_DAY_SHIFT = "event_id % 5 % 3 * 30"
+
+
+def _event_day(offset: str) -> str:
+    return _day("cast(ts as date)", offset)
 
 
 def leads(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    key = F.col("user_id") * 10 + e % 10
-    s = e % 5 % 3 * 30
-    q = e * 31 % 100
-    return _conform(events.filter(F.col("event_type").isin("click", "error")).select(
-        F.concat(F.lit("L"), e.cast("string")).alias("lead_id"),
-        F.concat(F.lit("C"), key.cast("string")).alias("customer_id"),
-        _market(key).alias("country"),
-        _pick(e % 11 % 4, ["accounting", "tax_advisory", "bookkeeping", "audit"])
-         .alias("service_type"),
-        _event_day(s).alias("lead_date"),
-        F.when(q.between(70, 79), F.lit("")).otherwise(_event_day(s + e % 13 % 4))
-         .alias("assigned_at"),
-        F.when(q < 50, _event_day(s + 5 + e % 7)).otherwise(F.lit("")).alias("converted_at"),
-        F.when(q < 50, "converted").when(q < 70, "pending").when(q < 80, " unassigned")
-         .otherwise("lost").alias("lead_status"),
-        _pick(e % 17 % 3, ["organic", "paid", "partner"]).alias("lead_source"),
-    ), "leads")
+    key = "(user_id * 10 + event_id % 10)"
+    s, q = _EVENT_DAY_SHIFT, "(event_id * 31 % 100)"
+    return _project(events.filter("event_type in ('click', 'error')"), "leads", {
+        "lead_id": "concat('L', event_id)",
+        "customer_id": f"concat('C', {key})",
+        "country": _market(key),
+        "service_type": _pick("event_id % 11 % 4",
+                              ["accounting", "tax_advisory", "bookkeeping", "audit"]),
+        "lead_date": _event_day(s),
+        "assigned_at": f"case when {q} between 70 and 79 then '' "
+                       f"else {_event_day(f'{s} + event_id % 13 % 4')} end",
+        "converted_at": f"case when {q} < 50 then {_event_day(f'{s} + 5 + event_id % 7')} "
+                        "else '' end",
+        "lead_status": f"case when {q} < 50 then 'converted' when {q} < 70 then 'pending' "
+                       f"when {q} < 80 then ' unassigned' else 'lost' end",
+        "lead_source": _pick("event_id % 17 % 3", ["organic", "paid", "partner"]),
+    })
 
 
 def invoices(orders: DataFrame) -> DataFrame:
-    k, st, c = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_custkey")
-    i = k % 300
-    return _conform(orders.select(
-        F.concat(F.lit("INV"), k.cast("string")).alias("invoice_id"),
-        F.concat(F.lit("C"), c.cast("string")).alias("customer_id"),
-        _day("2023-06-01", i).alias("issue_date"),
-        _day("2023-06-01", i + 30).alias("due_date"),
-        F.when(st == "F", _day("2023-06-01", i + 30 - k % 10))
-         .when(st == "P", _day("2023-06-01", i + 31 + k % 40))
-         .otherwise(F.lit("")).alias("paid_date"),
-        F.floor(F.col("o_totalprice")).cast("long").alias("amount"),
-        F.when(c % 6 == 0, "DKK").when(c % 6 == 1, "NOK").when(c % 6 == 2, "SEK")
-         .when(c % 6 == 5, "USD").otherwise("EUR").alias("currency"),
-        F.when(st == "F", "paid").when(st == "P", "paid_late").when(st == "O", "overdue")
-         .alias("status"),
-        _market(c).alias("country"),
-    ), "invoices")
+    i = "(o_orderkey % 300)"
+    return _project(orders, "invoices", {
+        "invoice_id": "concat('INV', o_orderkey)",
+        "customer_id": "concat('C', o_custkey)",
+        "issue_date": _day("2023-06-01", i),
+        "due_date": _day("2023-06-01", f"{i} + 30"),
+        "paid_date": f"case when o_orderstatus = 'F' then "
+                     f"{_day('2023-06-01', f'{i} + 30 - o_orderkey % 10')} "
+                     f"when o_orderstatus = 'P' then "
+                     f"{_day('2023-06-01', f'{i} + 31 + o_orderkey % 40')} else '' end",
+        "amount": "floor(o_totalprice)",
+        "currency": "case o_custkey % 6 when 0 then 'DKK' when 1 then 'NOK' when 2 then 'SEK' "
+                    "when 5 then 'USD' else 'EUR' end",
+        "status": "case o_orderstatus when 'F' then 'paid' when 'P' then 'paid_late' "
+                  "when 'O' then 'overdue' end",
+        "country": _market("o_custkey"),
+    })
 
 
 def partners(supplier: DataFrame) -> DataFrame:
-    k = F.col("s_suppkey")
-    return _conform(supplier.select(
-        F.concat(F.lit("P"), k.cast("string")).alias("partner_id"),
-        F.col("s_name").alias("partner_name"),
-        _market(k).alias("country"),
-        F.lit("accounting_firm").alias("partner_type"),
-        _day("2017-01-01", k * 29 % 2500).alias("contract_start_date"),
-        (10000 + (k % 13) * 1000).alias("monthly_fee"),
-        ((5 + k % 10).cast("double") / 100).alias("commission_rate"),
-        F.when(k % 9 == 8, "inactive").otherwise("active").alias("status"),
-    ), "partners")
+    return _project(supplier, "partners", {
+        "partner_id": "concat('P', s_suppkey)",
+        "partner_name": "s_name",
+        "country": _market("s_suppkey"),
+        "partner_type": "'accounting_firm'",
+        "contract_start_date": _day("2017-01-01", "s_suppkey * 29 % 2500"),
+        "monthly_fee": "10000 + (s_suppkey % 13) * 1000",
+        "commission_rate": "cast(5 + s_suppkey % 10 as double) / 100",
+        "status": "case when s_suppkey % 9 = 8 then 'inactive' else 'active' end",
+    })
 
 
 def nps_surveys(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    key = F.col("user_id") * 10 + e % 7
-    s = e % 5 % 3 * 30
-    return _conform(events.filter(F.col("event_type") == "view").select(
-        F.concat(F.lit("SV"), e.cast("string")).alias("survey_id"),
-        F.concat(F.lit("C"), key.cast("string")).alias("customer_id"),
-        _event_day(s).alias("survey_date"),
-        (e % 11).alias("nps_score"),
-        (1 + e % 5).alias("csat_score"),
-        _market(key).alias("country"),
-        F.concat(F.lit("comment "), e.cast("string")).alias("comment"),
-    ), "nps_surveys")
+    key = "(user_id * 10 + event_id % 7)"
+    return _project(events.filter("event_type = 'view'"), "nps_surveys", {
+        "survey_id": "concat('SV', event_id)",
+        "customer_id": f"concat('C', {key})",
+        "survey_date": _event_day(_EVENT_DAY_SHIFT),
+        "nps_score": "event_id % 11",
+        "csat_score": "1 + event_id % 5",
+        "country": _market(key),
+        "comment": "concat('comment ', event_id)",
+    })
 
 
 def upsell_events(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    key = F.col("user_id") * 10 + e % 10
-    s = e % 5 % 3 * 30
-    return _conform(events.filter(F.col("event_type") == "purchase").select(
-        F.concat(F.lit("U"), e.cast("string")).alias("upsell_id"),
-        F.concat(F.lit("C"), key.cast("string")).alias("customer_id"),
-        _event_day(s).alias("upsell_date"),
-        F.when(e % 3 == 0, "basic").otherwise("premium").alias("from_plan"),
-        F.when(e % 4 == 3, "enterprise").otherwise("premium").alias("to_plan"),
-        F.when(e % 7 < 4, "tax_advisory_add_on").otherwise(F.lit(" ")).alias("add_on"),
-        F.when(e % 13 != 0, 300 + (e % 23) * 50).alias("add_on_revenue"),
-        F.concat(F.lit("SR0"), (1 + e % 4).cast("string")).alias("sales_rep"),
-        _market(key).alias("country"),
-    ), "upsell_events")
+    key = "(user_id * 10 + event_id % 10)"
+    return _project(events.filter("event_type = 'purchase'"), "upsell_events", {
+        "upsell_id": "concat('U', event_id)",
+        "customer_id": f"concat('C', {key})",
+        "upsell_date": _event_day(_EVENT_DAY_SHIFT),
+        "from_plan": "case when event_id % 3 = 0 then 'basic' else 'premium' end",
+        "to_plan": "case when event_id % 4 = 3 then 'enterprise' else 'premium' end",
+        "add_on": "case when event_id % 7 < 4 then 'tax_advisory_add_on' else ' ' end",
+        "add_on_revenue": "case when event_id % 13 != 0 then 300 + (event_id % 23) * 50 end",
+        "sales_rep": "concat('SR0', 1 + event_id % 4)",
+        "country": _market(key),
+    })
 
 
 _BUILDERS = {
