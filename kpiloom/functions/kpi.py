@@ -10,7 +10,10 @@ value ``num * scale / den``.  Plain ``round(double)`` can tip the wrong way on
 inexact ties (23/40 at two decimals), and rounding a 6-digit decimal quotient
 twice can too once denominators reach millions, so :func:`round_ratio` works in
 integers: ``q = (2|n| + |d|) div 2|d|`` with ``n = num * scale * 10^k``.  The
-inputs must be integral (counts, sums of integral amounts, day counts).
+inputs must be integral (counts, sums of integral amounts, day counts).  The
+integer quotient is exact at any size (38-digit decimals); the final DOUBLE is
+the correctly rounded value while ``|value| × 10^k < 2^53`` (about 9·10^13 at
+two places), far above any rate, average or amount the marts produce.
 """
 
 from __future__ import annotations

@@ -97,8 +97,10 @@ def _dq(kinds) -> Query:
     def run(spark, sf):
         checks = [c for c in quality.ALL_CHECKS if c.kind in kinds]
         st = staged(spark, sf)
-        frames = {model: st[key] for model, key in STAGING_NAMES.items()}
-        frames.update({name: build_mart(name, st, CFG, AS_OF) for name in MART_NAMES})
+        used = {c.model for c in checks} | {c.parent for c in checks if c.parent}
+        frames = {model: st[key] for model, key in STAGING_NAMES.items() if model in used}
+        frames.update({name: build_mart(name, st, CFG, AS_OF)
+                       for name in MART_NAMES if name in used})
         return quality.run_checks(frames, checks)
     return run
 

@@ -14,6 +14,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8,
     """
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.host", "127.0.0.1")
              .config("spark.driver.bindAddress", "127.0.0.1")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

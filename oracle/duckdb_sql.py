@@ -5,7 +5,9 @@ Written directly in DuckDB's SQL dialect over the pre-registered driver views
 statement: a chain of CTEs for the seven source shapes, their staging, and the
 mart logic, followed by the final ``SELECT``.  Ratios are rounded half away
 from zero on exact integers (HUGEINT), which is what the Spark side does with
-decimals, so both engines produce identical doubles.
+decimals, so both engines produce identical doubles.  Conditional counts are
+written ``count(CASE WHEN c THEN 1 END)``: DuckDB's ``count_if`` returns NULL
+rather than 0 when every input is NULL.
 """
 
 from __future__ import annotations
@@ -219,16 +221,16 @@ FROM (SELECT upsell_id, customer_id, {_dt('upsell_date')} AS upsell_date, from_p
 CTES["lead_metrics"] = f"""
 SELECT country, service_type, lead_source, CAST(date_trunc('month', lead_date) AS DATE) AS month,
        {B('count(*)')} AS total_leads,
-       {B('count_if(is_converted)')} AS converted_leads,
-       {B("count_if(lead_status = 'pending')")} AS pending_leads,
-       {B("count_if(lead_status = 'unassigned')")} AS unassigned_leads,
-       {B("count_if(lead_status = 'lost')")} AS lost_leads,
-       {R('count_if(is_converted)', 'count(*)', 2, 100)} AS conversion_rate_pct,
-       {R('count_if(assigned_at IS NOT NULL)', 'count(*)', 2, 100)} AS assignment_rate_pct,
+       {B('count(CASE WHEN is_converted THEN 1 END)')} AS converted_leads,
+       {B("count(CASE WHEN lead_status = 'pending' THEN 1 END)")} AS pending_leads,
+       {B("count(CASE WHEN lead_status = 'unassigned' THEN 1 END)")} AS unassigned_leads,
+       {B("count(CASE WHEN lead_status = 'lost' THEN 1 END)")} AS lost_leads,
+       {R('count(CASE WHEN is_converted THEN 1 END)', 'count(*)', 2, 100)} AS conversion_rate_pct,
+       {R('count(CASE WHEN assigned_at IS NOT NULL THEN 1 END)', 'count(*)', 2, 100)} AS assignment_rate_pct,
        {R('sum(hours_to_assign)', 'count(hours_to_assign)', 1)} AS avg_hours_to_assign,
        {R('sum(days_to_convert)', 'count(days_to_convert)', 1)} AS avg_days_to_convert,
-       {B('count_if(hours_to_assign > 24)')} AS sla_breaches,
-       {R('count_if(hours_to_assign > 24)', 'count_if(assigned_at IS NOT NULL)', 2, 100)}
+       {B('count(CASE WHEN hours_to_assign > 24 THEN 1 END)')} AS sla_breaches,
+       {R('count(CASE WHEN hours_to_assign > 24 THEN 1 END)', 'count(CASE WHEN assigned_at IS NOT NULL THEN 1 END)', 2, 100)}
            AS sla_breach_rate_pct
 FROM stg_leads GROUP BY 1, 2, 3, 4"""
 
@@ -246,11 +248,11 @@ CTES["monthly_churn"] = f"""
 SELECT CAST(date_trunc('month', COALESCE(churn_date, {AS_OF})) AS DATE) AS month,
        country, plan_type, churn_reason,
        {B('count(*)')} AS total_subscriptions,
-       {B('count_if(is_churned)')} AS churned_count,
-       {B('count_if(is_active)')} AS active_count,
+       {B('count(CASE WHEN is_churned THEN 1 END)')} AS churned_count,
+       {B('count(CASE WHEN is_active THEN 1 END)')} AS active_count,
        {B('sum(CASE WHEN is_churned THEN mrr ELSE 0 END)')} AS churned_mrr,
        {B('sum(CASE WHEN is_active THEN mrr ELSE 0 END)')} AS active_mrr,
-       {R('count_if(is_churned)', 'count(*)', 2, 100)} AS churn_rate_pct,
+       {R('count(CASE WHEN is_churned THEN 1 END)', 'count(*)', 2, 100)} AS churn_rate_pct,
        {R("sum(CASE WHEN is_churned THEN date_diff('day', start_date, churn_date) END)",
           "count(CASE WHEN is_churned THEN date_diff('day', start_date, churn_date) END)", 0)}
            AS avg_days_to_churn
@@ -306,8 +308,8 @@ SELECT CAST(date_trunc('month', upsell_date) AS DATE) AS month, country, upsell_
        {B('count(*)')} AS upsell_count,
        {B('sum(incremental_revenue)')} AS total_incremental_revenue,
        {R('sum(incremental_revenue)', 'count(incremental_revenue)', 2)} AS avg_incremental_revenue,
-       {B("count_if(upsell_type = 'plan_upgrade')")} AS plan_upgrades,
-       {B("count_if(upsell_type = 'add_on_sale')")} AS add_on_sales,
+       {B("count(CASE WHEN upsell_type = 'plan_upgrade' THEN 1 END)")} AS plan_upgrades,
+       {B("count(CASE WHEN upsell_type = 'add_on_sale' THEN 1 END)")} AS add_on_sales,
        {B("sum(CASE WHEN upsell_type = 'plan_upgrade' THEN incremental_revenue ELSE 0 END)")}
            AS upgrade_revenue,
        {B("sum(CASE WHEN upsell_type = 'add_on_sale' THEN incremental_revenue ELSE 0 END)")}
@@ -323,8 +325,8 @@ CTES["upsold_customers"] = "SELECT DISTINCT customer_id FROM stg_upsell_events"
 
 CTES["attach_rate_by_segment"] = f"""
 SELECT e.country, e.segment, {B('count(*)')} AS eligible_count,
-       {B('count_if(uc.customer_id IS NOT NULL)')} AS upsold_count,
-       {R('count_if(uc.customer_id IS NOT NULL)', 'count(*)', 2, 100)} AS upsell_attach_rate_pct,
+       {B('count(CASE WHEN uc.customer_id IS NOT NULL THEN 1 END)')} AS upsold_count,
+       {R('count(CASE WHEN uc.customer_id IS NOT NULL THEN 1 END)', 'count(*)', 2, 100)} AS upsell_attach_rate_pct,
        {B('sum(e.mrr)')} AS eligible_mrr_base,
        CAST(sum(e.mrr) * 0.9 AS DOUBLE) AS estimated_upsell_opportunity_mrr
 FROM eligible_customers e LEFT JOIN upsold_customers uc ON e.customer_id = uc.customer_id
@@ -358,8 +360,8 @@ _RATE_MICRO = "CAST(round(p.commission_rate * 1000000) AS BIGINT)"
 CTES["partner_revenue_x"] = f"""
 SELECT c.partner_id,
        {B('count(DISTINCT c.customer_id)')} AS total_customers,
-       {B('count_if(s.is_active)')} AS active_customers,
-       {B('count_if(s.is_churned)')} AS churned_customers,
+       {B('count(CASE WHEN s.is_active THEN 1 END)')} AS active_customers,
+       {B('count(CASE WHEN s.is_churned THEN 1 END)')} AS churned_customers,
        {B(f'sum({_ACTIVE_MRR})')} AS active_mrr,
        {B('sum(s.mrr)')} AS total_mrr_ever,
        {R(f'sum({_ACTIVE_MRR}) * sum({_MONTHS})', f'count({_ACTIVE_MRR}) * count({_MONTHS})', 2)}
@@ -379,8 +381,8 @@ FROM partner_revenue_x"""
 
 CTES["partner_leads"] = f"""
 SELECT c.partner_id, {B('count(*)')} AS partner_leads,
-       {B('count_if(l.is_converted)')} AS partner_lead_conversions,
-       {R('count_if(l.is_converted)', 'count(*)', 2, 100)} AS partner_conversion_rate_pct
+       {B('count(CASE WHEN l.is_converted THEN 1 END)')} AS partner_lead_conversions,
+       {R('count(CASE WHEN l.is_converted THEN 1 END)', 'count(*)', 2, 100)} AS partner_conversion_rate_pct
 FROM stg_leads l JOIN stg_customers c ON l.customer_id = c.customer_id
 WHERE l.lead_source = 'partner'
 GROUP BY 1"""
@@ -434,15 +436,15 @@ _OD_DAYS = "CASE WHEN is_currently_overdue THEN days_overdue END"
 CTES["debt_summary"] = f"""
 SELECT CAST(date_trunc('month', issue_date) AS DATE) AS month, country, segment,
        {B('count(*)')} AS total_invoices, {B('sum(amount)')} AS total_invoiced,
-       {B('count_if(is_currently_overdue)')} AS overdue_count,
+       {B('count(CASE WHEN is_currently_overdue THEN 1 END)')} AS overdue_count,
        {B(_OD_AMT)} AS overdue_amount,
-       {B("count_if(status = 'paid_late')")} AS paid_late_count,
+       {B("count(CASE WHEN status = 'paid_late' THEN 1 END)")} AS paid_late_count,
        {B("sum(CASE WHEN status = 'paid_late' THEN amount ELSE 0 END)")} AS paid_late_amount,
-       {B("count_if(status = 'paid')")} AS paid_ontime_count,
+       {B("count(CASE WHEN status = 'paid' THEN 1 END)")} AS paid_ontime_count,
        {B("sum(CASE WHEN status = 'paid' THEN amount ELSE 0 END)")} AS paid_ontime_amount,
-       {R('count_if(is_currently_overdue)', 'count(*)', 2, 100)} AS overdue_rate_pct,
-       {R("count_if(status = 'paid_late')",
-          "count_if(status = 'paid_late') + count_if(is_currently_overdue)", 2, 100)}
+       {R('count(CASE WHEN is_currently_overdue THEN 1 END)', 'count(*)', 2, 100)} AS overdue_rate_pct,
+       {R("count(CASE WHEN status = 'paid_late' THEN 1 END)",
+          "count(CASE WHEN status = 'paid_late' THEN 1 END) + count(CASE WHEN is_currently_overdue THEN 1 END)", 2, 100)}
            AS recovery_rate_pct,
        {R(_OD_AMT, 'sum(amount)', 1, 30)} AS dso_days,
        {R(f'sum({_OD_DAYS})', f'count({_OD_DAYS})', 1)} AS avg_days_overdue
@@ -501,12 +503,12 @@ LEFT JOIN stg_subscriptions s ON sv.customer_id = s.customer_id AND s.is_active"
 CTES["nps_monthly"] = f"""
 SELECT CAST(date_trunc('month', survey_date) AS DATE) AS month, country, segment, plan_type,
        {B('count(*)')} AS survey_responses,
-       {B("count_if(nps_category = 'promoter')")} AS promoters,
-       {B("count_if(nps_category = 'passive')")} AS passives,
-       {B("count_if(nps_category = 'detractor')")} AS detractors,
-       {R("count_if(nps_category = 'promoter') - count_if(nps_category = 'detractor')",
+       {B("count(CASE WHEN nps_category = 'promoter' THEN 1 END)")} AS promoters,
+       {B("count(CASE WHEN nps_category = 'passive' THEN 1 END)")} AS passives,
+       {B("count(CASE WHEN nps_category = 'detractor' THEN 1 END)")} AS detractors,
+       {R("count(CASE WHEN nps_category = 'promoter' THEN 1 END) - count(CASE WHEN nps_category = 'detractor' THEN 1 END)",
           'count(*)', 1, 100)} AS nps_score,
-       {R('count_if(is_satisfied)', 'count(*)', 1, 100)} AS csat_pct,
+       {R('count(CASE WHEN is_satisfied THEN 1 END)', 'count(*)', 1, 100)} AS csat_pct,
        {R('sum(nps_score)', 'count(nps_score)', 2)} AS avg_nps_raw,
        {R('sum(csat_score)', 'count(csat_score)', 2)} AS avg_csat_raw,
        {B("sum(CASE WHEN nps_category = 'detractor' THEN mrr ELSE 0 END)")}
@@ -561,17 +563,17 @@ FROM stg_invoices"""
 
 CTES["pct"] = f"""
 SELECT country, currency, {B('count(*)')} AS invoices,
-       {B('count_if(is_currently_overdue)')} AS overdue,
+       {B('count(CASE WHEN is_currently_overdue THEN 1 END)')} AS overdue,
        CASE WHEN count(*) = 0 THEN 0.0
-            ELSE {R('count_if(is_currently_overdue)', 'count(*)', 2, 100)} END AS overdue_pct
+            ELSE {R('count(CASE WHEN is_currently_overdue THEN 1 END)', 'count(*)', 2, 100)} END AS overdue_pct
 FROM stg_invoices GROUP BY 1, 2"""
 
 CTES["nps_score"] = f"""
 SELECT country, CAST(date_trunc('month', survey_date) AS DATE) AS month,
-       {B("count_if(nps_category = 'promoter')")} AS promoters,
-       {B("count_if(nps_category = 'detractor')")} AS detractors,
+       {B("count(CASE WHEN nps_category = 'promoter' THEN 1 END)")} AS promoters,
+       {B("count(CASE WHEN nps_category = 'detractor' THEN 1 END)")} AS detractors,
        {B('count(*)')} AS responses,
-       {R("count_if(nps_category = 'promoter') - count_if(nps_category = 'detractor')",
+       {R("count(CASE WHEN nps_category = 'promoter' THEN 1 END) - count(CASE WHEN nps_category = 'detractor' THEN 1 END)",
           'count(*)', 1, 100)} AS nps
 FROM stg_nps_surveys GROUP BY 1, 2"""
 

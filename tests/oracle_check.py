@@ -57,8 +57,8 @@ def connect(sf_dir):
     return con
 
 
-def compare(spark, con, name, query, sql):
-    sdf = query(spark, SF)
+def compare(spark, con, name, query, sql, sf_dir):
+    sdf = query(spark, sf_dir)
     s_cols = sdf.columns
     s_types = {f.name: spark_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     s_rows = sdf.collect()
@@ -104,7 +104,7 @@ if __name__ == "__main__":
             print(f"{n:30s} NO ORACLE")
             continue
         try:
-            problems, ns, nd = compare(spark, con, n, qs[n], sqls[n])
+            problems, ns, nd = compare(spark, con, n, qs[n], sqls[n], SF)
         except Exception as e:  # report and continue
             problems, ns, nd = [f"{type(e).__name__}: {str(e)[:800]}"], -1, -1
         status = "OK " if not problems else "BAD"
