@@ -53,17 +53,18 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
     spread over many tasks instead of producing its whole product in one.
     """
     today = as_of_column(as_of)
-    base = (cust.select("customer_id", "customer_name", "country", "segment",
-                        "plan_type", "mrr")
-            .join(subs.filter(F.col("is_active")).select("customer_id", "start_date"),
-                  "customer_id", "inner")
+    key = "customer_id"
+    active = subs.filter(F.col("is_active")).select(key, "start_date")
+    base = (cust.select(key, "customer_name", "country", "segment", "plan_type", "mrr")
+            .join(active, key, "inner")
             .withColumn("subscription_tenure_days", day_diff("start_date", today)))
-    surveys = surv.select("customer_id", "nps_score", "nps_category",
+    surveys = surv.select(key, "nps_score", "nps_category",
                           F.col("survey_date").alias("last_survey_date"))
     overdue = (inv.filter(F.col("is_currently_overdue"))
-               .select("customer_id", "is_currently_overdue", "days_overdue"))
-    key = "customer_id"
-    base_n, surveys_n, overdue_n = (key_counts(base, key), key_counts(surveys, key),
+               .select(key, "is_currently_overdue", "days_overdue"))
+    # Split sizes come from the narrow base tables; they only balance the work
+    # (both sides read the same sizes), so the result is exact either way.
+    base_n, surveys_n, overdue_n = (key_counts(active, key), key_counts(surveys, key),
                                     key_counts(overdue, key))
     with_surveys = fanout_join(base, surveys, key, "left", hot_rows, base_n, surveys_n)
     scored = fanout_join(with_surveys, overdue, key, "left", hot_rows,
@@ -96,11 +97,10 @@ def mart_churn(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame
                cfg: KpiConfig = DEFAULT_CONFIG, as_of=DEFAULT_AS_OF,
                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     monthly = conform(monthly_churn(subs, as_of), MART_CHURN_COLUMNS,
-                      record_type=F.lit("monthly_churn_summary"))
+                      record_type="'monthly_churn_summary'")
     risk = at_risk_customers(cust, subs, surv, inv, cfg, as_of, hot_rows)
-    risk = conform(risk.drop("start_date", "subscription_tenure_days", "last_survey_date"),
-                   MART_CHURN_COLUMNS,
-                   record_type=F.lit("at_risk_customer"), active_mrr=F.col("mrr"))
+    risk = conform(risk, MART_CHURN_COLUMNS,
+                   record_type="'at_risk_customer'", active_mrr="mrr")
     return union_records([monthly, risk])
 
 

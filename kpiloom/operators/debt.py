@@ -89,17 +89,17 @@ MART_DEBT_COLUMNS = [
 def mart_debt_collection(inv: DataFrame, cust: DataFrame) -> DataFrame:
     enriched = enriched_invoices(inv, cust)
     summary = conform(debt_summary(enriched), MART_DEBT_COLUMNS,
-                      record_type=F.lit("monthly_debt_summary"))
+                      record_type="'monthly_debt_summary'")
     aging = aging_breakdown(enriched)
-    n, amt = F.col("invoice_count"), F.col("total_amount")
-    aging = conform(aging, MART_DEBT_COLUMNS, record_type=F.lit("aging_breakdown"),
+    n, amt = "invoice_count", "total_amount"
+    aging = conform(aging, MART_DEBT_COLUMNS, record_type="'aging_breakdown'",
                     total_invoices=n, total_invoiced=amt, overdue_count=n, overdue_amount=amt)
     debtors = high_risk_debtors(enriched)
-    n, amt = F.col("overdue_invoice_count"), F.col("total_overdue_amount")
-    debtors = conform(debtors, MART_DEBT_COLUMNS, record_type=F.lit("high_risk_debtors"),
+    n, amt = "overdue_invoice_count", "total_overdue_amount"
+    debtors = conform(debtors, MART_DEBT_COLUMNS, record_type="'high_risk_debtors'",
                       total_invoices=n, total_invoiced=amt, overdue_count=n,
-                      overdue_amount=amt, avg_days_overdue=F.col("max_days_overdue"),
-                      aging_bucket=F.col("worst_aging_bucket"))
+                      overdue_amount=amt, avg_days_overdue="max_days_overdue",
+                      aging_bucket="worst_aging_bucket")
     return union_records([summary, aging, debtors])
 
 

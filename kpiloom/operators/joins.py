@@ -74,25 +74,21 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
            .select(key, _slices("_fj_ln", hot_rows).alias("_fj_lb"),
                    _slices("_fj_rn", hot_rows).alias("_fj_rb")))
 
-    zero = F.array(F.lit(0).cast("long"))
-
-    def spread(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str):
-        cols = [F.col(c) for c in df.columns]
+    def spread(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str,
+               flag: str):
+        # one projection per side: own slice from a row hash, copies over the other's
         return (df.join(hot, key, "left")
-                .withColumn(own_slice,
-                            F.when(F.col(own).isNull(), F.lit(0).cast("long"))
-                            .otherwise(F.pmod(F.xxhash64(*cols), F.col(own))))
-                .withColumn(other_slice,
-                            F.explode(F.when(F.col(other).isNull(), zero)
-                                      .otherwise(F.sequence(F.lit(0).cast("long"),
-                                                            F.col(other) - 1)))))
-
-    lside = (spread(left, "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs")
-             .withColumn("_fj_hot", F.col("_fj_lb").isNotNull())
-             .drop("_fj_lb", "_fj_rb"))
-    rside = (spread(right, "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls")
-             .withColumn("_fj_match", F.lit(True))
-             .drop("_fj_lb", "_fj_rb"))
+                .selectExpr(*[f"`{c}`" for c in df.columns],
+                            f"CASE WHEN {own} IS NULL THEN 0L "
+                            f"ELSE pmod(xxhash64({', '.join(f'`{c}`' for c in df.columns)}), "
+                            f"{own}) END AS {own_slice}",
+                            f"explode(CASE WHEN {other} IS NULL THEN array(0L) "
+                            f"ELSE sequence(0L, {other} - 1) END) AS {other_slice}",
+                            flag))
+
+    lside = spread(left, "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs",
+                   "_fj_lb IS NOT NULL AS _fj_hot")
+    rside = spread(right, "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls", "true AS _fj_match")
     out = lside.join(rside, [key, "_fj_ls", "_fj_rs"], how)
     if how == "left":
         out = out.filter(~F.col("_fj_hot") | F.col("_fj_match").isNotNull())

@@ -10,9 +10,9 @@ Null passes every check except ``not_null``.  What counts as one failure:
 * ``between``: every row outside the range.
 
 :func:`run_checks` evaluates a whole suite and returns one summary row per
-check ``(model, column_name, check_name, failures)``.  Row-wise checks of one model
-(not_null, accepted_values, between) are folded into a single aggregate pass
-over that model; uniqueness and relationships need a shuffle each.
+check ``(model, column_name, check_name, failures)``.  All per-row checks of one
+model (unique, not_null, accepted_values, between) share a single scan and one
+aggregation; each relationship check is an anti-join.
 """
 
 from __future__ import annotations
@@ -87,59 +87,82 @@ class Check:
     options: dict = field(default_factory=dict, compare=False, hash=False)
 
 
-_ROWWISE = ("not_null", "accepted_values", "between")
+_PER_MODEL = ("unique", "not_null", "accepted_values", "between")
 
 SUMMARY_SCHEMA = "model string, column_name string, check_name string, failures bigint"
 
 
-def _rowwise_failure(c: Check) -> Column:
-    if c.kind == "not_null":
-        return F.count_if(F.col(c.column).isNull())
-    return F.count_if(_outside(c.column, c.min_value, c.max_value, c.strictly))
-
-
-def _summary_row(c: Check, failures: Column) -> Column:
-    return F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
-                    F.lit(c.kind).alias("check_name"), failures.cast("long").alias("failures"))
-
-
-def _rowwise_pass(df: DataFrame, checks: List[Check]) -> DataFrame:
-    """All row-wise checks of one model in one aggregate, unpivoted to rows."""
-    distinct_checks = [c for c in checks if c.kind == "accepted_values"]
-    plain = [c for c in checks if c.kind != "accepted_values"]
-    parts = []
-    if plain:
-        agg = df.agg(*[_rowwise_failure(c).alias(f"_f{i}") for i, c in enumerate(plain)])
-        parts.append(agg.select(F.explode(F.array(*[
-            _summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(plain)])).alias("r"))
-            .select("r.*"))
-    for c in distinct_checks:
-        # distinct bad values: grouped first (partial aggregation), then counted
-        bad = accepted_values(df, c.column, c.values, c.where)
-        parts.append(bad.agg(F.count(F.lit(1)).alias("n"))
-                     .select(_summary_row(c, F.col("n")).alias("r")).select("r.*"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def _failure_item(i: int, c: Check) -> Column:
+    """``(check id, value)`` for a row that counts towards check ``c``, else null."""
+    col = F.col(c.column)
+    if c.kind == "unique":
+        hit, value = col.isNotNull(), col.cast("string")
+    elif c.kind == "not_null":
+        hit, value = col.isNull(), F.lit(None).cast("string")
+    elif c.kind == "between":
+        hit, value = _outside(c.column, c.min_value, c.max_value, c.strictly), \
+            F.lit(None).cast("string")
+    else:  # accepted_values
+        hit = ~col.cast("string").isin([str(v) for v in c.values])
+        if c.where:
+            hit = hit & F.expr(c.where)
+        value = col.cast("string")
+    return F.when(hit, F.struct(F.lit(i).alias("cid"), value.alias("v")))
+
+
+def _model_pass(spark, df: DataFrame, checks: List[Check], first_id: int) -> DataFrame:
+    """Every per-row check of one model in one scan and one aggregation.
+
+    Each row emits ``(check id, value)`` for the checks it counts towards (every
+    non-null key for ``unique``; failing rows for the others); a partial +
+    final aggregate on ``(check id, value)`` then gives duplicated values,
+    failing rows or distinct bad values per check.
+    """
+    ids = range(first_id, first_id + len(checks))
+    pairs = (df.select(F.explode(F.array(*[_failure_item(i, c) for i, c in zip(ids, checks)]))
+                       .alias("p"))
+             .filter(F.col("p").isNotNull()).select("p.cid", "p.v"))
+    per_check = (pairs.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("cid")
+                 .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
+                      F.count_if(F.col("n") > 1).alias("dups")))
+    meta = spark.createDataFrame(
+        [(i, c.model, c.column, c.kind) for i, c in zip(ids, checks)],
+        "cid int, model string, column_name string, check_name string")
+    kind = F.col("check_name")
+    failures = (F.when(kind == "unique", F.col("dups"))
+                .when(kind == "accepted_values", F.col("values"))
+                .otherwise(F.col("rows")))
+    return (meta.join(per_check, "cid", "left")
+            .select("model", "column_name", "check_name",
+                    F.coalesce(failures, F.lit(0)).cast("long").alias("failures")))
 
 
 def _count_rows(df: DataFrame, c: Check) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n")).select(_summary_row(c, F.col("n")).alias("r")) \
-             .select("r.*")
+    return df.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
+        F.lit(c.kind).alias("check_name"), F.col("failures").cast("long"))
 
 
 def run_checks(frames: Dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """Evaluate ``checks`` against ``frames`` (model name → DataFrame)."""
+    """Evaluate ``checks`` against ``frames`` (model name → DataFrame).
+
+    Per-row checks are grouped per model (one pass each); each relationship
+    check is an anti-join against the parent's distinct keys.
+    """
     checks = list(checks)
     parts = []
     by_model: Dict[str, List[Check]] = {}
     for c in checks:
-        if c.kind in _ROWWISE:
+        if c.kind in _PER_MODEL:
             by_model.setdefault(c.model, []).append(c)
+    next_id = 0
     for model, group in by_model.items():
-        parts.append(_rowwise_pass(frames[model], group))
+        df = frames[model]
+        parts.append(_model_pass(df.sparkSession, df, group, next_id))
+        next_id += len(group)
     for c in checks:
-        if c.kind == "unique":
-            parts.append(_count_rows(unique(frames[c.model], c.column), c))
-        elif c.kind == "relationships":
+        if c.kind == "relationships":
             parts.append(_count_rows(relationships(frames[c.model], c.column,
                                                    frames[c.parent], c.parent_column), c))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.kpi import flag_value, month_start, round_ratio
-from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join, key_counts
 from kpiloom.operators.union import conform, union_records
 
 
@@ -25,10 +25,10 @@ def enriched_surveys(surv: DataFrame, cust: DataFrame, subs: DataFrame,
     or null, and a survey repeats once per active subscription of its customer
     (a many-to-many join, split per hot customer by :func:`fanout_join`).
     """
-    active = (subs.filter(F.col("is_active"))
-              .select("customer_id", F.col("is_active")))
-    return (fanout_join(_surveys_with_customer(surv, cust), active, "customer_id", "left",
-                        hot_rows)
+    key = "customer_id"
+    active = subs.filter(F.col("is_active")).select(key, "is_active")
+    return (fanout_join(_surveys_with_customer(surv, cust), active, key, "left", hot_rows,
+                        key_counts(surv, key), key_counts(active, key))
             .select("survey_id", "customer_id", "survey_date", "nps_score", "csat_score",
                     "nps_category", "is_satisfied", "comment", "customer_name", "country",
                     "segment", "plan_type", "mrr", "is_active"))
@@ -105,16 +105,14 @@ def mart_customer_satisfaction(surv: DataFrame, cust: DataFrame, subs: DataFrame
                                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     enriched = enriched_surveys(surv, cust, subs, hot_rows)
     monthly = conform(nps_monthly(enriched), MART_SATISFACTION_COLUMNS,
-                      record_type=F.lit("nps_monthly"))
-    mrr = F.col("mrr")
-    detail = detractor_detail(enriched)
-    detail = conform(detail.drop("survey_date").withColumnRenamed("nps_score", "nps_score_raw")
-                     .withColumnRenamed("csat_score", "csat_score_raw"),
-                     MART_SATISFACTION_COLUMNS, record_type=F.lit("detractor_detail"),
-                     detractor_mrr_at_risk=mrr, total_surveyed_mrr=mrr)
+                      record_type="'nps_monthly'")
+    detail = conform(detractor_detail(enriched), MART_SATISFACTION_COLUMNS,
+                     record_type="'detractor_detail'", detractor_mrr_at_risk="mrr",
+                     total_surveyed_mrr="mrr", nps_score_raw="nps_score",
+                     csat_score_raw="csat_score", nps_score="NULL")
     rate = conform(response_rate(cust, surv), MART_SATISFACTION_COLUMNS,
-                   record_type=F.lit("response_rate"),
-                   survey_responses=F.col("surveyed_customers"))
+                   record_type="'response_rate'",
+                   survey_responses="surveyed_customers")
     return union_records([monthly, detail, rate])
 
 

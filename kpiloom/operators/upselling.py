@@ -73,12 +73,12 @@ MART_UPSELLING_COLUMNS = [
 def mart_upselling(ups: DataFrame, cust: DataFrame, subs: DataFrame,
                    cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
     monthly = conform(monthly_upsell(ups), MART_UPSELLING_COLUMNS,
-                      record_type=F.lit("monthly_upsell_performance"))
+                      record_type="'monthly_upsell_performance'")
     attach = attach_rate_by_segment(eligible_customers(cust, subs, cfg),
                                     upsold_customers(ups), cfg)
     attach = conform(attach, MART_UPSELLING_COLUMNS,
-                     record_type=F.lit("attach_rate_by_segment"),
-                     upsell_count=F.col("upsold_count"))
+                     record_type="'attach_rate_by_segment'",
+                     upsell_count="upsold_count")
     return union_records([monthly, attach])
 
 
