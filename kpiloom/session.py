@@ -5,6 +5,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Settings the plans are designed for (a cluster sets them in its own session):
+# AQE with skew-join splitting, and broadcasts decided only from sizes measured
+# at runtime (a finished shuffle stage), never from file-size estimates, which
+# understate in-memory size by the compression ratio.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int = 8,
                   app: str = "kpiloom") -> SparkSession:
     """A ``local[cpus]`` session with AQE on and the UI off.
@@ -12,18 +25,17 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8,
     ``spark.checkpoint.dir`` is left alone when the environment already names
     one; otherwise a folder under the warehouse is used (tests only).
     """
-    spark = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.host", "127.0.0.1")
              .config("spark.driver.bindAddress", "127.0.0.1")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-             .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-             .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.driver.memory", "8g")
-             .getOrCreate())
+             .config("spark.driver.memory", "8g"))
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():
         ckpt = spark.conf.get("spark.checkpoint.dir", None) or "spark-warehouse/_checkpoints"
