@@ -34,7 +34,59 @@ def enriched_surveys(surv: DataFrame, cust: DataFrame, subs: DataFrame,
                     "segment", "plan_type", "mrr", "is_active"))
 
 
-def nps_monthly(enriched: DataFrame) -> DataFrame:
+def nps_monthly(surv: DataFrame, cust: DataFrame, subs: DataFrame) -> DataFrame:
+    """NPS / CSAT per survey month × customer market, segment and plan.
+
+    The result is the aggregate of :func:`enriched_surveys` (where a survey
+    counts once per active subscription of its customer), computed without
+    building that fan-out: surveys are first rolled up per (customer, month) —
+    partial aggregation collapses a hot customer to one row per month — then
+    each rollup row meets its customer and its active-subscription count ``w``
+    once, and every measure is summed with weight ``w``.
+    """
+    key = "customer_id"
+    cat = F.col("nps_category")
+    rollup = (surv.withColumn("month", month_start("survey_date"))
+              .groupBy(key, "month")
+              .agg(F.count(F.lit(1)).alias("_n"),
+                   F.count_if(cat == "promoter").alias("_prom"),
+                   F.count_if(cat == "passive").alias("_pas"),
+                   F.count_if(cat == "detractor").alias("_det"),
+                   F.count_if(F.col("is_satisfied")).alias("_sat"),
+                   F.sum("nps_score").alias("_nps"), F.count("nps_score").alias("_nps_n"),
+                   F.sum("csat_score").alias("_csat"), F.count("csat_score").alias("_csat_n")))
+    weight = (subs.filter(F.col("is_active")).groupBy(key)
+              .agg(F.count(F.lit(1)).alias("_w")))
+    rows = (rollup
+            .join(cust.select(key, "country", "segment", "plan_type", "mrr"), key, "left")
+            .join(weight, key, "left")
+            .withColumn("_w", F.coalesce(F.col("_w"), F.lit(1).cast("long"))))
+
+    def wsum(c):
+        return F.sum(F.col(c) * F.col("_w"))
+
+    mrr, det, n = F.col("mrr"), F.col("_det"), F.col("_n")
+    responses = wsum("_n")
+    # sum(iff(detractor, mrr, 0)) over the weighted rows: null only when every
+    # contributing row is a detractor with a null MRR
+    det_mrr = F.when(F.count_if((n > det) | mrr.isNotNull()) > 0,
+                     F.coalesce(F.sum(det * F.col("_w") * mrr), F.lit(0).cast("long")))
+    return (rows.groupBy("month", "country", "segment", "plan_type")
+            .agg(responses.alias("survey_responses"),
+                 wsum("_prom").alias("promoters"),
+                 wsum("_pas").alias("passives"),
+                 wsum("_det").alias("detractors"),
+                 round_ratio(F.sum((F.col("_prom") - det) * F.col("_w")), responses, 1, 100)
+                 .alias("nps_score"),
+                 round_ratio(wsum("_sat"), responses, 1, 100).alias("csat_pct"),
+                 round_ratio(wsum("_nps"), wsum("_nps_n"), 2).alias("avg_nps_raw"),
+                 round_ratio(wsum("_csat"), wsum("_csat_n"), 2).alias("avg_csat_raw"),
+                 det_mrr.alias("detractor_mrr_at_risk"),
+                 F.sum(n * F.col("_w") * mrr).alias("total_surveyed_mrr")))
+
+
+def nps_monthly_from_enriched(enriched: DataFrame) -> DataFrame:
+    """The same aggregate read directly off the enriched (fanned-out) rows."""
     cat = F.col("nps_category")
     total = F.count(F.lit(1))
     promoters, detractors = F.count_if(cat == "promoter"), F.count_if(cat == "detractor")
@@ -55,8 +107,18 @@ def nps_monthly(enriched: DataFrame) -> DataFrame:
                  F.sum("mrr").alias("total_surveyed_mrr")))
 
 
-def detractor_detail(enriched: DataFrame) -> DataFrame:
-    """Detractor responses; ``is_active_detractor`` is true or null (three-valued)."""
+def detractor_detail(surv: DataFrame, cust: DataFrame, subs: DataFrame,
+                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Detractor responses; ``is_active_detractor`` is true or null (three-valued).
+
+    The detractor filter reads a survey column, so it runs before the joins
+    and only detractor surveys take part in the fan-out.
+    """
+    detractors = surv.filter(F.col("nps_category") == "detractor")
+    return detractor_rows(enriched_surveys(detractors, cust, subs, hot_rows))
+
+
+def detractor_rows(enriched: DataFrame) -> DataFrame:
     detractor = F.col("nps_category") == "detractor"
     return (enriched.filter(detractor)
             .select("customer_id", "customer_name", "country", "segment", "plan_type", "mrr",
@@ -103,10 +165,9 @@ MART_SATISFACTION_COLUMNS = [
 
 def mart_customer_satisfaction(surv: DataFrame, cust: DataFrame, subs: DataFrame,
                                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    enriched = enriched_surveys(surv, cust, subs, hot_rows)
-    monthly = conform(nps_monthly(enriched), MART_SATISFACTION_COLUMNS,
+    monthly = conform(nps_monthly(surv, cust, subs), MART_SATISFACTION_COLUMNS,
                       record_type="'nps_monthly'")
-    detail = conform(detractor_detail(enriched), MART_SATISFACTION_COLUMNS,
+    detail = conform(detractor_detail(surv, cust, subs, hot_rows), MART_SATISFACTION_COLUMNS,
                      record_type="'detractor_detail'", detractor_mrr_at_risk="mrr",
                      total_surveyed_mrr="mrr", nps_score_raw="nps_score",
                      csat_score_raw="csat_score", nps_score="NULL")

@@ -97,12 +97,37 @@ def test_response_rate_and_active_detractor(spark):
     assert (rate["DK"].surveyed_customers, rate["DK"].active_customers) == (1, 1)
     assert (rate[None].surveyed_customers, rate[None].active_customers) == (0, 1)
     assert rate[None].response_rate_pct == 0.0 and rate["NO"].response_rate_pct == 100.0
-    enriched = satisfaction.enriched_surveys(st["surv"], st["cust"], st["subs"], hot_rows=1)
     det = {r.customer_id: r.is_active_detractor
-           for r in satisfaction.detractor_detail(enriched).collect()}
+           for r in satisfaction.detractor_detail(st["surv"], st["cust"], st["subs"],
+                                                  hot_rows=1).collect()}
     assert det == {"C1": True, "C3": None}
 
 
+def test_nps_rollup_equals_fanned_out_rows(spark, sf_small):
+    """Weighted rollup == aggregate over the enriched rows, incl. null-MRR edges."""
+    import collections
+    st = staged(
+        spark,
+        customers=[dict(customer_id="C1", monthly_revenue=None),
+                   dict(customer_id="C2", monthly_revenue=None),
+                   dict(customer_id="C3"), dict(customer_id="C3", segment="ENT")],
+        subscriptions=[dict(customer_id="C1"), dict(customer_id="C1"),
+                       dict(customer_id="C3"), dict(customer_id="C3"),
+                       dict(customer_id="C3", churn_date="2023-01-01", end_date="2023-01-01")],
+        nps_surveys=[dict(customer_id="C1", nps_score=2), dict(customer_id="C1", nps_score=9),
+                     dict(customer_id="C2", nps_score=1), dict(customer_id="C3", nps_score=5),
+                     dict(customer_id="C3", nps_score=None, survey_date="2024-02-03"),
+                     dict(customer_id="C9", nps_score=8)])
+    from kpiloom.plans.registry import staged as staged_tables
+    for frames in (st, staged_tables(spark, sf_small)):
+        s, c, u = frames["surv"], frames["cust"], frames["subs"]
+        rows = satisfaction.nps_monthly_from_enriched(satisfaction.enriched_surveys(s, c, u))
+        fast = satisfaction.nps_monthly(s, c, u)
+        bag = lambda df: collections.Counter(tuple(r) for r in df.select(sorted(df.columns))
+                                             .collect())
+        assert bag(fast) == bag(rows)
+
+
 def test_marts_keep_contract_columns(spark):
     marts = build_marts(sources(spark), as_of=AS_OF)
     widths = {name: len(df.columns) for name, df in marts.items()}
