@@ -10,7 +10,7 @@ from kpiloom.functions.kpi import (
     as_of_column, day_diff, flag_value, month_start, round_ratio,
 )
 from kpiloom.operators.joins import (
-    DEFAULT_HOT_ROWS, fanout_join, key_counts, left_join_counts,
+    DEFAULT_HOT_ROWS, any_rows, hot_keys, key_counts, left_join_counts, split_join,
 )
 from kpiloom.operators.union import conform, union_records
 
@@ -48,9 +48,10 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
     """Customers with an active subscription, every survey and overdue invoice.
 
     Grain: customer × active subscription × survey × currently overdue invoice
-    (left joins, no de-duplication).  The two many-to-many joins go through
-    :func:`fanout_join`, so one customer with huge survey and invoice counts is
-    spread over many tasks instead of producing its whole product in one.
+    (left joins, no de-duplication).  When a customer has more than ``hot_rows``
+    rows on a side, the many-to-many join is split into cells
+    (:func:`~kpiloom.operators.joins.split_join`), so its product is spread over
+    many tasks instead of one; otherwise the joins stay plain and co-partitioned.
     """
     today = as_of_column(as_of)
     key = "customer_id"
@@ -63,14 +64,21 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
     overdue = (inv.filter(F.col("is_currently_overdue"))
                .select(key, "is_currently_overdue", "days_overdue"))
     # Split sizes come from the narrow base tables; they only balance the work
-    # (both sides read the same sizes), so the result is exact either way.
-    base_n, surveys_n, overdue_n = (key_counts(active, key), key_counts(surveys, key),
-                                    key_counts(overdue, key))
-    with_surveys = fanout_join(base, surveys, key, "left", hot_rows, base_n, surveys_n)
-    scored = fanout_join(with_surveys, overdue, key, "left", hot_rows,
-                         left_join_counts(base_n, surveys_n, key), overdue_n)
+    # (both sides read the same sizes), so the result is exact either way.  One
+    # small job finds whether either join has a hot customer at all.
+    joined = base.join(surveys, key, "left").join(overdue, key, "left")
+    if hot_rows is not None:
+        base_n, surveys_n, overdue_n = (key_counts(active, key), key_counts(surveys, key),
+                                        key_counts(overdue, key))
+        hot1 = hot_keys(base_n, surveys_n, key, hot_rows)
+        hot2 = hot_keys(left_join_counts(base_n, surveys_n, key), overdue_n, key, hot_rows)
+        if any_rows([hot1, hot2]):
+            step = (split_join(base, surveys, key, "left", hot1) if any_rows([hot1])
+                    else base.join(surveys, key, "left"))
+            joined = (split_join(step, overdue, key, "left", hot2) if any_rows([hot2])
+                      else step.join(overdue, key, "left"))
     score = F.col("risk_score")
-    return (scored
+    return (joined
             .withColumn("risk_score", _risk_score(cfg))
             .withColumn("churn_risk_level",
                         F.when(score >= 4, "high").when(score >= 2, "medium")

@@ -1,29 +1,38 @@
 """Join helpers for many-to-many (fan-out) equi-joins on one key.
 
 Several KPI grains are products per customer (subscriptions × surveys ×
-overdue invoices).  A plain sort-merge join puts the whole product of one hot
-key into one task, and AQE's skew handling cannot split the right side of a
-left outer join.  :func:`fanout_join` splits hot keys explicitly:
-
-1. exact per-key row counts on both sides (partial aggregation, one narrow
-   column each; the hot-key table has at most ``rows / hot_rows`` entries and
-   is joined back by AQE, which broadcasts it when its measured size is small);
-2. a hot key with ``L`` left and ``R`` right rows is cut into
-   ``ceil(L/hot_rows) × ceil(R/hot_rows)`` cells: every left row takes a slice
-   from a deterministic hash of its columns and is copied to each right slice,
-   and vice versa;
-3. the join runs on ``(key, left slice, right slice)``, so each task emits at
-   most ``hot_rows²`` pairs of one key.
-
-Cold keys keep slice (0, 0) and behave exactly like the plain join.  For a
-left join, null-padded rows are dropped for hot keys (a hot key always has
-right rows, so such a row only means "this cell was empty").  The hash is of
-the row contents, so a recomputed partition lands in the same cells after an
+overdue invoices).  A plain sort-merge join emits the whole product of one key
+from one task, and AQE's skew handling cannot split the right side of a left
+outer join, so a customer holding a third of the surveys would stall the job.
+
+:func:`fanout_join` decides per join:
+
+1. **Measure.**  Rows per key on both sides (narrow partial + final
+   aggregates), joined into the hot-key table: keys with more than
+   ``hot_rows`` rows on a side.  It has at most ``rows / hot_rows`` entries.
+   Finding whether it is empty is a small job that stops at the first hot key.
+2. **No hot key** (the usual case): the plain join, which keeps the inputs'
+   partitioning on the key, so a chain of joins on one key shuffles each input
+   once.
+3. **Hot keys**: :func:`split_join`.  A key with ``L`` left and ``R`` right rows
+   is cut into ``ceil(L/hot_rows) × ceil(R/hot_rows)`` cells; every left row
+   takes a slice from a deterministic hash of its columns and is copied to each
+   right slice, and vice versa, and the join runs on ``(key, left slice, right
+   slice)`` — no task emits more than ``hot_rows²`` pairs of one key.  Cold
+   keys keep slice (0, 0).  For a left join, null-padded rows are dropped for
+   hot keys (a hot key always has right rows, so such a row only means "this
+   cell was empty").  The hot-key table reaches the sides through joins that
+   AQE turns into broadcasts only once it has measured the table.
+
+The output is exactly the plain join in every case.  The slice hash is of the
+row contents, so a recomputed partition lands in the same cells after an
 executor loss.
 """
 
 from __future__ import annotations
 
+from typing import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +40,6 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 200_000
 
 
-def _slices(count_col: str, hot_rows: int):
-    return F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("long")
-
-
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per key: ``(key, n)``, a partial + final hash aggregate."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -44,44 +49,45 @@ def left_join_counts(left_counts: DataFrame, right_counts: DataFrame, key: str)
     """Rows per key of ``left ⟕ right`` from the two sides' key counts.
 
     Lets a chain of fan-out joins size its next split without evaluating the
-    previous join twice.
+    previous join.
     """
     r = right_counts.withColumnRenamed("n", "_fj_r")
     return (left_counts.join(r, key, "left")
             .select(key, (F.col("n") * F.coalesce(F.col("_fj_r"), F.lit(1))).alias("n")))
 
 
-def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS, left_counts: DataFrame = None,
-                right_counts: DataFrame = None) -> DataFrame:
-    """``left.join(right, key, how)`` for ``how`` in {inner, left}, hot keys split.
+def hot_keys(left_counts: DataFrame, right_counts: DataFrame, key: str,
+             hot_rows: int) -> DataFrame:
+    """``(key, _fj_lb, _fj_rb)``: slice counts of every key over ``hot_rows``."""
+    def slices(c):
+        return F.ceil(F.col(c) / F.lit(hot_rows)).cast("long")
+    return (left_counts.withColumnRenamed("n", "_fj_ln")
+            .join(right_counts.withColumnRenamed("n", "_fj_rn"), key, "inner")
+            .filter((F.col("_fj_ln") > hot_rows) | (F.col("_fj_rn") > hot_rows))
+            .select(key, slices("_fj_ln").alias("_fj_lb"), slices("_fj_rn").alias("_fj_rb")))
+
+
+def any_rows(frames: Iterable[DataFrame]) -> bool:
+    """True when any frame has a row (one small job for all of them)."""
+    frames = [f.select(F.lit(1).alias("_any")) for f in frames]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    return not union.isEmpty()
 
-    Column names other than ``key`` must be distinct between the sides.
-    ``left_counts`` / ``right_counts`` (``key, n``) may be passed when already
-    known; otherwise they are computed from the inputs.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"fanout_join supports inner and left joins, not {how!r}")
-    if hot_rows is None:
-        return left.join(right, key, how)
 
-    lcount = (left_counts if left_counts is not None else key_counts(left, key))
-    rcount = (right_counts if right_counts is not None else key_counts(right, key))
-    lcount = lcount.withColumnRenamed("n", "_fj_ln")
-    rcount = rcount.withColumnRenamed("n", "_fj_rn")
-    hot = (lcount.join(rcount, key, "inner")
-           .filter((F.col("_fj_ln") > hot_rows) | (F.col("_fj_rn") > hot_rows))
-           .select(key, _slices("_fj_ln", hot_rows).alias("_fj_lb"),
-                   _slices("_fj_rn", hot_rows).alias("_fj_rb")))
+def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
+               hot: DataFrame) -> DataFrame:
+    """The join with every key of ``hot`` split into a grid of cells."""
 
     def spread(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str,
-               flag: str):
+               flag: str) -> DataFrame:
         # one projection per side: own slice from a row hash, copies over the other's
+        cols = ", ".join(f"`{c}`" for c in df.columns)
         return (df.join(hot, key, "left")
                 .selectExpr(*[f"`{c}`" for c in df.columns],
                             f"CASE WHEN {own} IS NULL THEN 0L "
-                            f"ELSE pmod(xxhash64({', '.join(f'`{c}`' for c in df.columns)}), "
-                            f"{own}) END AS {own_slice}",
+                            f"ELSE pmod(xxhash64({cols}), {own}) END AS {own_slice}",
                             f"explode(CASE WHEN {other} IS NULL THEN array(0L) "
                             f"ELSE sequence(0L, {other} - 1) END) AS {other_slice}",
                             flag))
@@ -93,3 +99,25 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if how == "left":
         out = out.filter(~F.col("_fj_hot") | F.col("_fj_match").isNotNull())
     return out.drop("_fj_ls", "_fj_rs", "_fj_hot", "_fj_match")
+
+
+def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
+                hot_rows: int = DEFAULT_HOT_ROWS, left_counts: DataFrame = None,
+                right_counts: DataFrame = None) -> DataFrame:
+    """``left.join(right, key, how)`` for ``how`` in {inner, left}, hot keys split.
+
+    Column names other than ``key`` must be distinct between the sides.
+    ``left_counts`` / ``right_counts`` (``key, n``) may be passed when cheaper
+    to get than from the inputs; they only size the split, so estimates are
+    fine (both sides read the same table).  ``hot_rows=None`` skips the check.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"fanout_join supports inner and left joins, not {how!r}")
+    if hot_rows is None:
+        return left.join(right, key, how)
+    hot = hot_keys(left_counts if left_counts is not None else key_counts(left, key),
+                   right_counts if right_counts is not None else key_counts(right, key),
+                   key, hot_rows)
+    if not any_rows([hot]):
+        return left.join(right, key, how)
+    return split_join(left, right, key, how, hot)
