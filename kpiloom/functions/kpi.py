@@ -82,12 +82,25 @@ def month_start(d: ColumnOrName) -> Column:
 # exact ratios
 # ---------------------------------------------------------------------------
 
+def round_ratio_sql(num: str, den: str, decimals: int = 2, scale: int = 1) -> str:
+    """SQL text of :func:`round_ratio` for SQL operands (e.g. aggregates)."""
+    n = f"(CAST(({num}) AS {_EXACT}) * {scale * 10 ** decimals})"
+    d = f"CAST(({den}) AS {_EXACT})"
+    q = f"((abs({n}) * 2 + abs({d})) div (abs({d}) * 2))"
+    return (f"CAST(CASE WHEN {d} <> 0 THEN CAST(IF(({n} < 0) <> ({d} < 0), -{q}, {q}) "
+            f"AS DOUBLE) / {10 ** decimals} END AS DOUBLE)")
+
+
 def round_ratio(num: ColumnOrName, den: ColumnOrName, decimals: int = 2,
                 scale: int = 1) -> Column:
     """``round(num * scale / den, decimals)`` exactly, half away from zero.
 
     Null when ``den`` is 0 or null, or ``num`` is null.  Result is DOUBLE.
+    String operands are SQL expressions (a column name is one); with two of
+    them the whole expression is built from SQL text in one call.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(round_ratio_sql(num, den, decimals, scale))
     n = _col(num).cast(_EXACT) * F.lit(scale * 10 ** decimals).cast(_EXACT)
     d = _col(den).cast(_EXACT)
     q = F.call_function("div", F.abs(n) * 2 + F.abs(d), F.abs(d) * 2)
@@ -170,6 +183,11 @@ def flag_value(flag: ColumnOrName, value: ColumnOrName, otherwise=0) -> Column:
     return F.when(_col(flag), _col(value)).otherwise(o)
 
 
+def sql_exprs(*texts: str):
+    """SQL expression strings as Columns (one call each, e.g. for ``agg``)."""
+    return [F.expr(t) for t in texts]
+
+
 def typed_null(dtype: str) -> Column:
     """A null literal of the given Spark SQL type (for union padding)."""
     return F.lit(None).cast(dtype)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_AS_OF, DEFAULT_CONFIG, KpiConfig
 from kpiloom.functions.kpi import (
-    as_of_column, day_diff, flag_value, month_start, round_ratio,
+    as_of_column, day_diff, month_start, round_ratio_sql, sql_exprs,
 )
 from kpiloom.operators.joins import (
     DEFAULT_HOT_ROWS, any_rows, hot_keys, key_counts, left_join_counts, split_join,
@@ -18,28 +18,27 @@ from kpiloom.operators.union import conform, union_records
 def monthly_churn(subs: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Group by churn month (as-of month for live rows), country, plan, reason."""
     today = as_of_column(as_of)
-    churned, active, mrr = F.col("is_churned"), F.col("is_active"), F.col("mrr")
-    total = F.count(F.lit(1))
-    tenure = F.when(churned, day_diff("start_date", "churn_date"))
+    total, churned = "count(1)", "count_if(is_churned)"
+    tenure = "CASE WHEN is_churned THEN datediff(churn_date, start_date) END"
     return (subs
-            .withColumn("month", month_start(F.coalesce(F.col("churn_date"), today)))
-            .groupBy("month", "country", "plan_type", "churn_reason")
-            .agg(total.alias("total_subscriptions"),
-                 F.count_if(churned).alias("churned_count"),
-                 F.count_if(active).alias("active_count"),
-                 F.sum(flag_value(churned, mrr)).alias("churned_mrr"),
-                 F.sum(flag_value(active, mrr)).alias("active_mrr"),
-                 round_ratio(F.count_if(churned), total, 2, 100).alias("churn_rate_pct"),
-                 round_ratio(F.sum(tenure), F.count(tenure), 0).alias("avg_days_to_churn")))
-
-
-def _risk_score(cfg: KpiConfig) -> F.Column:
-    cat = F.col("nps_category")
-    return (flag_value(cat == "detractor", F.lit(3))
-            + flag_value(cat == "passive", F.lit(1))
-            + flag_value(F.col("is_currently_overdue"), F.lit(2))
-            + flag_value(F.col("subscription_tenure_days") < cfg.upsell_min_tenure_days,
-                         F.lit(1))).cast("long")
+            .groupBy(month_start(F.coalesce(F.col("churn_date"), today)).alias("month"),
+                     "country", "plan_type", "churn_reason")
+            .agg(*sql_exprs(
+                f"{total} AS total_subscriptions",
+                f"{churned} AS churned_count",
+                "count_if(is_active) AS active_count",
+                "sum(IF(is_churned, mrr, 0)) AS churned_mrr",
+                "sum(IF(is_active, mrr, 0)) AS active_mrr",
+                f"{round_ratio_sql(churned, total, 2, 100)} AS churn_rate_pct",
+                f"{round_ratio_sql(f'sum({tenure})', f'count({tenure})', 0)} "
+                "AS avg_days_to_churn")))
+
+
+def _risk_score_sql(cfg: KpiConfig) -> str:
+    # Score points per risk signal.
+    return ("CAST(IF(nps_category = 'detractor', 3, 0) + IF(nps_category = 'passive', 1, 0)"
+            " + IF(is_currently_overdue, 2, 0)"
+            f" + IF(subscription_tenure_days < {cfg.upsell_min_tenure_days}, 1, 0) AS BIGINT)")
 
 
 def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame,
@@ -77,16 +76,13 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
                     else base.join(surveys, key, "left"))
             joined = (split_join(step, overdue, key, "left", hot2) if any_rows([hot2])
                       else step.join(overdue, key, "left"))
-    score = F.col("risk_score")
     return (joined
-            .withColumn("risk_score", _risk_score(cfg))
-            .withColumn("churn_risk_level",
-                        F.when(score >= 4, "high").when(score >= 2, "medium")
-                        .otherwise("low"))
-            .select("customer_id", "customer_name", "country", "segment", "plan_type",
-                    "mrr", "start_date", "subscription_tenure_days", "nps_score",
-                    "nps_category", "last_survey_date", "is_currently_overdue",
-                    "days_overdue", "risk_score", "churn_risk_level"))
+            .selectExpr("customer_id", "customer_name", "country", "segment", "plan_type",
+                        "mrr", "start_date", "subscription_tenure_days", "nps_score",
+                        "nps_category", "last_survey_date", "is_currently_overdue",
+                        "days_overdue", f"{_risk_score_sql(cfg)} AS risk_score")
+            .selectExpr("*", "CASE WHEN risk_score >= 4 THEN 'high' "
+                        "WHEN risk_score >= 2 THEN 'medium' ELSE 'low' END AS churn_risk_level"))
 
 
 MART_CHURN_COLUMNS = [

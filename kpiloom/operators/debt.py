@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.kpi import aging_bucket, flag_value, month_start, round_ratio
+from kpiloom.functions.kpi import aging_bucket, month_start, round_ratio_sql, sql_exprs
 from kpiloom.operators.union import conform, union_records
 
 
@@ -28,36 +28,37 @@ def enriched_invoices(inv: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def debt_summary(enriched: DataFrame) -> DataFrame:
-    overdue, status, amount = F.col("is_currently_overdue"), F.col("status"), F.col("amount")
-    late_n, overdue_n = F.count_if(status == "paid_late"), F.count_if(overdue)
-    total = F.count(F.lit(1))
-    overdue_amt = F.sum(flag_value(overdue, amount))
-    overdue_days = F.when(overdue, F.col("days_overdue"))
+    total, overdue_n = "count(1)", "count_if(is_currently_overdue)"
+    late_n = "count_if(status = 'paid_late')"
+    overdue_amt = "sum(IF(is_currently_overdue, amount, 0))"
+    od_days = "CASE WHEN is_currently_overdue THEN days_overdue END"
     return (enriched
-            .withColumn("month", month_start("issue_date"))
-            .groupBy("month", "country", "segment")
-            .agg(total.alias("total_invoices"),
-                 F.sum(amount).alias("total_invoiced"),
-                 overdue_n.alias("overdue_count"),
-                 overdue_amt.alias("overdue_amount"),
-                 late_n.alias("paid_late_count"),
-                 F.sum(flag_value(status == "paid_late", amount)).alias("paid_late_amount"),
-                 F.count_if(status == "paid").alias("paid_ontime_count"),
-                 F.sum(flag_value(status == "paid", amount)).alias("paid_ontime_amount"),
-                 round_ratio(overdue_n, total, 2, 100).alias("overdue_rate_pct"),
-                 round_ratio(late_n, late_n + overdue_n, 2, 100).alias("recovery_rate_pct"),
-                 round_ratio(overdue_amt, F.sum(amount), 1, 30).alias("dso_days"),
-                 round_ratio(F.sum(overdue_days), F.count(overdue_days), 1)
-                 .alias("avg_days_overdue")))
+            .groupBy(month_start("issue_date").alias("month"), "country", "segment")
+            .agg(*sql_exprs(
+                f"{total} AS total_invoices",
+                "sum(amount) AS total_invoiced",
+                f"{overdue_n} AS overdue_count",
+                f"{overdue_amt} AS overdue_amount",
+                f"{late_n} AS paid_late_count",
+                "sum(IF(status = 'paid_late', amount, 0)) AS paid_late_amount",
+                "count_if(status = 'paid') AS paid_ontime_count",
+                "sum(IF(status = 'paid', amount, 0)) AS paid_ontime_amount",
+                f"{round_ratio_sql(overdue_n, total, 2, 100)} AS overdue_rate_pct",
+                f"{round_ratio_sql(late_n, f'{late_n} + {overdue_n}', 2, 100)} "
+                "AS recovery_rate_pct",
+                f"{round_ratio_sql(overdue_amt, 'sum(amount)', 1, 30)} AS dso_days",
+                f"{round_ratio_sql(f'sum({od_days})', f'count({od_days})', 1)} "
+                "AS avg_days_overdue")))
 
 
 def aging_breakdown(enriched: DataFrame) -> DataFrame:
-    days = F.col("days_overdue")
-    return (enriched.filter(F.col("is_currently_overdue"))
+    return (enriched.filter("is_currently_overdue")
             .groupBy("country", "segment", "aging_bucket")
-            .agg(F.count(F.lit(1)).alias("invoice_count"),
-                 F.sum("amount").alias("total_amount"),
-                 round_ratio(F.sum(days), F.count(days), 1).alias("avg_days_overdue")))
+            .agg(*sql_exprs(
+                "count(1) AS invoice_count",
+                "sum(amount) AS total_amount",
+                f"{round_ratio_sql('sum(days_overdue)', 'count(days_overdue)', 1)} "
+                "AS avg_days_overdue")))
 
 
 def high_risk_debtors(enriched: DataFrame) -> DataFrame:
@@ -65,12 +66,13 @@ def high_risk_debtors(enriched: DataFrame) -> DataFrame:
 
     ``worst_aging_bucket`` is the lexical maximum of the bucket labels.
     """
-    return (enriched.filter(F.col("is_currently_overdue"))
+    return (enriched.filter("is_currently_overdue")
             .groupBy("customer_id", "customer_name", "country", "segment", "plan_type", "mrr")
-            .agg(F.count(F.lit(1)).alias("overdue_invoice_count"),
-                 F.sum("amount").alias("total_overdue_amount"),
-                 F.max("days_overdue").alias("max_days_overdue"),
-                 F.max("aging_bucket").alias("worst_aging_bucket")))
+            .agg(*sql_exprs(
+                "count(1) AS overdue_invoice_count",
+                "sum(amount) AS total_overdue_amount",
+                "max(days_overdue) AS max_days_overdue",
+                "max(aging_bucket) AS worst_aging_bucket")))
 
 
 MART_DEBT_COLUMNS = [

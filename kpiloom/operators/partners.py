@@ -13,107 +13,100 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_AS_OF
-from kpiloom.functions.kpi import as_of_column, flag_value, month_diff, round_ratio
+from kpiloom.functions.kpi import as_of_column, month_diff, round_ratio_sql, sql_exprs
 
-_RATE = "decimal(9,6)"
-_MONEY = "decimal(20,0)"
+_RATE = "DECIMAL(9,6)"
+_MONEY = "DECIMAL(20,0)"
 
 
 def _partner_dim(part: DataFrame) -> DataFrame:
     """One row per partner id: copies in the table and the (max) commission rate."""
     return (part.groupBy("partner_id")
-            .agg(F.count(F.lit(1)).alias("_copies"),
-                 F.max("commission_rate").alias("_rate")))
-
-
-def _commission(active_mrr, rate) -> F.Column:
-    """round(active MRR × rate, 2) in exact decimals (rate read at 6 places)."""
-    return F.round(active_mrr.cast(_MONEY) * rate.cast(_RATE), 2)
+            .agg(*sql_exprs("count(1) AS _copies", "max(commission_rate) AS _rate")))
 
 
 def partner_revenue(cust: DataFrame, subs: DataFrame, part: DataFrame,
                     as_of=DEFAULT_AS_OF) -> DataFrame:
     today = as_of_column(as_of)
-    active, churned, mrr = F.col("is_active"), F.col("is_churned"), F.col("mrr")
-    active_mrr = flag_value(active, mrr)
-    months = month_diff("start_date", F.coalesce(F.col("end_date"), today))
-    per_partner = (cust.filter(F.col("partner_id").isNotNull())
+    active_mrr = "IF(is_active, mrr, 0)"
+    per_partner = (cust.filter("partner_id IS NOT NULL")
                    .select("customer_id", "partner_id")
                    .join(subs.select("customer_id", "is_active", "is_churned", "mrr",
-                                     "start_date", "end_date"), "customer_id", "inner")
+                                     month_diff("start_date",
+                                                F.coalesce(F.col("end_date"), today))
+                                     .alias("_months")),
+                         "customer_id", "inner")
                    .groupBy("partner_id")
-                   .agg(F.countDistinct("customer_id").alias("total_customers"),
-                        F.count_if(active).alias("_active"),
-                        F.count_if(churned).alias("_churned"),
-                        F.sum(active_mrr).alias("_active_mrr"),
-                        F.count(active_mrr).alias("_active_n"),
-                        F.sum(mrr).alias("_mrr"),
-                        F.sum(months).alias("_months"),
-                        F.count(months).alias("_months_n")))
-    copies = F.col("_copies")
+                   .agg(*sql_exprs(
+                       "count(DISTINCT customer_id) AS total_customers",
+                       "count_if(is_active) AS _active",
+                       "count_if(is_churned) AS _churned",
+                       f"sum({active_mrr}) AS _active_mrr",
+                       f"count({active_mrr}) AS _active_n",
+                       "sum(mrr) AS _mrr",
+                       "sum(_months) AS _months",
+                       "count(_months) AS _months_n")))
+    # avg(active mrr) × avg(months) = (S1·S2)/(n1·n2); copies of a partner cancel
+    ltv = round_ratio_sql("CAST(_active_mrr AS DECIMAL(38,0)) * _months",
+                          "_active_n * _months_n", 2)
     return (per_partner.join(_partner_dim(part), "partner_id", "inner")
-            .select("partner_id", "total_customers",
-                    (F.col("_active") * copies).alias("active_customers"),
-                    (F.col("_churned") * copies).alias("churned_customers"),
-                    (F.col("_active_mrr") * copies).alias("active_mrr"),
-                    (F.col("_mrr") * copies).alias("total_mrr_ever"),
-                    # avg(active mrr) × avg(months) = (S1·S2)/(n1·n2), copies cancel
-                    round_ratio(F.col("_active_mrr").cast("decimal(38,0)") * F.col("_months"),
-                                F.col("_active_n") * F.col("_months_n"), 2)
-                    .alias("estimated_avg_ltv"),
-                    _commission(F.col("_active_mrr") * copies, F.col("_rate"))
-                    .cast("double").alias("monthly_commission_owed")))
+            .selectExpr(
+                "partner_id", "total_customers",
+                "_active * _copies AS active_customers",
+                "_churned * _copies AS churned_customers",
+                "_active_mrr * _copies AS active_mrr",
+                "_mrr * _copies AS total_mrr_ever",
+                f"{ltv} AS estimated_avg_ltv",
+                # round(active MRR × rate, 2) in exact decimals (rate read at 6 places)
+                f"CAST(round(CAST(_active_mrr * _copies AS {_MONEY}) * CAST(_rate AS {_RATE}), 2)"
+                " AS DOUBLE) AS monthly_commission_owed"))
 
 
 def partner_leads(leads: DataFrame, cust: DataFrame) -> DataFrame:
     """Partner-channel leads per referring partner (null partner is a group)."""
-    converted = F.count_if(F.col("is_converted"))
-    total = F.count(F.lit(1))
-    return (leads.filter(F.col("lead_source") == "partner")
+    total, converted = "count(1)", "count_if(is_converted)"
+    return (leads.filter("lead_source = 'partner'")
             .select("customer_id", "is_converted")
             .join(cust.select("customer_id", "partner_id"), "customer_id", "inner")
             .groupBy("partner_id")
-            .agg(total.alias("partner_leads"),
-                 converted.alias("partner_lead_conversions"),
-                 round_ratio(converted, total, 2, 100).alias("partner_conversion_rate_pct")))
+            .agg(*sql_exprs(
+                f"{total} AS partner_leads",
+                f"{converted} AS partner_lead_conversions",
+                f"{round_ratio_sql(converted, total, 2, 100)} AS partner_conversion_rate_pct")))
 
 
 def mart_roi_partnerships(part: DataFrame, cust: DataFrame, subs: DataFrame,
                           leads: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     rev = partner_revenue(cust, subs, part, as_of)
     lead = partner_leads(leads, cust)
-    fee, tenure = F.col("monthly_fee"), F.col("partner_tenure_months")
-    z = F.lit(0).cast("long")
-    active_mrr = F.coalesce(F.col("active_mrr"), z)
-    customers = F.coalesce(F.col("total_customers"), z)
-    commission = F.coalesce(F.col("monthly_commission_owed"), F.lit(0.0))
     # cents, exact: the commission is already rounded to 2 places
-    commission_cents = F.coalesce((F.col("monthly_commission_owed").cast("decimal(22,2)")
-                                   * 100).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    cost_cents = fee.cast("decimal(38,0)") * 100 + commission_cents
-    net_cents = active_mrr.cast("decimal(38,0)") * 100 - cost_cents
-    fees_to_date = fee * tenure
+    commission_cents = ("COALESCE(CAST(CAST(monthly_commission_owed AS DECIMAL(22,2)) * 100 "
+                        "AS DECIMAL(38,0)), CAST(0 AS DECIMAL(38,0)))")
+    cost_cents = f"(CAST(monthly_fee AS DECIMAL(38,0)) * 100 + {commission_cents})"
+    net_cents = f"(CAST(COALESCE(active_mrr, 0) AS DECIMAL(38,0)) * 100 - {cost_cents})"
+    fees_to_date = "monthly_fee * partner_tenure_months"
     return (part.join(rev, "partner_id", "left").join(lead, "partner_id", "left")
-            .select("partner_id", "partner_name", "country", "partner_type",
-                    "contract_start_date", "monthly_fee", "commission_rate",
-                    "partner_tenure_months",
-                    customers.alias("total_customers"),
-                    F.coalesce(F.col("active_customers"), z).alias("active_customers"),
-                    F.coalesce(F.col("churned_customers"), z).alias("churned_customers"),
-                    active_mrr.alias("active_mrr"),
-                    F.coalesce(F.col("total_mrr_ever"), z).alias("total_mrr_ever"),
-                    F.coalesce(F.col("estimated_avg_ltv"), F.lit(0.0)).alias("estimated_avg_ltv"),
-                    commission.alias("monthly_commission_owed"),
-                    F.coalesce(F.col("partner_leads"), z).alias("partner_leads"),
-                    F.coalesce(F.col("partner_lead_conversions"), z)
-                    .alias("partner_lead_conversions"),
-                    F.coalesce(F.col("partner_conversion_rate_pct"), F.lit(0.0))
-                    .alias("partner_conversion_rate_pct"),
-                    (cost_cents.cast("double") / 100).alias("total_monthly_cost"),
-                    (net_cents.cast("double") / 100).alias("net_monthly_value"),
-                    round_ratio(net_cents, cost_cents, 2, 100).alias("roi_pct"),
-                    round_ratio(fees_to_date, active_mrr, 1).alias("payback_period_months"),
-                    round_ratio(fees_to_date, customers, 2).alias("cost_per_acquired_customer")))
+            .selectExpr(
+                "partner_id", "partner_name", "country", "partner_type",
+                "contract_start_date", "monthly_fee", "commission_rate",
+                "partner_tenure_months",
+                "COALESCE(total_customers, 0L) AS total_customers",
+                "COALESCE(active_customers, 0L) AS active_customers",
+                "COALESCE(churned_customers, 0L) AS churned_customers",
+                "COALESCE(active_mrr, 0L) AS active_mrr",
+                "COALESCE(total_mrr_ever, 0L) AS total_mrr_ever",
+                "COALESCE(estimated_avg_ltv, 0D) AS estimated_avg_ltv",
+                "COALESCE(monthly_commission_owed, 0D) AS monthly_commission_owed",
+                "COALESCE(partner_leads, 0L) AS partner_leads",
+                "COALESCE(partner_lead_conversions, 0L) AS partner_lead_conversions",
+                "COALESCE(partner_conversion_rate_pct, 0D) AS partner_conversion_rate_pct",
+                f"CAST({cost_cents} AS DOUBLE) / 100 AS total_monthly_cost",
+                f"CAST({net_cents} AS DOUBLE) / 100 AS net_monthly_value",
+                f"{round_ratio_sql(net_cents, cost_cents, 2, 100)} AS roi_pct",
+                f"{round_ratio_sql(fees_to_date, 'COALESCE(active_mrr, 0L)', 1)} "
+                "AS payback_period_months",
+                f"{round_ratio_sql(fees_to_date, 'COALESCE(total_customers, 0L)', 2)} "
+                "AS cost_per_acquired_customer"))
 
 
 # Descending with nulls high: partners without a cost come first.

@@ -92,50 +92,62 @@ _PER_MODEL = ("unique", "not_null", "accepted_values", "between")
 SUMMARY_SCHEMA = "model string, column_name string, check_name string, failures bigint"
 
 
-def _failure_item(i: int, c: Check) -> Column:
-    """``(check id, value)`` for a row that counts towards check ``c``, else null."""
-    col = F.col(c.column)
+def _q(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _outside_sql(c: Check) -> str:
+    conds = []
+    if c.min_value is not None:
+        conds.append(f"`{c.column}` {'>' if c.strictly else '>='} {c.min_value!r}")
+    if c.max_value is not None:
+        conds.append(f"`{c.column}` {'<' if c.strictly else '<='} {c.max_value!r}")
+    return f"NOT ({' AND '.join(conds) or 'true'})"
+
+
+def _failure_item_sql(i: int, c: Check) -> str:
+    """SQL: ``(check id, value)`` for a row that counts towards check ``c``, else null."""
+    col = f"`{c.column}`"
+    value = f"CAST({col} AS STRING)"
     if c.kind == "unique":
-        hit, value = col.isNotNull(), col.cast("string")
+        hit = f"{col} IS NOT NULL"
     elif c.kind == "not_null":
-        hit, value = col.isNull(), F.lit(None).cast("string")
+        hit, value = f"{col} IS NULL", "CAST(NULL AS STRING)"
     elif c.kind == "between":
-        hit, value = _outside(c.column, c.min_value, c.max_value, c.strictly), \
-            F.lit(None).cast("string")
+        hit, value = _outside_sql(c), "CAST(NULL AS STRING)"
     else:  # accepted_values
-        hit = ~col.cast("string").isin([str(v) for v in c.values])
+        hit = f"NOT ({value} IN ({', '.join(_q(str(v)) for v in c.values)}))"
         if c.where:
-            hit = hit & F.expr(c.where)
-        value = col.cast("string")
-    return F.when(hit, F.struct(F.lit(i).alias("cid"), value.alias("v")))
+            hit = f"({hit}) AND ({c.where})"
+    return f"CASE WHEN {hit} THEN named_struct('cid', {i}, 'v', {value}) END"
 
 
-def _model_pass(spark, df: DataFrame, checks: List[Check], first_id: int) -> DataFrame:
+def _model_pass(df: DataFrame, checks: List[Check]) -> DataFrame:
     """Every per-row check of one model in one scan and one aggregation.
 
     Each row emits ``(check id, value)`` for the checks it counts towards (every
     non-null key for ``unique``; failing rows for the others); a partial +
     final aggregate on ``(check id, value)`` then gives duplicated values,
-    failing rows or distinct bad values per check.
+    failing rows or distinct bad values per check, and one more (single-row)
+    aggregate lays them out as one row per check, zeros included.
     """
-    ids = range(first_id, first_id + len(checks))
-    pairs = (df.select(F.explode(F.array(*[_failure_item(i, c) for i, c in zip(ids, checks)]))
-                       .alias("p"))
-             .filter(F.col("p").isNotNull()).select("p.cid", "p.v"))
-    per_check = (pairs.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("cid")
-                 .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
-                      F.count_if(F.col("n") > 1).alias("dups")))
-    meta = spark.createDataFrame(
-        [(i, c.model, c.column, c.kind) for i, c in zip(ids, checks)],
-        "cid int, model string, column_name string, check_name string")
-    kind = F.col("check_name")
-    failures = (F.when(kind == "unique", F.col("dups"))
-                .when(kind == "accepted_values", F.col("values"))
-                .otherwise(F.col("rows")))
-    return (meta.join(per_check, "cid", "left")
-            .select("model", "column_name", "check_name",
-                    F.coalesce(failures, F.lit(0)).cast("long").alias("failures")))
+    items = ", ".join(_failure_item_sql(i, c) for i, c in enumerate(checks))
+    per_value = (df.selectExpr(f"explode(array({items})) AS p")
+                 .filter("p IS NOT NULL")
+                 .groupBy("p.cid", "p.v").agg(F.expr("count(1) AS n")))
+    measures = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            m = f"count_if(cid = {i} AND n > 1)"
+        elif c.kind == "accepted_values":
+            m = f"count_if(cid = {i})"
+        else:
+            m = f"COALESCE(sum(IF(cid = {i}, n, 0)), 0L)"
+        measures.append(f"named_struct('model', {_q(c.model)}, 'column_name', "
+                        f"{_q(c.column)}, 'check_name', {_q(c.kind)}, "
+                        f"'failures', CAST({m} AS BIGINT))")
+    return (per_value.agg(F.expr(f"array({', '.join(measures)}) AS r"))
+            .selectExpr("explode(r) AS r").selectExpr("r.*"))
 
 
 def _count_rows(df: DataFrame, c: Check) -> DataFrame:
@@ -156,11 +168,8 @@ def run_checks(frames: Dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
     for c in checks:
         if c.kind in _PER_MODEL:
             by_model.setdefault(c.model, []).append(c)
-    next_id = 0
     for model, group in by_model.items():
-        df = frames[model]
-        parts.append(_model_pass(df.sparkSession, df, group, next_id))
-        next_id += len(group)
+        parts.append(_model_pass(frames[model], group))
     for c in checks:
         if c.kind == "relationships":
             parts.append(_count_rows(relationships(frames[c.model], c.column,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.kpi import flag_value, month_start, round_ratio
+from kpiloom.functions.kpi import flag_value, month_start, round_ratio, round_ratio_sql, sql_exprs
 from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join, key_counts
 from kpiloom.operators.union import conform, union_records
 
@@ -45,44 +45,38 @@ def nps_monthly(surv: DataFrame, cust: DataFrame, subs: DataFrame) -> DataFrame:
     once, and every measure is summed with weight ``w``.
     """
     key = "customer_id"
-    cat = F.col("nps_category")
-    rollup = (surv.withColumn("month", month_start("survey_date"))
-              .groupBy(key, "month")
-              .agg(F.count(F.lit(1)).alias("_n"),
-                   F.count_if(cat == "promoter").alias("_prom"),
-                   F.count_if(cat == "passive").alias("_pas"),
-                   F.count_if(cat == "detractor").alias("_det"),
-                   F.count_if(F.col("is_satisfied")).alias("_sat"),
-                   F.sum("nps_score").alias("_nps"), F.count("nps_score").alias("_nps_n"),
-                   F.sum("csat_score").alias("_csat"), F.count("csat_score").alias("_csat_n")))
-    weight = (subs.filter(F.col("is_active")).groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_w")))
+    rollup = (surv.groupBy(key, month_start("survey_date").alias("month"))
+              .agg(*sql_exprs(
+                  "count(1) AS _n",
+                  "count_if(nps_category = 'promoter') AS _prom",
+                  "count_if(nps_category = 'passive') AS _pas",
+                  "count_if(nps_category = 'detractor') AS _det",
+                  "count_if(is_satisfied) AS _sat",
+                  "sum(nps_score) AS _nps", "count(nps_score) AS _nps_n",
+                  "sum(csat_score) AS _csat", "count(csat_score) AS _csat_n")))
+    weight = subs.filter("is_active").groupBy(key).agg(*sql_exprs("count(1) AS _w"))
     rows = (rollup
             .join(cust.select(key, "country", "segment", "plan_type", "mrr"), key, "left")
-            .join(weight, key, "left")
-            .withColumn("_w", F.coalesce(F.col("_w"), F.lit(1).cast("long"))))
-
-    def wsum(c):
-        return F.sum(F.col(c) * F.col("_w"))
-
-    mrr, det, n = F.col("mrr"), F.col("_det"), F.col("_n")
-    responses = wsum("_n")
-    # sum(iff(detractor, mrr, 0)) over the weighted rows: null only when every
-    # contributing row is a detractor with a null MRR
-    det_mrr = F.when(F.count_if((n > det) | mrr.isNotNull()) > 0,
-                     F.coalesce(F.sum(det * F.col("_w") * mrr), F.lit(0).cast("long")))
+            .join(weight, key, "left"))
+    w = "COALESCE(_w, 1L)"
+    responses = f"sum(_n * {w})"
     return (rows.groupBy("month", "country", "segment", "plan_type")
-            .agg(responses.alias("survey_responses"),
-                 wsum("_prom").alias("promoters"),
-                 wsum("_pas").alias("passives"),
-                 wsum("_det").alias("detractors"),
-                 round_ratio(F.sum((F.col("_prom") - det) * F.col("_w")), responses, 1, 100)
-                 .alias("nps_score"),
-                 round_ratio(wsum("_sat"), responses, 1, 100).alias("csat_pct"),
-                 round_ratio(wsum("_nps"), wsum("_nps_n"), 2).alias("avg_nps_raw"),
-                 round_ratio(wsum("_csat"), wsum("_csat_n"), 2).alias("avg_csat_raw"),
-                 det_mrr.alias("detractor_mrr_at_risk"),
-                 F.sum(n * F.col("_w") * mrr).alias("total_surveyed_mrr")))
+            .agg(*sql_exprs(
+                f"{responses} AS survey_responses",
+                f"sum(_prom * {w}) AS promoters",
+                f"sum(_pas * {w}) AS passives",
+                f"sum(_det * {w}) AS detractors",
+                f"{round_ratio_sql(f'sum((_prom - _det) * {w})', responses, 1, 100)} "
+                "AS nps_score",
+                f"{round_ratio_sql(f'sum(_sat * {w})', responses, 1, 100)} AS csat_pct",
+                f"{round_ratio_sql(f'sum(_nps * {w})', f'sum(_nps_n * {w})', 2)} AS avg_nps_raw",
+                f"{round_ratio_sql(f'sum(_csat * {w})', f'sum(_csat_n * {w})', 2)} "
+                "AS avg_csat_raw",
+                # sum(iff(detractor, mrr, 0)) over the weighted rows: null only when
+                # every contributing row is a detractor with a null MRR
+                f"CASE WHEN count_if(_n > _det OR mrr IS NOT NULL) > 0 "
+                f"THEN COALESCE(sum(_det * {w} * mrr), 0L) END AS detractor_mrr_at_risk",
+                f"sum(_n * {w} * mrr) AS total_surveyed_mrr")))
 
 
 def nps_monthly_from_enriched(enriched: DataFrame) -> DataFrame:
@@ -135,18 +129,19 @@ def response_rate(cust: DataFrame, surv: DataFrame) -> DataFrame:
     the distinct rows then count with plain counts.
     """
     surveyed = (_surveys_with_customer(surv, cust)
-                .select("customer_id", F.col("country").alias("_sv_country"))
+                .selectExpr("customer_id", "country AS _sv_country")
                 .distinct()
-                .withColumn("_sv_id", F.col("customer_id")))
+                .selectExpr("*", "customer_id AS _sv_id"))
     pairs = (cust.select("customer_id")
              .join(surveyed, "customer_id", "left")
-             .select(F.col("_sv_country").alias("country"), "_sv_id", "customer_id")
+             .selectExpr("_sv_country AS country", "_sv_id", "customer_id")
              .distinct())
-    surveyed_n, customers_n = F.count("_sv_id"), F.count("customer_id")
+    surveyed_n, customers_n = "count(_sv_id)", "count(customer_id)"
     return (pairs.groupBy("country")
-            .agg(surveyed_n.alias("surveyed_customers"),
-                 customers_n.alias("active_customers"),
-                 round_ratio(surveyed_n, customers_n, 1, 100).alias("response_rate_pct")))
+            .agg(*sql_exprs(
+                f"{surveyed_n} AS surveyed_customers",
+                f"{customers_n} AS active_customers",
+                f"{round_ratio_sql(surveyed_n, customers_n, 1, 100)} AS response_rate_pct")))
 
 
 MART_SATISFACTION_COLUMNS = [

@@ -3,47 +3,43 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_CONFIG, KpiConfig
-from kpiloom.functions.kpi import month_start, round_ratio
-
-LEAD_KEYS = ["country", "service_type", "lead_source", "month"]
+from kpiloom.functions.kpi import month_start, round_ratio_sql, sql_exprs
 
 
 def lead_metrics(leads: DataFrame, cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
     """One row per country × service × source × lead month (hash aggregate)."""
-    hours, days = F.col("hours_to_assign"), F.col("days_to_convert")
-    assigned = F.count_if(F.col("assigned_at").isNotNull())
-    converted = F.count_if(F.col("is_converted"))
-    breaches = F.count_if(hours > cfg.sla_hours)
-    total = F.count(F.lit(1))
-    status = F.col("lead_status")
+    total, converted = "count(1)", "count_if(is_converted)"
+    assigned = "count_if(assigned_at IS NOT NULL)"
+    breaches = f"count_if(hours_to_assign > {cfg.sla_hours})"
     return (leads
-            .withColumn("month", month_start("lead_date"))
-            .groupBy(*LEAD_KEYS)
-            .agg(total.alias("total_leads"),
-                 converted.alias("converted_leads"),
-                 F.count_if(status == "pending").alias("pending_leads"),
-                 F.count_if(status == "unassigned").alias("unassigned_leads"),
-                 F.count_if(status == "lost").alias("lost_leads"),
-                 round_ratio(converted, total, 2, 100).alias("conversion_rate_pct"),
-                 round_ratio(assigned, total, 2, 100).alias("assignment_rate_pct"),
-                 round_ratio(F.sum(hours), F.count(hours), 1).alias("avg_hours_to_assign"),
-                 round_ratio(F.sum(days), F.count(days), 1).alias("avg_days_to_convert"),
-                 breaches.alias("sla_breaches"),
-                 round_ratio(breaches, assigned, 2, 100).alias("sla_breach_rate_pct")))
+            .groupBy("country", "service_type", "lead_source",
+                     month_start("lead_date").alias("month"))
+            .agg(*sql_exprs(
+                f"{total} AS total_leads",
+                f"{converted} AS converted_leads",
+                "count_if(lead_status = 'pending') AS pending_leads",
+                "count_if(lead_status = 'unassigned') AS unassigned_leads",
+                "count_if(lead_status = 'lost') AS lost_leads",
+                f"{round_ratio_sql(converted, total, 2, 100)} AS conversion_rate_pct",
+                f"{round_ratio_sql(assigned, total, 2, 100)} AS assignment_rate_pct",
+                f"{round_ratio_sql('sum(hours_to_assign)', 'count(hours_to_assign)', 1)} "
+                "AS avg_hours_to_assign",
+                f"{round_ratio_sql('sum(days_to_convert)', 'count(days_to_convert)', 1)} "
+                "AS avg_days_to_convert",
+                f"{breaches} AS sla_breaches",
+                f"{round_ratio_sql(breaches, assigned, 2, 100)} AS sla_breach_rate_pct")))
 
 
 def mart_supply_demand(leads: DataFrame, cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
     """Lead metrics plus the unassigned share and the supply-gap flag (> 10 %)."""
-    unassigned, total = F.col("unassigned_leads"), F.col("total_leads")
-    return (lead_metrics(leads, cfg)
-            .withColumn("unassigned_rate_pct", round_ratio(unassigned, total, 2, 100))
-            # share > 1/10, compared exactly in integers
-            .withColumn("has_supply_gap",
-                        F.when(total != 0,
-                               unassigned * cfg.supply_gap_share_denominator > total)))
+    return lead_metrics(leads, cfg).selectExpr(
+        "*",
+        f"{round_ratio_sql('unassigned_leads', 'total_leads', 2, 100)} AS unassigned_rate_pct",
+        # share > 1/10, compared exactly in integers
+        f"CASE WHEN total_leads <> 0 THEN unassigned_leads * "
+        f"{cfg.supply_gap_share_denominator} > total_leads END AS has_supply_gap")
 
 
 # Presentation order; nulls sort high, as in the source warehouse.

@@ -6,22 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_CONFIG, KpiConfig
-from kpiloom.functions.kpi import flag_value, month_start, round_ratio
+from kpiloom.functions.kpi import month_start, round_ratio_sql, sql_exprs
 from kpiloom.operators.union import conform, union_records
 
 
 def monthly_upsell(ups: DataFrame) -> DataFrame:
-    rev, kind = F.col("incremental_revenue"), F.col("upsell_type")
+    rev = "incremental_revenue"
     return (ups
-            .withColumn("month", month_start("upsell_date"))
-            .groupBy("month", "country", "upsell_type", "sales_rep")
-            .agg(F.count(F.lit(1)).alias("upsell_count"),
-                 F.sum(rev).alias("total_incremental_revenue"),
-                 round_ratio(F.sum(rev), F.count(rev), 2).alias("avg_incremental_revenue"),
-                 F.count_if(kind == "plan_upgrade").alias("plan_upgrades"),
-                 F.count_if(kind == "add_on_sale").alias("add_on_sales"),
-                 F.sum(flag_value(kind == "plan_upgrade", rev)).alias("upgrade_revenue"),
-                 F.sum(flag_value(kind == "add_on_sale", rev)).alias("add_on_revenue")))
+            .groupBy(month_start("upsell_date").alias("month"), "country", "upsell_type",
+                     "sales_rep")
+            .agg(*sql_exprs(
+                "count(1) AS upsell_count",
+                f"sum({rev}) AS total_incremental_revenue",
+                f"{round_ratio_sql(f'sum({rev})', f'count({rev})', 2)} "
+                "AS avg_incremental_revenue",
+                "count_if(upsell_type = 'plan_upgrade') AS plan_upgrades",
+                "count_if(upsell_type = 'add_on_sale') AS add_on_sales",
+                f"sum(IF(upsell_type = 'plan_upgrade', {rev}, 0)) AS upgrade_revenue",
+                f"sum(IF(upsell_type = 'add_on_sale', {rev}, 0)) AS add_on_revenue")))
 
 
 def eligible_customers(cust: DataFrame, subs: DataFrame,
@@ -46,17 +48,16 @@ def attach_rate_by_segment(eligible: DataFrame, upsold: DataFrame,
     multiplies rows.
     """
     flagged = eligible.join(upsold.withColumn("_upsold", F.lit(True)), "customer_id", "left")
-    total = F.count(F.lit(1))
-    upsold_n = F.count_if(F.col("_upsold").isNotNull())
-    base = F.sum("mrr")
+    total, upsold_n = "count(1)", "count_if(_upsold IS NOT NULL)"
     return (flagged.groupBy("country", "segment")
-            .agg(total.alias("eligible_count"),
-                 upsold_n.alias("upsold_count"),
-                 round_ratio(upsold_n, total, 2, 100).alias("upsell_attach_rate_pct"),
-                 base.alias("eligible_mrr_base"),
-                 (base.cast("decimal(20,0)") * F.lit(cfg.upsell_opportunity_share)
-                  .cast("decimal(3,2)")).cast("double")
-                 .alias("estimated_upsell_opportunity_mrr")))
+            .agg(*sql_exprs(
+                f"{total} AS eligible_count",
+                f"{upsold_n} AS upsold_count",
+                f"{round_ratio_sql(upsold_n, total, 2, 100)} AS upsell_attach_rate_pct",
+                "sum(mrr) AS eligible_mrr_base",
+                f"CAST(CAST(sum(mrr) AS DECIMAL(20,0)) * "
+                f"CAST({cfg.upsell_opportunity_share} AS DECIMAL(3,2)) AS DOUBLE) "
+                "AS estimated_upsell_opportunity_mrr")))
 
 
 MART_UPSELLING_COLUMNS = [
