@@ -134,3 +134,28 @@ def test_marts_keep_contract_columns(spark):
     assert widths == {"mart_supply_demand": 17, "mart_churn": 22, "mart_upselling": 17,
                       "mart_roi_partnerships": 23, "mart_debt_collection": 24,
                       "mart_customer_satisfaction": 26}
+
+
+def test_presentation_order_sorts_nulls_high(spark):
+    from kpiloom.plans.marts import present
+    st = staged(spark, partners=[dict(partner_id="P1", monthly_fee=12000),
+                                 dict(partner_id="P2", monthly_fee=0),
+                                 dict(partner_id="P3", monthly_fee=500)],
+                customers=[dict(customer_id="C1", partner_id="P3")],
+                subscriptions=[dict(customer_id="C1", mrr=1000)])
+    roi = partners.mart_roi_partnerships(st["part"], st["cust"], st["subs"], st["leads"], AS_OF)
+    order = [(r.partner_id, r.roi_pct) for r in present(roi, "mart_roi_partnerships").collect()]
+    assert order[0] == ("P2", None)                  # roi desc, nulls first
+    assert [p for p, _ in order[1:]] == ["P3", "P1"]
+
+    st = staged(spark, customers=[dict(customer_id="C1")],
+                subscriptions=[dict(customer_id="C1"),
+                               dict(customer_id="C1", churn_date="2023-05-02",
+                                    end_date="2023-05-02", churn_reason="competitor")],
+                nps_surveys=[dict(customer_id="C1", nps_score=2)])
+    churn_rows = present(churn.mart_churn(st["cust"], st["subs"], st["surv"], st["inv"],
+                                          as_of=AS_OF), "mart_churn").collect()
+    kinds = [(r.record_type, r.month) for r in churn_rows]
+    assert kinds[0][0] == "at_risk_customer" and kinds[0][1] is None
+    assert [m for k, m in kinds if k == "monthly_churn_summary"] == [
+        dt.date(2024, 4, 1), dt.date(2023, 5, 1)]       # month desc
