@@ -95,14 +95,21 @@ def checkpoint_dir(spark: SparkSession) -> Optional[str]:
     return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
 
 
-def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame], out_dir: str,
-                    cfg: KpiConfig = DEFAULT_CONFIG, as_of=DEFAULT_AS_OF,
-                    run_checks: bool = True) -> Optional[DataFrame]:
+def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
+                    out_dir: Optional[str] = None, cfg: KpiConfig = DEFAULT_CONFIG,
+                    as_of=DEFAULT_AS_OF, run_checks: bool = True) -> Optional[DataFrame]:
     """Full refresh: write every mart under ``out_dir``, then check the written tables.
 
     The marts are checked from their written copies, so the quality suite does
     not recompute any mart and a lost executor only re-runs from the files.
+    Without ``out_dir`` the marts go under the cluster's shared checkpoint
+    folder (``spark.checkpoint.dir``).
     """
+    if out_dir is None:
+        base = checkpoint_dir(spark)
+        if not base:
+            raise ValueError("no out_dir given and spark.checkpoint.dir is not set")
+        out_dir = f"{base.rstrip('/')}/kpiloom-marts"
     for name, df in build_marts(sources, cfg, as_of).items():
         write_mart(df, path=f"{out_dir}/{name}")
     if not run_checks:

@@ -46,3 +46,16 @@ def test_fanout_splits_hot_key_across_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.integers(0, 6) | st.none(), min_size=0, max_size=60),
+       st.lists(st.integers(0, 6) | st.none(), min_size=0, max_size=60),
+       st.sampled_from(["inner", "left"]), st.integers(1, 8))
+def test_fanout_property(spark, lkeys, rkeys, how, hot_rows):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(lkeys)], "k int, l int")
+    right = spark.createDataFrame([(k, 100 + i) for i, k in enumerate(rkeys)], "k int, r int")
+    assert bag(fanout_join(left, right, "k", how, hot_rows)) == bag(left.join(right, "k", how))

@@ -159,3 +159,26 @@ def test_presentation_order_sorts_nulls_high(spark):
     assert kinds[0][0] == "at_risk_customer" and kinds[0][1] is None
     assert [m for k, m in kinds if k == "monthly_churn_summary"] == [
         dt.date(2024, 4, 1), dt.date(2023, 5, 1)]       # month desc
+
+
+def test_response_rate_matches_row_level_form_with_duplicate_customers(spark):
+    """Distinct pairs give the row-level join's distinct counts, duplicates included."""
+    from pyspark.sql import functions as F
+    st = staged(spark,
+                customers=[dict(customer_id="C1", country="DK"),
+                           dict(customer_id="C1", country="NO"),
+                           dict(customer_id="C2", country="SE"),
+                           dict(customer_id="C3", country=None)],
+                subscriptions=[dict(customer_id="C1"), dict(customer_id="C1")],
+                nps_surveys=[dict(customer_id="C1"), dict(customer_id="C1"),
+                             dict(customer_id="C3"), dict(customer_id="C9")])
+    enriched = satisfaction.enriched_surveys(st["surv"], st["cust"], st["subs"])
+    c = st["cust"].select("customer_id")
+    sv = enriched.select(F.col("customer_id").alias("sv_id"), "country")
+    reference = (c.join(sv, c.customer_id == sv.sv_id, "left").groupBy("country")
+                 .agg(F.countDistinct("sv_id").alias("s"), F.countDistinct("customer_id")
+                      .alias("a")))
+    want = {r.country: (r.s, r.a) for r in reference.collect()}
+    got = {r.country: (r.surveyed_customers, r.active_customers)
+           for r in satisfaction.response_rate(st["cust"], st["surv"]).collect()}
+    assert got == want
