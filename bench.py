@@ -20,7 +20,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from kpiloom.plans.marts import MART_NAMES, build_mart  # noqa: E402
+from kpiloom.plans.marts import MART_NAMES, build_mart, checkpoint_dir  # noqa: E402
 from kpiloom.plans.registry import QUERIES, staged  # noqa: E402
 from kpiloom.session import local_session  # noqa: E402
 
@@ -30,7 +30,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus=cpus, shuffle_partitions=max(8, 2 * cpus), app="kpiloom-bench")
-    out = tempfile.mkdtemp(prefix="kpiloom-bench-")
+    shared = checkpoint_dir(spark)  # the cluster's shared folder; local runs use a temp dir
+    out = (f"{shared.rstrip('/')}/kpiloom-bench" if shared
+           else tempfile.mkdtemp(prefix="kpiloom-bench-"))
 
     st = staged(spark, sf_dir)
     jobs = {name: (lambda name=name: build_mart(name, st)) for name in MART_NAMES}
