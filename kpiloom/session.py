@@ -18,6 +18,32 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int,
+                 partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` of source data.
+
+    * file splits of ``partition_bytes`` (256 MB: a few hundred MB of decoded
+      rows per task, well inside a multi-GB executor);
+    * AQE starts from enough shuffle partitions for every post-shuffle partition
+      to stay near ``partition_bytes`` even if a stage carries the whole input
+      (at least 4 waves of the cluster's cores), then coalesces small ones to
+      the same advisory size; skewed partitions over 4× the median and 1 GB are
+      split.
+
+    100 TB on 8000 cores gives ~400k initial shuffle partitions.
+    """
+    initial = max(4 * executor_cores, -(-input_bytes // partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int = 8,
                   app: str = "kpiloom") -> SparkSession:
     """A ``local[cpus]`` session with AQE on and the UI off.

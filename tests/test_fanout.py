@@ -59,3 +59,22 @@ def test_fanout_property(spark, lkeys, rkeys, how, hot_rows):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(lkeys)], "k int, l int")
     right = spark.createDataFrame([(k, 100 + i) for i, k in enumerate(rkeys)], "k int, r int")
     assert bag(fanout_join(left, right, "k", how, hot_rows)) == bag(left.join(right, "k", how))
+
+
+def test_at_risk_with_a_hot_customer(spark, staged_small):
+    """One customer owns a third of the surveys and overdue invoices: the mart
+    takes the split path and still equals the plain joins."""
+    from kpiloom.operators import churn
+    from kpiloom.session import cluster_conf
+    st = dict(staged_small)
+    hot_id = st["subs"].filter("is_active").orderBy("customer_id").first().customer_id
+    hot = F.when(F.xxhash64("customer_id", F.lit(7)) % 3 == 0, F.lit(hot_id)) \
+        .otherwise(F.col("customer_id"))
+    st["surv"] = st["surv"].withColumn("customer_id", hot)
+    st["inv"] = st["inv"].withColumn("customer_id", hot)
+    args = (st["cust"], st["subs"], st["surv"], st["inv"])
+    split = churn.at_risk_customers(*args, hot_rows=20)
+    plain = churn.at_risk_customers(*args, hot_rows=None)
+    assert "_fj_ls" in split._jdf.queryExecution().analyzed().toString()
+    assert bag(split) == bag(plain)
+    assert cluster_conf(100 << 40, 8000)["spark.sql.shuffle.partitions"] == str(409600)
