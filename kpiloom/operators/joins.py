@@ -10,7 +10,7 @@ outer join, so a customer holding a third of the surveys would stall the job.
 1. **Measure.**  Rows per key on both sides (narrow partial + final
    aggregates), joined into the hot-key table: keys with more than
    ``hot_rows`` rows on a side.  It has at most ``rows / hot_rows`` entries.
-   Finding whether it is empty is a small job that stops at the first hot key.
+   Finding whether it is empty is one small job over the key columns.
 2. **No hot key** (the usual case): the plain join, which keeps the inputs'
    partitioning on the key, so a chain of joins on one key shuffles each input
    once.
