@@ -78,7 +78,11 @@ def any_rows(frames: Iterable[DataFrame]) -> bool:
 
 def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
                hot: DataFrame) -> DataFrame:
-    """The join with every key of ``hot`` split into a grid of cells."""
+    """The join with every key of ``hot`` split into a grid of cells.
+
+    Every key of ``hot`` must have rows on the right side (true when ``hot``
+    comes from :func:`hot_keys` over the right side's own counts).
+    """
 
     def spread(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str,
                flag: str) -> DataFrame:
@@ -108,8 +112,10 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
 
     Column names other than ``key`` must be distinct between the sides.
     ``left_counts`` / ``right_counts`` (``key, n``) may be passed when cheaper
-    to get than from the inputs; they only size the split, so estimates are
-    fine (both sides read the same table).  ``hot_rows=None`` skips the check.
+    to get than from the inputs.  ``left_counts`` only sizes the split, so an
+    estimate is fine.  ``right_counts`` must count the right side's own rows: a
+    left join drops the empty cells of a hot key on the grounds that the key
+    has right rows.  ``hot_rows=None`` skips the check.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"fanout_join supports inner and left joins, not {how!r}")
