@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-# The date every fixture and oracle comparison is pinned to.
+# The date every fixture, oracle comparison and benchmark is pinned to.  The
+# operators themselves take ``as_of=None`` to mean today, as the models do.
 DEFAULT_AS_OF = _dt.date(2024, 4, 1)
 
 

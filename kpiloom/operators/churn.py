@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.config import DEFAULT_AS_OF, DEFAULT_CONFIG, KpiConfig
+from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.functions.kpi import (
     as_of_column, day_diff, month_start, round_ratio_sql, sql_exprs,
 )
@@ -15,7 +15,7 @@ from kpiloom.operators.joins import (
 from kpiloom.operators.union import conform, union_records
 
 
-def monthly_churn(subs: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def monthly_churn(subs: DataFrame, as_of=None) -> DataFrame:
     """Group by churn month (as-of month for live rows), country, plan, reason."""
     today = as_of_column(as_of)
     total, churned = "count(1)", "count_if(is_churned)"
@@ -42,7 +42,7 @@ def _risk_score_sql(cfg: KpiConfig) -> str:
 
 
 def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame,
-                      cfg: KpiConfig = DEFAULT_CONFIG, as_of=DEFAULT_AS_OF,
+                      cfg: KpiConfig = DEFAULT_CONFIG, as_of=None,
                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Customers with an active subscription, every survey and overdue invoice.
 
@@ -98,7 +98,7 @@ MART_CHURN_COLUMNS = [
 
 
 def mart_churn(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame,
-               cfg: KpiConfig = DEFAULT_CONFIG, as_of=DEFAULT_AS_OF,
+               cfg: KpiConfig = DEFAULT_CONFIG, as_of=None,
                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     monthly = conform(monthly_churn(subs, as_of), MART_CHURN_COLUMNS,
                       record_type="'monthly_churn_summary'")

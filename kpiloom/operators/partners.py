@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.config import DEFAULT_AS_OF
 from kpiloom.functions.kpi import as_of_column, month_diff, round_ratio_sql, sql_exprs
 
 _RATE = "DECIMAL(9,6)"
@@ -26,7 +25,7 @@ def _partner_dim(part: DataFrame) -> DataFrame:
 
 
 def partner_revenue(cust: DataFrame, subs: DataFrame, part: DataFrame,
-                    as_of=DEFAULT_AS_OF) -> DataFrame:
+                    as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     active_mrr = "IF(is_active, mrr, 0)"
     per_partner = (cust.filter("partner_id IS NOT NULL")
@@ -76,7 +75,7 @@ def partner_leads(leads: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def mart_roi_partnerships(part: DataFrame, cust: DataFrame, subs: DataFrame,
-                          leads: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+                          leads: DataFrame, as_of=None) -> DataFrame:
     rev = partner_revenue(cust, subs, part, as_of)
     lead = partner_leads(leads, cust)
     # cents, exact: the commission is already rounded to 2 places

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.config import DEFAULT_AS_OF, DEFAULT_CONFIG, KpiConfig
+from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.functions.kpi import (
     as_of_column, blank_to_null, classify_nps, day_diff, month_diff, region_of, to_date,
 )
 
 
-def stg_customers(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def stg_customers(src: DataFrame, as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     clean = src.select(
         "customer_id", "customer_name", "country", "segment",
@@ -26,7 +26,7 @@ def stg_customers(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
                         region_of("country").alias("region"))
 
 
-def stg_subscriptions(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def stg_subscriptions(src: DataFrame, as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     churn = F.col("churn_date")
     clean = src.select(
@@ -60,7 +60,7 @@ def stg_leads(src: DataFrame) -> DataFrame:
         (F.col("lead_status") == "converted").alias("is_converted"))
 
 
-def stg_invoices(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def stg_invoices(src: DataFrame, as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     state = F.trim("status")
     clean = src.select(
@@ -77,7 +77,7 @@ def stg_invoices(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         (state == "overdue").alias("is_currently_overdue"))
 
 
-def stg_partners(src: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
+def stg_partners(src: DataFrame, as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     clean = src.select(
         "partner_id", "partner_name", "country", "partner_type",
@@ -112,7 +112,7 @@ def stg_upsell_events(src: DataFrame) -> DataFrame:
         F.coalesce(F.col("add_on_revenue"), F.lit(0).cast("long")).alias("incremental_revenue"))
 
 
-def stage_all(sources: dict, cfg: KpiConfig = DEFAULT_CONFIG, as_of=DEFAULT_AS_OF) -> dict:
+def stage_all(sources: dict, cfg: KpiConfig = DEFAULT_CONFIG, as_of=None) -> dict:
     """Stage every source; keys are the short frame names used by the marts."""
     return {
         "cust": stg_customers(sources["customers"], as_of),

@@ -7,7 +7,7 @@ from typing import Dict, Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.config import DEFAULT_AS_OF, DEFAULT_CONFIG, KpiConfig
+from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
@@ -33,7 +33,7 @@ MART_ORDER = {
 
 
 def build_mart(name: str, st: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-               as_of=DEFAULT_AS_OF, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+               as_of=None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """One mart from staged frames (keys as in :func:`staging.stage_all`)."""
     if name == "mart_supply_demand":
         return supply_demand.mart_supply_demand(st["leads"], cfg)
@@ -54,7 +54,7 @@ def build_mart(name: str, st: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CON
 
 
 def build_marts(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-                as_of=DEFAULT_AS_OF, hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
+                as_of=None, hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
     """All six marts as lazy DataFrames (nothing runs until an action)."""
     st = staging.stage_all(sources, cfg, as_of)
     return {name: build_mart(name, st, cfg, as_of, hot_rows) for name in MART_NAMES}
@@ -71,7 +71,7 @@ def present(df: DataFrame, mart: str) -> DataFrame:
 
 
 def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-                 as_of=DEFAULT_AS_OF, marts: Optional[Dict[str, DataFrame]] = None,
+                 as_of=None, marts: Optional[Dict[str, DataFrame]] = None,
                  hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
     """Staging and mart frames keyed by model name, for the quality suite."""
     st = staging.stage_all(sources, cfg, as_of)
@@ -83,7 +83,7 @@ def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
 
 
 def quality_report(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-                   as_of=DEFAULT_AS_OF, marts: Optional[Dict[str, DataFrame]] = None,
+                   as_of=None, marts: Optional[Dict[str, DataFrame]] = None,
                    checks=None) -> DataFrame:
     """All 68 declared checks → ``(model, column_name, check_name, failures)``."""
     frames = model_frames(sources, cfg, as_of, marts)
@@ -97,7 +97,7 @@ def checkpoint_dir(spark: SparkSession) -> Optional[str]:
 
 def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
                     out_dir: Optional[str] = None, cfg: KpiConfig = DEFAULT_CONFIG,
-                    as_of=DEFAULT_AS_OF, run_checks: bool = True) -> Optional[DataFrame]:
+                    as_of=None, run_checks: bool = True) -> Optional[DataFrame]:
     """Full refresh: write every mart under ``out_dir``, then check the written tables.
 
     The marts are checked from their written copies, so the quality suite does

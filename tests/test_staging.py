@@ -99,3 +99,28 @@ def test_invalid_date_text_raises(spark):
         dict(customer_id="C1", signup_date="not a date")]), AS_OF)
     with pytest.raises(Exception):
         cust.collect()
+
+
+def test_thresholds_come_from_config(spark):
+    from kpiloom import KpiConfig
+    from kpiloom.operators import upselling
+    cfg = KpiConfig(nps_low_score=5, nps_high_score=10, upsell_min_tenure_days=400)
+    surv = staging.stg_nps_surveys(frame(spark, "nps_surveys", [
+        dict(survey_id="A", nps_score=9), dict(survey_id="B", nps_score=6),
+        dict(survey_id="C", nps_score=5), dict(survey_id="D", nps_score=10)]), cfg)
+    r = {row.survey_id: row.nps_category for row in surv.collect()}
+    assert r == {"A": "passive", "B": None, "C": "detractor", "D": "promoter"}
+    cust = staging.stg_customers(frame(spark, "customers", [
+        dict(customer_id="C1", signup_date="2023-06-01"),     # 305 days
+        dict(customer_id="C2", signup_date="2022-06-01")]), AS_OF)
+    subs = staging.stg_subscriptions(frame(spark, "subscriptions", [
+        dict(customer_id="C1"), dict(customer_id="C2")]), AS_OF)
+    eligible = upselling.eligible_customers(cust, subs, cfg).collect()
+    assert [e.customer_id for e in eligible] == ["C2"]
+
+
+def test_as_of_defaults_to_today(spark):
+    from pyspark.sql import functions as F
+    cust = staging.stg_customers(frame(spark, "customers", [dict(customer_id="C1")]))
+    row = cust.select("tenure_days", F.datediff(F.current_date(), "signup_date")).first()
+    assert row[0] == row[1]
