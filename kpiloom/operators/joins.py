@@ -70,6 +70,8 @@ def hot_keys(left_counts: DataFrame, right_counts: DataFrame, key: str,
 def any_rows(frames: Iterable[DataFrame]) -> bool:
     """True when any frame has a row (one small job for all of them)."""
     frames = [f.select(F.lit(1).alias("_any")) for f in frames]
+    if not frames:
+        return False
     union = frames[0]
     for f in frames[1:]:
         union = union.unionByName(f)

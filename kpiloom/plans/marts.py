@@ -12,7 +12,7 @@ from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
 from kpiloom.operators.joins import DEFAULT_HOT_ROWS
-from kpiloom.sources.io import write_mart
+from kpiloom.sources.io import register, write_mart
 
 MART_NAMES = ("mart_supply_demand", "mart_churn", "mart_upselling", "mart_roi_partnerships",
               "mart_debt_collection", "mart_customer_satisfaction")
@@ -65,6 +65,15 @@ def sort_columns(spec):
     return [getattr(F.col(c), f"{d}_nulls_{n}")() for c, d, n in spec]
 
 
+def register_models(frames: Dict[str, DataFrame]) -> Dict[str, DataFrame]:
+    """Expose frames as SQL temporary views under their model names
+    (``stg_customers`` … ``mart_customer_satisfaction``), as the staging views
+    and mart tables are addressed in SQL."""
+    for name, df in frames.items():
+        register(df, name)
+    return frames
+
+
 def present(df: DataFrame, mart: str) -> DataFrame:
     """The mart in its presentation order (a global range-partitioned sort)."""
     return df.orderBy(*sort_columns(MART_ORDER[mart]))

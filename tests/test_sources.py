@@ -50,3 +50,13 @@ def test_build_and_write_checks_written_marts(spark, tmp_path, sf_small):
     assert len(rows) == 68 and sum(r.failures for r in rows) == 0
     for name in MART_NAMES:
         assert spark.read.parquet(str(tmp_path / name)).count() > 0
+
+
+def test_models_as_sql_views(spark, sf_small):
+    from kpiloom.plans.marts import model_frames, register_models
+    register_models(model_frames(load_sources(spark, sf_small), as_of=dt.date(2024, 4, 1)))
+    n = spark.sql("SELECT count(*) FROM mart_churn WHERE record_type = 'at_risk_customer'")
+    assert n.first()[0] == 539
+    joined = spark.sql("SELECT count(*) FROM stg_invoices i JOIN stg_customers c "
+                       "USING (customer_id)").first()[0]
+    assert joined == spark.sql("SELECT count(*) FROM stg_invoices").first()[0]
