@@ -214,6 +214,29 @@ FROM (SELECT upsell_id, customer_id, {_dt('upsell_date')} AS upsell_date, from_p
       FROM src_upsell_events) t"""
 
 
+# --------------------------------------------------------------------------
+# multi-grain marts: one typed column list per mart, branches fill a subset
+# --------------------------------------------------------------------------
+
+def _contract(spec: str) -> list:
+    return [tuple(item.split()) for item in spec.split(",")]
+
+
+def _union(contract: list, branches: list) -> str:
+    """UNION ALL of branches ``(record_type, from_sql, {column: expression})``."""
+    selects = []
+    for record_type, source, exprs in branches:
+        cols = [f"'{record_type}' AS record_type"]
+        for name, dtype in contract[1:]:
+            cols.append(f"CAST({exprs.get(name, 'NULL')} AS {dtype}) AS {name}")
+        selects.append(f"SELECT {', '.join(cols)} FROM {source}")
+    return "\n" + "\nUNION ALL\n".join(selects)
+
+
+def _same(*names: str) -> dict:
+    return {n: n for n in names}
+
+
 # --------------------------------------------------------------------------
 # supply & demand
 # --------------------------------------------------------------------------
@@ -258,45 +281,46 @@ SELECT CAST(date_trunc('month', COALESCE(churn_date, {AS_OF})) AS DATE) AS month
            AS avg_days_to_churn
 FROM stg_subscriptions GROUP BY 1, 2, 3, 4"""
 
-CTES["at_risk_customers"] = f"""
+CTES["active_subscriptions"] = """
+SELECT customer_id, start_date, is_active FROM stg_subscriptions WHERE is_active"""
+
+CTES["overdue_invoices"] = """
+SELECT * FROM stg_invoices WHERE is_currently_overdue"""
+
+CTES["risk_base"] = f"""
 SELECT customer_id, customer_name, country, segment, plan_type, mrr, start_date,
-       subscription_tenure_days, nps_score, nps_category, last_survey_date,
-       is_currently_overdue, days_overdue, risk_score,
-       CASE WHEN risk_score >= 4 THEN 'high' WHEN risk_score >= 2 THEN 'medium' ELSE 'low' END
-           AS churn_risk_level
+       date_diff('day', start_date, {AS_OF}) AS subscription_tenure_days
+FROM stg_customers JOIN active_subscriptions USING (customer_id)"""
+
+CTES["at_risk_customers"] = f"""
+SELECT *, CASE WHEN risk_score >= 4 THEN 'high' WHEN risk_score >= 2 THEN 'medium'
+               ELSE 'low' END AS churn_risk_level
 FROM (
-  SELECT c.customer_id, c.customer_name, c.country, c.segment, c.plan_type, c.mrr, s.start_date,
-         date_diff('day', s.start_date, {AS_OF}) AS subscription_tenure_days,
-         sv.nps_score, sv.nps_category, sv.survey_date AS last_survey_date,
-         inv.is_currently_overdue, inv.days_overdue,
-         CAST((CASE WHEN sv.nps_category = 'detractor' THEN 3 ELSE 0 END)
-            + (CASE WHEN sv.nps_category = 'passive' THEN 1 ELSE 0 END)
-            + (CASE WHEN inv.is_currently_overdue THEN 2 ELSE 0 END)
-            + (CASE WHEN date_diff('day', s.start_date, {AS_OF}) < 30 THEN 1 ELSE 0 END)
-            AS BIGINT) AS risk_score
-  FROM stg_customers c
-  JOIN stg_subscriptions s ON c.customer_id = s.customer_id AND s.is_active
-  LEFT JOIN stg_nps_surveys sv ON c.customer_id = sv.customer_id
-  LEFT JOIN stg_invoices inv ON c.customer_id = inv.customer_id AND inv.is_currently_overdue
-) t"""
-
-CTES["mart_churn"] = """
-SELECT 'monthly_churn_summary' AS record_type, month, country, plan_type, churn_reason,
-       total_subscriptions, churned_count, active_count, churned_mrr, active_mrr, churn_rate_pct,
-       avg_days_to_churn, CAST(NULL AS VARCHAR) AS customer_id,
-       CAST(NULL AS VARCHAR) AS customer_name, CAST(NULL AS VARCHAR) AS segment,
-       CAST(NULL AS BIGINT) AS mrr, CAST(NULL AS BIGINT) AS nps_score,
-       CAST(NULL AS VARCHAR) AS nps_category, CAST(NULL AS BOOLEAN) AS is_currently_overdue,
-       CAST(NULL AS BIGINT) AS days_overdue, CAST(NULL AS BIGINT) AS risk_score,
-       CAST(NULL AS VARCHAR) AS churn_risk_level
-FROM monthly_churn
-UNION ALL
-SELECT 'at_risk_customer', CAST(NULL AS DATE), country, plan_type, CAST(NULL AS VARCHAR),
-       CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-       mrr, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), customer_id, customer_name, segment, mrr,
-       nps_score, nps_category, is_currently_overdue, CAST(days_overdue AS BIGINT), risk_score,
-       churn_risk_level
-FROM at_risk_customers"""
+  SELECT customer_id, customer_name, country, segment, plan_type, mrr, start_date,
+         subscription_tenure_days, nps_score, nps_category, last_survey_date,
+         is_currently_overdue, days_overdue,
+         CAST(CASE nps_category WHEN 'detractor' THEN 3 WHEN 'passive' THEN 1 ELSE 0 END
+              + CASE WHEN is_currently_overdue THEN 2 ELSE 0 END
+              + CASE WHEN subscription_tenure_days < 30 THEN 1 ELSE 0 END AS BIGINT)
+             AS risk_score
+  FROM risk_base
+  LEFT JOIN (SELECT customer_id, nps_score, nps_category, survey_date AS last_survey_date
+             FROM stg_nps_surveys) USING (customer_id)
+  LEFT JOIN (SELECT customer_id, is_currently_overdue, days_overdue FROM overdue_invoices)
+       USING (customer_id)
+) scored"""
+
+CTES["mart_churn"] = _union(_contract(
+    "record_type VARCHAR, month DATE, country VARCHAR, plan_type VARCHAR, churn_reason VARCHAR, total_subscriptions BIGINT, churned_count BIGINT, active_count BIGINT, churned_mrr BIGINT, active_mrr BIGINT, churn_rate_pct DOUBLE, avg_days_to_churn DOUBLE, customer_id VARCHAR, customer_name VARCHAR, segment VARCHAR, mrr BIGINT, nps_score BIGINT, nps_category VARCHAR, is_currently_overdue BOOLEAN, days_overdue BIGINT, risk_score BIGINT, churn_risk_level VARCHAR"), [
+    ("monthly_churn_summary", "monthly_churn", _same(
+        "month", "country", "plan_type", "churn_reason", "total_subscriptions",
+        "churned_count", "active_count", "churned_mrr", "active_mrr", "churn_rate_pct",
+        "avg_days_to_churn")),
+    ("at_risk_customer", "at_risk_customers", {**_same(
+        "country", "plan_type", "customer_id", "customer_name", "segment", "mrr", "nps_score",
+        "nps_category", "is_currently_overdue", "days_overdue", "risk_score",
+        "churn_risk_level"), "active_mrr": "mrr"}),
+])
 
 
 # --------------------------------------------------------------------------
@@ -317,9 +341,9 @@ SELECT CAST(date_trunc('month', upsell_date) AS DATE) AS month, country, upsell_
 FROM stg_upsell_events GROUP BY 1, 2, 3, 4"""
 
 CTES["eligible_customers"] = """
-SELECT c.customer_id, c.country, c.segment, c.plan_type, c.mrr, c.tenure_days
-FROM stg_customers c JOIN stg_subscriptions s ON c.customer_id = s.customer_id AND s.is_active
-WHERE c.plan_type = 'basic' AND c.tenure_days >= 30"""
+SELECT customer_id, country, segment, plan_type, mrr, tenure_days
+FROM (SELECT * FROM stg_customers WHERE plan_type = 'basic' AND tenure_days >= 30)
+JOIN (SELECT customer_id FROM active_subscriptions) USING (customer_id)"""
 
 CTES["upsold_customers"] = "SELECT DISTINCT customer_id FROM stg_upsell_events"
 
@@ -332,46 +356,43 @@ SELECT e.country, e.segment, {B('count(*)')} AS eligible_count,
 FROM eligible_customers e LEFT JOIN upsold_customers uc ON e.customer_id = uc.customer_id
 GROUP BY 1, 2"""
 
-CTES["mart_upselling"] = """
-SELECT 'monthly_upsell_performance' AS record_type, month, country, upsell_type, sales_rep,
-       upsell_count, total_incremental_revenue, avg_incremental_revenue, plan_upgrades,
-       add_on_sales, upgrade_revenue, add_on_revenue, CAST(NULL AS VARCHAR) AS segment,
-       CAST(NULL AS BIGINT) AS eligible_count, CAST(NULL AS BIGINT) AS upsold_count,
-       CAST(NULL AS DOUBLE) AS upsell_attach_rate_pct,
-       CAST(NULL AS DOUBLE) AS estimated_upsell_opportunity_mrr
-FROM monthly_upsell
-UNION ALL
-SELECT 'attach_rate_by_segment', CAST(NULL AS DATE), country, CAST(NULL AS VARCHAR),
-       CAST(NULL AS VARCHAR), upsold_count, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE),
-       CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-       segment, eligible_count, upsold_count, upsell_attach_rate_pct,
-       estimated_upsell_opportunity_mrr
-FROM attach_rate_by_segment"""
+CTES["mart_upselling"] = _union(_contract(
+    "record_type VARCHAR, month DATE, country VARCHAR, upsell_type VARCHAR, sales_rep VARCHAR, upsell_count BIGINT, total_incremental_revenue BIGINT, avg_incremental_revenue DOUBLE, plan_upgrades BIGINT, add_on_sales BIGINT, upgrade_revenue BIGINT, add_on_revenue BIGINT, segment VARCHAR, eligible_count BIGINT, upsold_count BIGINT, upsell_attach_rate_pct DOUBLE, estimated_upsell_opportunity_mrr DOUBLE"), [
+    ("monthly_upsell_performance", "monthly_upsell", _same(
+        "month", "country", "upsell_type", "sales_rep", "upsell_count",
+        "total_incremental_revenue", "avg_incremental_revenue", "plan_upgrades",
+        "add_on_sales", "upgrade_revenue", "add_on_revenue")),
+    ("attach_rate_by_segment", "attach_rate_by_segment", {**_same(
+        "country", "segment", "eligible_count", "upsold_count", "upsell_attach_rate_pct",
+        "estimated_upsell_opportunity_mrr"), "upsell_count": "upsold_count"}),
+])
 
 
 # --------------------------------------------------------------------------
 # partner ROI (row-level joins, as the models state them)
 # --------------------------------------------------------------------------
 
-_ACTIVE_MRR = "CASE WHEN s.is_active THEN s.mrr ELSE 0 END"
-_MONTHS = f"date_diff('month', s.start_date, COALESCE(s.end_date, {AS_OF}))"
-_RATE_MICRO = "CAST(round(p.commission_rate * 1000000) AS BIGINT)"
+_ACTIVE_MRR = "CASE WHEN is_active THEN mrr ELSE 0 END"
+_MONTHS = f"date_diff('month', start_date, COALESCE(end_date, {AS_OF}))"
+_RATE_MICRO = "CAST(round(commission_rate * 1000000) AS BIGINT)"
 
+# customer × subscription × partner rows, aggregated per referring partner
 CTES["partner_revenue_x"] = f"""
-SELECT c.partner_id,
-       {B('count(DISTINCT c.customer_id)')} AS total_customers,
-       {B('count(CASE WHEN s.is_active THEN 1 END)')} AS active_customers,
-       {B('count(CASE WHEN s.is_churned THEN 1 END)')} AS churned_customers,
+SELECT partner_id,
+       {B('count(DISTINCT customer_id)')} AS total_customers,
+       {B('count(CASE WHEN is_active THEN 1 END)')} AS active_customers,
+       {B('count(CASE WHEN is_churned THEN 1 END)')} AS churned_customers,
        {B(f'sum({_ACTIVE_MRR})')} AS active_mrr,
-       {B('sum(s.mrr)')} AS total_mrr_ever,
+       {B('sum(mrr)')} AS total_mrr_ever,
        {R(f'sum({_ACTIVE_MRR}) * sum({_MONTHS})', f'count({_ACTIVE_MRR}) * count({_MONTHS})', 2)}
            AS estimated_avg_ltv,
        CAST(sign(sum({_ACTIVE_MRR})) * ((2 * abs(CAST(sum({_ACTIVE_MRR}) AS HUGEINT)
             * max({_RATE_MICRO})) + 10000) // 20000) AS BIGINT) AS commission_cents
-FROM stg_customers c
-JOIN stg_subscriptions s ON c.customer_id = s.customer_id
-JOIN stg_partners p ON c.partner_id = p.partner_id
-GROUP BY 1"""
+FROM (SELECT customer_id, partner_id FROM stg_customers)
+JOIN (SELECT customer_id, is_active, is_churned, mrr, start_date, end_date
+      FROM stg_subscriptions) USING (customer_id)
+JOIN (SELECT partner_id, commission_rate FROM stg_partners) USING (partner_id)
+GROUP BY partner_id"""
 
 CTES["partner_revenue"] = """
 SELECT partner_id, total_customers, active_customers, churned_customers, active_mrr,
@@ -380,39 +401,39 @@ SELECT partner_id, total_customers, active_customers, churned_customers, active_
 FROM partner_revenue_x"""
 
 CTES["partner_leads"] = f"""
-SELECT c.partner_id, {B('count(*)')} AS partner_leads,
-       {B('count(CASE WHEN l.is_converted THEN 1 END)')} AS partner_lead_conversions,
-       {R('count(CASE WHEN l.is_converted THEN 1 END)', 'count(*)', 2, 100)} AS partner_conversion_rate_pct
-FROM stg_leads l JOIN stg_customers c ON l.customer_id = c.customer_id
-WHERE l.lead_source = 'partner'
-GROUP BY 1"""
-
-_COST_CENTS = "(p.monthly_fee * 100 + COALESCE(pr.commission_cents, 0))"
-_NET_CENTS = f"(COALESCE(pr.active_mrr, 0) * 100 - {_COST_CENTS})"
+SELECT partner_id, {B('count(*)')} AS partner_leads,
+       {B('count(CASE WHEN is_converted THEN 1 END)')} AS partner_lead_conversions,
+       {R('count(CASE WHEN is_converted THEN 1 END)', 'count(*)', 2, 100)}
+           AS partner_conversion_rate_pct
+FROM (SELECT customer_id, is_converted FROM stg_leads WHERE lead_source = 'partner')
+JOIN (SELECT customer_id, partner_id FROM stg_customers) USING (customer_id)
+GROUP BY partner_id"""
+
+_COST_CENTS = "(monthly_fee * 100 + COALESCE(commission_cents, 0))"
+_NET_CENTS = f"(COALESCE(active_mrr, 0) * 100 - {_COST_CENTS})"
+_FEES = "monthly_fee * partner_tenure_months"
 
 CTES["mart_roi_partnerships"] = f"""
-SELECT p.partner_id, p.partner_name, p.country, p.partner_type, p.contract_start_date,
-       p.monthly_fee, p.commission_rate, p.partner_tenure_months,
-       COALESCE(pr.total_customers, 0) AS total_customers,
-       COALESCE(pr.active_customers, 0) AS active_customers,
-       COALESCE(pr.churned_customers, 0) AS churned_customers,
-       COALESCE(pr.active_mrr, 0) AS active_mrr,
-       COALESCE(pr.total_mrr_ever, 0) AS total_mrr_ever,
-       COALESCE(pr.estimated_avg_ltv, 0.0) AS estimated_avg_ltv,
-       COALESCE(CAST(pr.commission_cents AS DOUBLE) / 100, 0.0) AS monthly_commission_owed,
-       COALESCE(pl.partner_leads, 0) AS partner_leads,
-       COALESCE(pl.partner_lead_conversions, 0) AS partner_lead_conversions,
-       COALESCE(pl.partner_conversion_rate_pct, 0.0) AS partner_conversion_rate_pct,
+SELECT partner_id, partner_name, country, partner_type, contract_start_date, monthly_fee,
+       commission_rate, partner_tenure_months,
+       COALESCE(total_customers, 0) AS total_customers,
+       COALESCE(active_customers, 0) AS active_customers,
+       COALESCE(churned_customers, 0) AS churned_customers,
+       COALESCE(active_mrr, 0) AS active_mrr,
+       COALESCE(total_mrr_ever, 0) AS total_mrr_ever,
+       COALESCE(estimated_avg_ltv, 0.0) AS estimated_avg_ltv,
+       COALESCE(CAST(commission_cents AS DOUBLE) / 100, 0.0) AS monthly_commission_owed,
+       COALESCE(partner_leads, 0) AS partner_leads,
+       COALESCE(partner_lead_conversions, 0) AS partner_lead_conversions,
+       COALESCE(partner_conversion_rate_pct, 0.0) AS partner_conversion_rate_pct,
        CAST({_COST_CENTS} AS DOUBLE) / 100 AS total_monthly_cost,
        CAST({_NET_CENTS} AS DOUBLE) / 100 AS net_monthly_value,
        {R(_NET_CENTS, _COST_CENTS, 2, 100)} AS roi_pct,
-       {R('p.monthly_fee * p.partner_tenure_months', 'COALESCE(pr.active_mrr, 0)', 1)}
-           AS payback_period_months,
-       {R('p.monthly_fee * p.partner_tenure_months', 'COALESCE(pr.total_customers, 0)', 2)}
-           AS cost_per_acquired_customer
-FROM stg_partners p
-LEFT JOIN partner_revenue_x pr ON p.partner_id = pr.partner_id
-LEFT JOIN partner_leads pl ON p.partner_id = pl.partner_id"""
+       {R(_FEES, 'COALESCE(active_mrr, 0)', 1)} AS payback_period_months,
+       {R(_FEES, 'COALESCE(total_customers, 0)', 2)} AS cost_per_acquired_customer
+FROM stg_partners
+LEFT JOIN partner_revenue_x USING (partner_id)
+LEFT JOIN partner_leads USING (partner_id)"""
 
 
 # --------------------------------------------------------------------------
@@ -420,15 +441,18 @@ LEFT JOIN partner_leads pl ON p.partner_id = pl.partner_id"""
 # --------------------------------------------------------------------------
 
 CTES["enriched_invoices"] = """
-SELECT i.invoice_id, i.customer_id, i.issue_date, i.due_date, i.paid_date, i.amount, i.currency,
-       i.status, i.country, CAST(i.days_overdue AS BIGINT) AS days_overdue,
-       i.is_currently_overdue, c.customer_name, c.segment, c.plan_type, c.mrr, c.tenure_days,
-       CASE WHEN i.is_currently_overdue AND i.days_overdue BETWEEN 1 AND 30 THEN '1-30 days'
-            WHEN i.is_currently_overdue AND i.days_overdue BETWEEN 31 AND 60 THEN '31-60 days'
-            WHEN i.is_currently_overdue AND i.days_overdue BETWEEN 61 AND 90 THEN '61-90 days'
-            WHEN i.is_currently_overdue AND i.days_overdue > 90 THEN '90+ days'
+SELECT invoice_id, customer_id, issue_date, due_date, paid_date, amount, currency, status,
+       country, CAST(days_overdue AS BIGINT) AS days_overdue, is_currently_overdue,
+       customer_name, segment, plan_type, mrr, tenure_days,
+       CASE WHEN NOT COALESCE(is_currently_overdue, false) THEN 'current'
+            WHEN days_overdue > 90 THEN '90+ days'
+            WHEN days_overdue > 60 THEN '61-90 days'
+            WHEN days_overdue > 30 THEN '31-60 days'
+            WHEN days_overdue >= 1 THEN '1-30 days'
             ELSE 'current' END AS aging_bucket
-FROM stg_invoices i LEFT JOIN stg_customers c ON i.customer_id = c.customer_id"""
+FROM stg_invoices
+LEFT JOIN (SELECT customer_id, customer_name, segment, plan_type, mrr, tenure_days
+           FROM stg_customers) USING (customer_id)"""
 
 _OD_AMT = "sum(CASE WHEN is_currently_overdue THEN amount ELSE 0 END)"
 _OD_DAYS = "CASE WHEN is_currently_overdue THEN days_overdue END"
@@ -466,26 +490,24 @@ _N = "CAST(NULL AS BIGINT)"
 _ND = "CAST(NULL AS DOUBLE)"
 _NS = "CAST(NULL AS VARCHAR)"
 
-CTES["mart_debt_collection"] = f"""
-SELECT 'monthly_debt_summary' AS record_type, month, country, segment, total_invoices,
-       total_invoiced, overdue_count, overdue_amount, paid_late_count, paid_late_amount,
-       paid_ontime_count, paid_ontime_amount, overdue_rate_pct, recovery_rate_pct, dso_days,
-       avg_days_overdue, {_NS} AS aging_bucket, {_NS} AS customer_id, {_NS} AS customer_name,
-       {_NS} AS plan_type, {_N} AS mrr, {_N} AS overdue_invoice_count,
-       {_N} AS total_overdue_amount, {_N} AS max_days_overdue
-FROM debt_summary
-UNION ALL
-SELECT 'aging_breakdown', CAST(NULL AS DATE), country, segment, invoice_count, total_amount,
-       invoice_count, total_amount, {_N}, {_N}, {_N}, {_N}, {_ND}, {_ND}, {_ND}, avg_days_overdue,
-       aging_bucket, {_NS}, {_NS}, {_NS}, {_N}, {_N}, {_N}, {_N}
-FROM aging_breakdown
-UNION ALL
-SELECT 'high_risk_debtors', CAST(NULL AS DATE), country, segment, overdue_invoice_count,
-       total_overdue_amount, overdue_invoice_count, total_overdue_amount, {_N}, {_N}, {_N}, {_N},
-       {_ND}, {_ND}, {_ND}, CAST(max_days_overdue AS DOUBLE), worst_aging_bucket, customer_id,
-       customer_name, plan_type, mrr, overdue_invoice_count, total_overdue_amount,
-       max_days_overdue
-FROM high_risk_debtors"""
+CTES["mart_debt_collection"] = _union(_contract(
+    "record_type VARCHAR, month DATE, country VARCHAR, segment VARCHAR, total_invoices BIGINT, total_invoiced BIGINT, overdue_count BIGINT, overdue_amount BIGINT, paid_late_count BIGINT, paid_late_amount BIGINT, paid_ontime_count BIGINT, paid_ontime_amount BIGINT, overdue_rate_pct DOUBLE, recovery_rate_pct DOUBLE, dso_days DOUBLE, avg_days_overdue DOUBLE, aging_bucket VARCHAR, customer_id VARCHAR, customer_name VARCHAR, plan_type VARCHAR, mrr BIGINT, overdue_invoice_count BIGINT, total_overdue_amount BIGINT, max_days_overdue BIGINT"), [
+    ("monthly_debt_summary", "debt_summary", _same(
+        "month", "country", "segment", "total_invoices", "total_invoiced", "overdue_count",
+        "overdue_amount", "paid_late_count", "paid_late_amount", "paid_ontime_count",
+        "paid_ontime_amount", "overdue_rate_pct", "recovery_rate_pct", "dso_days",
+        "avg_days_overdue")),
+    ("aging_breakdown", "aging_breakdown", {
+        **_same("country", "segment", "avg_days_overdue", "aging_bucket"),
+        "total_invoices": "invoice_count", "overdue_count": "invoice_count",
+        "total_invoiced": "total_amount", "overdue_amount": "total_amount"}),
+    ("high_risk_debtors", "high_risk_debtors", {
+        **_same("country", "segment", "customer_id", "customer_name", "plan_type", "mrr",
+                "overdue_invoice_count", "total_overdue_amount", "max_days_overdue"),
+        "total_invoices": "overdue_invoice_count", "overdue_count": "overdue_invoice_count",
+        "total_invoiced": "total_overdue_amount", "overdue_amount": "total_overdue_amount",
+        "avg_days_overdue": "max_days_overdue", "aging_bucket": "worst_aging_bucket"}),
+])
 
 
 # --------------------------------------------------------------------------
@@ -493,12 +515,13 @@ FROM high_risk_debtors"""
 # --------------------------------------------------------------------------
 
 CTES["enriched_surveys"] = """
-SELECT sv.survey_id, sv.customer_id, sv.survey_date, sv.nps_score, sv.csat_score,
-       sv.nps_category, sv.is_satisfied, sv.comment, c.customer_name, c.country, c.segment,
-       c.plan_type, c.mrr, s.is_active
-FROM stg_nps_surveys sv
-LEFT JOIN stg_customers c ON sv.customer_id = c.customer_id
-LEFT JOIN stg_subscriptions s ON sv.customer_id = s.customer_id AND s.is_active"""
+SELECT survey_id, customer_id, survey_date, nps_score, csat_score, nps_category, is_satisfied,
+       comment, customer_name, country, segment, plan_type, mrr, is_active
+FROM (SELECT survey_id, customer_id, survey_date, nps_score, csat_score, nps_category,
+             is_satisfied, comment FROM stg_nps_surveys)
+LEFT JOIN (SELECT customer_id, customer_name, country, segment, plan_type, mrr
+           FROM stg_customers) USING (customer_id)
+LEFT JOIN (SELECT customer_id, is_active FROM active_subscriptions) USING (customer_id)"""
 
 CTES["nps_monthly"] = f"""
 SELECT CAST(date_trunc('month', survey_date) AS DATE) AS month, country, segment, plan_type,
@@ -519,36 +542,36 @@ FROM enriched_surveys GROUP BY 1, 2, 3, 4"""
 CTES["detractor_detail"] = """
 SELECT customer_id, customer_name, country, segment, plan_type, mrr, nps_score, csat_score,
        survey_date, comment, is_active,
-       (nps_category = 'detractor' AND is_active) AS is_active_detractor
+       -- every row here is a detractor, and is_active is TRUE or NULL (outer join)
+       is_active AS is_active_detractor
 FROM enriched_surveys WHERE nps_category = 'detractor'"""
 
 CTES["response_rate"] = f"""
-SELECT sv.country, {B('count(DISTINCT sv.customer_id)')} AS surveyed_customers,
-       {B('count(DISTINCT c.customer_id)')} AS active_customers,
-       {R('count(DISTINCT sv.customer_id)', 'count(DISTINCT c.customer_id)', 1, 100)}
+SELECT surveyed.country,
+       {B('count(DISTINCT surveyed.customer_id)')} AS surveyed_customers,
+       {B('count(DISTINCT everyone.customer_id)')} AS active_customers,
+       {R('count(DISTINCT surveyed.customer_id)', 'count(DISTINCT everyone.customer_id)', 1, 100)}
            AS response_rate_pct
-FROM stg_customers c LEFT JOIN enriched_surveys sv ON c.customer_id = sv.customer_id
-GROUP BY 1"""
-
-CTES["mart_customer_satisfaction"] = f"""
-SELECT 'nps_monthly' AS record_type, month, country, segment, plan_type, survey_responses,
-       promoters, passives, detractors, nps_score, csat_pct, avg_nps_raw, avg_csat_raw,
-       detractor_mrr_at_risk, total_surveyed_mrr, {_NS} AS customer_id, {_NS} AS customer_name,
-       {_N} AS mrr, {_N} AS nps_score_raw, {_N} AS csat_score_raw, {_NS} AS comment,
-       CAST(NULL AS BOOLEAN) AS is_active, CAST(NULL AS BOOLEAN) AS is_active_detractor,
-       {_N} AS surveyed_customers, {_N} AS active_customers, {_ND} AS response_rate_pct
-FROM nps_monthly
-UNION ALL
-SELECT 'detractor_detail', CAST(NULL AS DATE), country, segment, plan_type, {_N}, {_N}, {_N},
-       {_N}, {_ND}, {_ND}, {_ND}, {_ND}, mrr, mrr, customer_id, customer_name, mrr, nps_score,
-       csat_score, comment, is_active, is_active_detractor, {_N}, {_N}, {_ND}
-FROM detractor_detail
-UNION ALL
-SELECT 'response_rate', CAST(NULL AS DATE), country, {_NS}, {_NS}, surveyed_customers, {_N},
-       {_N}, {_N}, {_ND}, {_ND}, {_ND}, {_ND}, {_N}, {_N}, {_NS}, {_NS}, {_N}, {_N}, {_N}, {_NS},
-       CAST(NULL AS BOOLEAN), CAST(NULL AS BOOLEAN), surveyed_customers, active_customers,
-       response_rate_pct
-FROM response_rate"""
+FROM (SELECT customer_id FROM stg_customers) everyone
+LEFT JOIN (SELECT customer_id, country FROM enriched_surveys) surveyed
+       ON surveyed.customer_id = everyone.customer_id
+GROUP BY surveyed.country"""
+
+CTES["mart_customer_satisfaction"] = _union(_contract(
+    "record_type VARCHAR, month DATE, country VARCHAR, segment VARCHAR, plan_type VARCHAR, survey_responses BIGINT, promoters BIGINT, passives BIGINT, detractors BIGINT, nps_score DOUBLE, csat_pct DOUBLE, avg_nps_raw DOUBLE, avg_csat_raw DOUBLE, detractor_mrr_at_risk BIGINT, total_surveyed_mrr BIGINT, customer_id VARCHAR, customer_name VARCHAR, mrr BIGINT, nps_score_raw BIGINT, csat_score_raw BIGINT, comment VARCHAR, is_active BOOLEAN, is_active_detractor BOOLEAN, surveyed_customers BIGINT, active_customers BIGINT, response_rate_pct DOUBLE"), [
+    ("nps_monthly", "nps_monthly", _same(
+        "month", "country", "segment", "plan_type", "survey_responses", "promoters",
+        "passives", "detractors", "nps_score", "csat_pct", "avg_nps_raw", "avg_csat_raw",
+        "detractor_mrr_at_risk", "total_surveyed_mrr")),
+    ("detractor_detail", "detractor_detail", {
+        **_same("country", "segment", "plan_type", "customer_id", "customer_name", "mrr",
+                "comment", "is_active", "is_active_detractor"),
+        "detractor_mrr_at_risk": "mrr", "total_surveyed_mrr": "mrr",
+        "nps_score_raw": "nps_score", "csat_score_raw": "csat_score"}),
+    ("response_rate", "response_rate", {
+        **_same("country", "surveyed_customers", "active_customers", "response_rate_pct"),
+        "survey_responses": "surveyed_customers"}),
+])
 
 
 # --------------------------------------------------------------------------
@@ -648,7 +671,7 @@ CTES["dq_between"] = _dq_sql({"between"})
 CTES["dq_suite"] = _dq_sql({"unique", "not_null", "accepted_values", "relationships", "between"})
 
 # Helper CTEs that are not queries of their own.
-_INTERNAL = {"partner_revenue_x"}
+_INTERNAL = {"partner_revenue_x", "active_subscriptions", "overdue_invoices", "risk_base"}
 
 
 def _statement(name: str) -> str:
