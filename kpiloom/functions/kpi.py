@@ -147,15 +147,42 @@ def nps_score(promoters: ColumnOrName, detractors: ColumnOrName,
     return round_ratio(_col(promoters) - _col(detractors), total, 1, 100)
 
 
+# Aging bucket labels, youngest first, and the day bounds of the
+# four overdue buckets.
+AGING_BUCKETS = ("current", "1-30 days", "31-60 days", "61-90 days", "90+ days")
+AGING_BOUNDS = ((1, 30), (31, 60), (61, 90))
+
+
 def aging_bucket(days_overdue: ColumnOrName) -> Column:
     """Overdue-age bucket of a day count; 0, negative and null are 'current'."""
     d = _col(days_overdue)
-    # Bucket labels and bounds.
-    return (F.when(d.between(1, 30), F.lit("1-30 days"))
-            .when(d.between(31, 60), F.lit("31-60 days"))
-            .when(d.between(61, 90), F.lit("61-90 days"))
-            .when(d > 90, F.lit("90+ days"))
-            .otherwise(F.lit("current")))
+    current, first, second, third, oldest = AGING_BUCKETS
+    (lo1, hi1), (lo2, hi2), (lo3, hi3) = AGING_BOUNDS
+    return (F.when(d.between(lo1, hi1), F.lit(first))
+            .when(d.between(lo2, hi2), F.lit(second))
+            .when(d.between(lo3, hi3), F.lit(third))
+            .when(d > hi3, F.lit(oldest))
+            .otherwise(F.lit(current)))
+
+
+def _lexical_buckets() -> str:
+    return ", ".join(f"'{b}'" for b in sorted(AGING_BUCKETS))
+
+
+def bucket_rank_sql(bucket: str) -> str:
+    """SQL: position of a bucket label in lexical order (null for null)."""
+    return f"NULLIF(array_position(array({_lexical_buckets()}), {bucket}), 0)"
+
+
+def lexical_max_bucket_sql(bucket: str) -> str:
+    """SQL aggregate: the lexically greatest bucket label of a group.
+
+    Equal to ``max(bucket)`` on the labels, but aggregates an integer rank, so
+    Spark keeps a hash aggregate with map-side combining (a string ``max``
+    forces a sort-based aggregate).
+    """
+    return (f"element_at(array({_lexical_buckets()}), "
+            f"CAST(max({bucket_rank_sql(bucket)}) AS INT))")
 
 
 def classify_nps(score: ColumnOrName, high: int = 9, low: int = 6,
