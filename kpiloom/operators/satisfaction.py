@@ -123,21 +123,22 @@ def detractor_rows(enriched: DataFrame) -> DataFrame:
 def response_rate(cust: DataFrame, surv: DataFrame) -> DataFrame:
     """Distinct surveyed customers over distinct customers, by survey-side market.
 
-    Customers without a survey fall into the null market.  Only the distinct
-    (customer, market) pairs of the surveys matter for distinct counts, so the
-    survey side is reduced to them before the join (no per-survey fan-out), and
-    the distinct rows then count with plain counts.
+    A survey's market is its customer's market, so a customer row lands in its
+    own market when its id has any survey, and in the null market otherwise
+    (with duplicated customer ids this still gives each id the markets of all
+    its rows, as the row-level join does).  Surveys are reduced to their
+    distinct customer ids before the join — no per-survey fan-out — and the
+    distinct (market, customer, surveyed) rows then count with plain counts.
     """
-    surveyed = (_surveys_with_customer(surv, cust)
-                .selectExpr("customer_id", "country AS _sv_country")
-                .distinct()
-                .selectExpr("*", "customer_id AS _sv_id"))
-    pairs = (cust.select("customer_id")
-             .join(surveyed, "customer_id", "left")
-             .selectExpr("_sv_country AS country", "_sv_id", "customer_id")
-             .distinct())
+    surveyed = surv.select("customer_id").distinct().selectExpr("customer_id",
+                                                                "true AS _surveyed")
+    rows = (cust.select("customer_id", "country")
+            .join(surveyed, "customer_id", "left")
+            .selectExpr("IF(_surveyed, country, NULL) AS country", "customer_id",
+                        "IF(_surveyed, customer_id, NULL) AS _sv_id")
+            .distinct())
     surveyed_n, customers_n = "count(_sv_id)", "count(customer_id)"
-    return (pairs.groupBy("country")
+    return (rows.groupBy("country")
             .agg(*sql_exprs(
                 f"{surveyed_n} AS surveyed_customers",
                 f"{customers_n} AS active_customers",
