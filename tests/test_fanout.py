@@ -34,6 +34,8 @@ def test_fanout_splits_hot_key_across_tasks(spark):
     one = (F.col("id") % 1 + 1).alias("k")       # a single key, not constant-folded
     left = spark.range(40).select(one, F.col("id").alias("l"))
     right = spark.range(40).select(one, F.col("id").alias("r"))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                            "spark.sql.autoBroadcastJoinThreshold")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -44,8 +46,8 @@ def test_fanout_splits_hot_key_across_tasks(spark):
         assert tasks(left.join(right, "k")) == 1
         assert tasks(split) > 1
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
 from hypothesis import given, settings, strategies as st  # noqa: E402
