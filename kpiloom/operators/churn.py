@@ -72,10 +72,10 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
         hot1 = hot_keys(base_n, surveys_n, key, hot_rows)
         hot2 = hot_keys(left_join_counts(base_n, surveys_n, key), overdue_n, key, hot_rows)
         if any_rows([hot1, hot2]):
-            step = (split_join(base, surveys, key, "left", hot1) if any_rows([hot1])
-                    else base.join(surveys, key, "left"))
-            joined = (split_join(step, overdue, key, "left", hot2) if any_rows([hot2])
-                      else step.join(overdue, key, "left"))
+            step = (split_join(base, surveys, key, "left", hot1, hot_rows)
+                    if any_rows([hot1]) else base.join(surveys, key, "left"))
+            joined = (split_join(step, overdue, key, "left", hot2, hot_rows)
+                      if any_rows([hot2]) else step.join(overdue, key, "left"))
     return (joined
             .selectExpr("customer_id", "customer_name", "country", "segment", "plan_type",
                         "mrr", "start_date", "subscription_tenure_days", "nps_score",

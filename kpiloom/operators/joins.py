@@ -19,7 +19,8 @@ outer join, so a customer holding a third of the surveys would stall the job.
    takes a slice from a deterministic hash of its columns and is copied to each
    right slice, and vice versa, and the join runs on ``(key, left slice, right
    slice)`` — no task emits more than ``hot_rows²`` pairs of one key.  Cold
-   keys keep slice (0, 0).  For a left join, null-padded rows are dropped for
+   keys keep slice (0, 0).  Identical rows are collapsed into counted pieces
+   first, so a key made of copies of one row spreads as well.  For a left join, null-padded rows are dropped for
    hot keys (a hot key always has right rows, so such a row only means "this
    cell was empty").  The hot-key table reaches the sides through joins that
    AQE turns into broadcasts only once it has measured the table.
@@ -81,32 +82,53 @@ def any_rows(frames: Iterable[DataFrame]) -> bool:
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
-               hot: DataFrame) -> DataFrame:
+               hot: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """The join with every key of ``hot`` split into a grid of cells.
 
     Every key of ``hot`` must have rows on the right side (true when ``hot``
     comes from :func:`hot_keys` over the right side's own counts).
+
+    Identical rows are first collapsed to ``(row, copies)`` (map-side, so a
+    third of the table being copies of one row costs one row per task) and the
+    copies cut into pieces of at most ``hot_rows``; the piece number enters the
+    slice hash, so copies spread over cells like distinct rows.  After the join
+    every matched pair is expanded back to ``left copies × right copies`` rows.
+    Which slice a row takes never changes the result — the other side is
+    copied to every slice along that axis — so the output is the plain join.
     """
 
-    def spread(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str,
-               flag: str) -> DataFrame:
+    def pieces(df: DataFrame, copies: str, piece: str) -> DataFrame:
+        cols = [f"`{c}`" for c in df.columns]
+        return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_fj_c"))
+                .selectExpr(*cols, "_fj_c",
+                            f"explode(sequence(0L, (_fj_c - 1) div {hot_rows})) AS {piece}")
+                .selectExpr(*cols, piece,
+                            f"least({hot_rows}L, _fj_c - {piece} * {hot_rows}) AS {copies}"))
+
+    def spread(df: DataFrame, data_cols, own: str, other: str, own_slice: str,
+               other_slice: str, flag: str) -> DataFrame:
         # one projection per side: own slice from a row hash, copies over the other's
-        cols = ", ".join(f"`{c}`" for c in df.columns)
+        cols = [f"`{c}`" for c in df.columns]
+        hashed = ", ".join(f"`{c}`" for c in data_cols)
         return (df.join(hot, key, "left")
-                .selectExpr(*[f"`{c}`" for c in df.columns],
+                .selectExpr(*cols,
                             f"CASE WHEN {own} IS NULL THEN 0L "
-                            f"ELSE pmod(xxhash64({cols}), {own}) END AS {own_slice}",
+                            f"ELSE pmod(xxhash64({hashed}), {own}) END AS {own_slice}",
                             f"explode(CASE WHEN {other} IS NULL THEN array(0L) "
                             f"ELSE sequence(0L, {other} - 1) END) AS {other_slice}",
                             flag))
 
-    lside = spread(left, "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs",
-                   "_fj_lb IS NOT NULL AS _fj_hot")
-    rside = spread(right, "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls", "true AS _fj_match")
+    lcols, rcols = list(left.columns), [c for c in right.columns if c != key]
+    lside = spread(pieces(left, "_fj_lc", "_fj_lp"), lcols + ["_fj_lp"],
+                   "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs", "_fj_lb IS NOT NULL AS _fj_hot")
+    rside = spread(pieces(right, "_fj_rc", "_fj_rp"), [key] + rcols + ["_fj_rp"],
+                   "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls", "true AS _fj_match")
     out = lside.join(rside, [key, "_fj_ls", "_fj_rs"], how)
     if how == "left":
         out = out.filter(~F.col("_fj_hot") | F.col("_fj_match").isNotNull())
-    return out.drop("_fj_ls", "_fj_rs", "_fj_hot", "_fj_match")
+    return (out.selectExpr(*[f"`{c}`" for c in lcols + rcols],
+                           "explode(sequence(1L, _fj_lc * COALESCE(_fj_rc, 1L))) AS _fj_k")
+            .drop("_fj_k"))
 
 
 def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
@@ -130,4 +152,4 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
                    key, hot_rows)
     if not any_rows([hot]):
         return left.join(right, key, how)
-    return split_join(left, right, key, how, hot)
+    return split_join(left, right, key, how, hot, hot_rows)

@@ -80,3 +80,27 @@ def test_at_risk_with_a_hot_customer(spark, staged_small):
     assert "_fj_ls" in split._jdf.queryExecution().analyzed().toString()
     assert bag(split) == bag(plain)
     assert cluster_conf(100 << 40, 8000)["spark.sql.shuffle.partitions"] == str(409600)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_copies_of_one_row_spread_over_tasks(spark, how):
+    """A hot key whose rows are all copies of one row is still split, and the
+    result keeps every copy."""
+    one = (F.col("id") % 1 + 1).alias("k")
+    left = spark.range(6).select(one, (F.col("id") % 2).alias("l"))      # 3 copies each
+    right = spark.range(120).select(one, F.lit(7).alias("r"))           # 120 identical rows
+    right = right.unionByName(spark.range(3).select((F.col("id") + 5).alias("k"),
+                                                    F.lit(1).alias("r")))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                            "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = fanout_join(left, right, "k", how, hot_rows=10)
+        assert bag(split) == bag(left.join(right, "k", how))
+        assert split.count() == 6 * 120
+        tasks = split.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
