@@ -10,7 +10,7 @@ from kpiloom.functions.kpi import (
     as_of_column, day_diff, month_start, round_ratio_sql, sql_exprs,
 )
 from kpiloom.operators.joins import (
-    DEFAULT_HOT_ROWS, any_rows, hot_keys, key_counts, left_join_counts, split_join,
+    DEFAULT_HOT_ROWS, any_rows, hot_keys, side_counts, split_join,
 )
 from kpiloom.operators.union import conform, union_records
 
@@ -67,10 +67,12 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
     # small job finds whether either join has a hot customer at all.
     joined = base.join(surveys, key, "left").join(overdue, key, "left")
     if hot_rows is not None:
-        base_n, surveys_n, overdue_n = (key_counts(active, key), key_counts(surveys, key),
-                                        key_counts(overdue, key))
-        hot1 = hot_keys(base_n, surveys_n, key, hot_rows)
-        hot2 = hot_keys(left_join_counts(base_n, surveys_n, key), overdue_n, key, hot_rows)
+        # per customer: active subscriptions (_n0), surveys (_n1), overdue
+        # invoices (_n2) — one aggregate; the first join's left side is sized
+        # by active subscriptions, the second's by subscriptions × surveys
+        counts = side_counts(key, active, surveys, overdue)
+        hot1 = hot_keys(counts, key, "_n0", "_n1", hot_rows)
+        hot2 = hot_keys(counts, key, "_n0 * greatest(_n1, 1)", "_n2", hot_rows)
         if any_rows([hot1, hot2]):
             step = (split_join(base, surveys, key, "left", hot1, hot_rows)
                     if any_rows([hot1]) else base.join(surveys, key, "left"))

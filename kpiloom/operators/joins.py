@@ -7,8 +7,8 @@ outer join, so a customer holding a third of the surveys would stall the job.
 
 :func:`fanout_join` decides per join:
 
-1. **Measure.**  Rows per key on both sides (narrow partial + final
-   aggregates), joined into the hot-key table: keys with more than
+1. **Measure.**  Rows per key on both sides in one aggregate over their
+   tagged key columns, filtered into the hot-key table: keys with more than
    ``hot_rows`` rows on a side.  It has at most ``rows / hot_rows`` entries.
    Finding whether it is empty is one small job over the key columns.
 2. **No hot key** (the usual case): the plain join, which keeps the inputs'
@@ -43,31 +43,30 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 5_000
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key: ``(key, n)``, a partial + final hash aggregate."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def side_counts(key: str, *sides: DataFrame) -> DataFrame:
+    """Rows per key on each side in one aggregation: ``(key, _n0, _n1, …)``.
 
-
-def left_join_counts(left_counts: DataFrame, right_counts: DataFrame, key: str) -> DataFrame:
-    """Rows per key of ``left ⟕ right`` from the two sides' key counts.
-
-    Lets a chain of fan-out joins size its next split without evaluating the
-    previous join.
+    The sides' key columns are tagged and unioned, so all counts come from a
+    single partial + final aggregate (one shuffle of key columns only).
     """
-    r = right_counts.withColumnRenamed("n", "_fj_r")
-    return (left_counts.join(r, key, "left")
-            .select(key, (F.col("n") * F.coalesce(F.col("_fj_r"), F.lit(1))).alias("n")))
+    tagged = None
+    for i, df in enumerate(sides):
+        part = df.select(key, F.lit(i).alias("_side"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy(key).agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}")
+                                     for i in range(len(sides))])
 
 
-def hot_keys(left_counts: DataFrame, right_counts: DataFrame, key: str,
+def hot_keys(counts: DataFrame, key: str, left_n: str, right_n: str,
              hot_rows: int) -> DataFrame:
-    """``(key, _fj_lb, _fj_rb)``: slice counts of every key over ``hot_rows``."""
-    def slices(c):
-        return F.ceil(F.col(c) / F.lit(hot_rows)).cast("long")
-    return (left_counts.withColumnRenamed("n", "_fj_ln")
-            .join(right_counts.withColumnRenamed("n", "_fj_rn"), key, "inner")
-            .filter((F.col("_fj_ln") > hot_rows) | (F.col("_fj_rn") > hot_rows))
-            .select(key, slices("_fj_ln").alias("_fj_lb"), slices("_fj_rn").alias("_fj_rb")))
+    """``(key, _fj_lb, _fj_rb)`` for every key present on both sides with more
+    than ``hot_rows`` rows on one of them; ``left_n`` / ``right_n`` are SQL
+    expressions over ``counts`` giving the rows per key of each side."""
+    return (counts
+            .selectExpr(key, f"{left_n} AS _fj_ln", f"{right_n} AS _fj_rn")
+            .filter(f"_fj_ln > 0 AND _fj_rn > 0 AND (_fj_ln > {hot_rows} OR _fj_rn > {hot_rows})")
+            .selectExpr(key, f"CAST(ceil(_fj_ln / {hot_rows}) AS BIGINT) AS _fj_lb",
+                        f"CAST(ceil(_fj_rn / {hot_rows}) AS BIGINT) AS _fj_rb"))
 
 
 def any_rows(frames: Iterable[DataFrame]) -> bool:
@@ -132,24 +131,22 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
 
 
 def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS, left_counts: DataFrame = None,
-                right_counts: DataFrame = None) -> DataFrame:
+                hot_rows: int = DEFAULT_HOT_ROWS, left_keys: DataFrame = None) -> DataFrame:
     """``left.join(right, key, how)`` for ``how`` in {inner, left}, hot keys split.
 
     Column names other than ``key`` must be distinct between the sides.
-    ``left_counts`` / ``right_counts`` (``key, n``) may be passed when cheaper
-    to get than from the inputs.  ``left_counts`` only sizes the split, so an
-    estimate is fine.  ``right_counts`` must count the right side's own rows: a
-    left join drops the empty cells of a hot key on the grounds that the key
-    has right rows.  ``hot_rows=None`` skips the check.
+    ``left_keys`` may stand in for ``left`` when counting rows per key (a
+    cheaper frame with about the same keys, e.g. the table before a lookup
+    join); it only sizes the split, so an estimate is fine.  The right side is
+    always counted itself: a left join drops the empty cells of a hot key on
+    the grounds that the key has right rows.  ``hot_rows=None`` skips the check.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"fanout_join supports inner and left joins, not {how!r}")
     if hot_rows is None:
         return left.join(right, key, how)
-    hot = hot_keys(left_counts if left_counts is not None else key_counts(left, key),
-                   right_counts if right_counts is not None else key_counts(right, key),
-                   key, hot_rows)
+    counts = side_counts(key, left_keys if left_keys is not None else left, right)
+    hot = hot_keys(counts, key, "_n0", "_n1", hot_rows)
     if not any_rows([hot]):
         return left.join(right, key, how)
     return split_join(left, right, key, how, hot, hot_rows)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.kpi import flag_value, month_start, round_ratio, round_ratio_sql, sql_exprs
-from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join, key_counts
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join
 from kpiloom.operators.union import conform, union_records
 
 
@@ -28,7 +28,7 @@ def enriched_surveys(surv: DataFrame, cust: DataFrame, subs: DataFrame,
     key = "customer_id"
     active = subs.filter(F.col("is_active")).select(key, "is_active")
     return (fanout_join(_surveys_with_customer(surv, cust), active, key, "left", hot_rows,
-                        key_counts(surv, key), key_counts(active, key))
+                        left_keys=surv)
             .select("survey_id", "customer_id", "survey_date", "nps_score", "csat_score",
                     "nps_category", "is_satisfied", "comment", "customer_name", "country",
                     "segment", "plan_type", "mrr", "is_active"))
