@@ -75,8 +75,18 @@ def register_models(frames: Dict[str, DataFrame]) -> Dict[str, DataFrame]:
 
 
 def present(df: DataFrame, mart: str) -> DataFrame:
-    """The mart in its presentation order (a global range-partitioned sort)."""
-    return df.orderBy(*sort_columns(MART_ORDER[mart]))
+    """The mart in its presentation order (a global range-partitioned sort).
+
+    The declared order leaves ties unordered, and its keys have few distinct
+    values (e.g. every at-risk row shares record type, month and one of three
+    risk levels), which a range partitioner cannot split.  The remaining
+    columns are appended as tiebreakers, so ties spread over partitions while
+    the declared order is kept.
+    """
+    spec = MART_ORDER[mart]
+    named = {c for c, _, _ in spec}
+    ties = [(c, "asc", "last") for c in df.columns if c not in named]
+    return df.orderBy(*sort_columns(spec + ties))
 
 
 def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,

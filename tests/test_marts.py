@@ -202,3 +202,20 @@ def test_debt_grouping_sets_equal_the_three_parts(spark, sf_small):
         bag = lambda df: collections.Counter(tuple(r) for r in df.collect())
         assert one.columns == parts.columns
         assert bag(one) == bag(parts)
+
+
+def test_presentation_sort_spreads_ties(spark, staged_small):
+    """At-risk rows share their declared sort keys; tiebreakers let a range
+    partitioning spread them instead of one partition per key value."""
+    from pyspark.sql import functions as F
+    from kpiloom.plans.marts import present
+    mart = churn.mart_churn(staged_small["cust"], staged_small["subs"], staged_small["surv"],
+                            staged_small["inv"], as_of=AS_OF)
+    saved = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = (present(mart, "mart_churn").filter("record_type = 'at_risk_customer'")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", saved)
+    assert parts > 3
