@@ -58,13 +58,16 @@ def side_counts(key: str, *sides: DataFrame) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, key: str, left_n: str, right_n: str,
-             hot_rows: int) -> DataFrame:
-    """``(key, _fj_lb, _fj_rb)`` for every key present on both sides with more
-    than ``hot_rows`` rows on one of them; ``left_n`` / ``right_n`` are SQL
-    expressions over ``counts`` giving the rows per key of each side."""
+             hot_rows: int, how: str = "left") -> DataFrame:
+    """``(key, _fj_lb, _fj_rb)`` for every key with left rows and more than
+    ``hot_rows`` rows on one side; ``left_n`` / ``right_n`` are SQL expressions
+    over ``counts`` giving the rows per key of each side.  For a left join a
+    key may have no right rows at all (``_fj_rb = 0``): its left rows are still
+    spread, and keep their null-padded output."""
+    both = "AND _fj_rn > 0 " if how == "inner" else ""
     return (counts
-            .selectExpr(key, f"{left_n} AS _fj_ln", f"{right_n} AS _fj_rn")
-            .filter(f"_fj_ln > 0 AND _fj_rn > 0 AND (_fj_ln > {hot_rows} OR _fj_rn > {hot_rows})")
+            .selectExpr(key, f"{left_n} AS _fj_ln", f"COALESCE({right_n}, 0) AS _fj_rn")
+            .filter(f"_fj_ln > 0 {both}AND (_fj_ln > {hot_rows} OR _fj_rn > {hot_rows})")
             .selectExpr(key, f"CAST(ceil(_fj_ln / {hot_rows}) AS BIGINT) AS _fj_lb",
                         f"CAST(ceil(_fj_rn / {hot_rows}) AS BIGINT) AS _fj_rb"))
 
@@ -84,8 +87,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
                hot: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """The join with every key of ``hot`` split into a grid of cells.
 
-    Every key of ``hot`` must have rows on the right side (true when ``hot``
-    comes from :func:`hot_keys` over the right side's own counts).
+    ``hot`` must come from :func:`hot_keys` over the right side's own counts:
+    ``_fj_rb`` is then 0 exactly for keys without right rows.
 
     Identical rows are first collapsed to ``(row, copies)`` (map-side, so a
     third of the table being copies of one row costs one row per task) and the
@@ -113,13 +116,16 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
                 .selectExpr(*cols,
                             f"CASE WHEN {own} IS NULL THEN 0L "
                             f"ELSE pmod(xxhash64({hashed}), {own}) END AS {own_slice}",
-                            f"explode(CASE WHEN {other} IS NULL THEN array(0L) "
-                            f"ELSE sequence(0L, {other} - 1) END) AS {other_slice}",
+                            f"explode(CASE WHEN {other} IS NULL OR {other} = 0 "
+                            f"THEN array(0L) ELSE sequence(0L, {other} - 1) END) "
+                            f"AS {other_slice}",
                             flag))
 
     lcols, rcols = list(left.columns), [c for c in right.columns if c != key]
+    # a null-padded row of a hot key with right rows only means "empty cell"
     lside = spread(pieces(left, "_fj_lc", "_fj_lp"), lcols + ["_fj_lp"],
-                   "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs", "_fj_lb IS NOT NULL AS _fj_hot")
+                   "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs",
+                   "COALESCE(_fj_rb > 0, false) AS _fj_hot")
     rside = spread(pieces(right, "_fj_rc", "_fj_rp"), [key] + rcols + ["_fj_rp"],
                    "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls", "true AS _fj_match")
     out = lside.join(rside, [key, "_fj_ls", "_fj_rs"], how)
@@ -146,7 +152,7 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if hot_rows is None:
         return left.join(right, key, how)
     counts = side_counts(key, left_keys if left_keys is not None else left, right)
-    hot = hot_keys(counts, key, "_n0", "_n1", hot_rows)
+    hot = hot_keys(counts, key, "_n0", "_n1", hot_rows, how)
     if not any_rows([hot]):
         return left.join(right, key, how)
     return split_join(left, right, key, how, hot, hot_rows)

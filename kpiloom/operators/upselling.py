@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.functions.kpi import month_start, round_ratio_sql, sql_exprs
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join
 from kpiloom.operators.union import conform, union_records
 
 
@@ -41,13 +42,17 @@ def upsold_customers(ups: DataFrame) -> DataFrame:
 
 
 def attach_rate_by_segment(eligible: DataFrame, upsold: DataFrame,
-                           cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
+                           cfg: KpiConfig = DEFAULT_CONFIG,
+                           hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Eligible customers by market and segment, and the share already upsold.
 
     The left join to the distinct upsold set is an existence flag; it never
-    multiplies rows.
+    multiplies rows.  It reuses the eligibility join's partitioning, where AQE
+    cannot split a skewed key, so a customer with more than ``hot_rows``
+    eligible rows is split explicitly (:func:`fanout_join`).
     """
-    flagged = eligible.join(upsold.withColumn("_upsold", F.lit(True)), "customer_id", "left")
+    flagged = fanout_join(eligible, upsold.withColumn("_upsold", F.lit(True)), "customer_id",
+                          "left", hot_rows)
     total, upsold_n = "count(1)", "count_if(_upsold IS NOT NULL)"
     return (flagged.groupBy("country", "segment")
             .agg(*sql_exprs(

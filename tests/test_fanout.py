@@ -104,3 +104,25 @@ def test_copies_of_one_row_spread_over_tasks(spark, how):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_left_only_hot_key_is_spread_and_kept(spark):
+    """A left join whose hot key has no right rows keeps every left row once
+    (null-padded) and spreads them over tasks."""
+    one = (F.col("id") % 1 + 1).alias("k")
+    left = spark.range(200).select(one, F.col("id").alias("l"))
+    right = spark.range(5).select((F.col("id") + 10).alias("k"), F.col("id").alias("r"))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                            "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = fanout_join(left, right, "k", "left", hot_rows=20)
+        assert bag(split) == bag(left.join(right, "k", "left"))
+        assert split.filter("r IS NULL").count() == 200
+        tasks = split.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+        assert fanout_join(left, right, "k", "inner", hot_rows=20).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)

@@ -219,3 +219,14 @@ def test_presentation_sort_spreads_ties(spark, staged_small):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", saved)
     assert parts > 3
+
+
+def test_attach_rate_with_every_key_split(spark, staged_small):
+    import collections
+    from kpiloom.operators import upselling
+    st = staged_small
+    elig = upselling.eligible_customers(st["cust"], st["subs"])
+    ups = upselling.upsold_customers(st["ups"])
+    bag = lambda df: collections.Counter(tuple(r) for r in df.collect())
+    assert bag(upselling.attach_rate_by_segment(elig, ups, hot_rows=1)) == \
+        bag(upselling.attach_rate_by_segment(elig, ups, hot_rows=None))
