@@ -20,10 +20,12 @@ outer join, so a customer holding a third of the surveys would stall the job.
    right slice, and vice versa, and the join runs on ``(key, left slice, right
    slice)`` — no task emits more than ``hot_rows²`` pairs of one key.  Cold
    keys keep slice (0, 0).  Identical rows are collapsed into counted pieces
-   first, so a key made of copies of one row spreads as well.  For a left join, null-padded rows are dropped for
-   hot keys (a hot key always has right rows, so such a row only means "this
-   cell was empty").  The hot-key table reaches the sides through joins that
-   AQE turns into broadcasts only once it has measured the table.
+   first, so a key made of copies of one row spreads as well.  In a left join
+   a key may be hot on the left only (no right rows): its left rows are
+   spread and keep their null-padded output; for a hot key that has right
+   rows, a null-padded row only means "this cell was empty" and is dropped.
+   The hot-key table reaches the sides through joins that AQE turns into
+   broadcasts only once it has measured the table.
 
 The output is exactly the plain join in every case.  The slice hash is of the
 row contents, so a recomputed partition lands in the same cells after an
