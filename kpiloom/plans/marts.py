@@ -116,7 +116,8 @@ def checkpoint_dir(spark: SparkSession) -> Optional[str]:
 
 def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
                     out_dir: Optional[str] = None, cfg: KpiConfig = DEFAULT_CONFIG,
-                    as_of=None, run_checks: bool = True) -> Optional[DataFrame]:
+                    as_of=None, run_checks: bool = True,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> Optional[DataFrame]:
     """Full refresh: write every mart under ``out_dir``, then check the written tables.
 
     The marts are checked from their written copies, so the quality suite does
@@ -129,7 +130,7 @@ def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
         if not base:
             raise ValueError("no out_dir given and spark.checkpoint.dir is not set")
         out_dir = f"{base.rstrip('/')}/kpiloom-marts"
-    for name, df in build_marts(sources, cfg, as_of).items():
+    for name, df in build_marts(sources, cfg, as_of, hot_rows).items():
         write_mart(df, path=f"{out_dir}/{name}")
     if not run_checks:
         return None
