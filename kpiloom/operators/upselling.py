@@ -77,11 +77,12 @@ MART_UPSELLING_COLUMNS = [
 
 
 def mart_upselling(ups: DataFrame, cust: DataFrame, subs: DataFrame,
-                   cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
+                   cfg: KpiConfig = DEFAULT_CONFIG,
+                   hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     monthly = conform(monthly_upsell(ups), MART_UPSELLING_COLUMNS,
                       record_type="'monthly_upsell_performance'")
     attach = attach_rate_by_segment(eligible_customers(cust, subs, cfg),
-                                    upsold_customers(ups), cfg)
+                                    upsold_customers(ups), cfg, hot_rows)
     attach = conform(attach, MART_UPSELLING_COLUMNS,
                      record_type="'attach_rate_by_segment'",
                      upsell_count="upsold_count")

@@ -41,7 +41,7 @@ def build_mart(name: str, st: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CON
         return churn.mart_churn(st["cust"], st["subs"], st["surv"], st["inv"], cfg, as_of,
                                 hot_rows)
     if name == "mart_upselling":
-        return upselling.mart_upselling(st["ups"], st["cust"], st["subs"], cfg)
+        return upselling.mart_upselling(st["ups"], st["cust"], st["subs"], cfg, hot_rows)
     if name == "mart_roi_partnerships":
         return partners.mart_roi_partnerships(st["part"], st["cust"], st["subs"],
                                               st["leads"], as_of)
