@@ -120,7 +120,8 @@ def detractor_rows(enriched: DataFrame) -> DataFrame:
                     (detractor & F.col("is_active")).alias("is_active_detractor")))
 
 
-def response_rate(cust: DataFrame, surv: DataFrame) -> DataFrame:
+def response_rate(cust: DataFrame, surv: DataFrame,
+                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Distinct surveyed customers over distinct customers, by survey-side market.
 
     A survey's market is its customer's market, so a customer row lands in its
@@ -129,11 +130,14 @@ def response_rate(cust: DataFrame, surv: DataFrame) -> DataFrame:
     its rows, as the row-level join does).  Surveys are reduced to their
     distinct customer ids before the join — no per-survey fan-out — and the
     distinct (market, customer, surveyed) rows then count with plain counts.
+    The join reuses the surveyed ids' aggregate partitioning, where AQE cannot
+    split a key, so a customer id repeated across many rows goes through
+    :func:`fanout_join`.
     """
     surveyed = surv.select("customer_id").distinct().selectExpr("customer_id",
                                                                 "true AS _surveyed")
-    rows = (cust.select("customer_id", "country")
-            .join(surveyed, "customer_id", "left")
+    rows = (fanout_join(cust.select("customer_id", "country"), surveyed, "customer_id",
+                        "left", hot_rows)
             .selectExpr("IF(_surveyed, country, NULL) AS country", "customer_id",
                         "IF(_surveyed, customer_id, NULL) AS _sv_id")
             .distinct())
@@ -167,7 +171,7 @@ def mart_customer_satisfaction(surv: DataFrame, cust: DataFrame, subs: DataFrame
                      record_type="'detractor_detail'", detractor_mrr_at_risk="mrr",
                      total_surveyed_mrr="mrr", nps_score_raw="nps_score",
                      csat_score_raw="csat_score", nps_score="NULL")
-    rate = conform(response_rate(cust, surv), MART_SATISFACTION_COLUMNS,
+    rate = conform(response_rate(cust, surv, hot_rows), MART_SATISFACTION_COLUMNS,
                    record_type="'response_rate'",
                    survey_responses="surveyed_customers")
     return union_records([monthly, detail, rate])

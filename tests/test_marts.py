@@ -230,3 +230,11 @@ def test_attach_rate_with_every_key_split(spark, staged_small):
     bag = lambda df: collections.Counter(tuple(r) for r in df.collect())
     assert bag(upselling.attach_rate_by_segment(elig, ups, hot_rows=1)) == \
         bag(upselling.attach_rate_by_segment(elig, ups, hot_rows=None))
+
+
+def test_response_rate_with_every_key_split(spark, staged_small):
+    import collections
+    st = staged_small
+    bag = lambda df: collections.Counter(tuple(r) for r in df.collect())
+    assert bag(satisfaction.response_rate(st["cust"], st["surv"], hot_rows=1)) == \
+        bag(satisfaction.response_rate(st["cust"], st["surv"], hot_rows=None))
