@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, mixing, quality_rules, simhash, substring_dedup, url_filter, warc
+from kpiloom.llm import ann, bpe, classifier, mixing, quality_rules, simhash, substring_dedup, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,14 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), rules)
@@ -52,7 +60,9 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_mixing": op6_mixing,
+    "op7_classifier": op7_classifier,
     "op8_url_filter": op8_url_filter,
+    "op10_ann": op10_ann,
     "op9_quality_rules": op9_quality_rules,
 }
 
