@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import ann, bpe, classifier, mixing, quality_rules, simhash, substring_dedup, url_filter, warc
+from kpiloom.llm import ann, bpe, classifier, mixing, quality_rules, simhash, substring_dedup, suffix_tree, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), rules)
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.corpus_scores(_read(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_counts(_read(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
