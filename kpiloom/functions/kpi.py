@@ -19,6 +19,7 @@ two places), far above any rate, average or amount the marts produce.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 from typing import Union
 
 from pyspark.sql import Column
@@ -45,6 +46,13 @@ def as_of_column(as_of: Union[_dt.date, str, Column, None]) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def decimal_sql(number: str) -> str:
+    """SQL of a decimal number written as text, with all its digits."""
+    _, digits, exponent = Decimal(number).as_tuple()
+    scale = max(0, -exponent)
+    return f"CAST('{Decimal(number):f}' AS DECIMAL({max(len(digits) + max(0, exponent), scale + 1)},{scale}))"
+
+
 # ---------------------------------------------------------------------------
 # cleaning and date arithmetic
 # ---------------------------------------------------------------------------
@@ -108,17 +116,6 @@ def round_ratio(num: ColumnOrName, den: ColumnOrName, decimals: int = 2,
     return F.when(d != 0, signed.cast("double") / F.lit(10 ** decimals)).cast("double")
 
 
-def round_avg(total: ColumnOrName, count: ColumnOrName, decimals: int) -> Column:
-    """Exactly rounded ``total / count`` (an average from its sum and count)."""
-    return round_ratio(total, count, decimals, 1)
-
-
-def exact_avg(c: ColumnOrName, decimals: int) -> Column:
-    """Aggregate: average of an integral column, exactly rounded; nulls ignored."""
-    x = _col(c)
-    return round_ratio(F.sum(x), F.count(x), decimals, 1)
-
-
 # ---------------------------------------------------------------------------
 # the six reusable macros
 # ---------------------------------------------------------------------------
@@ -147,26 +144,29 @@ def nps_score(promoters: ColumnOrName, detractors: ColumnOrName,
     return round_ratio(_col(promoters) - _col(detractors), total, 1, 100)
 
 
-# Aging bucket labels, youngest first, and the day bounds of the
-# four overdue buckets.
-AGING_BUCKETS = ("current", "1-30 days", "31-60 days", "61-90 days", "90+ days")
-AGING_BOUNDS = ((1, 30), (31, 60), (61, 90))
+# First and last day of each overdue bucket (None: no end), and its
+# label; everything else is current.
+AGING_BUCKETS = (
+    (1, 30, "1-30 days"),
+    (31, 60, "31-60 days"),
+    (61, 90, "61-90 days"),
+    (91, None, "90+ days"),
+)
+CURRENT = "current"
 
 
 def aging_bucket(days_overdue: ColumnOrName) -> Column:
     """Overdue-age bucket of a day count; 0, negative and null are 'current'."""
     d = _col(days_overdue)
-    current, first, second, third, oldest = AGING_BUCKETS
-    (lo1, hi1), (lo2, hi2), (lo3, hi3) = AGING_BOUNDS
-    return (F.when(d.between(lo1, hi1), F.lit(first))
-            .when(d.between(lo2, hi2), F.lit(second))
-            .when(d.between(lo3, hi3), F.lit(third))
-            .when(d > hi3, F.lit(oldest))
-            .otherwise(F.lit(current)))
+    out = F.lit(CURRENT)
+    for low, high, label in AGING_BUCKETS:
+        inside = d >= low if high is None else d.between(low, high)
+        out = F.when(inside, F.lit(label)).otherwise(out)
+    return out
 
 
 def _lexical_buckets() -> str:
-    return ", ".join(f"'{b}'" for b in sorted(AGING_BUCKETS))
+    return ", ".join(f"'{b}'" for b in sorted([CURRENT, *(label for _, _, label in AGING_BUCKETS)]))
 
 
 def bucket_rank_sql(bucket: str) -> str:
@@ -204,12 +204,6 @@ def region_of(country: ColumnOrName) -> Column:
             .when(c == "US", F.lit("North America")))
 
 
-def flag_value(flag: ColumnOrName, value: ColumnOrName, otherwise=0) -> Column:
-    """``iff(flag, value, otherwise)``: a null flag takes the else branch."""
-    o = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
-    return F.when(_col(flag), _col(value)).otherwise(o)
-
-
 def sql_exprs(*texts: str):
     """SQL expression strings as Columns (one call each, e.g. for ``agg``)."""
     return [F.expr(t) for t in texts]

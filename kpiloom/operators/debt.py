@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.kpi import (
     aging_bucket, lexical_max_bucket_sql, month_start, round_ratio_sql, sql_exprs,
 )
-from kpiloom.operators.union import conform, union_records
+from kpiloom.operators.union import conform
 
 
 def enriched_invoices(inv: DataFrame, cust: DataFrame) -> DataFrame:
@@ -63,19 +63,30 @@ def aging_breakdown(enriched: DataFrame) -> DataFrame:
                 "AS avg_days_overdue")))
 
 
-def high_risk_debtors(enriched: DataFrame) -> DataFrame:
+def high_risk_debtors(inv: DataFrame, cust: DataFrame) -> DataFrame:
     """Every customer with a currently overdue invoice (no threshold, no limit).
 
+    Overdue invoices are summed per customer and invoice market before they meet
+    the customers, so a customer with very many of them is a few rows of the join.
     ``worst_aging_bucket`` is the lexical maximum of the bucket labels (so
     'current' outranks '90+ days'), aggregated as an integer rank.
     """
-    return (enriched.filter("is_currently_overdue")
+    per_customer = (inv.filter("is_currently_overdue")
+                    .select("customer_id", "country", "amount", "days_overdue",
+                            aging_bucket("days_overdue").alias("aging_bucket"))
+                    .groupBy("customer_id", "country")
+                    .agg(*sql_exprs(
+                        "count(1) AS _n", "sum(amount) AS _amount", "max(days_overdue) AS _days",
+                        f"{lexical_max_bucket_sql('aging_bucket')} AS _bucket")))
+    return (per_customer
+            .join(cust.select("customer_id", "customer_name", "segment", "plan_type", "mrr"),
+                  "customer_id", "left")
             .groupBy("customer_id", "customer_name", "country", "segment", "plan_type", "mrr")
             .agg(*sql_exprs(
-                "count(1) AS overdue_invoice_count",
-                "sum(amount) AS total_overdue_amount",
-                "max(days_overdue) AS max_days_overdue",
-                f"{lexical_max_bucket_sql('aging_bucket')} AS worst_aging_bucket")))
+                "sum(_n) AS overdue_invoice_count",
+                "sum(_amount) AS total_overdue_amount",
+                "max(_days) AS max_days_overdue",
+                f"{lexical_max_bucket_sql('_bucket')} AS worst_aging_bucket")))
 
 
 MART_DEBT_COLUMNS = [
@@ -166,22 +177,4 @@ def mart_debt_collection(inv: DataFrame, cust: DataFrame) -> DataFrame:
         max_days_overdue=pick("NULL", "NULL", "_od_max"))
 
 
-def mart_debt_collection_by_parts(inv: DataFrame, cust: DataFrame) -> DataFrame:
-    """The same mart as the union of its three parts (a plan per record type)."""
-    enriched = enriched_invoices(inv, cust)
-    summary = conform(debt_summary(enriched), MART_DEBT_COLUMNS,
-                      record_type="'monthly_debt_summary'")
-    n, amt = "invoice_count", "total_amount"
-    aging = conform(aging_breakdown(enriched), MART_DEBT_COLUMNS,
-                    record_type="'aging_breakdown'",
-                    total_invoices=n, total_invoiced=amt, overdue_count=n, overdue_amount=amt)
-    n, amt = "overdue_invoice_count", "total_overdue_amount"
-    debtors = conform(high_risk_debtors(enriched), MART_DEBT_COLUMNS,
-                      record_type="'high_risk_debtors'",
-                      total_invoices=n, total_invoiced=amt, overdue_count=n,
-                      overdue_amount=amt, avg_days_overdue="max_days_overdue",
-                      aging_bucket="worst_aging_bucket")
-    return union_records([summary, aging, debtors])
-
-
 DEBT_ORDER = [("record_type", "asc", "last"), ("month", "desc", "last")]

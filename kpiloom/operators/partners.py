@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.kpi import as_of_column, month_diff, round_ratio_sql, sql_exprs
 
-_RATE = "DECIMAL(9,6)"
-_MONEY = "DECIMAL(20,0)"
+_RATE = "DECIMAL(18,15)"  # as many places as a double below 1 holds
+_MONEY = "DECIMAL(18,0)"
 
 
 def _partner_dim(part: DataFrame) -> DataFrame:
@@ -28,23 +28,27 @@ def partner_revenue(cust: DataFrame, subs: DataFrame, part: DataFrame,
                     as_of=None) -> DataFrame:
     today = as_of_column(as_of)
     active_mrr = "IF(is_active, mrr, 0)"
+    # subscriptions are summed per customer before they meet the customers, so a
+    # customer with very many of them is one row of the join
+    months = month_diff("start_date", F.coalesce(F.col("end_date"), today))
+    per_customer = (subs.filter("customer_id IS NOT NULL")
+                    .select("customer_id", "is_active", "is_churned", "mrr", months.alias("_m"))
+                    .groupBy("customer_id")
+                    .agg(*sql_exprs(
+                        "count_if(is_active) AS _active",
+                        "count_if(is_churned) AS _churned",
+                        f"sum({active_mrr}) AS _active_mrr",
+                        f"count({active_mrr}) AS _active_n",
+                        "sum(mrr) AS _mrr",
+                        "sum(_m) AS _months",
+                        "count(_m) AS _months_n")))
+    sums = ("_active", "_churned", "_active_mrr", "_active_n", "_mrr", "_months", "_months_n")
     per_partner = (cust.filter("partner_id IS NOT NULL")
                    .select("customer_id", "partner_id")
-                   .join(subs.select("customer_id", "is_active", "is_churned", "mrr",
-                                     month_diff("start_date",
-                                                F.coalesce(F.col("end_date"), today))
-                                     .alias("_months")),
-                         "customer_id", "inner")
+                   .join(per_customer, "customer_id", "inner")
                    .groupBy("partner_id")
-                   .agg(*sql_exprs(
-                       "count(DISTINCT customer_id) AS total_customers",
-                       "count_if(is_active) AS _active",
-                       "count_if(is_churned) AS _churned",
-                       f"sum({active_mrr}) AS _active_mrr",
-                       f"count({active_mrr}) AS _active_n",
-                       "sum(mrr) AS _mrr",
-                       "sum(_months) AS _months",
-                       "count(_months) AS _months_n")))
+                   .agg(*sql_exprs("count(DISTINCT customer_id) AS total_customers",
+                                   *[f"sum({c}) AS {c}" for c in sums])))
     # avg(active mrr) × avg(months) = (S1·S2)/(n1·n2); copies of a partner cancel
     ltv = round_ratio_sql("CAST(_active_mrr AS DECIMAL(38,0)) * _months",
                           "_active_n * _months_n", 2)
@@ -56,7 +60,7 @@ def partner_revenue(cust: DataFrame, subs: DataFrame, part: DataFrame,
                 "_active_mrr * _copies AS active_mrr",
                 "_mrr * _copies AS total_mrr_ever",
                 f"{ltv} AS estimated_avg_ltv",
-                # round(active MRR × rate, 2) in exact decimals (rate read at 6 places)
+                # round(active MRR × rate, 2) in exact decimals
                 f"CAST(round(CAST(_active_mrr * _copies AS {_MONEY}) * CAST(_rate AS {_RATE}), 2)"
                 " AS DOUBLE) AS monthly_commission_owed"))
 

@@ -11,13 +11,12 @@ Null passes every check except ``not_null``.  What counts as one failure:
 
 :func:`run_checks` evaluates a whole suite and returns one summary row per
 check ``(model, column_name, check_name, failures)``.  All per-row checks of one
-model (unique, not_null, accepted_values, between) share a single scan and one
-aggregation; each relationship check is an anti-join.
+model share at most two aggregations; each relationship check is an anti-join.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from typing import Dict, Iterable, List, Optional, Sequence
 
@@ -84,7 +83,6 @@ class Check:
     min_value: Optional[float] = None
     max_value: Optional[float] = None
     strictly: bool = False
-    options: dict = field(default_factory=dict, compare=False, hash=False)
 
 
 _PER_MODEL = ("unique", "not_null", "accepted_values", "between")
@@ -105,16 +103,12 @@ def _outside_sql(c: Check) -> str:
     return f"NOT ({' AND '.join(conds) or 'true'})"
 
 
-def _failure_item_sql(i: int, c: Check) -> str:
-    """SQL: ``(check id, value)`` for a row that counts towards check ``c``, else null."""
+def _value_item_sql(i: int, c: Check) -> str:
+    """SQL: ``(check id, value)`` where a row's value counts towards check ``c``."""
     col = f"`{c.column}`"
     value = f"CAST({col} AS STRING)"
     if c.kind == "unique":
         hit = f"{col} IS NOT NULL"
-    elif c.kind == "not_null":
-        hit, value = f"{col} IS NULL", "CAST(NULL AS STRING)"
-    elif c.kind == "between":
-        hit, value = _outside_sql(c), "CAST(NULL AS STRING)"
     else:  # accepted_values
         hit = f"NOT ({value} IN ({', '.join(_q(str(v)) for v in c.values)}))"
         if c.where:
@@ -122,32 +116,37 @@ def _failure_item_sql(i: int, c: Check) -> str:
     return f"CASE WHEN {hit} THEN named_struct('cid', {i}, 'v', {value}) END"
 
 
-def _model_pass(df: DataFrame, checks: List[Check]) -> DataFrame:
-    """Every per-row check of one model in one scan and one aggregation.
+def _laid_out(counted: DataFrame, measures) -> DataFrame:
+    """One row per check from a single row of measures, zeros included."""
+    rows = ", ".join(
+        f"named_struct('model', {_q(c.model)}, 'column_name', {_q(c.column)}, 'check_name', "
+        f"{_q(c.kind)}, 'failures', CAST(COALESCE({m}, 0L) AS BIGINT))" for c, m in measures)
+    return counted.agg(F.expr(f"array({rows}) AS r")).selectExpr("explode(r) AS r").selectExpr("r.*")
 
-    Each row emits ``(check id, value)`` for the checks it counts towards (every
-    non-null key for ``unique``; failing rows for the others); a partial +
-    final aggregate on ``(check id, value)`` then gives duplicated values,
-    failing rows or distinct bad values per check, and one more (single-row)
-    aggregate lays them out as one row per check, zeros included.
+
+def _model_pass(df: DataFrame, checks: List[Check]) -> List[DataFrame]:
+    """The per-row checks of one model: at most two aggregations.
+
+    ``not_null`` and ``between`` are counts over the rows, one partial aggregate.
+    ``unique`` and ``accepted_values`` count values: a row emits ``(check id,
+    value)`` for each of them that it counts towards (every non-null key, or a bad
+    value), and a partial + final aggregate gives duplicated or distinct bad ones.
     """
-    items = ", ".join(_failure_item_sql(i, c) for i, c in enumerate(checks))
-    per_value = (df.selectExpr(f"explode(array({items})) AS p")
-                 .filter("p IS NOT NULL")
-                 .groupBy("p.cid", "p.v").agg(F.expr("count(1) AS n")))
-    measures = []
-    for i, c in enumerate(checks):
-        if c.kind == "unique":
-            m = f"count_if(cid = {i} AND n > 1)"
-        elif c.kind == "accepted_values":
-            m = f"count_if(cid = {i})"
-        else:
-            m = f"COALESCE(sum(IF(cid = {i}, n, 0)), 0L)"
-        measures.append(f"named_struct('model', {_q(c.model)}, 'column_name', "
-                        f"{_q(c.column)}, 'check_name', {_q(c.kind)}, "
-                        f"'failures', CAST({m} AS BIGINT))")
-    return (per_value.agg(F.expr(f"array({', '.join(measures)}) AS r"))
-            .selectExpr("explode(r) AS r").selectExpr("r.*"))
+    plain = [c for c in checks if c.kind in ("not_null", "between")]
+    valued = [c for c in checks if c.kind in ("unique", "accepted_values")]
+    out = []
+    if plain:
+        out.append(_laid_out(df, [(c, f"count_if(`{c.column}` IS NULL)" if c.kind == "not_null"
+                                   else f"count_if({_outside_sql(c)})") for c in plain]))
+    if valued:
+        items = ", ".join(_value_item_sql(i, c) for i, c in enumerate(valued))
+        per_value = (df.selectExpr(f"explode(array({items})) AS p")
+                     .filter("p IS NOT NULL")
+                     .groupBy("p.cid", "p.v").agg(F.expr("count(1) AS n")))
+        out.append(_laid_out(per_value, [
+            (c, f"count_if(cid = {i} AND n > 1)" if c.kind == "unique" else f"count_if(cid = {i})")
+            for i, c in enumerate(valued)]))
+    return out
 
 
 def _count_rows(df: DataFrame, c: Check) -> DataFrame:
@@ -159,7 +158,7 @@ def _count_rows(df: DataFrame, c: Check) -> DataFrame:
 def run_checks(frames: Dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """Evaluate ``checks`` against ``frames`` (model name → DataFrame).
 
-    Per-row checks are grouped per model (one pass each); each relationship
+    Per-row checks are grouped per model; each relationship
     check is an anti-join against the parent's distinct keys.
     """
     checks = list(checks)
@@ -169,7 +168,7 @@ def run_checks(frames: Dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
         if c.kind in _PER_MODEL:
             by_model.setdefault(c.model, []).append(c)
     for model, group in by_model.items():
-        parts.append(_model_pass(frames[model], group))
+        parts.extend(_model_pass(frames[model], group))
     for c in checks:
         if c.kind == "relationships":
             parts.append(_count_rows(relationships(frames[c.model], c.column,

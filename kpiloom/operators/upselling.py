@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.config import DEFAULT_CONFIG, KpiConfig
-from kpiloom.functions.kpi import month_start, round_ratio_sql, sql_exprs
-from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join
+from kpiloom.functions.kpi import decimal_sql, month_start, round_ratio_sql, sql_exprs
 from kpiloom.operators.union import conform, union_records
 
 
@@ -27,13 +26,17 @@ def monthly_upsell(ups: DataFrame) -> DataFrame:
                 f"sum(IF(upsell_type = 'add_on_sale', {rev}, 0)) AS add_on_revenue")))
 
 
-def eligible_customers(cust: DataFrame, subs: DataFrame,
-                       cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Basic-plan customers past the minimum tenure, one row per active subscription."""
+def _eligible(cust: DataFrame, cfg: KpiConfig) -> DataFrame:
     return (cust
             .filter((F.col("plan_type") == "basic")
                     & (F.col("tenure_days") >= cfg.upsell_min_tenure_days))
-            .select("customer_id", "country", "segment", "plan_type", "mrr", "tenure_days")
+            .select("customer_id", "country", "segment", "plan_type", "mrr", "tenure_days"))
+
+
+def eligible_customers(cust: DataFrame, subs: DataFrame,
+                       cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Basic-plan customers past the minimum tenure, one row per active subscription."""
+    return (_eligible(cust, cfg)
             .join(subs.filter(F.col("is_active")).select("customer_id"), "customer_id", "inner"))
 
 
@@ -41,27 +44,28 @@ def upsold_customers(ups: DataFrame) -> DataFrame:
     return ups.select("customer_id").distinct()
 
 
-def attach_rate_by_segment(eligible: DataFrame, upsold: DataFrame,
-                           cfg: KpiConfig = DEFAULT_CONFIG,
-                           hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def attach_rate_by_segment(cust: DataFrame, subs: DataFrame, ups: DataFrame,
+                           cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
     """Eligible customers by market and segment, and the share already upsold.
 
-    The left join to the distinct upsold set is an existence flag; it never
-    multiplies rows.  It reuses the eligibility join's partitioning, where AQE
-    cannot split a skewed key, so a customer with more than ``hot_rows``
-    eligible rows is split explicitly (:func:`fanout_join`).
+    The aggregate over :func:`eligible_customers`, one row per active subscription,
+    without building these rows: active subscriptions are counted per customer
+    first, and a customer weighs as many rows as it has of them.  The left join to
+    the distinct upsold ids is an existence flag; it never multiplies rows.
     """
-    flagged = fanout_join(eligible, upsold.withColumn("_upsold", F.lit(True)), "customer_id",
-                          "left", hot_rows)
-    total, upsold_n = "count(1)", "count_if(_upsold IS NOT NULL)"
+    weight = (subs.filter("is_active AND customer_id IS NOT NULL").groupBy("customer_id")
+              .agg(*sql_exprs("count(1) AS _w")))
+    flagged = (_eligible(cust, cfg).join(weight, "customer_id", "inner")
+               .join(upsold_customers(ups).withColumn("_upsold", F.lit(True)), "customer_id", "left"))
+    total, upsold_n, base = "sum(_w)", "sum(IF(_upsold, _w, 0L))", "sum(mrr * _w)"
     return (flagged.groupBy("country", "segment")
             .agg(*sql_exprs(
                 f"{total} AS eligible_count",
                 f"{upsold_n} AS upsold_count",
                 f"{round_ratio_sql(upsold_n, total, 2, 100)} AS upsell_attach_rate_pct",
-                "sum(mrr) AS eligible_mrr_base",
-                f"CAST(CAST(sum(mrr) AS DECIMAL(20,0)) * "
-                f"CAST({cfg.upsell_opportunity_share} AS DECIMAL(3,2)) AS DOUBLE) "
+                f"{base} AS eligible_mrr_base",
+                f"CAST(CAST({base} AS DECIMAL(20,0)) * "
+                f"{decimal_sql(cfg.upsell_opportunity_share)} AS DOUBLE) "
                 "AS estimated_upsell_opportunity_mrr")))
 
 
@@ -77,12 +81,10 @@ MART_UPSELLING_COLUMNS = [
 
 
 def mart_upselling(ups: DataFrame, cust: DataFrame, subs: DataFrame,
-                   cfg: KpiConfig = DEFAULT_CONFIG,
-                   hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                   cfg: KpiConfig = DEFAULT_CONFIG) -> DataFrame:
     monthly = conform(monthly_upsell(ups), MART_UPSELLING_COLUMNS,
                       record_type="'monthly_upsell_performance'")
-    attach = attach_rate_by_segment(eligible_customers(cust, subs, cfg),
-                                    upsold_customers(ups), cfg, hot_rows)
+    attach = attach_rate_by_segment(cust, subs, ups, cfg)
     attach = conform(attach, MART_UPSELLING_COLUMNS,
                      record_type="'attach_rate_by_segment'",
                      upsell_count="upsold_count")

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.sources.io import read_source
 from kpiloom.sources.schemas import SOURCE_SCHEMAS
 
 # Market code by key modulo 6.
@@ -53,13 +52,15 @@ def customers(customer: DataFrame) -> DataFrame:
         "plan_type": "case when c_acctbal < 3000 then 'basic' "
                      "when c_acctbal < 7000 then 'premium' else 'enterprise' end",
         "monthly_revenue": "500 + (c_custkey % 97) * 60",
-        "partner_id": "case when c_custkey % 5 != 0 then concat('P', c_custkey % 8) end",
+        # most partners have customers, some customers name a partner that is not there
+        "partner_id": "case when c_custkey % 5 != 0 then concat('P', "
+                      "if(c_custkey % 3 = 0, c_custkey % 1009, c_custkey % 113)) end",
     })
 
 
 def subscriptions(orders: DataFrame) -> DataFrame:
     ended = _day("2019-06-01", "o_orderkey * 13 % 1750 + 60 + o_orderkey % 200")
-    return _project(orders.filter("o_orderkey % 10 = 3"), "subscriptions", {
+    return _project(orders, "subscriptions", {
         "subscription_id": "concat('S', o_orderkey)",
         "customer_id": "concat('C', o_custkey)",
         "plan_type": _pick("o_orderkey % 7 % 3", ["basic", "premium", "enterprise"]),
@@ -86,9 +87,9 @@ def _event_day(offset: str) -> str:
 def leads(events: DataFrame) -> DataFrame:
     key = "(user_id * 10 + event_id % 10)"
     s, q = _EVENT_DAY_SHIFT, "(event_id * 31 % 100)"
-    return _project(events.filter("event_type in ('click', 'error')"), "leads", {
+    return _project(events.filter("event_type in ('click', 'error', 'signup')"), "leads", {
         "lead_id": "concat('L', event_id)",
-        "customer_id": f"concat('C', {key})",
+        "customer_id": f"case when event_id % 61 != 0 then concat('C', {key}) end",
         "country": _market(key),
         "service_type": _pick("event_id % 11 % 4",
                               ["accounting", "tax_advisory", "bookkeeping", "audit"]),
@@ -107,7 +108,10 @@ def invoices(orders: DataFrame) -> DataFrame:
     i = "(o_orderkey % 300)"
     return _project(orders, "invoices", {
         "invoice_id": "concat('INV', o_orderkey)",
-        "customer_id": "concat('C', o_custkey)",
+        # some without a customer, some of a customer that is not there
+        "customer_id": "case when o_orderkey % 53 = 0 then null "
+                       "when o_orderkey % 59 = 0 then concat('C', o_custkey + 900000000) "
+                       "else concat('C', o_custkey) end",
         "issue_date": _day("2023-06-01", i),
         "due_date": _day("2023-06-01", f"{i} + 30"),
         "paid_date": f"case when o_orderstatus = 'F' then "
@@ -131,7 +135,7 @@ def partners(supplier: DataFrame) -> DataFrame:
         "partner_type": "'accounting_firm'",
         "contract_start_date": _day("2017-01-01", "s_suppkey * 29 % 2500"),
         "monthly_fee": "10000 + (s_suppkey % 13) * 1000",
-        "commission_rate": "cast(5 + s_suppkey % 10 as double) / 100",
+        "commission_rate": "cast(500000 + s_suppkey % 10 * 100000 + s_suppkey % 7 as double) / 10000000",
         "status": "case when s_suppkey % 9 = 8 then 'inactive' else 'active' end",
     })
 
@@ -140,7 +144,7 @@ def nps_surveys(events: DataFrame) -> DataFrame:
     key = "(user_id * 10 + event_id % 7)"
     return _project(events.filter("event_type = 'view'"), "nps_surveys", {
         "survey_id": "concat('SV', event_id)",
-        "customer_id": f"concat('C', {key})",
+        "customer_id": f"case when event_id % 67 != 0 then concat('C', {key}) end",
         "survey_date": _event_day(_EVENT_DAY_SHIFT),
         "nps_score": "event_id % 11",
         "csat_score": "1 + event_id % 5",
@@ -184,9 +188,3 @@ def load_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_sources(spark: SparkSession, sf_dir: str) -> dict:
     """All seven source frames (lazy; each is a pruned parquet scan)."""
     return {name: load_source(spark, sf_dir, name) for name in _BUILDERS}
-
-
-def load_seed_sources(spark: SparkSession, seed_dir: str) -> dict:
-    """The seven sources from CSV files ``seed_dir/<name>.csv``."""
-    return {name: read_source(spark, f"{seed_dir}/{name}.csv", name, "csv")
-            for name in _BUILDERS}

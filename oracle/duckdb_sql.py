@@ -51,8 +51,9 @@ SELECT 'C' || CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name
        CASE WHEN c_acctbal < 3000 THEN 'basic' WHEN c_acctbal < 7000 THEN 'premium'
             ELSE 'enterprise' END AS plan_type,
        CAST(500 + (c_custkey % 97) * 60 AS BIGINT) AS monthly_revenue,
-       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'P' || CAST(c_custkey % 8 AS VARCHAR) END
-           AS partner_id
+       CASE WHEN c_custkey % 5 = 0 THEN NULL
+            WHEN c_custkey % 3 = 0 THEN 'P' || CAST(c_custkey % 1009 AS VARCHAR)
+            ELSE 'P' || CAST(c_custkey % 113 AS VARCHAR) END AS partner_id
 FROM customer"""
 
 CTES["src_subscriptions"] = f"""
@@ -73,14 +74,15 @@ SELECT 'S' || CAST(o_orderkey AS VARCHAR) AS subscription_id,
             ELSE ' ' END AS churn_reason,
        CAST(500 + (o_orderkey % 41) * 50 AS BIGINT) AS mrr,
        {_market('o_custkey')} AS country
-FROM orders WHERE o_orderkey % 10 = 3"""
+FROM orders"""
 
 _EV = """SELECT *, CAST(ts AS DATE) AS d0, event_id % 5 % 3 * 30 AS sh,
        event_id * 31 % 100 AS q FROM events"""
 
 CTES["src_leads"] = f"""
 SELECT 'L' || CAST(event_id AS VARCHAR) AS lead_id,
-       'C' || CAST(user_id * 10 + event_id % 10 AS VARCHAR) AS customer_id,
+       CASE WHEN event_id % 61 <> 0 THEN 'C' || CAST(user_id * 10 + event_id % 10 AS VARCHAR) END
+           AS customer_id,
        {_market('user_id * 10 + event_id % 10')} AS country,
        CASE event_id % 11 % 4 WHEN 0 THEN 'accounting' WHEN 1 THEN 'tax_advisory'
             WHEN 2 THEN 'bookkeeping' ELSE 'audit' END AS service_type,
@@ -92,11 +94,13 @@ SELECT 'L' || CAST(event_id AS VARCHAR) AS lead_id,
             WHEN q < 80 THEN ' unassigned' ELSE 'lost' END AS lead_status,
        CASE event_id % 17 % 3 WHEN 0 THEN 'organic' WHEN 1 THEN 'paid' ELSE 'partner' END
            AS lead_source
-FROM ({_EV}) e WHERE event_type IN ('click', 'error')"""
+FROM ({_EV}) e WHERE event_type IN ('click', 'error', 'signup')"""
 
 CTES["src_invoices"] = f"""
 SELECT 'INV' || CAST(o_orderkey AS VARCHAR) AS invoice_id,
-       'C' || CAST(o_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN o_orderkey % 53 = 0 THEN NULL
+            WHEN o_orderkey % 59 = 0 THEN 'C' || CAST(o_custkey + 900000000 AS VARCHAR)
+            ELSE 'C' || CAST(o_custkey AS VARCHAR) END AS customer_id,
        {_d("DATE '2023-06-01'", 'o_orderkey % 300')} AS issue_date,
        {_d("DATE '2023-06-01'", 'o_orderkey % 300 + 30')} AS due_date,
        CASE o_orderstatus
@@ -116,13 +120,15 @@ SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS partner_id, s_name AS partner_name,
        {_market('s_suppkey')} AS country, 'accounting_firm' AS partner_type,
        {_d("DATE '2017-01-01'", 's_suppkey * 29 % 2500')} AS contract_start_date,
        CAST(10000 + (s_suppkey % 13) * 1000 AS BIGINT) AS monthly_fee,
-       CAST(5 + s_suppkey % 10 AS DOUBLE) / 100 AS commission_rate,
+       CAST(500000 + s_suppkey % 10 * 100000 + s_suppkey % 7 AS DOUBLE) / 10000000
+           AS commission_rate,
        CASE WHEN s_suppkey % 9 = 8 THEN 'inactive' ELSE 'active' END AS status
 FROM supplier"""
 
 CTES["src_nps_surveys"] = f"""
 SELECT 'SV' || CAST(event_id AS VARCHAR) AS survey_id,
-       'C' || CAST(user_id * 10 + event_id % 7 AS VARCHAR) AS customer_id,
+       CASE WHEN event_id % 67 <> 0 THEN 'C' || CAST(user_id * 10 + event_id % 7 AS VARCHAR) END
+           AS customer_id,
        {_d('d0', 'sh')} AS survey_date,
        CAST(event_id % 11 AS BIGINT) AS nps_score, CAST(1 + event_id % 5 AS BIGINT) AS csat_score,
        {_market('user_id * 10 + event_id % 7')} AS country,
@@ -218,10 +224,6 @@ FROM (SELECT upsell_id, customer_id, {_dt('upsell_date')} AS upsell_date, from_p
 # multi-grain marts: one typed column list per mart, branches fill a subset
 # --------------------------------------------------------------------------
 
-def _contract(spec: str) -> list:
-    return [tuple(item.split()) for item in spec.split(",")]
-
-
 def _union(contract: list, branches: list) -> str:
     """UNION ALL of branches ``(record_type, from_sql, {column: expression})``."""
     selects = []
@@ -310,8 +312,30 @@ FROM (
        USING (customer_id)
 ) scored"""
 
-CTES["mart_churn"] = _union(_contract(
-    "record_type VARCHAR, month DATE, country VARCHAR, plan_type VARCHAR, churn_reason VARCHAR, total_subscriptions BIGINT, churned_count BIGINT, active_count BIGINT, churned_mrr BIGINT, active_mrr BIGINT, churn_rate_pct DOUBLE, avg_days_to_churn DOUBLE, customer_id VARCHAR, customer_name VARCHAR, segment VARCHAR, mrr BIGINT, nps_score BIGINT, nps_category VARCHAR, is_currently_overdue BOOLEAN, days_overdue BIGINT, risk_score BIGINT, churn_risk_level VARCHAR"), [
+CTES["mart_churn"] = _union([  # fixed names, types and order
+    ("record_type", "VARCHAR"),
+    ("month", "DATE"),
+    ("country", "VARCHAR"),
+    ("plan_type", "VARCHAR"),
+    ("churn_reason", "VARCHAR"),
+    ("total_subscriptions", "BIGINT"),
+    ("churned_count", "BIGINT"),
+    ("active_count", "BIGINT"),
+    ("churned_mrr", "BIGINT"),
+    ("active_mrr", "BIGINT"),
+    ("churn_rate_pct", "DOUBLE"),
+    ("avg_days_to_churn", "DOUBLE"),
+    ("customer_id", "VARCHAR"),
+    ("customer_name", "VARCHAR"),
+    ("segment", "VARCHAR"),
+    ("mrr", "BIGINT"),
+    ("nps_score", "BIGINT"),
+    ("nps_category", "VARCHAR"),
+    ("is_currently_overdue", "BOOLEAN"),
+    ("days_overdue", "BIGINT"),
+    ("risk_score", "BIGINT"),
+    ("churn_risk_level", "VARCHAR"),
+], [
     ("monthly_churn_summary", "monthly_churn", _same(
         "month", "country", "plan_type", "churn_reason", "total_subscriptions",
         "churned_count", "active_count", "churned_mrr", "active_mrr", "churn_rate_pct",
@@ -356,8 +380,25 @@ SELECT e.country, e.segment, {B('count(*)')} AS eligible_count,
 FROM eligible_customers e LEFT JOIN upsold_customers uc ON e.customer_id = uc.customer_id
 GROUP BY 1, 2"""
 
-CTES["mart_upselling"] = _union(_contract(
-    "record_type VARCHAR, month DATE, country VARCHAR, upsell_type VARCHAR, sales_rep VARCHAR, upsell_count BIGINT, total_incremental_revenue BIGINT, avg_incremental_revenue DOUBLE, plan_upgrades BIGINT, add_on_sales BIGINT, upgrade_revenue BIGINT, add_on_revenue BIGINT, segment VARCHAR, eligible_count BIGINT, upsold_count BIGINT, upsell_attach_rate_pct DOUBLE, estimated_upsell_opportunity_mrr DOUBLE"), [
+CTES["mart_upselling"] = _union([  # fixed names, types and order
+    ("record_type", "VARCHAR"),
+    ("month", "DATE"),
+    ("country", "VARCHAR"),
+    ("upsell_type", "VARCHAR"),
+    ("sales_rep", "VARCHAR"),
+    ("upsell_count", "BIGINT"),
+    ("total_incremental_revenue", "BIGINT"),
+    ("avg_incremental_revenue", "DOUBLE"),
+    ("plan_upgrades", "BIGINT"),
+    ("add_on_sales", "BIGINT"),
+    ("upgrade_revenue", "BIGINT"),
+    ("add_on_revenue", "BIGINT"),
+    ("segment", "VARCHAR"),
+    ("eligible_count", "BIGINT"),
+    ("upsold_count", "BIGINT"),
+    ("upsell_attach_rate_pct", "DOUBLE"),
+    ("estimated_upsell_opportunity_mrr", "DOUBLE"),
+], [
     ("monthly_upsell_performance", "monthly_upsell", _same(
         "month", "country", "upsell_type", "sales_rep", "upsell_count",
         "total_incremental_revenue", "avg_incremental_revenue", "plan_upgrades",
@@ -374,7 +415,8 @@ CTES["mart_upselling"] = _union(_contract(
 
 _ACTIVE_MRR = "CASE WHEN is_active THEN mrr ELSE 0 END"
 _MONTHS = f"date_diff('month', start_date, COALESCE(end_date, {AS_OF}))"
-_RATE_MICRO = "CAST(round(commission_rate * 1000000) AS BIGINT)"
+# the rate at the 15 decimal places that a double below 1 holds
+_RATE = "CAST(CAST(commission_rate AS VARCHAR) AS DECIMAL(18,15))"
 
 # customer × subscription × partner rows, aggregated per referring partner
 CTES["partner_revenue_x"] = f"""
@@ -386,8 +428,8 @@ SELECT partner_id,
        {B('sum(mrr)')} AS total_mrr_ever,
        {R(f'sum({_ACTIVE_MRR}) * sum({_MONTHS})', f'count({_ACTIVE_MRR}) * count({_MONTHS})', 2)}
            AS estimated_avg_ltv,
-       CAST(sign(sum({_ACTIVE_MRR})) * ((2 * abs(CAST(sum({_ACTIVE_MRR}) AS HUGEINT)
-            * max({_RATE_MICRO})) + 10000) // 20000) AS BIGINT) AS commission_cents
+       CAST(round(CAST(sum({_ACTIVE_MRR}) AS DECIMAL(20,0)) * max({_RATE}), 2) * 100 AS BIGINT)
+           AS commission_cents
 FROM (SELECT customer_id, partner_id FROM stg_customers)
 JOIN (SELECT customer_id, is_active, is_churned, mrr, start_date, end_date
       FROM stg_subscriptions) USING (customer_id)
@@ -440,16 +482,17 @@ LEFT JOIN partner_leads USING (partner_id)"""
 # debt collection
 # --------------------------------------------------------------------------
 
-CTES["enriched_invoices"] = """
+# The aging buckets.
+_BUCKET = """CASE WHEN days_overdue BETWEEN 1 AND 30 THEN '1-30 days'
+            WHEN days_overdue BETWEEN 31 AND 60 THEN '31-60 days'
+            WHEN days_overdue BETWEEN 61 AND 90 THEN '61-90 days'
+            WHEN days_overdue > 90 THEN '90+ days' ELSE 'current' END"""
+
+CTES["enriched_invoices"] = f"""
 SELECT invoice_id, customer_id, issue_date, due_date, paid_date, amount, currency, status,
        country, CAST(days_overdue AS BIGINT) AS days_overdue, is_currently_overdue,
        customer_name, segment, plan_type, mrr, tenure_days,
-       CASE WHEN NOT COALESCE(is_currently_overdue, false) THEN 'current'
-            WHEN days_overdue > 90 THEN '90+ days'
-            WHEN days_overdue > 60 THEN '61-90 days'
-            WHEN days_overdue > 30 THEN '31-60 days'
-            WHEN days_overdue >= 1 THEN '1-30 days'
-            ELSE 'current' END AS aging_bucket
+       CASE WHEN is_currently_overdue THEN {_BUCKET} ELSE 'current' END AS aging_bucket
 FROM stg_invoices
 LEFT JOIN (SELECT customer_id, customer_name, segment, plan_type, mrr, tenure_days
            FROM stg_customers) USING (customer_id)"""
@@ -486,12 +529,32 @@ SELECT customer_id, customer_name, country, segment, plan_type, mrr,
        {B('max(days_overdue)')} AS max_days_overdue, max(aging_bucket) AS worst_aging_bucket
 FROM enriched_invoices WHERE is_currently_overdue GROUP BY 1, 2, 3, 4, 5, 6"""
 
-_N = "CAST(NULL AS BIGINT)"
-_ND = "CAST(NULL AS DOUBLE)"
-_NS = "CAST(NULL AS VARCHAR)"
-
-CTES["mart_debt_collection"] = _union(_contract(
-    "record_type VARCHAR, month DATE, country VARCHAR, segment VARCHAR, total_invoices BIGINT, total_invoiced BIGINT, overdue_count BIGINT, overdue_amount BIGINT, paid_late_count BIGINT, paid_late_amount BIGINT, paid_ontime_count BIGINT, paid_ontime_amount BIGINT, overdue_rate_pct DOUBLE, recovery_rate_pct DOUBLE, dso_days DOUBLE, avg_days_overdue DOUBLE, aging_bucket VARCHAR, customer_id VARCHAR, customer_name VARCHAR, plan_type VARCHAR, mrr BIGINT, overdue_invoice_count BIGINT, total_overdue_amount BIGINT, max_days_overdue BIGINT"), [
+CTES["mart_debt_collection"] = _union([  # fixed names, types and order
+    ("record_type", "VARCHAR"),
+    ("month", "DATE"),
+    ("country", "VARCHAR"),
+    ("segment", "VARCHAR"),
+    ("total_invoices", "BIGINT"),
+    ("total_invoiced", "BIGINT"),
+    ("overdue_count", "BIGINT"),
+    ("overdue_amount", "BIGINT"),
+    ("paid_late_count", "BIGINT"),
+    ("paid_late_amount", "BIGINT"),
+    ("paid_ontime_count", "BIGINT"),
+    ("paid_ontime_amount", "BIGINT"),
+    ("overdue_rate_pct", "DOUBLE"),
+    ("recovery_rate_pct", "DOUBLE"),
+    ("dso_days", "DOUBLE"),
+    ("avg_days_overdue", "DOUBLE"),
+    ("aging_bucket", "VARCHAR"),
+    ("customer_id", "VARCHAR"),
+    ("customer_name", "VARCHAR"),
+    ("plan_type", "VARCHAR"),
+    ("mrr", "BIGINT"),
+    ("overdue_invoice_count", "BIGINT"),
+    ("total_overdue_amount", "BIGINT"),
+    ("max_days_overdue", "BIGINT"),
+], [
     ("monthly_debt_summary", "debt_summary", _same(
         "month", "country", "segment", "total_invoices", "total_invoiced", "overdue_count",
         "overdue_amount", "paid_late_count", "paid_late_amount", "paid_ontime_count",
@@ -557,8 +620,34 @@ LEFT JOIN (SELECT customer_id, country FROM enriched_surveys) surveyed
        ON surveyed.customer_id = everyone.customer_id
 GROUP BY surveyed.country"""
 
-CTES["mart_customer_satisfaction"] = _union(_contract(
-    "record_type VARCHAR, month DATE, country VARCHAR, segment VARCHAR, plan_type VARCHAR, survey_responses BIGINT, promoters BIGINT, passives BIGINT, detractors BIGINT, nps_score DOUBLE, csat_pct DOUBLE, avg_nps_raw DOUBLE, avg_csat_raw DOUBLE, detractor_mrr_at_risk BIGINT, total_surveyed_mrr BIGINT, customer_id VARCHAR, customer_name VARCHAR, mrr BIGINT, nps_score_raw BIGINT, csat_score_raw BIGINT, comment VARCHAR, is_active BOOLEAN, is_active_detractor BOOLEAN, surveyed_customers BIGINT, active_customers BIGINT, response_rate_pct DOUBLE"), [
+CTES["mart_customer_satisfaction"] = _union([  # fixed names, types and order
+    ("record_type", "VARCHAR"),
+    ("month", "DATE"),
+    ("country", "VARCHAR"),
+    ("segment", "VARCHAR"),
+    ("plan_type", "VARCHAR"),
+    ("survey_responses", "BIGINT"),
+    ("promoters", "BIGINT"),
+    ("passives", "BIGINT"),
+    ("detractors", "BIGINT"),
+    ("nps_score", "DOUBLE"),
+    ("csat_pct", "DOUBLE"),
+    ("avg_nps_raw", "DOUBLE"),
+    ("avg_csat_raw", "DOUBLE"),
+    ("detractor_mrr_at_risk", "BIGINT"),
+    ("total_surveyed_mrr", "BIGINT"),
+    ("customer_id", "VARCHAR"),
+    ("customer_name", "VARCHAR"),
+    ("mrr", "BIGINT"),
+    ("nps_score_raw", "BIGINT"),
+    ("csat_score_raw", "BIGINT"),
+    ("comment", "VARCHAR"),
+    ("is_active", "BOOLEAN"),
+    ("is_active_detractor", "BOOLEAN"),
+    ("surveyed_customers", "BIGINT"),
+    ("active_customers", "BIGINT"),
+    ("response_rate_pct", "DOUBLE"),
+], [
     ("nps_monthly", "nps_monthly", _same(
         "month", "country", "segment", "plan_type", "survey_responses", "promoters",
         "passives", "detractors", "nps_score", "csat_pct", "avg_nps_raw", "avg_csat_raw",
@@ -608,12 +697,8 @@ SELECT country, date_month FROM (
        LATERAL (SELECT unnest(range(0, date_diff('month', b.start_date, b.end_date))) AS n) g
 ) t WHERE date_month <= end_date"""
 
-CTES["aging_bucket"] = """
-SELECT invoice_id, days_overdue,
-       CASE WHEN days_overdue BETWEEN 1 AND 30 THEN '1-30 days'
-            WHEN days_overdue BETWEEN 31 AND 60 THEN '31-60 days'
-            WHEN days_overdue BETWEEN 61 AND 90 THEN '61-90 days'
-            WHEN days_overdue > 90 THEN '90+ days' ELSE 'current' END AS aging_bucket
+CTES["aging_bucket"] = f"""
+SELECT invoice_id, days_overdue, {_BUCKET} AS aging_bucket
 FROM stg_invoices"""
 
 CTES["classify_nps"] = """
@@ -631,36 +716,84 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _check_sql(c) -> str:
-    col, model = c.column, c.model
-    if c.kind == "unique":
-        body = (f"SELECT count(*) FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL "
-                f"GROUP BY {col} HAVING count(*) > 1)")
-    elif c.kind == "not_null":
-        body = f"SELECT count(*) FROM {model} WHERE {col} IS NULL"
-    elif c.kind == "accepted_values":
-        vals = ", ".join(_q(str(v)) for v in c.values)
-        where = f"WHERE {c.where}" if c.where else ""
-        body = (f"SELECT count(*) FROM (SELECT {col} AS v FROM {model} {where} GROUP BY {col}) "
-                f"x WHERE CAST(v AS VARCHAR) NOT IN ({vals})")
-    elif c.kind == "relationships":
-        body = (f"SELECT count(*) FROM {model} ch LEFT JOIN {c.parent} pa "
-                f"ON ch.{col} = pa.{c.parent_column} "
-                f"WHERE ch.{col} IS NOT NULL AND pa.{c.parent_column} IS NULL")
-    else:  # between
-        conds = []
-        if c.min_value is not None:
-            conds.append(f"{col} {'>' if c.strictly else '>='} {c.min_value}")
-        if c.max_value is not None:
-            conds.append(f"{col} {'<' if c.strictly else '<='} {c.max_value}")
-        body = f"SELECT count(*) FROM {model} WHERE NOT ({' AND '.join(conds)})"
-    return (f"SELECT {_q(model)} AS model, {_q(col)} AS column_name, {_q(c.kind)} AS check_name, "
-            f"CAST(({body}) AS BIGINT) AS failures")
+# The declared checks, by model and kind.  not_null and unique name
+# columns; accepted values give a column and its list; ranges a condition that holds.
+_COUNTRIES = "'DK', 'NO', 'SE', 'DE', 'NL', 'US'"
+_PLANS = "'basic', 'premium', 'enterprise'"
+_NOT_NULL = {
+    "stg_customers": ["customer_id", "customer_name", "country", "segment", "plan_type", "mrr"],
+    "stg_subscriptions": ["subscription_id", "customer_id", "plan_type", "mrr", "is_active", "is_churned"],
+    "stg_leads": ["lead_id", "customer_id", "country", "is_converted"],
+    "stg_invoices": ["invoice_id", "customer_id", "amount"],
+    "stg_partners": ["partner_id", "commission_rate"],
+    "stg_nps_surveys": ["survey_id", "customer_id", "nps_score", "csat_score"],
+    "stg_upsell_events": ["upsell_id", "customer_id", "incremental_revenue"],
+    "mart_supply_demand": ["country", "month"],
+    "mart_churn": ["record_type"],
+    "mart_upselling": ["record_type"],
+    "mart_roi_partnerships": ["partner_id"],
+    "mart_debt_collection": ["record_type"],
+    "mart_customer_satisfaction": ["record_type"],
+}
+_UNIQUE = {
+    "stg_customers": "customer_id",
+    "stg_subscriptions": "subscription_id",
+    "stg_leads": "lead_id",
+    "stg_invoices": "invoice_id",
+    "stg_partners": "partner_id",
+    "stg_nps_surveys": "survey_id",
+    "stg_upsell_events": "upsell_id",
+    "mart_roi_partnerships": "partner_id",
+}
+_ACCEPTED = [
+    ("stg_customers", "country", _COUNTRIES),
+    ("stg_customers", "segment", "'SMB', 'MID', 'ENT'"),
+    ("stg_customers", "plan_type", _PLANS),
+    ("stg_subscriptions", "plan_type", _PLANS),
+    ("stg_subscriptions", "churn_reason", "'price_too_high', 'competitor', 'not_using'"),
+    ("stg_leads", "country", _COUNTRIES),
+    ("stg_leads", "lead_status", "'converted', 'pending', 'unassigned', 'lost'"),
+    ("stg_invoices", "status", "'paid', 'overdue', 'paid_late'"),
+    ("stg_partners", "status", "'active', 'inactive'"),
+    ("stg_nps_surveys", "nps_category", "'promoter', 'passive', 'detractor'"),
+    ("stg_upsell_events", "upsell_type", "'plan_upgrade', 'add_on_sale', 'unknown'"),
+    ("mart_churn", "record_type", "'monthly_churn_summary', 'at_risk_customer'"),
+    ("mart_upselling", "record_type", "'monthly_upsell_performance', 'attach_rate_by_segment'"),
+    ("mart_debt_collection", "record_type",
+     "'monthly_debt_summary', 'aging_breakdown', 'high_risk_debtors'"),
+    ("mart_customer_satisfaction", "record_type",
+     "'nps_monthly', 'detractor_detail', 'response_rate'"),
+]
+_CUSTOMERS_OF = ["stg_subscriptions", "stg_invoices", "stg_upsell_events"]
+_RANGES = [
+    ("stg_customers", "mrr", "mrr > 0"),
+    ("stg_invoices", "amount", "amount > 0"),
+    ("stg_partners", "commission_rate", "commission_rate >= 0 AND commission_rate <= 1"),
+    ("stg_nps_surveys", "nps_score", "nps_score >= 0 AND nps_score <= 10"),
+    ("stg_nps_surveys", "csat_score", "csat_score >= 1 AND csat_score <= 5"),
+    ("stg_upsell_events", "incremental_revenue", "incremental_revenue >= 0"),
+    ("mart_supply_demand", "conversion_rate_pct",
+     "conversion_rate_pct >= 0 AND conversion_rate_pct <= 100"),
+]
+
+
+def _checks() -> list:
+    """(model, column, kind, SQL that counts its failures) of every declared check."""
+    out = [(m, c, "not_null", f"SELECT count(*) FROM {m} WHERE {c} IS NULL")
+           for m, columns in _NOT_NULL.items() for c in columns]
+    out += [(m, c, "unique", f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+             f"GROUP BY {c} HAVING count(*) > 1)") for m, c in _UNIQUE.items()]
+    out += [(m, c, "accepted_values", f"SELECT count(DISTINCT {c}) FROM {m} WHERE {c} NOT IN ({values})")
+            for m, c, values in _ACCEPTED]
+    out += [(m, "customer_id", "relationships", f"SELECT count(*) FROM {m} WHERE customer_id IS NOT NULL "
+             "AND customer_id NOT IN (SELECT customer_id FROM stg_customers)") for m in _CUSTOMERS_OF]
+    return out + [(m, c, "between", f"SELECT count(*) FROM {m} WHERE NOT ({holds})") for m, c, holds in _RANGES]
 
 
 def _dq_sql(kinds) -> str:
-    from kpiloom.operators.quality import ALL_CHECKS
-    return "\nUNION ALL\n".join(_check_sql(c) for c in ALL_CHECKS if c.kind in kinds)
+    return "\nUNION ALL\n".join(
+        f"SELECT {_q(m)} AS model, {_q(c)} AS column_name, {_q(kind)} AS check_name, "
+        f"CAST(({body}) AS BIGINT) AS failures" for m, c, kind, body in _checks() if kind in kinds)
 
 
 CTES["dq_unique"] = _dq_sql({"unique"})
@@ -670,6 +803,31 @@ CTES["dq_relationships"] = _dq_sql({"relationships"})
 CTES["dq_between"] = _dq_sql({"between"})
 CTES["dq_suite"] = _dq_sql({"unique", "not_null", "accepted_values", "relationships", "between"})
 
+# an empty field of a CSV file is null, whatever was written
+CTES["read_source_csv"] = """
+SELECT * REPLACE (NULLIF(assigned_at, '') AS assigned_at, NULLIF(converted_at, '') AS converted_at)
+FROM src_leads"""
+
+CTES["read_source_parquet"] = "SELECT * FROM src_invoices"
+
+CTES["dq_failing_unique"] = """
+SELECT customer_id, count(*) AS n_records FROM stg_invoices
+WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1"""
+
+CTES["dq_failing_not_null"] = """
+SELECT invoice_id, country, amount FROM stg_invoices WHERE customer_id IS NULL"""
+
+CTES["dq_failing_accepted_values"] = """
+SELECT lead_status AS value_field, count(*) AS n_records FROM src_leads
+WHERE lead_status NOT IN ('converted', 'pending', 'unassigned') GROUP BY lead_status"""
+
+CTES["dq_failing_relationships"] = """
+SELECT invoice_id, customer_id FROM stg_invoices ANTI JOIN stg_customers USING (customer_id)
+WHERE customer_id IS NOT NULL"""
+
+CTES["dq_failing_between"] = """
+SELECT survey_id, nps_score FROM stg_nps_surveys WHERE nps_score <= 2 OR nps_score >= 9"""
+
 # Helper CTEs that are not queries of their own.
 _INTERNAL = {"partner_revenue_x", "active_subscriptions", "overdue_invoices", "risk_base"}
 
