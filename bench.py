@@ -21,7 +21,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -30,10 +29,10 @@ sys.path.insert(0, ROOT)
 from kpiloom.config import DEFAULT_AS_OF  # noqa: E402
 from kpiloom.operators import quality  # noqa: E402
 from kpiloom.plans.marts import (  # noqa: E402
-    MART_NAMES, STAGING_NAMES, build_mart, checkpoint_dir,
+    MART_NAMES, STAGING_NAMES, build_mart,
 )
 from kpiloom.plans.registry import staged  # noqa: E402
-from kpiloom.session import local_session  # noqa: E402
+from kpiloom.session import local_session, shared_dir  # noqa: E402
 
 
 def main() -> None:
@@ -41,9 +40,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus=cpus, shuffle_partitions=max(8, 2 * cpus), app="kpiloom-bench")
-    shared = checkpoint_dir(spark)  # the cluster's shared folder; local runs use a temp dir
-    out = (f"{shared.rstrip('/')}/kpiloom-bench" if shared
-           else tempfile.mkdtemp(prefix="kpiloom-bench-"))
+    out = f"{shared_dir(spark)}/kpiloom-bench"
 
     st = staged(spark, sf_dir)  # lazy staged plans at DEFAULT_AS_OF, shared by every mart
     jobs = {name: (lambda name=name: build_mart(name, st, as_of=DEFAULT_AS_OF))

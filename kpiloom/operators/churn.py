@@ -9,9 +9,7 @@ from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.functions.kpi import (
     as_of_column, day_diff, month_start, round_ratio_sql, sql_exprs,
 )
-from kpiloom.operators.joins import (
-    DEFAULT_HOT_ROWS, any_rows, hot_keys, side_counts, split_join,
-)
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join, hot_keys
 from kpiloom.operators.union import conform, union_records
 
 
@@ -42,15 +40,15 @@ def _risk_score_sql(cfg: KpiConfig) -> str:
 
 
 def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame,
-                      cfg: KpiConfig = DEFAULT_CONFIG, as_of=None,
+                      cfg: KpiConfig = DEFAULT_CONFIG, as_of=None, hot: DataFrame = None,
                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Customers with an active subscription, every survey and overdue invoice.
 
     Grain: customer × active subscription × survey × currently overdue invoice
-    (left joins, no de-duplication).  When a customer has more than ``hot_rows``
-    rows on a side, the many-to-many join is split into cells
-    (:func:`~kpiloom.operators.joins.split_join`), so its product is spread over
-    many tasks instead of one; otherwise the joins stay plain and co-partitioned.
+    (left joins, no de-duplication).  ``hot`` names the customers whose product is
+    split over many tasks, with their counts ``n_active``, ``n_surveys`` and
+    ``n_overdue`` (:func:`kpiloom.plans.marts.find_hot_customers`); without it the
+    joins stay plain and co-partitioned.
     """
     today = as_of_column(as_of)
     key = "customer_id"
@@ -62,22 +60,12 @@ def at_risk_customers(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: Da
                           F.col("survey_date").alias("last_survey_date"))
     overdue = (inv.filter(F.col("is_currently_overdue"))
                .select(key, "is_currently_overdue", "days_overdue"))
-    # Split sizes come from the narrow base tables; they only balance the work
-    # (both sides read the same sizes), so the result is exact either way.  One
-    # small job finds whether either join has a hot customer at all.
-    joined = base.join(surveys, key, "left").join(overdue, key, "left")
-    if hot_rows is not None:
-        # per customer: active subscriptions (_n0), surveys (_n1), overdue
-        # invoices (_n2) — one aggregate; the first join's left side is sized
-        # by active subscriptions, the second's by subscriptions × surveys
-        counts = side_counts(key, active, surveys, overdue)
-        hot1 = hot_keys(counts, key, "_n0", "_n1", hot_rows)
-        hot2 = hot_keys(counts, key, "_n0 * greatest(_n1, 1)", "_n2", hot_rows)
-        if any_rows([hot1, hot2]):
-            step = (split_join(base, surveys, key, "left", hot1, hot_rows)
-                    if any_rows([hot1]) else base.join(surveys, key, "left"))
-            joined = (split_join(step, overdue, key, "left", hot2, hot_rows)
-                      if any_rows([hot2]) else step.join(overdue, key, "left"))
+    # subscriptions meet surveys, and their product meets overdue invoices
+    grids = (None, None) if hot is None else (
+        hot_keys(hot, key, "n_active", "n_surveys", hot_rows),
+        hot_keys(hot, key, "n_active * greatest(n_surveys, 1)", "n_overdue", hot_rows))
+    joined = fanout_join(base, surveys, key, "left", grids[0], hot_rows)
+    joined = fanout_join(joined, overdue, key, "left", grids[1], hot_rows)
     return (joined
             .selectExpr("customer_id", "customer_name", "country", "segment", "plan_type",
                         "mrr", "start_date", "subscription_tenure_days", "nps_score",
@@ -100,11 +88,11 @@ MART_CHURN_COLUMNS = [
 
 
 def mart_churn(cust: DataFrame, subs: DataFrame, surv: DataFrame, inv: DataFrame,
-               cfg: KpiConfig = DEFAULT_CONFIG, as_of=None,
+               cfg: KpiConfig = DEFAULT_CONFIG, as_of=None, hot: DataFrame = None,
                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     monthly = conform(monthly_churn(subs, as_of), MART_CHURN_COLUMNS,
                       record_type="'monthly_churn_summary'")
-    risk = at_risk_customers(cust, subs, surv, inv, cfg, as_of, hot_rows)
+    risk = at_risk_customers(cust, subs, surv, inv, cfg, as_of, hot, hot_rows)
     risk = conform(risk, MART_CHURN_COLUMNS,
                    record_type="'at_risk_customer'", active_mrr="mrr")
     return union_records([monthly, risk])

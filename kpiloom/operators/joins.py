@@ -1,160 +1,135 @@
-"""Join helpers for many-to-many (fan-out) equi-joins on one key.
+"""Many-to-many (fan-out) equi-joins on one key, with the hot keys split.
 
 Several KPI grains are products per customer (subscriptions × surveys ×
 overdue invoices).  A plain sort-merge join emits the whole product of one key
 from one task, and AQE's skew handling cannot split the right side of a left
 outer join, so a customer holding a third of the surveys would stall the job.
 
-:func:`fanout_join` decides per join:
-
-1. **Measure.**  Rows per key on both sides in one aggregate over their
-   tagged key columns, filtered into the hot-key table: keys with more than
-   ``hot_rows`` rows on a side.  It has at most ``rows / hot_rows`` entries.
-   Finding whether it is empty is one small job over the key columns.
-2. **No hot key** (the usual case): the plain join, which keeps the inputs'
-   partitioning on the key, so a chain of joins on one key shuffles each input
-   once.
-3. **Hot keys**: :func:`split_join`.  A key with ``L`` left and ``R`` right rows
-   is cut into ``ceil(L/hot_rows) × ceil(R/hot_rows)`` cells; every left row
-   takes a slice from a deterministic hash of its columns and is copied to each
-   right slice, and vice versa, and the join runs on ``(key, left slice, right
-   slice)`` — no task emits more than ``hot_rows²`` pairs of one key.  Cold
-   keys keep slice (0, 0).  Identical rows are collapsed into counted pieces
-   first, so a key made of copies of one row spreads as well.  In a left join
-   a key may be hot on the left only (no right rows): its left rows are
-   spread and keep their null-padded output; for a hot key that has right
-   rows, a null-padded row only means "this cell was empty" and is dropped.
-   The hot-key table reaches the sides through joins that AQE turns into
-   broadcasts only once it has measured the table.
-
-The output is exactly the plain join in every case.  The slice hash is of the
-row contents, so a recomputed partition lands in the same cells after an
-executor loss.
+Nothing here runs a Spark job: the plans stay lazy.  Which keys are hot is
+found by an explicit step (:func:`side_counts` and :func:`hot_keys`; for the
+marts :func:`kpiloom.plans.marts.find_hot_customers`), saved, and handed to
+:func:`fanout_join` as a frame.  Without it the join is the plain join.
+
+With hot keys a join is two joins over disjoint rows:
+
+* **Cold rows** (and null keys) are joined plainly.  Null keys match nothing;
+  a salt in the join key spreads them, which the plain join cannot.
+* **Hot rows** go through a grid.  A key with ``L`` left and ``R`` right rows is
+  cut into ``ceil(L/hot_rows) × ceil(R/hot_rows)`` cells; a row takes a slice
+  from a hash of its columns and is copied to the other side's slices, and the
+  join runs on ``(key, left slice, right slice)``, so that no cell emits more
+  than about ``hot_rows²`` pairs.  Both sides are dealt out by an explicit
+  ``repartition`` and the join is held to a sort-merge join: adaptive execution
+  then neither merges cells into one task nor replaces the exchange by a
+  broadcast of a small side, which would leave the cells where the key was.
+
+Identical rows of a hot key are collapsed to counted pieces first, so a key
+made of copies of one row spreads as well.  The slice is a hash of the row's
+contents, so a recomputed partition lands in the same cells after an executor
+loss.  The output is exactly the plain join.
 """
 
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key on one side that one cell may hold.  A cell, and a key below
+# Rows of one key on one side that one cell may hold: a cell, and a key below
 # the threshold, emits at most 5,000² = 25M pairs from one task; a typical
 # customer (tens of surveys, a few invoices) stays far below it.
 DEFAULT_HOT_ROWS = 5_000
 
+# Over how many join keys null-keyed rows are dealt out.
+_NULL_SALTS = 1024
+
 
-def side_counts(key: str, *sides: DataFrame) -> DataFrame:
-    """Rows per key on each side in one aggregation: ``(key, _n0, _n1, …)``.
+def side_counts(key: str, **sides: DataFrame) -> DataFrame:
+    """Rows per (non-null) key of each named side, in one aggregation.
 
     The sides' key columns are tagged and unioned, so all counts come from a
     single partial + final aggregate (one shuffle of key columns only).
     """
     tagged = None
-    for i, df in enumerate(sides):
-        part = df.select(key, F.lit(i).alias("_side"))
+    for name, df in sides.items():
+        part = df.filter(F.col(key).isNotNull()).select(key, F.lit(name).alias("_side"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    return tagged.groupBy(key).agg(*[F.count_if(F.col("_side") == i).alias(f"_n{i}")
-                                     for i in range(len(sides))])
+    return tagged.groupBy(key).agg(*[F.count_if(F.col("_side") == name).alias(name)
+                                     for name in sides])
 
 
 def hot_keys(counts: DataFrame, key: str, left_n: str, right_n: str,
-             hot_rows: int, how: str = "left") -> DataFrame:
-    """``(key, _fj_lb, _fj_rb)`` for every key with left rows and more than
-    ``hot_rows`` rows on one side; ``left_n`` / ``right_n`` are SQL expressions
-    over ``counts`` giving the rows per key of each side.  For a left join a
-    key may have no right rows at all (``_fj_rb = 0``): its left rows are still
-    spread, and keep their null-padded output."""
-    both = "AND _fj_rn > 0 " if how == "inner" else ""
+             hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """``(key, _fj_lb, _fj_rb)``, the grid of every key with left rows and more than
+    ``hot_rows`` rows on one side; ``left_n`` / ``right_n`` are SQL expressions over
+    ``counts`` giving the rows per key of each side.  At most rows / hot_rows keys."""
     return (counts
             .selectExpr(key, f"{left_n} AS _fj_ln", f"COALESCE({right_n}, 0) AS _fj_rn")
-            .filter(f"_fj_ln > 0 {both}AND (_fj_ln > {hot_rows} OR _fj_rn > {hot_rows})")
+            .filter(f"_fj_ln > 0 AND (_fj_ln > {hot_rows} OR _fj_rn > {hot_rows})")
             .selectExpr(key, f"CAST(ceil(_fj_ln / {hot_rows}) AS BIGINT) AS _fj_lb",
-                        f"CAST(ceil(_fj_rn / {hot_rows}) AS BIGINT) AS _fj_rb"))
-
-
-def any_rows(frames: Iterable[DataFrame]) -> bool:
-    """True when any frame has a row (one small job for all of them)."""
-    frames = [f.select(F.lit(1).alias("_any")) for f in frames]
-    if not frames:
-        return False
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
-    return not union.isEmpty()
-
-
-def split_join(left: DataFrame, right: DataFrame, key: str, how: str,
-               hot: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """The join with every key of ``hot`` split into a grid of cells.
-
-    ``hot`` must come from :func:`hot_keys` over the right side's own counts:
-    ``_fj_rb`` is then 0 exactly for keys without right rows.
-
-    Identical rows are first collapsed to ``(row, copies)`` (map-side, so a
-    third of the table being copies of one row costs one row per task) and the
-    copies cut into pieces of at most ``hot_rows``; the piece number enters the
-    slice hash, so copies spread over cells like distinct rows.  After the join
-    every matched pair is expanded back to ``left copies × right copies`` rows.
-    Which slice a row takes never changes the result — the other side is
-    copied to every slice along that axis — so the output is the plain join.
-    """
-
-    def pieces(df: DataFrame, copies: str, piece: str) -> DataFrame:
-        cols = [f"`{c}`" for c in df.columns]
-        return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_fj_c"))
-                .selectExpr(*cols, "_fj_c",
-                            f"explode(sequence(0L, (_fj_c - 1) div {hot_rows})) AS {piece}")
-                .selectExpr(*cols, piece,
-                            f"least({hot_rows}L, _fj_c - {piece} * {hot_rows}) AS {copies}"))
-
-    def spread(df: DataFrame, data_cols, own: str, other: str, own_slice: str,
-               other_slice: str, flag: str) -> DataFrame:
-        # one projection per side: own slice from a row hash, copies over the other's
-        cols = [f"`{c}`" for c in df.columns]
-        hashed = ", ".join(f"`{c}`" for c in data_cols)
-        return (df.join(hot, key, "left")
-                .selectExpr(*cols,
-                            f"CASE WHEN {own} IS NULL THEN 0L "
-                            f"ELSE pmod(xxhash64({hashed}), {own}) END AS {own_slice}",
-                            f"explode(CASE WHEN {other} IS NULL OR {other} = 0 "
-                            f"THEN array(0L) ELSE sequence(0L, {other} - 1) END) "
-                            f"AS {other_slice}",
-                            flag))
-
-    lcols, rcols = list(left.columns), [c for c in right.columns if c != key]
-    # a null-padded row of a hot key with right rows only means "empty cell"
-    lside = spread(pieces(left, "_fj_lc", "_fj_lp"), lcols + ["_fj_lp"],
-                   "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs",
-                   "COALESCE(_fj_rb > 0, false) AS _fj_hot")
-    rside = spread(pieces(right, "_fj_rc", "_fj_rp"), [key] + rcols + ["_fj_rp"],
-                   "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls", "true AS _fj_match")
-    out = lside.join(rside, [key, "_fj_ls", "_fj_rs"], how)
+                        f"greatest(CAST(ceil(_fj_rn / {hot_rows}) AS BIGINT), 1L) AS _fj_rb"))
+
+
+def _pieces(df: DataFrame, hot_rows: int, copies: str, piece: str) -> DataFrame:
+    """Identical rows as pieces of at most ``hot_rows`` copies."""
+    cols = [f"`{c}`" for c in df.columns]
+    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_fj_c"))
+            .selectExpr(*cols, "_fj_c", f"explode(sequence(0L, (_fj_c - 1) div {hot_rows})) AS {piece}")
+            .selectExpr(*cols, piece, f"least({hot_rows}L, _fj_c - {piece} * {hot_rows}) AS {copies}"))
+
+
+def _grid(left: DataFrame, right: DataFrame, key: str, how: str, hot: DataFrame,
+          hot_rows: int) -> DataFrame:
+    """The join of the rows whose key is in ``hot``, in cells."""
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df, names, extra, copies, piece, own, other, own_slice, other_slice):
+        cols = [f"`{c}`" for c in names]
+        return (_pieces(df, hot_rows, copies, piece)
+                .selectExpr(*cols, *extra, copies,
+                            f"pmod(xxhash64({', '.join(cols)}, {piece}), {own}) AS {own_slice}",
+                            f"explode(sequence(0L, {other} - 1)) AS {other_slice}")
+                .repartition(partitions, key, "_fj_ls", "_fj_rs"))
+
+    cells = [key, "_fj_ls", "_fj_rs"]
+    lrows, rrows = left.join(hot, key), right.join(hot, key)
+    # whether the key has any right row: an empty cell is no unmatched row then
+    flag = []
     if how == "left":
-        out = out.filter(~F.col("_fj_hot") | F.col("_fj_match").isNotNull())
-    return (out.selectExpr(*[f"`{c}`" for c in lcols + rcols],
-                           "explode(sequence(1L, _fj_lc * COALESCE(_fj_rc, 1L))) AS _fj_k")
-            .drop("_fj_k"))
+        lrows = lrows.join(rrows.select(key, F.lit(True).alias("_fj_any")).distinct(), key, "left")
+        flag = ["_fj_any"]
+    lside = dealt(lrows, left.columns, flag, "_fj_lc", "_fj_lp", "_fj_lb", "_fj_rb", "_fj_ls", "_fj_rs")
+    rside = dealt(rrows, right.columns, [], "_fj_rc", "_fj_rp", "_fj_rb", "_fj_lb", "_fj_rs", "_fj_ls")
+    out_cols = left.columns + [c for c in right.columns if c != key]
+    out = lside.join(rside.hint("merge"), cells, how)
+    if how == "left":  # keys without right rows are padded in one column of cells
+        out = out.filter("_fj_rc IS NOT NULL OR (_fj_any IS NULL AND _fj_rs = 0)")
+    return (out.selectExpr(*[f"`{c}`" for c in out_cols],
+                           "explode(sequence(1L, _fj_lc * COALESCE(_fj_rc, 1L))) AS _fj_k").drop("_fj_k"))
 
 
 def fanout_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS, left_keys: DataFrame = None) -> DataFrame:
-    """``left.join(right, key, how)`` for ``how`` in {inner, left}, hot keys split.
-
-    Column names other than ``key`` must be distinct between the sides.
-    ``left_keys`` may stand in for ``left`` when counting rows per key (a
-    cheaper frame with about the same keys, e.g. the table before a lookup
-    join); it only sizes the split, so an estimate is fine.  The right side is
-    always counted itself: a left join drops the empty cells of a hot key on
-    the grounds that the key has right rows.  ``hot_rows=None`` skips the check.
+                hot: DataFrame = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """``left.join(right, key, how)`` for ``how`` in {inner, left}; the keys of ``hot``
+    (from :func:`hot_keys`, best saved before) go through the grid.
+
+    Column names other than ``key`` must be distinct between the sides.  The
+    counts behind ``hot`` only size the grid, so an estimate is fine.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"fanout_join supports inner and left joins, not {how!r}")
-    if hot_rows is None:
-        return left.join(right, key, how)
-    counts = side_counts(key, left_keys if left_keys is not None else left, right)
-    hot = hot_keys(counts, key, "_n0", "_n1", hot_rows, how)
-    if not any_rows([hot]):
+    if hot is None:
         return left.join(right, key, how)
-    return split_join(left, right, key, how, hot, hot_rows)
+    names = hot.select(key)
+    out_cols = left.columns + [c for c in right.columns if c != key]
+    if how == "left":  # the salt is part of the key from the first join on
+        hashed = ", ".join(f"`{c}`" for c in left.columns)
+        # zero for every key, but not as a literal: the optimiser would take that
+        # out of the join key again
+        on, zero = [key, "_fj_null"], F.xxhash64(key) % 1
+        cold = left.withColumn("_fj_null", F.expr(
+            f"IF(`{key}` IS NULL, 1 + pmod(xxhash64({hashed}), {_NULL_SALTS}), 0L)"))
+        cold = (cold.join(names.withColumn("_fj_null", zero), on, "left_anti")
+                .join(right.withColumn("_fj_null", zero), on, "left"))
+    else:
+        cold = left.filter(F.col(key).isNotNull()).join(names, key, "left_anti").join(right, key)
+    return cold.select(*out_cols).unionByName(_grid(left, right, key, how, hot, hot_rows))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.kpi import flag_value, month_start, round_ratio, round_ratio_sql, sql_exprs
-from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join
+from kpiloom.functions.kpi import month_start, round_ratio_sql, sql_exprs
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, fanout_join, hot_keys
 from kpiloom.operators.union import conform, union_records
 
 
@@ -18,17 +18,18 @@ def _surveys_with_customer(surv: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def enriched_surveys(surv: DataFrame, cust: DataFrame, subs: DataFrame,
-                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                     hot: DataFrame = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Surveys ⟕ customers ⟕ active subscriptions.
 
     Market, segment, plan and MRR come from the customer; ``is_active`` is true
-    or null, and a survey repeats once per active subscription of its customer
-    (a many-to-many join, split per hot customer by :func:`fanout_join`).
+    or null, and a survey repeats once per active subscription of its customer, a
+    many-to-many join in which the customers of ``hot`` (counts ``n_surveys`` and
+    ``n_active``) are split.
     """
     key = "customer_id"
     active = subs.filter(F.col("is_active")).select(key, "is_active")
-    return (fanout_join(_surveys_with_customer(surv, cust), active, key, "left", hot_rows,
-                        left_keys=surv)
+    grid = None if hot is None else hot_keys(hot, key, "n_surveys", "n_active", hot_rows)
+    return (fanout_join(_surveys_with_customer(surv, cust), active, key, "left", grid, hot_rows)
             .select("survey_id", "customer_id", "survey_date", "nps_score", "csat_score",
                     "nps_category", "is_satisfied", "comment", "customer_name", "country",
                     "segment", "plan_type", "mrr", "is_active"))
@@ -79,37 +80,15 @@ def nps_monthly(surv: DataFrame, cust: DataFrame, subs: DataFrame) -> DataFrame:
                 f"sum(_n * {w} * mrr) AS total_surveyed_mrr")))
 
 
-def nps_monthly_from_enriched(enriched: DataFrame) -> DataFrame:
-    """The same aggregate read directly off the enriched (fanned-out) rows."""
-    cat = F.col("nps_category")
-    total = F.count(F.lit(1))
-    promoters, detractors = F.count_if(cat == "promoter"), F.count_if(cat == "detractor")
-    nps, csat = F.col("nps_score"), F.col("csat_score")
-    return (enriched
-            .withColumn("month", month_start("survey_date"))
-            .groupBy("month", "country", "segment", "plan_type")
-            .agg(total.alias("survey_responses"),
-                 promoters.alias("promoters"),
-                 F.count_if(cat == "passive").alias("passives"),
-                 detractors.alias("detractors"),
-                 round_ratio(promoters - detractors, total, 1, 100).alias("nps_score"),
-                 round_ratio(F.count_if(F.col("is_satisfied")), total, 1, 100).alias("csat_pct"),
-                 round_ratio(F.sum(nps), F.count(nps), 2).alias("avg_nps_raw"),
-                 round_ratio(F.sum(csat), F.count(csat), 2).alias("avg_csat_raw"),
-                 F.sum(flag_value(cat == "detractor", F.col("mrr")))
-                 .alias("detractor_mrr_at_risk"),
-                 F.sum("mrr").alias("total_surveyed_mrr")))
-
-
 def detractor_detail(surv: DataFrame, cust: DataFrame, subs: DataFrame,
-                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                     hot: DataFrame = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Detractor responses; ``is_active_detractor`` is true or null (three-valued).
 
     The detractor filter reads a survey column, so it runs before the joins
     and only detractor surveys take part in the fan-out.
     """
     detractors = surv.filter(F.col("nps_category") == "detractor")
-    return detractor_rows(enriched_surveys(detractors, cust, subs, hot_rows))
+    return detractor_rows(enriched_surveys(detractors, cust, subs, hot, hot_rows))
 
 
 def detractor_rows(enriched: DataFrame) -> DataFrame:
@@ -120,24 +99,20 @@ def detractor_rows(enriched: DataFrame) -> DataFrame:
                     (detractor & F.col("is_active")).alias("is_active_detractor")))
 
 
-def response_rate(cust: DataFrame, surv: DataFrame,
-                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def response_rate(cust: DataFrame, surv: DataFrame) -> DataFrame:
     """Distinct surveyed customers over distinct customers, by survey-side market.
 
     A survey's market is its customer's market, so a customer row lands in its
     own market when its id has any survey, and in the null market otherwise
     (with duplicated customer ids this still gives each id the markets of all
-    its rows, as the row-level join does).  Surveys are reduced to their
-    distinct customer ids before the join — no per-survey fan-out — and the
-    distinct (market, customer, surveyed) rows then count with plain counts.
-    The join reuses the surveyed ids' aggregate partitioning, where AQE cannot
-    split a key, so a customer id repeated across many rows goes through
-    :func:`fanout_join`.
+    its rows, as the row-level join does).  Both sides are reduced to distinct
+    rows before the join, map-side first, so neither many surveys nor many rows
+    of one customer reach it, and the distinct (market, customer, surveyed) rows
+    then count with plain counts.
     """
-    surveyed = surv.select("customer_id").distinct().selectExpr("customer_id",
-                                                                "true AS _surveyed")
-    rows = (fanout_join(cust.select("customer_id", "country"), surveyed, "customer_id",
-                        "left", hot_rows)
+    surveyed = (surv.filter("customer_id IS NOT NULL").select("customer_id").distinct()
+                .selectExpr("customer_id", "true AS _surveyed"))
+    rows = (cust.select("customer_id", "country").distinct().join(surveyed, "customer_id", "left")
             .selectExpr("IF(_surveyed, country, NULL) AS country", "customer_id",
                         "IF(_surveyed, customer_id, NULL) AS _sv_id")
             .distinct())
@@ -164,14 +139,14 @@ MART_SATISFACTION_COLUMNS = [
 
 
 def mart_customer_satisfaction(surv: DataFrame, cust: DataFrame, subs: DataFrame,
-                               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                               hot: DataFrame = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     monthly = conform(nps_monthly(surv, cust, subs), MART_SATISFACTION_COLUMNS,
                       record_type="'nps_monthly'")
-    detail = conform(detractor_detail(surv, cust, subs, hot_rows), MART_SATISFACTION_COLUMNS,
+    detail = conform(detractor_detail(surv, cust, subs, hot, hot_rows), MART_SATISFACTION_COLUMNS,
                      record_type="'detractor_detail'", detractor_mrr_at_risk="mrr",
                      total_surveyed_mrr="mrr", nps_score_raw="nps_score",
                      csat_score_raw="csat_score", nps_score="NULL")
-    rate = conform(response_rate(cust, surv, hot_rows), MART_SATISFACTION_COLUMNS,
+    rate = conform(response_rate(cust, surv), MART_SATISFACTION_COLUMNS,
                    record_type="'response_rate'",
                    survey_responses="surveyed_customers")
     return union_records([monthly, detail, rate])

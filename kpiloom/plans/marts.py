@@ -11,7 +11,7 @@ from kpiloom.config import DEFAULT_CONFIG, KpiConfig
 from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
-from kpiloom.operators.joins import DEFAULT_HOT_ROWS
+from kpiloom.operators.joins import DEFAULT_HOT_ROWS, side_counts
 from kpiloom.sources.io import register, write_mart
 
 MART_NAMES = ("mart_supply_demand", "mart_churn", "mart_upselling", "mart_roi_partnerships",
@@ -32,16 +32,35 @@ MART_ORDER = {
 }
 
 
+def find_hot_customers(st: Dict[str, DataFrame], path: str,
+                       hot_rows: int = DEFAULT_HOT_ROWS) -> Optional[DataFrame]:
+    """The customers whose joins need splitting, found in one pass over the narrow
+    key columns of the staged tables and saved at ``path`` (shared storage).
+
+    One row per customer with more than ``hot_rows`` active subscriptions, surveys
+    or overdue invoices, or pairs of the first two: ``n_active``, ``n_surveys``,
+    ``n_overdue``. None if there is no such customer, as in most data.
+    """
+    counts = side_counts("customer_id", n_active=st["subs"].filter("is_active"),
+                         n_surveys=st["surv"], n_overdue=st["inv"].filter("is_currently_overdue"))
+    write_mart(counts.filter(f"greatest(n_surveys, n_overdue, n_active * greatest(n_surveys, 1)) > {hot_rows}"),
+               path=path)
+    hot = counts.sparkSession.read.schema(counts.schema).parquet(path)
+    return None if hot.isEmpty() else hot
+
+
 def build_mart(name: str, st: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-               as_of=None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """One mart from staged frames (keys as in :func:`staging.stage_all`)."""
+               as_of=None, hot: Optional[DataFrame] = None,
+               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """One mart from staged frames (keys as in :func:`staging.stage_all`).  ``hot``
+    are the customers to split (:func:`find_hot_customers`); None joins plainly."""
     if name == "mart_supply_demand":
         return supply_demand.mart_supply_demand(st["leads"], cfg)
     if name == "mart_churn":
         return churn.mart_churn(st["cust"], st["subs"], st["surv"], st["inv"], cfg, as_of,
-                                hot_rows)
+                                hot, hot_rows)
     if name == "mart_upselling":
-        return upselling.mart_upselling(st["ups"], st["cust"], st["subs"], cfg, hot_rows)
+        return upselling.mart_upselling(st["ups"], st["cust"], st["subs"], cfg)
     if name == "mart_roi_partnerships":
         return partners.mart_roi_partnerships(st["part"], st["cust"], st["subs"],
                                               st["leads"], as_of)
@@ -49,15 +68,16 @@ def build_mart(name: str, st: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CON
         return debt.mart_debt_collection(st["inv"], st["cust"])
     if name == "mart_customer_satisfaction":
         return satisfaction.mart_customer_satisfaction(st["surv"], st["cust"], st["subs"],
-                                                       hot_rows)
+                                                       hot, hot_rows)
     raise KeyError(name)
 
 
 def build_marts(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-                as_of=None, hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
+                as_of=None, hot: Optional[DataFrame] = None,
+                hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
     """All six marts as lazy DataFrames (nothing runs until an action)."""
     st = staging.stage_all(sources, cfg, as_of)
-    return {name: build_mart(name, st, cfg, as_of, hot_rows) for name in MART_NAMES}
+    return {name: build_mart(name, st, cfg, as_of, hot, hot_rows) for name in MART_NAMES}
 
 
 def sort_columns(spec):
@@ -90,13 +110,12 @@ def present(df: DataFrame, mart: str) -> DataFrame:
 
 
 def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
-                 as_of=None, marts: Optional[Dict[str, DataFrame]] = None,
-                 hot_rows: int = DEFAULT_HOT_ROWS) -> Dict[str, DataFrame]:
+                 as_of=None, marts: Optional[Dict[str, DataFrame]] = None) -> Dict[str, DataFrame]:
     """Staging and mart frames keyed by model name, for the quality suite."""
     st = staging.stage_all(sources, cfg, as_of)
     frames = {model: st[key] for model, key in STAGING_NAMES.items()}
     if marts is None:
-        marts = {name: build_mart(name, st, cfg, as_of, hot_rows) for name in MART_NAMES}
+        marts = {name: build_mart(name, st, cfg, as_of) for name in MART_NAMES}
     frames.update(marts)
     return frames
 
@@ -109,29 +128,21 @@ def quality_report(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFI
     return quality.run_checks(frames, checks if checks is not None else quality.ALL_CHECKS)
 
 
-def checkpoint_dir(spark: SparkSession) -> Optional[str]:
-    """The shared checkpoint folder the cluster names, if any."""
-    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-
-
 def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
-                    out_dir: Optional[str] = None, cfg: KpiConfig = DEFAULT_CONFIG,
+                    out_dir: str, cfg: KpiConfig = DEFAULT_CONFIG,
                     as_of=None, run_checks: bool = True,
                     hot_rows: int = DEFAULT_HOT_ROWS) -> Optional[DataFrame]:
     """Full refresh: write every mart under ``out_dir``, then check the written tables.
 
-    The marts are checked from their written copies, so the quality suite does
-    not recompute any mart and a lost executor only re-runs from the files.
-    Without ``out_dir`` the marts go under the cluster's shared checkpoint
-    folder (``spark.checkpoint.dir``).
+    ``out_dir`` is on storage that all executors share.  Hot customers are found
+    first, once for all marts, and saved next to them.  The marts are checked from
+    their written copies, so the quality suite does not recompute any mart and a
+    lost executor only re-runs from the files.
     """
-    if out_dir is None:
-        base = checkpoint_dir(spark)
-        if not base:
-            raise ValueError("no out_dir given and spark.checkpoint.dir is not set")
-        out_dir = f"{base.rstrip('/')}/kpiloom-marts"
-    for name, df in build_marts(sources, cfg, as_of, hot_rows).items():
-        write_mart(df, path=f"{out_dir}/{name}")
+    st = staging.stage_all(sources, cfg, as_of)
+    hot = find_hot_customers(st, f"{out_dir}/hot_customers", hot_rows)
+    for name in MART_NAMES:
+        write_mart(build_mart(name, st, cfg, as_of, hot, hot_rows), path=f"{out_dir}/{name}")
     if not run_checks:
         return None
     written = {name: spark.read.parquet(f"{out_dir}/{name}") for name in MART_NAMES}

@@ -7,6 +7,7 @@ and pins ``as_of`` to :data:`kpiloom.config.DEFAULT_AS_OF`.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable, Dict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
 from kpiloom.plans.marts import MART_NAMES, STAGING_NAMES, build_mart
+from kpiloom.session import shared_dir
 from kpiloom.sources.driver_tables import load_sources
+from kpiloom.sources.io import read_source, write_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,7 +108,42 @@ def _dq(kinds) -> Query:
     return run
 
 
+# failing rows of each kind of check, on data that fails it
+def q_failing_unique(st):
+    return quality.unique(st["inv"], "customer_id")
+
+
+def q_failing_not_null(st):
+    return quality.not_null(st["inv"], "customer_id").select("invoice_id", "country", "amount")
+
+
+def q_failing_accepted_values(spark, sf):
+    raw = load_sources(spark, sf)["leads"]  # one status still has its leading blank
+    return quality.accepted_values(raw, "lead_status", quality.LEAD_STATUSES[:3])
+
+
+def q_failing_relationships(st):
+    return quality.relationships(st["inv"], "customer_id", st["cust"], "customer_id").select(
+        "invoice_id", "customer_id")
+
+
+def q_failing_between(st):
+    return quality.between(st["surv"], "nps_score", 2, 9, strictly=True).select("survey_id", "nps_score")
+
+
+def _round_trip(name: str, fmt: str) -> Query:
+    """A source table written in a format and read back by its reader."""
+    def run(spark, sf):
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}.{fmt}"
+        write_source(load_sources(spark, sf)[name], path, fmt)
+        return read_source(spark, path, name, fmt)
+    return run
+
+
 QUERIES: Dict[str, Query] = {
+    # sources, written and read back
+    "read_source_csv": _round_trip("leads", "csv"),
+    "read_source_parquet": _round_trip("invoices", "parquet"),
     # staging
     **{model: _stage_query(model) for model in STAGING_NAMES},
     # supply & demand
@@ -120,8 +158,7 @@ QUERIES: Dict[str, Query] = {
         st["cust"], st["subs"], CFG)),
     "upsold_customers": _part(lambda st: upselling.upsold_customers(st["ups"])),
     "attach_rate_by_segment": _part(lambda st: upselling.attach_rate_by_segment(
-        upselling.eligible_customers(st["cust"], st["subs"], CFG),
-        upselling.upsold_customers(st["ups"]), CFG)),
+        st["cust"], st["subs"], st["ups"], CFG)),
     # partner ROI
     "partner_revenue": _part(lambda st: partners.partner_revenue(
         st["cust"], st["subs"], st["part"], AS_OF)),
@@ -132,8 +169,7 @@ QUERIES: Dict[str, Query] = {
         debt.enriched_invoices(st["inv"], st["cust"]))),
     "aging_breakdown": _part(lambda st: debt.aging_breakdown(
         debt.enriched_invoices(st["inv"], st["cust"]))),
-    "high_risk_debtors": _part(lambda st: debt.high_risk_debtors(
-        debt.enriched_invoices(st["inv"], st["cust"]))),
+    "high_risk_debtors": _part(lambda st: debt.high_risk_debtors(st["inv"], st["cust"])),
     # customer satisfaction
     "enriched_surveys": _part(lambda st: satisfaction.enriched_surveys(
         st["surv"], st["cust"], st["subs"])),
@@ -157,5 +193,10 @@ QUERIES: Dict[str, Query] = {
     "dq_accepted_values": _dq({"accepted_values"}),
     "dq_relationships": _dq({"relationships"}),
     "dq_between": _dq({"between"}),
+    "dq_failing_unique": _part(q_failing_unique),
+    "dq_failing_not_null": _part(q_failing_not_null),
+    "dq_failing_accepted_values": q_failing_accepted_values,
+    "dq_failing_relationships": _part(q_failing_relationships),
+    "dq_failing_between": _part(q_failing_between),
     "dq_suite": _dq({"unique", "not_null", "accepted_values", "relationships", "between"}),
 }

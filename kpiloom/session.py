@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -18,38 +20,48 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executor_cores: int,
-                 partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, executor_cores: int, split_bytes: int = 512 << 20,
+                 shuffled_share: float = 0.1, partition_bytes: int = 512 << 20) -> dict:
     """Partition sizing for a run over ``input_bytes`` of source data.
 
-    * file splits of ``partition_bytes`` (256 MB: a few hundred MB of decoded
-      rows per task, well inside a multi-GB executor);
-    * AQE starts from enough shuffle partitions for every post-shuffle partition
-      to stay near ``partition_bytes`` even if a stage carries the whole input
-      (at least 4 waves of the cluster's cores), then coalesces small ones to
-      the same advisory size; skewed partitions over 4× the median and 1 GB are
-      split.
-
-    100 TB on 8000 cores gives ~400k initial shuffle partitions.
+    * Scans: file splits of ``split_bytes``.
+    * Shuffles: sized by what is shuffled, not by what is read.  Scans are pruned to
+      a few columns and aggregates combine before they shuffle, so a stage carries
+      about ``shuffled_share`` of the input; at ``partition_bytes`` each that gives
+      the number of partitions, at least one for every core.  Every map task writes
+      an index entry for every partition, so their product has to stay small: 100 TB
+      on 8,000 cores is 200,000 map tasks by 20,480 partitions, some 33 GB of index,
+      where a partition for each 256 MB of input would need over 1 TB.
+    * AQE merges small partitions up to ``partition_bytes`` and splits skewed ones
+      above 4 times the median and twice that size.
     """
-    initial = max(4 * executor_cores, -(-input_bytes // partition_bytes))
+    partitions = max(executor_cores, -(-int(input_bytes * shuffled_share) // partition_bytes))
     return {
         **RECOMMENDED_CONF,
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
     }
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the cluster names in
+    ``spark.checkpoint.dir`` (or the session's checkpoint folder)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return base.rstrip("/")
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int = 8,
                   app: str = "kpiloom") -> SparkSession:
     """A ``local[cpus]`` session with AQE on and the UI off.
 
     ``spark.checkpoint.dir`` is left alone when the environment already names
-    one; otherwise a folder under the warehouse is used (tests only).
+    one; otherwise a temporary folder is used (local sessions only).
     """
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
              .config("spark.ui.enabled", "false")
@@ -64,6 +76,6 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():
-        ckpt = spark.conf.get("spark.checkpoint.dir", None) or "spark-warehouse/_checkpoints"
+        ckpt = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpiloom-")
         spark.sparkContext.setCheckpointDir(ckpt)
     return spark

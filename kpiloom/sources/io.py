@@ -6,23 +6,45 @@ from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.sources.schemas import SOURCE_SCHEMAS
 
 
-def read_source(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Columns by header name; every file must have the first file's header order."""
+    reader = (spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8")
+              .option("escape", '"').option("multiLine", multi_line))
+    names = reader.csv(path).columns  # reads one header line
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return reader.schema(text).option("enforceSchema", False).csv(path)
+
+
+def read_source(spark: SparkSession, path: str, name: str, fmt: str = "csv",
+                multi_line: bool = False) -> DataFrame:
     """Read one source table with its fixed schema (no inference).
 
-    CSV files carry a header row; empty fields read as null, other text
-    (including a single blank) is kept verbatim for staging to clean.
-    Parquet columns are selected by name and cast to the declared types.
+    CSV files carry a header row, by whose names the columns are found in any
+    order; quotes within quoted fields are doubled (RFC 4180), and ``multi_line``
+    allows line breaks in them (such a file is then read by one task).  Empty
+    fields read as null, other text (including a single blank) is kept verbatim for
+    staging to clean.  Parquet columns are selected by name and cast to the
+    declared types.
     """
     schema = SOURCE_SCHEMAS[name]
     if fmt == "csv":
-        return (spark.read.schema(schema).option("header", True)
-                .option("mode", "FAILFAST").option("encoding", "UTF-8").csv(path))
-    df = spark.read.format(fmt).load(path)
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        df = _read_csv(spark, path, schema, multi_line)
+    else:
+        df = spark.read.format(fmt).load(path)
+
+    def typed(f: T.StructField):
+        blank = fmt == "csv" and not isinstance(f.dataType, T.StringType)
+        return (F.nullif(F.trim(f.name), F.lit("")) if blank else F.col(f.name)).cast(f.dataType).alias(f.name)
+
+    return df.select([typed(f) for f in schema.fields])
 
 
 def read_sources(spark: SparkSession, base: str, fmt: str = "csv") -> dict:
@@ -37,6 +59,15 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def write_source(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write a source table the way :func:`read_source` reads it."""
+    writer = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        writer = (writer.option("header", True).option("escape", '"').option("encoding", "UTF-8")
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    writer.save(path)
+
+
 def write_mart(df: DataFrame, path: Optional[str] = None, table: Optional[str] = None,
                partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Full-refresh write of a mart (the 'table' sink): overwrite a path or a table."""
