@@ -1,11 +1,14 @@
-"""The hot-key split of many-to-many joins returns exactly the plain join."""
+"""The hot-key split of many-to-many joins returns exactly the plain join, and
+spreads its output under the settings that the library recommends."""
 
 import collections
+import contextlib
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from kpiloom.operators.joins import fanout_join
+from kpiloom.operators.joins import fanout_join, hot_keys, side_counts
 
 
 def bag(df):
@@ -13,6 +16,35 @@ def bag(df):
     return collections.Counter(tuple(r[c] for c in cols) for r in df.collect())
 
 
+@contextlib.contextmanager
+def conf(spark, **values):
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    saved = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def split(left, right, key, how, hot_rows):
+    counts = side_counts(key, a=left, b=right)
+    return fanout_join(left, right, key, how, hot_keys(counts, key, "a", "b", hot_rows), hot_rows)
+
+
+def largest_share(df):
+    """Share of the rows that the fullest task emits."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def one_key(spark, n, name):
+    # a single key, not constant-folded
+    return spark.range(n).select((F.col("id") % 1 + 1).alias("k"), F.col("id").alias(name))
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_rows", [1, 3, 50])
 def test_fanout_equals_plain_join(spark, how, hot_rows):
@@ -21,108 +53,92 @@ def test_fanout_equals_plain_join(spark, how, hot_rows):
         F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 17 == 0, F.lit(None))
         .otherwise(F.col("id") % 40).alias("k"), F.col("id").alias("l"))
     right = spark.range(240).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 55 + 20).alias("k"),
-        (F.col("id") * 7).alias("r"))
-    expect = bag(left.join(right, "k", how))
-    got = bag(fanout_join(left, right, "k", how, hot_rows))
-    assert got == expect
-
-
-def test_fanout_splits_hot_key_across_tasks(spark):
-    """One key with 40 × 40 rows: the plain join emits it from one task, the split
-    join from several (AQE off so partitions are not coalesced)."""
-    one = (F.col("id") % 1 + 1).alias("k")       # a single key, not constant-folded
-    left = spark.range(40).select(one, F.col("id").alias("l"))
-    right = spark.range(40).select(one, F.col("id").alias("r"))
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
-                                            "spark.sql.autoBroadcastJoinThreshold")}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def tasks(df):
-            return df.select(F.spark_partition_id().alias("p")).distinct().count()
-        split = fanout_join(left, right, "k", "inner", hot_rows=10)
-        assert split.count() == 1600
-        assert tasks(left.join(right, "k")) == 1
-        assert tasks(split) > 1
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 19 == 0, F.lit(None))
+        .otherwise(F.col("id") % 55 + 20).alias("k"), (F.col("id") * 7).alias("r"))
+    assert bag(split(left, right, "k", how, hot_rows)) == bag(left.join(right, "k", how))
 
 
-from hypothesis import given, settings, strategies as st  # noqa: E402
-
-
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(0, 6) | st.none(), min_size=0, max_size=60),
        st.lists(st.integers(0, 6) | st.none(), min_size=0, max_size=60),
        st.sampled_from(["inner", "left"]), st.integers(1, 8))
 def test_fanout_property(spark, lkeys, rkeys, how, hot_rows):
-    left = spark.createDataFrame([(k, i) for i, k in enumerate(lkeys)], "k int, l int")
-    right = spark.createDataFrame([(k, 100 + i) for i, k in enumerate(rkeys)], "k int, r int")
-    assert bag(fanout_join(left, right, "k", how, hot_rows)) == bag(left.join(right, "k", how))
-
-
-def test_at_risk_with_a_hot_customer(spark, staged_small):
-    """One customer owns a third of the surveys and overdue invoices: the mart
-    takes the split path and still equals the plain joins."""
-    from kpiloom.operators import churn
-    from kpiloom.session import cluster_conf
-    st = dict(staged_small)
-    hot_id = st["subs"].filter("is_active").orderBy("customer_id").first().customer_id
-    hot = F.when(F.xxhash64("customer_id", F.lit(7)) % 3 == 0, F.lit(hot_id)) \
-        .otherwise(F.col("customer_id"))
-    st["surv"] = st["surv"].withColumn("customer_id", hot)
-    st["inv"] = st["inv"].withColumn("customer_id", hot)
-    args = (st["cust"], st["subs"], st["surv"], st["inv"])
-    split = churn.at_risk_customers(*args, hot_rows=20)
-    plain = churn.at_risk_customers(*args, hot_rows=None)
-    assert "_fj_ls" in split._jdf.queryExecution().analyzed().toString()
-    assert bag(split) == bag(plain)
-    assert cluster_conf(100 << 40, 8000)["spark.sql.shuffle.partitions"] == str(409600)
+    left = spark.createDataFrame([(k, i % 9) for i, k in enumerate(lkeys)], "k int, l int")
+    right = spark.createDataFrame([(k, i % 4) for i, k in enumerate(rkeys)], "k int, r int")
+    assert bag(split(left, right, "k", how, hot_rows)) == bag(left.join(right, "k", how))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_key_spreads_with_small_right_side(spark, how, adaptive):
+    """A million pairs of one key whose sides would fit a broadcast: with adaptive
+    execution and its runtime broadcast on, they still come from many tasks."""
+    with conf(spark, spark__sql__adaptive__enabled=adaptive, spark__sql__shuffle__partitions="16"):
+        left, right = one_key(spark, 1000, "l"), one_key(spark, 1000, "r")
+        out = split(left, right, "k", how, 100)
+        assert out.count() == 1_000_000
+        assert largest_share(out) < 0.25
+        assert largest_share(left.join(right, "k", how)) == 1
+
+
+def test_null_keys_spread(spark):
+    with conf(spark, spark__sql__shuffle__partitions="16",
+              spark__sql__adaptive__coalescePartitions__enabled="false"):
+        nulls = spark.range(2000).select(
+            F.when(F.col("id") < 40, F.lit(1)).cast("int").alias("k"), F.col("id").alias("l"))
+        right = spark.range(30).select((F.col("id") % 1 + 1).cast("int").alias("k"), F.col("id").alias("r"))
+        out = split(nulls, right, "k", "left", 10)
+        assert out.count() == 1960 + 40 * 30
+        assert largest_share(out.filter("k IS NULL")) < 0.25
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_copies_of_one_row_spread_over_tasks(spark, how):
     """A hot key whose rows are all copies of one row is still split, and the
     result keeps every copy."""
-    one = (F.col("id") % 1 + 1).alias("k")
-    left = spark.range(6).select(one, (F.col("id") % 2).alias("l"))      # 3 copies each
-    right = spark.range(120).select(one, F.lit(7).alias("r"))           # 120 identical rows
-    right = right.unionByName(spark.range(3).select((F.col("id") + 5).alias("k"),
-                                                    F.lit(1).alias("r")))
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
-                                            "spark.sql.autoBroadcastJoinThreshold")}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = fanout_join(left, right, "k", how, hot_rows=10)
-        assert bag(split) == bag(left.join(right, "k", how))
-        assert split.count() == 6 * 120
-        tasks = split.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks > 1
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
-
-
-def test_left_only_hot_key_is_spread_and_kept(spark):
-    """A left join whose hot key has no right rows keeps every left row once
-    (null-padded) and spreads them over tasks."""
-    one = (F.col("id") % 1 + 1).alias("k")
-    left = spark.range(200).select(one, F.col("id").alias("l"))
-    right = spark.range(5).select((F.col("id") + 10).alias("k"), F.col("id").alias("r"))
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
-                                            "spark.sql.autoBroadcastJoinThreshold")}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = fanout_join(left, right, "k", "left", hot_rows=20)
-        assert bag(split) == bag(left.join(right, "k", "left"))
-        assert split.filter("r IS NULL").count() == 200
-        tasks = split.select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks > 1
-        assert fanout_join(left, right, "k", "inner", hot_rows=20).count() == 0
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+    with conf(spark, spark__sql__shuffle__partitions="16"):
+        left = one_key(spark, 6, "l").withColumn("l", F.col("l") % 2)  # 3 copies each
+        right = one_key(spark, 1200, "r").withColumn("r", F.lit(7))  # identical rows
+        right = right.unionByName(spark.range(3).select((F.col("id") + 5).alias("k"), F.lit(1).alias("r")))
+        out = split(left, right, "k", how, 100)
+        assert bag(out) == bag(left.join(right, "k", how))
+        assert largest_share(out) < 0.5
+
+
+def test_left_only_hot_key_is_kept_once(spark):
+    with conf(spark, spark__sql__shuffle__partitions="16"):
+        left = one_key(spark, 400, "l")
+        right = spark.range(5).select((F.col("id") + 10).alias("k"), F.col("id").alias("r"))
+        out = split(left, right, "k", "left", 20)
+        assert bag(out) == bag(left.join(right, "k", "left"))
+        assert out.filter("r IS NULL").count() == 400
+        assert largest_share(out) < 0.5
+        assert split(left, right, "k", "inner", 20).count() == 0
+
+
+def test_wrong_counts_only_size_the_grid(spark):
+    left, right = one_key(spark, 50, "l"), one_key(spark, 30, "r")
+    hot = spark.createDataFrame([(1, 7, 3), (99, 2, 2)], "k long, _fj_lb long, _fj_rb long")
+    for how in ("inner", "left"):
+        assert bag(fanout_join(left, right, "k", how, hot, 5)) == bag(left.join(right, "k", how))
+
+
+def test_at_risk_with_a_hot_customer(spark, staged_small, tmp_path):
+    """One customer owns a third of the surveys and overdue invoices: the marts
+    take the split path and still equal the plain joins."""
+    from kpiloom.operators import churn, satisfaction
+    from kpiloom.plans.marts import find_hot_customers
+    frames = dict(staged_small)
+    hot_id = frames["subs"].filter("is_active").orderBy("customer_id").first().customer_id
+    third = F.when(F.xxhash64("customer_id", F.lit(7)) % 3 == 0, F.lit(hot_id)).otherwise(F.col("customer_id"))
+    frames["surv"] = frames["surv"].withColumn("customer_id", third)
+    frames["inv"] = frames["inv"].withColumn("customer_id", third)
+    args = (frames["cust"], frames["subs"], frames["surv"], frames["inv"])
+    hot = find_hot_customers(frames, str(tmp_path / "hot"), hot_rows=20)
+    assert hot_id in [r.customer_id for r in hot.collect()]
+    risk = churn.at_risk_customers(*args, hot=hot, hot_rows=20)
+    assert "_fj_ls" in risk._jdf.queryExecution().analyzed().toString()
+    assert bag(risk) == bag(churn.at_risk_customers(*args))
+    surveys = satisfaction.enriched_surveys(frames["surv"], frames["cust"], frames["subs"], hot, 20)
+    assert bag(surveys) == bag(satisfaction.enriched_surveys(frames["surv"], frames["cust"], frames["subs"]))
+    assert find_hot_customers(frames, str(tmp_path / "none"), hot_rows=10 ** 6) is None

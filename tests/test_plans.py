@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from kpiloom.plans.registry import QUERIES
 
 FORBIDDEN = ("SortAggregate", "ObjectHashAggregate", "CartesianProduct",
              "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -20,7 +20,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_small):
-    return {name: plan(q(spark, sf_small)) for name, q in entry.queries().items()}
+    return {name: plan(q(spark, sf_small)) for name, q in QUERIES.items()}
 
 
 def test_no_slow_operators_anywhere(plans):
@@ -36,6 +36,24 @@ def test_at_risk_chain_shuffles_each_input_once(plans):
     assert text.count("SortMergeJoin") == 3
 
 
+def test_no_jobs_while_plans_are_built(spark, sf_small):
+    from kpiloom.plans.marts import build_marts
+    from kpiloom.plans.registry import staged
+    from kpiloom.sources.driver_tables import load_sources
+    sources = load_sources(spark, sf_small)  # reads the files' schemas
+    staged(spark, sf_small)
+    spark.sparkContext.setJobGroup("plans-only", "")
+    try:
+        build_marts(sources)
+        for name, query in QUERIES.items():
+            # the first write a table, the last reads a schema
+            if not name.startswith("read_source") and name != "dq_failing_accepted_values":
+                query(spark, sf_small)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_debt_mart_joins_invoices_once(plans):
     text = plans["mart_debt_collection"].split("\n\n\n")[0]
     assert text.count("SortMergeJoin") + text.count("BroadcastHashJoin") == 1

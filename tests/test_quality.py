@@ -16,13 +16,15 @@ def test_suite_size_by_kind():
         "unique": 8, "not_null": 35, "accepted_values": 15, "relationships": 3, "between": 7}
 
 
-def test_suite_passes_on_driver_tables(spark, sf_small):
+def test_suite_finds_the_planted_failures_of_the_driver_tables(spark, sf_small):
     from kpiloom.sources.driver_tables import load_sources
     report = quality.run_checks(model_frames(load_sources(spark, sf_small), as_of=AS_OF),
                                 quality.ALL_CHECKS)
     rows = report.collect()
     assert len(rows) == 68
-    assert [r for r in rows if r.failures] == []
+    assert {(r.model, r.column_name, r.check_name) for r in rows if r.failures} == {
+        ("stg_leads", "customer_id", "not_null"), ("stg_nps_surveys", "customer_id", "not_null"),
+        ("stg_invoices", "customer_id", "not_null"), ("stg_invoices", "customer_id", "relationships")}
 
 
 def test_broken_frames_are_caught(spark):

@@ -11,9 +11,11 @@ def test_local_session_uses_recommended_settings(spark):
 
 
 def test_cluster_conf_sizes_partitions():
-    conf = cluster_conf(input_bytes=1 << 40, executor_cores=100, partition_bytes=256 << 20)
-    assert conf["spark.sql.shuffle.partitions"] == str(4096)
-    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    conf = cluster_conf(input_bytes=100 << 40, executor_cores=8000)
+    partitions, split = (int(conf[k]) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"))
+    assert partitions == 20_480
+    map_tasks = (100 << 40) // split
+    assert 8 * map_tasks * partitions < 64 << 30  # bytes of shuffle index in all
     small = cluster_conf(input_bytes=1 << 20, executor_cores=100)
-    assert small["spark.sql.shuffle.partitions"] == str(400)   # at least 4 waves of cores
+    assert small["spark.sql.shuffle.partitions"] == "100"
     assert small["spark.sql.adaptive.enabled"] == "true"
