@@ -172,7 +172,7 @@ class Index:
                      pa.array(bins, pa.list_(pa.int64()))], ["vec_id", "vector", "bound", "bins"])
 
         n = queries.count()
-        asked = queries.mapInArrow(bounds, "vec_id long, vector array<double>, bound double, bins array<long>")
+        asked = queries.repartition("vec_id").mapInArrow(bounds, "vec_id long, vector array<double>, bound double, bins array<long>")
         block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // BLOCK))).cast("long"))
         blocks = save(asked.groupBy(block.alias("block")).agg(
             F.collect_list(F.struct("vec_id", "vector", "bound")).alias("queries"),

@@ -181,19 +181,22 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
         bpe = _model(file)
         gc.disable()  # the cache holds many small tuples and no cycles
         numbers = [str(i) for i in range(len(bpe.tokens))]
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = part.column("text").cast(pa.large_binary()).to_pylist()
-                ids = bpe.encode([t or b"" for t in texts])
-                out = {
-                    "doc_id": part.column("doc_id"),
-                    "n_tokens": pa.array(map(len, ids), pa.int64()),
-                    "ids_sha256": [_sha(" ".join(map(numbers.__getitem__, i))) for i in ids],
-                    "decoded_sha256": [_sha(bpe.decode(i)) for i in ids],
-                }
-                if with_ids:
-                    out["ids"] = pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict(out)
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    texts = part.column("text").cast(pa.large_binary()).to_pylist()
+                    ids = bpe.encode([t or b"" for t in texts])
+                    out = {
+                        "doc_id": part.column("doc_id"),
+                        "n_tokens": pa.array(map(len, ids), pa.int64()),
+                        "ids_sha256": [_sha(" ".join(map(numbers.__getitem__, i))) for i in ids],
+                        "decoded_sha256": [_sha(bpe.decode(i)) for i in ids],
+                    }
+                    if with_ids:
+                        out["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_pydict(out)
+        finally:
+            gc.enable()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)

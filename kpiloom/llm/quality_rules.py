@@ -129,17 +129,16 @@ def thresholds(stats: DataFrame, labels: DataFrame, column: str, stratum: str =
             .select(F.col(stratum).alias("stratum"), *[v.alias(r) for r, v in rule_values(s).items()]))
     counts = [F.count("*").alias("n")] + [
         F.count_if(F.col(r) > c).alias(f"{r}_{i}") for r, cuts in GRID.items() for i, c in enumerate(cuts)]
-    per = held.groupBy("stratum").agg(*counts).crossJoin(
-        held.agg(F.count_distinct(F.coalesce("stratum", F.lit("?"))).alias("strata")))
+    per = save(held.groupBy("stratum").agg(*counts), "rule-counts")
     share = max_false_rejection / len(GRID)
-    level = F.lit(error / len(GRID)) / F.col("strata")
+    level = error / len(GRID) / max(1, per.count())  # a row per stratum
 
     tests = F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.col(f"{r}_{i}").alias("k"))
         for r, cuts in GRID.items() for i, c in enumerate(cuts)])).alias("t")
     # more rejections than the share itself cannot pass; counts grow as cutoffs
     # fall, so within a rule the tests that pass come before those that fail
-    passed = (per.select("stratum", "n", "strata", tests).select("stratum", "n", "strata", "t.*")
+    passed = (per.select("stratum", "n", tests).select("stratum", "n", "t.*")
               .filter(F.col("k") <= F.col("n") * share)
               .filter(binomial_cdf(F.col("k"), F.col("n"), share) <= level))
     return passed.groupBy("stratum").agg(*[

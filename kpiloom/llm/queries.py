@@ -30,7 +30,7 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS t(host, path, verdict)")
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), rules)
 
 
