@@ -276,8 +276,11 @@ def with_types(pages: DataFrame) -> DataFrame:
     payloads of at least MIN_REVISIT bytes the largest page_id is the response; the
     table joined for that has one row per repeated payload."""
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("same", F.when(F.octet_length("payload") >= MIN_REVISIT, F.sha2("payload", 256)))
-    first = save(rows.filter("same IS NOT NULL").groupBy("same").agg(
+    # small payloads have no twin to look for: keys that spread them and meet nothing
+    large = F.octet_length("payload") >= MIN_REVISIT
+    rows = rows.withColumn("same", F.when(large, F.sha2("payload", 256)).otherwise(
+        F.concat(F.lit("small-"), F.pmod(F.xxhash64("page_id", "url"), F.lit(4096)).cast("string"))))
+    first = save(rows.filter(large).groupBy("same").agg(
         F.max("page_id").alias("keeper"), F.count("*").alias("n")).filter("n > 1").drop("n"), "warc-repeats")
     revisit = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     return rows.join(first, "same", "left").select(
