@@ -19,7 +19,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 # Python tasks cut their input into slices of about so many text bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
