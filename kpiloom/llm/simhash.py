@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kpiloom.llm.common import find_words, fresh, joined_words, lower, save, slices, text_bytes
 from kpiloom.llm.components import components
@@ -198,14 +198,15 @@ def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, that with the smallest doc_id, with all columns."""
-    fp, rank = fresh(docs, "_fp", "_rank")
-    saved = save(with_fingerprints(docs, fp), "simhash-texts")
+    """One row of each component, that with the smallest doc_id (of rows that share
+    it, the first in the table), with all columns. Texts move once, to meet the
+    numbers of the rows that stay."""
+    fp, row = fresh(docs, "_fp", "_row")
+    saved = save(with_fingerprints(docs, fp).withColumn(row, F.monotonically_increasing_id()), "simhash-texts")
     known = classes(saved, fp, "doc_id")
-    ids = saved.select("doc_id", F.col(fp).alias("fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("fp").alias("f"))
-    first = save(ids.join(known, "fp").groupBy("root").agg(F.min(order).alias("o")).select(
-        F.col("o.d").alias("keep_id"), F.col("o.f").alias("keep_fp")), "simhash-keep")
-    kept = saved.join(first, saved["doc_id"].eqNullSafe(first["keep_id"]) & (saved[fp] == first["keep_fp"]), "left_semi")
-    own = Window.partitionBy("doc_id", fp).orderBy("text")
-    return kept.withColumn(rank, F.row_number().over(own)).filter(F.col(rank) == 1).select(*docs.columns)
+    ids = saved.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("row"))
+    first = save(ids.join(known, "fp").groupBy("root").agg(F.min(order).alias("o"))
+                 .select(F.col("o.row").alias(row)), "simhash-keep")
+    # a shuffle at every size, where Spark would broadcast the numbers of a small table
+    return saved.join(first.hint("merge"), row, "left_semi").select(*docs.columns)
