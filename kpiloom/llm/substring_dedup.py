@@ -27,7 +27,8 @@ joins run between saved tables, so a passage that a third of all documents share
 split over tasks.
 
 Null texts have no words; texts shorter than a window keep all; repeats within one
-document stay; rows with equal doc_id are judged each, against smaller ids only;
+document stay; rows with equal doc_id are judged each, against smaller ids only (rows
+that repeat both id and words have one set of edges, whose spans hold for all of them);
 a null doc_id has no order, so its words stay and are no source. Kept words are
 joined by one space where a text lost words; other texts stay as they are.
 """
@@ -186,7 +187,8 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
     edges = found.filter("km IS NOT NULL AND doc_id IS NOT NULL").drop("n_words", "sha256")
     shared = save(edges.groupBy("km").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                   .filter("a < b").select("km"), "shared-kmers")
-    near = save(edges.join(shared, "km"), "shared-edges")
+    # repeated rows have the same edges; dealt anew, so that the join can still split a hot k-mer
+    near = save(edges.join(shared, "km").repartition("doc_id", "txt", "lo").distinct(), "shared-edges")
     kinds = save(near.groupBy("km", "edge").agg(
         F.min(F.struct("doc_id", "txt", "lo")).alias("source"), F.max("doc_id").alias("last"),
         F.max("n").alias("n"), F.count("*").alias("occurs")), "edge-kinds")

@@ -42,6 +42,20 @@ def test_small_windows_and_many_branches(make, window, k):
     assert rows(substring_dedup.removal_counts(make(pairs), window, k)) == brute(pairs, window)
 
 
+def test_repeated_rows_lose_what_single_rows_lose(make):
+    import random
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    passage = text(100)
+    ends, inside = f"{text(80)} {passage}", f"{text(30)} {passage} {text(200)}"
+    pairs = [(1, passage), (2, passage), (2, passage), (3, ends), (3, ends), (3, ends), (4, inside), (4, inside)]
+    docs = make(pairs)
+    assert rows(substring_dedup.removal_counts(docs)) == brute(pairs)
+    kept = sorted((r.doc_id, hashlib.sha256(" ".join(words(r.text)).encode()).hexdigest())
+                  for r in substring_dedup.remove_repeats(docs).collect())
+    assert kept == sorted((i, h) for i, _, _, h in brute(pairs))
+
+
 def test_removed_texts_keep_rows_and_columns(make):
     pairs = corpus(40)
     docs = make(pairs, "extra")
