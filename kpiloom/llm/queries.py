@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import ann, bpe, classifier, mixing, quality_rules, simhash, substring_dedup, suffix_tree, url_filter, warc
+from kpiloom.llm import ann, bpe, classifier, mixing, periodic, quality_rules, simhash, substring_dedup, suffix_tree, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_read(spark, sf_dir, "documents"))
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(_read(spark, sf_dir, "documents"), periodic.planted).drop("collapsed_words")
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_substring_dedup": op2_substring_dedup,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op10_ann": op10_ann,
     "op9_quality_rules": op9_quality_rules,
+    "op12_periodic": op12_periodic,
 }
 
 OP5_SQL = """
