@@ -11,10 +11,12 @@ def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for every node of ``edges`` (a, b).
 
     Each round points every node at its smallest neighbour or itself, follows these
-    pointers twice, and joins them into the edges; what is left between different
-    nodes is the next round's table. The pointers of all rounds, one after the other,
-    lead to the root. Every round is saved, and joins run between saved tables, so
-    that a hub's rows can be split by adaptive execution.
+    pointers until all end at a node that points at itself, doubling the way each time,
+    and joins them into the edges; what is left between different ends is the next
+    round's table. A node left alone in a round has only smaller neighbours in the next,
+    so nodes at least halve in two rounds, and a path of n nodes takes some log2(n) jumps. The pointers of all
+    rounds, one after the other, lead to the root. Every round is saved, and joins run
+    between saved tables, so that a hub's rows can be split by adaptive execution.
     """
     left = save(edges.filter("a <> b").distinct(), "cc-edges")
     rounds = []
@@ -22,8 +24,13 @@ def components(edges: DataFrame) -> DataFrame:
         both = left.select(F.col("a").alias("node"), F.col("b").alias("p")).union(left.select("b", "a"))
         to = save(both.groupBy("node").agg(F.min("p").alias("p")).select(
             "node", F.least("node", "p").alias("p")), "cc-parents")
-        for _ in range(2):
-            to = save(_follow(to, to), "cc-jump")
+        before = to.agg(F.sum(F.col("p").cast("decimal(38,0)"))).first()[0]  # pointers only ever get smaller
+        while True:
+            jumped = save(_follow(to, to), "cc-jump")
+            moved = jumped.agg(F.sum(F.col("p").cast("decimal(38,0)"))).first()[0]
+            if moved == before:
+                break
+            to, before = jumped, moved
         rounds.append(to)
         a = to.select(F.col("node").alias("a"), F.col("p").alias("pa"))
         b = to.select(F.col("node").alias("b"), F.col("p").alias("pb"))

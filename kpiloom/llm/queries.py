@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import ann, bpe, classifier, mixing, periodic, quality_rules, simhash, substring_dedup, suffix_tree, url_filter, warc
+from kpiloom.llm import (
+    ann, bpe, classifier, cross_align, jaccard_join, mixing, periodic, quality_rules, simhash, substring_dedup,
+    suffix_tree, url_filter, warc,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,10 +61,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_read(spark, sf_dir, "documents"))
 
 
+def op11_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_align.align(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(_read(spark, sf_dir, "documents"), periodic.planted).drop("collapsed_words")
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components_of(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,7 +85,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op10_ann": op10_ann,
     "op9_quality_rules": op9_quality_rules,
+    "op11_cross_align": op11_cross_align,
     "op12_periodic": op12_periodic,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 OP5_SQL = """

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == [*range(1, 11), 12]
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
 
@@ -26,13 +26,18 @@ def test_query_matches_sql(spark, name):
     assert n_spark == n_oracle > 0
 
 
-@pytest.mark.parametrize("name", ["op7_classifier", "op9_quality_rules", "op10_ann", "op1_suffix_tree"])
+@pytest.mark.parametrize("name", ["op7_classifier", "op9_quality_rules", "op10_ann", "op1_suffix_tree",
+                                  "op11_cross_align", "op12_periodic", "op13_jaccard_join"])
 def test_other_queries_return_their_columns(spark, name):
     want = {
         "op1_suffix_tree": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         "op7_classifier": ["doc_id", "held_out", "score", "predicted"],
         "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                               "base_failed", "kept"],
+        "op11_cross_align": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+        "op12_periodic": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                          "collapsed_sha256"],
+        "op13_jaccard_join": ["doc_id", "n_shingles", "component_id"],
         "op10_ann": ["query_id", "rank", "vec_id", "score"],
     }
     df = QUERIES[name](spark, SF)
