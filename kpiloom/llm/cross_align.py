@@ -6,6 +6,11 @@ bytes are its entry byte-level decoded (A), or its piece with U+2581 as space an
 piece as that byte (B). Texts whose joined bytes of A or of B are not the space and the
 text (B normalises some) have no tokens, as null and empty ones.
 
+Chunks. Both tokenizers begin a token at a space between two letters, digits or marks, as
+no token of theirs has a space behind one of these (looked up on loading; texts are not
+cut otherwise). So texts are cut there, and the alignments of short chunks are
+kept in a bounded cache: a worker encodes and aligns each new chunk once.
+
 Groups. The cumulative ends of A's tokens are the keys of a dictionary to their places,
 those of B's of another; the sorted intersection of the key sets are the ends that both
 share, and cut both id lists into groups. Links. Within a group, a token of A and one of
@@ -27,9 +32,12 @@ of rows holds about 1 MB or one text; an empty table gives no rows; other column
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +49,24 @@ from kpiloom.llm.bpe import byte_symbols
 from kpiloom.llm.common import save, slices
 
 HOT_PAIRS = 1 << 20
+CACHE_CHUNKS = 300_000  # whose alignments a worker keeps, of
+CACHE_CHARS = 64  # characters at most
 _HELD = 1 << 18  # pairs that a worker adds up before it passes them on
 
+# A space between two characters that no version of Unicode counts as white space: both
+# tokenizers begin a token there.
+_CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+_PLAIN = re.compile("[!-~À-ɏ](.*[!-~À-ɏ])?", re.DOTALL).fullmatch
+_INNER = re.compile(rb"(?:[!-~]|[\xc3-\xc9][\x80-\xbf]|^[\x80-\xbf]) ")
+
+
+# A chunk's links (A id * 2**32 + B id, 8 bytes each), its numbers of tokens of A and B and of
+# groups (8 bytes each), and its groups as text.
+Chunk = tuple[bytes, bytes, str]
+
 
 class Pair:
-    """The two encoders, and the bytes of their tokens."""
+    """The two encoders, the bytes of their tokens, and the alignments of frequent chunks."""
 
     def __init__(self, file_a: bytes, file_b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task
@@ -60,66 +81,100 @@ class Pair:
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
-        self.bytes_b = [bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i)
-                        else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                        for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
         # an id's digits, and after it the mark inside a group and that behind its side's last id
         self.text_a = np.array([[f"{i},", f"{i}|"] for i in range(len(self.bytes_a))], object)
         self.text_b = np.array([[f"{i},", f"{i};"] for i in range(len(self.bytes_b))], object)
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and of B of each text; none where either does not give the text back."""
-        texts = [t or "" for t in texts]
-        spaced = [" " + t if t else "" for t in texts]
+        # where no token has a space behind such a character, texts can be cut there
+        inner = any(_INNER.search(t) for t in (*self.bytes_a, *self.bytes_b))
+        self.cut = (lambda text: [text]) if inner else _CUT.split
+        self.cache: dict[str, Chunk] = {}
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+        """Ids of A and of B of each text; None where either does not give the text back."""
+        spaced = [" " + t for t in texts]
         many_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
         many_b = self.b.encode(texts, num_threads=1)
         for text, a, b in zip(spaced, many_a, many_b):
             a, whole = a.ids, text.encode()
-            if whole and all(b"".join(map(table.__getitem__, ids)) == whole
-                             for table, ids in ((self.bytes_a, a), (self.bytes_b, b))):
-                yield a, b
-            else:
-                yield [], []
-
-
-class Aligned:
-    """Groups and links of one text's tokens."""
-
-    def __init__(self, pair: Pair, a: list[int], b: list[int]):
-        self.a, self.b = np.array(a, np.int64), np.array(b, np.int64)
-        self.ends_a, self.ends_b = np.cumsum(pair.size_a[self.a]), np.cumsum(pair.size_b[self.b])
-        place_a = dict(zip(self.ends_a.tolist(), range(1, len(a) + 1)))
-        place_b = dict(zip(self.ends_b.tolist(), range(1, len(b) + 1)))
-        common = sorted(place_a.keys() & place_b.keys())
-        # how many tokens of either side end within each group and those before it
-        self.cut_a = np.array([place_a[e] for e in common], np.int64)
-        self.cut_b = np.array([place_b[e] for e in common], np.int64)
-
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the A and the B token of every link: the ends of both sides, group by
-        group, each close a stretch that one token of A and one of B cover."""
-        ends = np.union1d(self.ends_a, self.ends_b)
-        return np.searchsorted(self.ends_a, ends), np.searchsorted(self.ends_b, ends)
-
-    def groups(self) -> Iterator[tuple[list[int], list[int]]]:
+            good = (b"".join(map(self.bytes_a.__getitem__, a)) == whole
+                    and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
+            yield (a, b) if good else None
+
+    def chunks(self, texts: list[str | None]) -> Iterator[list[Chunk]]:
+        """The aligned chunks of each text; none where a tokenizer does not give it back."""
+        cut = [self.cut(t) if t else [] for t in texts]
+        cache = self.cache
+        if len(cache) > CACHE_CHUNKS:
+            cache.clear()
+        new = set().union(*cut) - cache.keys()
+        lost, long = set(), {}
+        # chunks that begin and end like words are encoded several as one text: tokens do not cross them
+        like = [c for c in new if _PLAIN(c)]
+        joined = list(self.encode([" ".join(like[i:i + 256]) for i in range(0, len(like), 256)]))
+        if None in joined:
+            like, joined = [], []
+        rest = list(new.difference(like))
+        several = list(self.encode(rest))
+        lost = {c for c, x in zip(rest, several) if x is None}
+        several = [x for x in several if x is not None]
+        for some, ids in ((like, joined), ([c for c in rest if c not in lost], several)):
+            for c, chunk in zip(some, self.align(some, ids)):
+                (cache if len(c) <= CACHE_CHARS else long)[c] = chunk
+        get = (lambda c: long.get(c) or cache[c]) if long else cache.__getitem__
+        for parts in cut:
+            yield list(map(get, parts)) if not lost or lost.isdisjoint(parts) else []
+
+    def align(self, chunks: list[str], ids: list[tuple[list[int], list[int]]]) -> Iterator[Chunk]:
+        """Chunks aligned, given the ids of A and B that cover them and the space before each.
+        They lie end to end, so that one pair of dictionaries serves all: where a chunk
+        ends, both sides do."""
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (zip(*ids) if ids else ((), ())))
+        stops = np.cumsum([len(c.encode()) + 1 for c in chunks], dtype=np.int64)
+        ends_a, ends_b, cut_a, cut_b = common_ends(a, b, self.size_a, self.size_b)
+        # links: each end of either side closes a stretch that one token of A and one of B cover
+        ends, _ = _tally(np.concatenate([ends_a, ends_b]))
+        links = (a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]).tobytes()
+        marks = self.texts(a, b, cut_a, cut_b)
+        upto_a, upto_b = np.searchsorted(ends_a, stops) + 1, np.searchsorted(ends_b, stops) + 1
+        upto_links, upto_groups = np.searchsorted(ends, stops) + 1, np.searchsorted(cut_a, upto_a) + 1
+        numbers = np.diff(np.stack([upto_a, upto_b, upto_groups], axis=1), axis=0, prepend=0).tobytes()
+        at_link = at_mark = 0
+        for i, (next_link, next_mark) in enumerate(zip((upto_links * 8).tolist(), (upto_a + upto_b).tolist())):
+            yield links[at_link:next_link], numbers[24 * i:24 * i + 24], "".join(marks[at_mark:next_mark])[:-1]
+            at_link, at_mark = next_link, next_mark
+
+    def groups(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
+        """The ids of A and of B of each group of a text."""
+        _, _, cut_a, cut_b = common_ends(np.array(a, np.int64), np.array(b, np.int64), self.size_a, self.size_b)
         a0 = b0 = 0
-        for a1, b1 in zip(self.cut_a.tolist(), self.cut_b.tolist()):
-            yield self.a[a0:a1].tolist(), self.b[b0:b1].tolist()
+        for a1, b1 in zip(cut_a.tolist(), cut_b.tolist()):
+            yield a[a0:a1], b[b0:b1]
             a0, b0 = a1, b1
 
-    def text(self, pair: Pair) -> str:
-        """All groups as `a1,a2|b1;a3|b2,b3`."""
-        if not len(self.cut_a):
-            return ""
-        last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
-        last_a[self.cut_a - 1] = last_b[self.cut_b - 1] = 1
-        out = np.empty(len(self.a) + len(self.b), object)
+    def texts(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[str]:
+        """Each id and the mark behind it, of all groups as `a1,a2|b1;a3|b2,b3;`."""
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[cut_a - 1] = last_b[cut_b - 1] = 1
+        out = np.empty(len(a) + len(b), object)
         # a group's tokens of A come after all of B in the groups before, those of B after its own of A
-        before = np.append(0, self.cut_b[:-1])
-        out[np.arange(len(self.a)) + np.repeat(before, np.diff(self.cut_a, prepend=0))] = pair.text_a[self.a, last_a]
-        out[np.arange(len(self.b)) + np.repeat(self.cut_a, np.diff(self.cut_b, prepend=0))] = pair.text_b[self.b, last_b]
-        return "".join(out.tolist())[:-1]
+        before = np.append(0, cut_b[:-1])[:len(cut_b)]
+        out[np.arange(len(a)) + np.repeat(before, np.diff(cut_a, prepend=0))] = self.text_a[a, last_a]
+        out[np.arange(len(b)) + np.repeat(cut_a, np.diff(cut_b, prepend=0))] = self.text_b[b, last_b]
+        return out.tolist()
+
+
+def common_ends(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The tokens' ends on either side, and how many of each side's tokens end up to each
+    end that both share, in order."""
+    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    place_a, place_b = dict(zip(ends_a.tolist(), count(1))), dict(zip(ends_b.tolist(), count(1)))
+    common = sorted(place_a.keys() & place_b.keys())
+    return (ends_a, ends_b, np.fromiter(map(place_a.__getitem__, common), np.int64),
+            np.fromiter(map(place_b.__getitem__, common), np.int64))
 
 
 _loaded: dict[str, Pair] = {}
@@ -140,6 +195,12 @@ def _files(docs: DataFrame, path_a: str, path_b: str) -> list:
     return out
 
 
+def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
 def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unique, place = np.unique(keys, return_inverse=True)
     return unique, np.bincount(place, counts, len(unique)).astype(np.int64)
@@ -159,19 +220,21 @@ def _first_pass(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(file_a, file_b)
+        gc.disable()  # the cache holds many small tuples and no cycles
         held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         size = 0
         for part in (p for b in batches for p in slices(b, "text")):
             out: dict[str, list] = {c: [] for c in list(kinds)[1:9]}
-            for a, b in pair.encode(part.column("text").to_pylist()):
-                x = Aligned(pair, a, b)
-                at_a, at_b = x.links()
-                found, times = np.unique(x.a[at_a] << 32 | x.b[at_b], return_counts=True)
+            for chunks in pair.chunks(part.column("text").to_pylist()):
+                links, numbers, groups = zip(*chunks) if chunks else ((), (), ())
+                links = np.frombuffer(b"".join(links), np.int64)
+                found, times = _tally(links)
                 held[0].append(found)
                 held[1].append(times)
                 size += len(found)
-                sha = hashlib.sha256(x.text(pair).encode()).hexdigest() if a else ""
-                for c, v in zip(out, (len(a), len(b), len(x.cut_a), len(at_a), sha, (found >> 32).astype(np.int32),
+                numbers = np.frombuffer(b"".join(numbers), np.int64).reshape(-1, 3).sum(axis=0)
+                sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if chunks else ""
+                for c, v in zip(out, (*numbers.tolist(), len(links), sha, (found >> 32).astype(np.int32),
                                       found.astype(np.uint32).astype(np.int32), times.astype(np.int32))):
                     out[c].append(v)
             yield batch(part.num_rows, doc_id=part.column("doc_id"), **out)
@@ -278,8 +341,9 @@ def token_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(file_a, file_b)
         for part in (p for b in batches for p in slices(b, "text")):
-            groups = [[{"a": x, "b": y} for x, y in Aligned(pair, a, b).groups()]
-                      for a, b in pair.encode(part.column("text").to_pylist())]
+            texts = part.column("text").to_pylist()
+            ids = [(([], []) if x is None or not t else x) for t, x in zip(texts, pair.encode([t or "" for t in texts]))]
+            groups = [[{"a": x, "b": y} for x, y in pair.groups(a, b)] for a, b in ids]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(groups, kind)], ["doc_id", "groups"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, groups array<struct<a array<int>, b array<int>>>")
