@@ -37,12 +37,35 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
-    lineage, and an executor lost later costs only the reading of its part."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, and an executor lost later costs only the reading of its part.
+
+    The shuffle files of the write are of no use afterwards and go at once, by a setting
+    that holds for the session while the table is written."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*saved: DataFrame) -> None:
+    """Delete tables made by ``save`` of which nothing will be read any more: whatever was
+    made from them has been saved itself."""
+    for df in saved:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kpiloom.llm.common import save
+from kpiloom.llm.common import discard, save
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,19 +29,25 @@ def components(edges: DataFrame) -> DataFrame:
             jumped = save(_follow(to, to), "cc-jump")
             moved = jumped.agg(F.sum(F.col("p").cast("decimal(38,0)"))).first()[0]
             if moved == before:
+                discard(jumped)
                 break
+            discard(to)
             to, before = jumped, moved
         rounds.append(to)
         a = to.select(F.col("node").alias("a"), F.col("p").alias("pa"))
         b = to.select(F.col("node").alias("b"), F.col("p").alias("pb"))
         half = save(left.join(a, "a").select("pa", "b"), "cc-half")
-        left = save(half.join(b, "b").filter("pa <> pb")
-                    .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "cc-edges")
+        fewer = save(half.join(b, "b").filter("pa <> pb")
+                     .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "cc-edges")
+        discard(half, left)
+        left = fewer
     if not rounds:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = rounds[0]
     for to in rounds[1:]:
-        out = save(_follow(out, to), "cc-roots")
+        ahead = save(_follow(out, to), "cc-roots")
+        discard(out, to)
+        out = ahead
     return out.withColumnRenamed("p", "root")
 
 

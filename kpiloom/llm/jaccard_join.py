@@ -40,10 +40,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from kpiloom.llm.common import find_words, lower, mix, save, slices, text_bytes, word_hashes
+from kpiloom.llm.common import discard, find_words, lower, mix, save, slices, text_bytes, word_hashes
 from kpiloom.llm.components import components
 
 SHINGLE = 5
@@ -66,30 +67,38 @@ def prefix_length(n, percent: int):
     return n - -(-(percent * n) // 100) + 1
 
 
-def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, sorted, one text after the other; and each text's number of them."""
+def shingles_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's shingles, one text after the other, and each text's number of them."""
     data, offsets = text_bytes(column)
     data = lower(data)
     starts, ends, first = find_words(data, offsets)
     words = word_hashes(data, starts, ends)
     n = np.diff(first)
-    hashes, texts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for width in range(1, shingle + 1):  # narrower ones for texts that have no more words
-        some = np.flatnonzero(n >= shingle if width == shingle else n == width)
-        each = n[some] - width + 1
-        upto = np.append(0, np.cumsum(each))
-        at = np.repeat(first[some] - upto[:-1], each) + np.arange(upto[-1])
-        h = words[at]
-        for k in range(1, width):
+    each = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
+    upto = np.append(0, np.cumsum(each))
+    at = np.repeat(first[:-1] - upto[:-1], each) + np.arange(upto[-1])
+    width = np.minimum(n, shingle)
+    own = np.repeat(width, each)
+    h = words[at]
+    for k in range(1, shingle):  # a text with fewer words is one narrower shingle
+        wide = own > k
+        if wide.all():
             h = mix(h * _STEP + words[at + k])
-        hashes.append(h + np.uint64(shingle - width))
-        texts.append(np.repeat(some, each))
-    h, text = np.concatenate(hashes), np.concatenate(texts)
-    order = np.lexsort((h, text))
-    h, text = h[order], text[order]
+        else:
+            h[wide] = mix(h[wide] * _STEP + words[at[wide] + k])
+    return h + np.repeat((shingle - width).astype(np.uint64), each), each
+
+
+def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, sorted, one text after the other; and each text's number of them."""
+    h, each = shingles_of(column, shingle)
+    at = np.append(0, np.cumsum(each))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-    return h[new], np.bincount(text[new], minlength=len(n))
+    new[1:] = h[1:] != h[:-1]
+    new[at[:-1][each > 0]] = True
+    return h[new], np.add.reduceat(np.append(new, False), at[:-1], dtype=np.int64) * (each > 0)
 
 
 def bucket_ranks(docs: DataFrame, shingle: int) -> tuple[np.ndarray, int]:
@@ -99,7 +108,7 @@ def bucket_ranks(docs: DataFrame, shingle: int) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for part in (p for b in batches for p in slices(b, "text")):
-            h, _ = shingle_sets(part.column("text"), shingle)
+            h, _ = shingles_of(part.column("text"), shingle)
             total += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
         found = [at for at in range(BUCKET_RANGES) if total[at * size:(at + 1) * size].any()]
         planes = [np.ascontiguousarray(total[at * size:(at + 1) * size].view(np.uint8).reshape(-1, 8).T) for at in found]
@@ -125,9 +134,13 @@ def bucket_ranks(docs: DataFrame, shingle: int) -> tuple[np.ndarray, int]:
     return ranks, (shingles >> BUCKET_BITS).bit_length()
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+
+
 def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> DataFrame:
-    """doc_id, row, sid (hash of the set), size, signature, prefix and the ranks of its
-    shingles, of every row of ``docs``."""
+    """doc_id, key (of the row's contents), row, sid (hash of the set), size, signature, prefix
+    and the ranks of its shingles, of every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # 2**BUCKET_BITS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,20 +154,22 @@ def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> Data
             marks = np.packbits(parity.astype(np.uint8), axis=1)
             rank = table[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
             keys = [xxhash.xxh3_64_intdigest(h[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            order = np.lexsort((h, rank, text))
+            place = rank.astype(np.uint64) << np.uint64(58) | h >> np.uint64(6)  # by rank, then by hash
             length = np.where(sizes > 0, prefix_length(sizes, percent), 0)
             upto = np.append(0, np.cumsum(length))
-            chosen = order[np.repeat(at[:-1] - upto[:-1], length) + np.arange(upto[-1])]
+            chosen = np.zeros(upto[-1], np.int64)
+            for a, b, c, n in zip(at[:-1].tolist(), at[1:].tolist(), upto.tolist(), length.tolist()):
+                chosen[c:c + n] = a + np.argsort(place[a:b], kind="stable")[:n]
             lists = lambda values: pa.ListArray.from_arrays(pa.array(upto, pa.int32()), values)
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array(row + np.arange(len(sizes))), pa.array(np.array(keys, np.uint64).view(np.int64)),
+                part.column("doc_id"), part.column("key"), pa.array(row + np.arange(len(sizes))), pa.array(np.array(keys, np.uint64).view(np.int64)),
                 pa.array(sizes), pa.array([m.tobytes() for m in marks], pa.binary()),
                 lists(pa.array(h[chosen].view(np.int64))), lists(pa.array(rank[chosen].view(np.int8)))],
-                ["doc_id", "row", "sid", "size", "signature", "prefix", "rank"])
+                ["doc_id", "key", "row", "sid", "size", "signature", "prefix", "rank"])
             row += len(sizes)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, row long, sid long, size long, signature binary, prefix array<long>, rank array<tinyint>")
+    return _keyed(docs).mapInArrow(
+        run, "doc_id long, key long, row long, sid long, size long, signature binary, prefix array<long>, rank array<tinyint>")
 
 
 def shared_lists(own: DataFrame, mean: int) -> DataFrame:
@@ -193,9 +208,8 @@ def shared_lists(own: DataFrame, mean: int) -> DataFrame:
     return by_list.mapInArrow(run, "token long, pos int, sid long, size int, leader long")
 
 
-def _wanted(sids: DataFrame, known: DataFrame) -> tuple[np.ndarray, int]:
-    """A table of bits by a hash of (sid, doc_id) of the row that stands for each of ``sids``."""
-    keys = save(known.join(sids, "sid").select(F.xxhash64("sid", "first").alias("h")), "jaccard-wanted")
+def _bit_table(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A table of one bit for each bucket of the column ``key``, and the bits of its size."""
     bits = min(max((8 * keys.count()).bit_length(), 12), FILTER_BITS)
     ranges = 16
     size = (1 << bits) // ranges
@@ -203,44 +217,48 @@ def _wanted(sids: DataFrame, known: DataFrame) -> tuple[np.ndarray, int]:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[int, np.ndarray] = {}
         for batch in batches:
-            bucket = (batch.column("h").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            bucket = (batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
             for at in np.unique(bucket // size).tolist():
                 tables.setdefault(at, np.zeros(size, bool))[bucket[bucket // size == at] % size] = True
         for at, table in tables.items():
             yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "bits": pa.array([np.packbits(table).tobytes()], pa.binary())})
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    spread = keys.repartition(ranges, F.shiftrightunsigned("h", 60))
+    spread = keys.select("key").repartition(ranges, F.shiftrightunsigned("key", 60))
     for r in spread.mapInArrow(mark, "at int, bits binary").collect():  # `ranges` rows, 2**FILTER_BITS bits at most
         out[r["at"] * size // 8:(r["at"] + 1) * size // 8] |= np.frombuffer(r["bits"], np.uint8)
     return out, bits
 
 
-def token_sets(docs: DataFrame, sids: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
-    """sid and tokens (sorted hashes, 8 bytes each) of ``sids``, from the texts of the rows
-    (``known``: sid, first) that stand for them; a few others may be among them."""
-    table, bits = _wanted(sids, known)
+def bodies(docs: DataFrame, sids: DataFrame, known: DataFrame) -> DataFrame:
+    """sid and body (a text that has the set, compressed: smaller than its shingles' hashes)
+    of each of ``sids``, from the rows that stand for them (``known``: sid, key)."""
+    wanted = save(known.join(sids, "sid").select("sid", "key"), "jaccard-wanted")
+    table, bits = _bit_table(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 2**FILTER_BITS bits at most
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor().compress
         for part in (p for b in batches for p in slices(b, "text")):
-            h, sizes = shingle_sets(part.column("text"), shingle)
-            at = np.append(0, np.cumsum(sizes)).tolist()
-            sets_ = [h[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-            keys = np.array([xxhash.xxh3_64_intdigest(x) for x in sets_], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys), pa.array(sets_, pa.binary())],
-                                             ["doc_id", "sid", "tokens"])
+            bucket = part.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            hit = shared.value[(bucket >> np.uint64(3)).astype(np.int64)] << (bucket & np.uint64(7)).astype(np.uint8) & 128
+            some = part.filter(pa.array(hit.astype(bool)))
+            texts = some.column("text").cast(pa.large_binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([some.column("key"), pa.array([pack(t or b"") for t in texts], pa.binary())],
+                                             ["key", "body"])
+
+    picked = _keyed(docs).mapInArrow(pick, "key long, body binary").groupBy("key").agg(F.first("body").alias("body"))
+    return picked.join(wanted, "key").select("sid", "body")
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            bucket = batch.column("h").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-            hit = table[(bucket >> np.uint64(3)).astype(np.int64)] << (bucket & np.uint64(7)).astype(np.uint8) & 128
-            yield batch.select(["sid", "tokens"]).filter(pa.array(hit.astype(bool)))
 
-    made = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, tokens binary")
-    picked = made.select("sid", "tokens", F.xxhash64("sid", "doc_id").alias("h")).mapInArrow(pick, "sid long, tokens binary")
-    return picked.groupBy("sid").agg(F.first("tokens").alias("tokens"))
+def _sets_of(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The sets of bodies, about a slice of texts at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for start in range(0, len(column), 64):
+        texts = pa.array([unpack(b) for b in column.slice(start, 64).to_pylist()], pa.large_binary())
+        h, sizes = shingle_sets(texts, shingle)
+        at = np.append(0, np.cumsum(sizes)).tolist()
+        yield from (h[a:b] for a, b in zip(at[:-1], at[1:]))
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -278,17 +296,16 @@ def may_link(s: np.ndarray, t: np.ndarray, n: np.ndarray, m: np.ndarray, percent
     return far <= n + m - 2 * least_overlap(n, m, percent)
 
 
-def follow(tokens: DataFrame, best: DataFrame, percent: int) -> DataFrame:
+def follow(texts: DataFrame, best: DataFrame, percent: int, shingle: int) -> DataFrame:
     """sid, leader, linked, minus and plus (the leader's shingles that the set lacks, and the set's own)
     of every set with a leader."""
-    pairs = best.join(tokens, "sid").join(tokens.select(F.col("sid").alias("leader"), F.col("tokens").alias("base")), "leader")
+    pairs = best.join(texts, "sid").join(texts.select(F.col("sid").alias("leader"), F.col("body").alias("base")), "leader")
     names = ["sid", "leader", "linked", "minus", "plus"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, minus, plus = [], [], []
-            for x, base in zip(batch.column("tokens").to_pylist(), batch.column("base").to_pylist()):
-                x, base = np.frombuffer(x, np.uint64), np.frombuffer(base, np.uint64)
+            for x, base in zip(_sets_of(batch.column("body"), shingle), _sets_of(batch.column("base"), shingle)):
                 both = _common(x, base)
                 linked.append(bool(_links(int(both.sum()), len(x), len(base), percent)))
                 minus.append(base[~_common(base, x)].tobytes())
@@ -296,7 +313,7 @@ def follow(tokens: DataFrame, best: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("leader"), pa.array(linked, pa.bool_()),
                                               pa.array(minus, pa.binary()), pa.array(plus, pa.binary())], names)
 
-    return pairs.select("sid", "leader", "tokens", "base").mapInArrow(
+    return pairs.select("sid", "leader", "body", "base").mapInArrow(
         run, "sid long, leader long, linked boolean, minus binary, plus binary")
 
 
@@ -361,7 +378,7 @@ def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percen
     return cells.mapInArrow(run, "x long, y long, cx long, cy long").distinct()
 
 
-def answers(pairs: DataFrame, tokens: DataFrame, followers: DataFrame, percent: int) -> DataFrame:
+def answers(pairs: DataFrame, texts: DataFrame, followers: DataFrame, percent: int, shingle: int) -> DataFrame:
     """a and b (components) of the pairs that link, answered from the leaders' answers."""
     empty = F.lit(b"")
     # x without a leader leads itself; whatever meets y through one leader is answered together
@@ -374,14 +391,14 @@ def answers(pairs: DataFrame, tokens: DataFrame, followers: DataFrame, percent:
     grouped = many.join(cells, ["y", "leader"]).groupBy(
         "y", "leader", F.expr("pmod(deal, cells)").alias("cell")).agg(F.collect_list("f").alias("fs"))
     rows = save(grouped.select("y", "leader", "fs"), "jaccard-grouped")
-    rows = rows.join(tokens.select(F.col("sid").alias("y"), "tokens"), "y").join(
-        tokens.select(F.col("sid").alias("leader"), F.col("tokens").alias("base")), "leader")
+    rows = rows.join(texts.select(F.col("sid").alias("y"), "body"), "y").join(
+        texts.select(F.col("sid").alias("leader"), F.col("body").alias("base")), "leader")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: set[tuple[int, int]] = set()
-            for y, base, followers in zip(*(batch.column(c).to_pylist() for c in ("tokens", "base", "fs"))):
-                y, base = np.frombuffer(y, np.uint64), np.frombuffer(base, np.uint64)
+            for y, base, followers in zip(_sets_of(batch.column("body"), shingle), _sets_of(batch.column("base"), shingle),
+                                          batch.column("fs").to_pylist()):
                 common = int(_common(base, y).sum())
                 for f in followers:
                     minus, plus = np.frombuffer(f["minus"], np.uint64), np.frombuffer(f["plus"], np.uint64)
@@ -391,7 +408,7 @@ def answers(pairs: DataFrame, tokens: DataFrame, followers: DataFrame, percent:
             a, b = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.select("tokens", "base", "fs").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("body", "base", "fs").mapInArrow(run, "a long, b long").distinct()
 
 
 def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, limit: int = LIST) -> DataFrame:
@@ -401,26 +418,27 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
     made = save(sets(docs, ranks, percent, shingle), "jaccard-sets")
     known = save(made.filter("size > 0").groupBy("sid").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"),
-        F.first("size").alias("size")), "jaccard-known")
+        F.first("size").alias("size"), F.min("key").alias("key")), "jaccard-known")
     own = made.select("row", "sid", "size", "prefix", "rank").join(known.select("row"), "row", "left_semi")
     lists = save(shared_lists(own, mean), "jaccard-lists")
+    rows = save(made.select("doc_id", "sid", F.col("size").alias("n_shingles")), "jaccard-rows")
+    discard(made)
     best = save(leaders(lists, known, percent), "jaccard-best")
-    wanted = best.select("sid").union(best.select("leader")).distinct()
-    tokens = save(token_sets(docs, wanted, known, shingle), "jaccard-tokens")
-    followers = save(follow(tokens, best, percent), "jaccard-followers")
+    texts = save(bodies(docs, best.select("sid").union(best.select("leader")).distinct(), known), "jaccard-texts")
+    followers = save(follow(texts, best, percent, shingle), "jaccard-followers")
     near = components(followers.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b")))
     comps = save(near.select(F.col("node").alias("sid"), F.col("root").alias("comp")), "jaccard-components")
     pairs = save(open_pairs(lists, comps, known.select("sid", "signature"), percent, limit), "jaccard-pairs")
-    more = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(tokens, "sid", "left_anti")
-    tokens = tokens.unionByName(save(token_sets(docs, more, known, shingle).join(tokens, "sid", "left_anti"), "jaccard-more-tokens"))
-    merged = components(answers(pairs, tokens, followers, percent))
+    discard(lists)
+    more = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(texts, "sid", "left_anti")
+    texts = texts.unionByName(save(bodies(docs, more, known), "jaccard-more-texts"))
+    merged = components(save(answers(pairs, texts, followers, percent, shingle), "jaccard-answers"))
     roots = (known.select("sid", "first").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
              .join(merged.select(F.col("node").alias("comp"), F.col("root").alias("top")), "comp", "left")
              .select("sid", "first", F.coalesce("top", "comp").alias("root")))
     roots = save(roots, "jaccard-roots")
     ids = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-ids")
     classes = save(roots.join(ids, "root").select("sid", "component_id"), "jaccard-classes")
-    rows = made.select("doc_id", "sid", F.col("size").alias("n_shingles"))
     linked = rows.filter("n_shingles > 0").join(classes, "sid").select("doc_id", "n_shingles", "component_id")
     return linked.unionByName(rows.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

@@ -90,6 +90,18 @@ def test_no_rows(make):
     assert simhash.near_duplicates(make([])).collect() == []
 
 
+def test_a_long_rising_path_takes_few_rounds(spark, monkeypatch):
+    from kpiloom.llm import components as module
+    saved = []
+    keep = module.save
+    monkeypatch.setattr(module, "save", lambda df, name: saved.append(name) or keep(df, name))
+    n = 5000
+    got = components(spark.range(n).selectExpr("id AS a", "id + 1 AS b")).agg({"root": "max", "node": "count"}).first()
+    assert tuple(sorted(got)) == (0, n + 1)
+    # pointers double their way: some log2(n) jumps, and a round or two of contraction
+    assert saved.count("cc-jump") <= 20 and saved.count("cc-edges") <= 4
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
     random.Random(2).shuffle(edges)
