@@ -18,8 +18,9 @@ n - o and m - o meet, and the rest of both blocks is skipped unseen. Of pairs le
 256-bit parity signature bounds the symmetric difference from below.
 
 Answers from similar sets. Each set is first compared with one leader: of the sets that
-head its lists and may be linked by size and signature, that which most lists name. The
-two differences are kept: with them the leader's answers give the set's. Linked sets and
+head its lists and may be linked by size and signature, that which most lists name. If
+they differ by half the set or less, the two differences are kept: with them the
+leader's answers give the set's. Linked sets and
 leaders form components, and lists whose sets all are in one component are dropped whole. Other
 lists, in pieces of at most ``LIST`` sets, give the pairs between components; these are
 answered from the leader's: |x & y| = |L & y| - |(L - x) & y| + |(x - L) & y|, with |L & y|
@@ -233,7 +234,7 @@ def _bit_table(keys: DataFrame) -> tuple[np.ndarray, int]:
 def bodies(docs: DataFrame, sids: DataFrame, known: DataFrame) -> DataFrame:
     """sid and body (a text that has the set, compressed: smaller than its shingles' hashes)
     of each of ``sids``, from the rows that stand for them (``known``: sid, key)."""
-    wanted = save(known.join(sids, "sid").select("sid", "key"), "jaccard-wanted")
+    wanted = save(known.join(sids, "sid").select("sid", "key"), "jaccard-wanted", narrow=True)
     table, bits = _bit_table(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 2**FILTER_BITS bits at most
 
@@ -298,20 +299,24 @@ def may_link(s: np.ndarray, t: np.ndarray, n: np.ndarray, m: np.ndarray, percent
 
 def follow(texts: DataFrame, best: DataFrame, percent: int, shingle: int) -> DataFrame:
     """sid, leader, linked, minus and plus (the leader's shingles that the set lacks, and the set's own)
-    of every set with a leader."""
+    of every set that differs from its leader by at most half its size."""
     pairs = best.join(texts, "sid").join(texts.select(F.col("sid").alias("leader"), F.col("body").alias("base")), "leader")
     names = ["sid", "leader", "linked", "minus", "plus"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, minus, plus = [], [], []
-            for x, base in zip(_sets_of(batch.column("body"), shingle), _sets_of(batch.column("base"), shingle)):
+            out: list[list] = [[], [], [], [], []]
+            for sid, leader, x, base in zip(batch.column("sid").to_pylist(), batch.column("leader").to_pylist(),
+                                            _sets_of(batch.column("body"), shingle), _sets_of(batch.column("base"), shingle)):
                 both = _common(x, base)
-                linked.append(bool(_links(int(both.sum()), len(x), len(base), percent)))
-                minus.append(base[~_common(base, x)].tobytes())
-                plus.append(x[~both].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("leader"), pa.array(linked, pa.bool_()),
-                                              pa.array(minus, pa.binary()), pa.array(plus, pa.binary())], names)
+                o = int(both.sum())
+                if 2 * (len(x) + len(base) - 2 * o) > len(x):
+                    continue
+                for column, v in zip(out, (sid, leader, bool(_links(o, len(x), len(base), percent)),
+                                           base[~_common(base, x)].tobytes(), x[~both].tobytes())):
+                    column.append(v)
+            kinds = pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     return pairs.select("sid", "leader", "body", "base").mapInArrow(
         run, "sid long, leader long, linked boolean, minus binary, plus binary")
@@ -339,10 +344,10 @@ def block_pairs(size: np.ndarray, pos: np.ndarray, percent: int) -> Iterator[tup
 def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percent: int, limit: int) -> DataFrame:
     """x, y, cx, cy: pairs of sets of different components that a list leaves to be compared."""
     named = save(lists.select("token", "pos", "sid", "size").join(comps, "sid", "left")
-                 .withColumn("comp", F.coalesce("comp", "sid")), "jaccard-named")
+                 .withColumn("comp", F.coalesce("comp", "sid")), "jaccard-named", narrow=True)
     sizes = named.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("m"))
-    sizes = save(sizes.filter("a < b").select("token", F.ceil(F.col("m") / limit).cast("int").alias("cells")), "jaccard-open")
-    entry = save(named.join(sizes, "token"), "jaccard-entries").join(signatures, "sid")
+    sizes = save(sizes.filter("a < b").select("token", F.ceil(F.col("m") / limit).cast("int").alias("cells")), "jaccard-open", narrow=True)
+    entry = save(named.join(sizes, "token"), "jaccard-entries", narrow=True).join(signatures, "sid")
     part = F.expr("CAST(pmod(xxhash64(sid), cells) AS INT)")
     dealt = entry.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
         "token", F.least("part", "other").alias("g"), F.greatest("part", "other").alias("h"),
@@ -386,7 +391,7 @@ def answers(pairs: DataFrame, texts: DataFrame, followers: DataFrame, percent: i
         "y", F.coalesce("leader", "x").alias("leader"), F.struct(
             "cx", "cy", F.coalesce("minus", empty).alias("minus"), F.coalesce("plus", empty).alias("plus")).alias("f"),
         F.xxhash64("x").alias("deal"))
-    many = save(led, "jaccard-led")
+    many = save(led, "jaccard-led", narrow=True)
     cells = many.groupBy("y", "leader").agg(F.ceil(F.count("*") / FOLLOWERS).alias("cells"))
     grouped = many.join(cells, ["y", "leader"]).groupBy(
         "y", "leader", F.expr("pmod(deal, cells)").alias("cell")).agg(F.collect_list("f").alias("fs"))
@@ -418,16 +423,16 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
     made = save(sets(docs, ranks, percent, shingle), "jaccard-sets")
     known = save(made.filter("size > 0").groupBy("sid").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"),
-        F.first("size").alias("size"), F.min("key").alias("key")), "jaccard-known")
+        F.first("size").alias("size"), F.min("key").alias("key")), "jaccard-known", narrow=True)
     own = made.select("row", "sid", "size", "prefix", "rank").join(known.select("row"), "row", "left_semi")
     lists = save(shared_lists(own, mean), "jaccard-lists")
-    rows = save(made.select("doc_id", "sid", F.col("size").alias("n_shingles")), "jaccard-rows")
+    rows = save(made.select("doc_id", "sid", F.col("size").alias("n_shingles")), "jaccard-rows", narrow=True)
     discard(made)
-    best = save(leaders(lists, known, percent), "jaccard-best")
+    best = save(leaders(lists, known, percent), "jaccard-best", narrow=True)
     texts = save(bodies(docs, best.select("sid").union(best.select("leader")).distinct(), known), "jaccard-texts")
     followers = save(follow(texts, best, percent, shingle), "jaccard-followers")
     near = components(followers.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b")))
-    comps = save(near.select(F.col("node").alias("sid"), F.col("root").alias("comp")), "jaccard-components")
+    comps = save(near.select(F.col("node").alias("sid"), F.col("root").alias("comp")), "jaccard-components", narrow=True)
     pairs = save(open_pairs(lists, comps, known.select("sid", "signature"), percent, limit), "jaccard-pairs")
     discard(lists)
     more = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(texts, "sid", "left_anti")
@@ -436,9 +441,9 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
     roots = (known.select("sid", "first").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
              .join(merged.select(F.col("node").alias("comp"), F.col("root").alias("top")), "comp", "left")
              .select("sid", "first", F.coalesce("top", "comp").alias("root")))
-    roots = save(roots, "jaccard-roots")
-    ids = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-ids")
-    classes = save(roots.join(ids, "root").select("sid", "component_id"), "jaccard-classes")
+    roots = save(roots, "jaccard-roots", narrow=True)
+    ids = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-ids", narrow=True)
+    classes = save(roots.join(ids, "root").select("sid", "component_id"), "jaccard-classes", narrow=True)
     linked = rows.filter("n_shingles > 0").join(classes, "sid").select("doc_id", "n_shingles", "component_id")
     return linked.unionByName(rows.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
