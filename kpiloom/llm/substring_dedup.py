@@ -13,20 +13,23 @@ not one for each, and only edges whose k-mer occurs in several documents go on.
 Paths. Edges that follow each other in every occurrence of both are joined, in Spark,
 to nonbranching paths: a repeated passage becomes one row for each occurrence, with
 the coordinates (document, text, first window) of its first occurrence, its source.
-An edge's key holds a hash of its k-mer and a digest of all its words, so every edge
-of a path is checked word for word against the source's; a later document than the
-source loses the whole path.
+An edge's key holds a hash of its k-mer and a 64-bit digest of all the words that it
+spans, so each edge of a path is verified by that digest against the edge at the
+source's coordinates; a later document than the source loses the whole path.
 
 Branches. Where a k-mer continues in different ways, only some windows of an edge may
 be repeated. Each distinct edge of such a k-mer is read once more at its source
 coordinates and its windows are digested one by one: those found at the same offset
-of the same k-mer in a smaller document go, wherever the edge itself was first seen.
+of the same k-mer in a smaller document go, wherever the edge itself was first seen;
+neighbouring ones leave as one run.
 
 All groups are reduced by minima and counts before anything is joined to them, and
 joins run between saved tables, so a passage that a third of all documents share is
 split over tasks.
 
-Null texts have no words; texts shorter than a window keep all; repeats within one
+Null texts have no words; texts shorter than a window keep all, texts of any length are
+worked on whole (a slice holds 1 MB or one text); an empty table gives no rows, and
+columns of any name pass through; repeats within one
 document stay; rows with equal doc_id are judged each, against smaller ids only (rows
 that repeat both id and words have one set of edges, whose spans hold for all of them);
 a null doc_id has no order, so its words stay and are no source. Kept words are
@@ -44,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kpiloom.llm.common import (
-    find_words, fresh, joined_words, save, slices, span_hashes, text_bytes, word_hashes,
+    discard, find_words, fresh, joined_words, save, slices, span_hashes, text_bytes, word_hashes,
 )
 
 WINDOW = 50
@@ -142,7 +145,7 @@ def _paths(edges: DataFrame) -> DataFrame:
                   .groupBy("km", "edge", "before.km", "before.edge")
                   .agg(F.count("*").alias("c"), F.first("occurs").alias("o"), F.first("before.occurs").alias("p"))
                   .filter("c = o AND c = p").toDF("km", "edge", "km0", "edge0", "c", "o", "p")
-                  .select("km", "edge", F.lit(True).alias("joined")), "path-joints")
+                  .select("km", "edge", F.lit(True).alias("joined")), "path-joints", narrow=True)
     marked = save(steps.join(joints, ["km", "edge"], "left"), "path-marked")
     number = F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(in_text)
     return (marked.withColumn("path", number).groupBy("doc_id", "txt", "path")
@@ -186,12 +189,13 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
     share a k-mer with another document."""
     edges = found.filter("km IS NOT NULL AND doc_id IS NOT NULL").drop("n_words", "sha256")
     shared = save(edges.groupBy("km").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                  .filter("a < b").select("km"), "shared-kmers")
+                  .filter("a < b").select("km"), "shared-kmers", narrow=True)
     # repeated rows have the same edges; dealt anew, so that the join can still split a hot k-mer
     near = save(edges.join(shared, "km").repartition("doc_id", "txt", "lo").distinct(), "shared-edges")
+    discard(shared)
     kinds = save(near.groupBy("km", "edge").agg(
         F.min(F.struct("doc_id", "txt", "lo")).alias("source"), F.max("doc_id").alias("last"),
-        F.max("n").alias("n"), F.count("*").alias("occurs")), "edge-kinds")
+        F.max("n").alias("n"), F.count("*").alias("occurs")), "edge-kinds", narrow=True)
     several = kinds.filter("source.doc_id < last").select("km", "edge", "source", "occurs")
     paths = _paths(near.join(several, ["km", "edge"]))
     spans = paths.filter("source.doc_id < doc_id").select(
@@ -199,20 +203,24 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
 
     branching = save(kinds.groupBy("km").agg(
         F.count("*").alias("ways"), F.min("source.doc_id").alias("a"), F.max("source.doc_id").alias("b"))
-        .filter("ways > 1 AND a < b").select("km"), "branching-kmers")
-    open_kinds = save(kinds.join(branching, "km"), "branching-edges")
+        .filter("ways > 1 AND a < b").select("km"), "branching-kmers", narrow=True)
+    open_kinds = save(kinds.join(branching, "km"), "branching-edges", narrow=True)
     texts = save(docs.select("doc_id", "text").join(
         near.select("doc_id").distinct(), "doc_id", "left_semi"), "shared-texts")
     windows = save(_branch_windows(open_kinds, texts, window), "branch-windows")
     first = save(windows.groupBy("km", "w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                 .filter("a < b").select("km", "w", "a"), "branch-first")
-    gone = save(windows.join(first, ["km", "w"]).filter("a < doc_id").groupBy("km", "edge", "doc_id")
-                .agg(F.collect_set("i").alias("gone")), "branch-gone")
+                 .filter("a < b").select("km", "w", "a"), "branch-first", narrow=True)
+    found = (windows.join(first, ["km", "w"]).filter("a < doc_id").groupBy("km", "edge", "doc_id")
+             .agg(F.collect_set("i").alias("gone")))  # at most the windows of one edge
+    # neighbouring windows are one run, from the first to the last of them
+    edge_of = lambda step: F.filter("gone", lambda i: ~F.array_contains(F.col("gone"), i + step))
+    gone = save(found.select("km", "edge", "doc_id", F.arrays_zip(
+        F.array_sort(edge_of(-1)).alias("a"), F.array_sort(edge_of(1)).alias("b")).alias("runs")), "branch-gone", narrow=True)
     # later documents with the same edge lose all of it with its path
     single = near.join(gone, ["km", "edge", "doc_id"]).select(
-        "doc_id", "txt", "lo", F.explode("gone").alias("i")).select(
-        "doc_id", "txt", (F.col("lo") + F.col("i")).alias("start"),
-        (F.col("lo") + F.col("i") + window).alias("end"), F.lit(None).cast(paths.schema["source"].dataType).alias("source"))
+        "doc_id", "txt", "lo", F.explode("runs").alias("r")).select(
+        "doc_id", "txt", (F.col("lo") + F.col("r.a")).alias("start"),
+        (F.col("lo") + F.col("r.b") + window).alias("end"), F.lit(None).cast(paths.schema["source"].dataType).alias("source"))
     return spans.unionByName(single), texts
 
 
@@ -259,7 +267,7 @@ def removal_counts(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     spans, texts = repeated_spans(docs, found, window)
     cut = _cut(texts.join(_by_doc(spans, "spans"), "doc_id"), ["doc_id", "text"], "spans",
                ["txt", "n_removed", "kept"])
-    lost = save(cut.select("doc_id", "txt", "n_removed", "kept").distinct(), "dedup-lost")
+    lost = save(cut.select("doc_id", "txt", "n_removed", "kept").distinct(), "dedup-lost", narrow=True)
     # texts that lose nothing need no second look: their digest is known already
     return (found.filter("km IS NULL").join(lost, ["doc_id", "txt"], "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
