@@ -168,7 +168,7 @@ def near_links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     keyed = fps.select("fp", F.explode(_keys(F.col("fp"), None, 1)).alias("k")).select("fp", "k.*")
     found = None
     for level in (1, 2, 3):
-        sizes = save(keyed.groupBy("path", "bits").count().filter("count > 1"), f"simhash-keys-{level}")
+        sizes = save(keyed.groupBy("path", "bits").count().filter("count > 1"), f"simhash-keys-{level}", narrow=True)
         shared = save(keyed.join(sizes, ["path", "bits"]), f"simhash-groups-{level}")
         few = shared if level == 3 else shared.filter(F.col("count") <= group)
         links = _links(few.groupBy("path", "bits").agg(F.collect_list("fp").alias("fps")))
@@ -182,12 +182,12 @@ def near_links(fps: DataFrame, group: int = GROUP) -> DataFrame:
 
 def classes(docs: DataFrame, fp: str, doc_id: str, group: int = GROUP) -> DataFrame:
     """fp, root (smallest fingerprint reachable) and component_id of every fingerprint."""
-    fps = save(docs.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first")), "simhash-fps")
+    fps = save(docs.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first")), "simhash-fps", narrow=True)
     roots = components(near_links(fps.select("fp"), group))
     rooted = save(fps.join(roots, fps["fp"] == roots["node"], "left")
-                  .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    ids = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components")
-    return save(rooted.join(ids, "root").select("fp", "root", "component_id"), "simhash-classes")
+                  .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots", narrow=True)
+    ids = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components", narrow=True)
+    return save(rooted.join(ids, "root").select("fp", "root", "component_id"), "simhash-classes", narrow=True)
 
 
 def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -207,6 +207,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ids = saved.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("row"))
     first = save(ids.join(known, "fp").groupBy("root").agg(F.min(order).alias("o"))
-                 .select(F.col("o.row").alias(row)), "simhash-keep")
+                 .select(F.col("o.row").alias(row)), "simhash-keep", narrow=True)
     # a shuffle at every size, where Spark would broadcast the numbers of a small table
     return saved.join(first.hint("merge"), row, "left_semi").select(*docs.columns)
