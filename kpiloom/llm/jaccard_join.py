@@ -14,18 +14,19 @@ bucket is far larger than the mean is split by set over several lists.
 Skipping in lists. A list's entries stand in blocks by set size, by position within a
 block. Two blocks of sizes n and m need an overlap of o; at their first common shingle
 no more than n - p and m - q are left from positions p and q, so only the heads up to
-n - o and m - o meet, and the rest of both blocks is skipped unseen. Of pairs left, a
-256-bit parity signature bounds the symmetric difference from below.
+n - o and m - o meet, and the rest of both blocks is skipped unseen. Of pairs left, parity
+signatures of some 2 to 4 bits a shingle bound the symmetric difference from below.
 
 Answers from similar sets. Each set is first compared with one leader: of the sets that
 head its lists and may be linked by size and signature, that which most lists name. If
 they differ by half the set or less, the two differences are kept: with them the
-leader's answers give the set's. Linked sets and
-leaders form components, and lists whose sets all are in one component are dropped whole. Other
-lists, in pieces of at most ``LIST`` sets, give the pairs between components; these are
-answered from the leader's: |x & y| = |L & y| - |(L - x) & y| + |(x - L) & y|, with |L & y|
-computed once for all followers of a leader that meet y. So a group of near copies
-costs one comparison a set, and no list emits its pairs within a component.
+leader's answers give the set's: |x & y| = |L & y| - |(L - x) & y| + |(x - L) & y|, with
+|L & y| computed once for all followers of a leader that meet y. Linked sets and leaders
+form components, and lists whose sets all are in one component are dropped whole. In
+other lists, in pieces of at most ``LIST`` sets, each set is compared with the nearest by
+signature of another component, for up to ``ROUNDS`` rounds while links are found; at
+last with every set of another component that the skips leave. So a group of near
+copies costs a few comparisons a set, and no list emits its pairs within a component.
 
 Shingles and sets are compared by 64-bit hashes. Null and empty texts have empty sets;
 repeated rows are linked as any equal sets; a null doc_id never names a component unless
@@ -53,9 +54,10 @@ PERCENT = 80
 BUCKET_BITS = 20
 BUCKET_RANGES = 16
 LIST = 4096
-SIGNATURE = 256
+SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signature
 FILTER_BITS = 28  # of the table of sets whose shingles are wanted, at most
 FOLLOWERS = 64  # answered in one row
+ROUNDS = 2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,6 +104,23 @@ def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray
     return h[new], np.add.reduceat(np.append(new, False), at[:-1], dtype=np.int64) * (each > 0)
 
 
+def signature_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the signature of sets of ``size``: the power of two from twice the size on."""
+    least, most = SIGNATURE_BITS
+    return 1 << np.clip(np.frexp(np.maximum(2 * size - 1, 1))[1], least, most).astype(np.int64)
+
+
+def _folded(marks: np.ndarray, words: int) -> np.ndarray:
+    """Signatures (rows) as those of fewer bits."""
+    return np.bitwise_xor.reduce(marks.reshape(len(marks), -1, words), axis=1)
+
+
+def apart(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """At most what only one of both sets has, for rows of signatures, each side of a width."""
+    words = min(s.shape[1], t.shape[1])
+    return np.bitwise_count(_folded(s, words) ^ _folded(t, words)).sum(axis=1, dtype=np.int64)
+
+
 def bucket_ranks(docs: DataFrame, shingle: int) -> tuple[np.ndarray, int]:
     """log2 of the count of shingles in each bucket, one byte each, and of the mean count."""
     size = (1 << BUCKET_BITS) // BUCKET_RANGES
@@ -150,9 +169,10 @@ def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> Data
             h, sizes = shingle_sets(part.column("text"), shingle)
             at = np.append(0, np.cumsum(sizes))
             text = np.repeat(np.arange(len(sizes)), sizes)
-            parity = np.bincount(text * SIGNATURE + (mix(h) % np.uint64(SIGNATURE)).astype(np.int64),
-                                 minlength=len(sizes) * SIGNATURE).reshape(-1, SIGNATURE) & 1
-            marks = np.packbits(parity.astype(np.uint8), axis=1)
+            bits = signature_bits(sizes)
+            begin = np.append(0, np.cumsum(bits))
+            place = begin[text] + (mix(h) & (bits[text] - 1).astype(np.uint64)).astype(np.int64)
+            marks = np.packbits((np.bincount(place, minlength=begin[-1]) & 1).astype(np.uint8)).tobytes()
             rank = table[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
             keys = [xxhash.xxh3_64_intdigest(h[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             place = rank.astype(np.uint64) << np.uint64(58) | h >> np.uint64(6)  # by rank, then by hash
@@ -164,7 +184,8 @@ def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> Data
             lists = lambda values: pa.ListArray.from_arrays(pa.array(upto, pa.int32()), values)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("key"), pa.array(row + np.arange(len(sizes))), pa.array(np.array(keys, np.uint64).view(np.int64)),
-                pa.array(sizes), pa.array([m.tobytes() for m in marks], pa.binary()),
+                pa.array(sizes), 
+                pa.array([marks[a // 8:b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())], pa.binary()),
                 lists(pa.array(h[chosen].view(np.int64))), lists(pa.array(rank[chosen].view(np.int8)))],
                 ["doc_id", "key", "row", "sid", "size", "signature", "prefix", "rank"])
             row += len(sizes)
@@ -282,19 +303,19 @@ def leaders(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         of("leader", F.col("signature").alias("t"), F.col("size").alias("m")), "leader")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = lambda c: [np.frombuffer(x, np.uint64)[None] for x in batch.column(c).to_pylist()]
         for batch in batches:
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SIGNATURE // 64) for c in "st")
+            far = np.fromiter((apart(s, t)[0] for s, t in zip(rows("s"), rows("t"))), np.int64, batch.num_rows)
             n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "m"))
-            yield batch.select(["sid", "leader", "c"]).filter(pa.array(may_link(s, t, n, m, percent)))
+            yield batch.select(["sid", "leader", "c"]).filter(pa.array(far <= most_apart(n, m, percent)))
 
     near = both.mapInArrow(run, "sid long, leader long, c long")
     return near.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
 
 
-def may_link(s: np.ndarray, t: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and signatures leave room for the overlap that a link needs."""
-    far = np.bitwise_count(s ^ t).sum(axis=1, dtype=np.int64)  # at most what only one of both has
-    return far <= n + m - 2 * least_overlap(n, m, percent)
+def most_apart(n, m, percent: int):
+    """The most that only one of two linked sets of n and m has."""
+    return n + m - 2 * least_overlap(n, m, percent)
 
 
 def follow(texts: DataFrame, best: DataFrame, percent: int, shingle: int) -> DataFrame:
@@ -322,8 +343,10 @@ def follow(texts: DataFrame, best: DataFrame, percent: int, shingle: int) -> Dat
         run, "sid long, leader long, linked boolean, minus binary, plus binary")
 
 
-def block_pairs(size: np.ndarray, pos: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in a list that skips leave: heads of the blocks of two sizes."""
+def block_pairs(size: np.ndarray, pos: np.ndarray, percent: int,
+                most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Pairs of places in a list that skips leave: two sizes, and heads of their blocks
+    against each other, about ``most`` pairs at a time."""
     order = np.lexsort((pos, size))
     sizes, starts = np.unique(size[order], return_index=True)
     stops = np.append(starts[1:], len(order))
@@ -335,16 +358,56 @@ def block_pairs(size: np.ndarray, pos: np.ndarray, percent: int) -> Iterator[tup
             need = least_overlap(n, m, percent)
             left = order[a:a + np.searchsorted(pos[order[a:b]], n - need, "right")]
             right = order[c:c + np.searchsorted(pos[order[c:d]], m - need, "right")]
-            step = max(1, (1 << 18) // max(1, len(right)))
+            step = max(1, most // max(1, len(right)))
             for k in range(0, len(left), step) if len(right) else ():
                 x, y = np.repeat(left[k:k + step], len(right)), np.tile(right, len(left[k:k + step]))
-                yield (x[x != y], y[x != y]) if n != m else (x[x < y], y[x < y])
-
-
-def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percent: int, limit: int) -> DataFrame:
-    """x, y, cx, cy: pairs of sets of different components that a list leaves to be compared."""
-    named = save(lists.select("token", "pos", "sid", "size").join(comps, "sid", "left")
-                 .withColumn("comp", F.coalesce("comp", "sid")), "jaccard-named", narrow=True)
+                own = x != y if n != m else x < y
+                yield n, m, x[own], y[own]
+
+
+def _cell_pairs(size: np.ndarray, pos: np.ndarray, comp: np.ndarray, part: np.ndarray, marks: list[bytes], across: bool,
+                percent: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places x, y of pairs of different components in a cell that signatures leave; only
+    each set's ``nearest`` if so asked. ``across``: pairs of different parts only."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    wide = int(signature_bits(size.max())) // 64
+    best = np.full(len(size), np.inf)
+    partner = np.full(len(size), -1)
+    matrix: dict[int, np.ndarray] = {}  # signatures of a size, by place
+    row = np.zeros(len(size), np.int64)
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        row[at] = np.arange(len(at))
+        matrix[n] = np.frombuffer(b"".join([marks[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1)
+    for n, m, x, y in block_pairs(size, pos, percent, max(1 << 10, (1 << 20) // wide)):
+        own = comp[x] != comp[y]
+        if across:
+            own &= part[x] != part[y]
+        x, y = x[own], y[own]
+        if not len(x):
+            continue
+        far = apart(matrix[n][row[x]], matrix[m][row[y]])
+        near = far <= most_apart(n, m, percent)
+        x, y, share = x[near], y[near], far[near] / most_apart(n, m, percent) if most_apart(n, m, percent) else far[near] * 0.0
+        if not nearest:
+            found.append((x, y, share))
+            continue
+        for a, b in ((x, y), (y, x)):
+            order = np.lexsort((share, a))
+            first = order[np.append(True, a[order][1:] != a[order][:-1])[:len(order)]]
+            first = first[share[first] < best[a[first]]]
+            best[a[first]], partner[a[first]] = share[first], b[first]
+    if nearest:
+        x = np.flatnonzero(partner >= 0)
+        return x, partner[x]
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percent: int, limit: int,
+               nearest: bool = False) -> DataFrame:
+    """x, y, cx, cy: pairs of sets of different components that lists leave to be compared;
+    of each set in a list only the ``nearest`` of another component if so asked."""
+    named = save(lists.select("token", "pos", "sid", "size").join(comps, "sid"), "jaccard-named", narrow=True)
     sizes = named.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("m"))
     sizes = save(sizes.filter("a < b").select("token", F.ceil(F.col("m") / limit).cast("int").alias("cells")), "jaccard-open", narrow=True)
     entry = save(named.join(sizes, "token"), "jaccard-entries", narrow=True).join(signatures, "sid")
@@ -360,25 +423,19 @@ def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percen
             at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             items = lists.flatten()
             sid, comp, size, pos, part = (items.field(c).to_numpy() for c in ("sid", "comp", "size", "pos", "part"))
-            marks = np.frombuffer(b"".join(items.field("signature").to_pylist()), np.uint64).reshape(-1, SIGNATURE // 64)
-            g, h = batch.column("g").to_numpy(), batch.column("h").to_numpy()
+            marks = items.field("signature")
+            across = batch.column("g").to_numpy() != batch.column("h").to_numpy()
             out: list[tuple] = [(np.zeros(0, np.int64),) * 4]
             for i in range(batch.num_rows):
-                own = slice(at[i], at[i + 1])
-                own_size, own_comp, own_part = size[own].astype(np.int64), comp[own], part[own]
-                for x, y in block_pairs(own_size, pos[own].astype(np.int64), percent):
-                    good = own_comp[x] != own_comp[y]
-                    if g[i] != h[i]:
-                        good &= own_part[x] != own_part[y]
-                    x, y = x[good] + at[i], y[good] + at[i]
-                    far = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
-                    n, m = size[x].astype(np.int64), size[y].astype(np.int64)
-                    near = far <= n + m - 2 * least_overlap(n, m, percent)
-                    x, y = x[near], y[near]
-                    swap = sid[x] > sid[y]
-                    x, y = np.where(swap, y, x), np.where(swap, x, y)
-                    out.append((sid[x], sid[y], comp[x], comp[y]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["x", "y", "cx", "cy"])
+                a, b = at[i], at[i + 1]
+                x, y = _cell_pairs(size[a:b].astype(np.int64), pos[a:b].astype(np.int64), comp[a:b], part[a:b],
+                                   marks.slice(a, b - a).to_pylist(), bool(across[i]), percent, nearest)
+                x, y = x + a, y + a
+                swap = sid[x] > sid[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                out.append((sid[x], sid[y], comp[x], comp[y]))
+            rows = np.unique(np.stack([np.concatenate(c) for c in zip(*out)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["x", "y", "cx", "cy"])
 
     return cells.mapInArrow(run, "x long, y long, cx long, cy long").distinct()
 
@@ -431,16 +488,23 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
     best = save(leaders(lists, known, percent), "jaccard-best", narrow=True)
     texts = save(bodies(docs, best.select("sid").union(best.select("leader")).distinct(), known), "jaccard-texts")
     followers = save(follow(texts, best, percent, shingle), "jaccard-followers")
-    near = components(followers.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b")))
-    comps = save(near.select(F.col("node").alias("sid"), F.col("root").alias("comp")), "jaccard-components", narrow=True)
-    pairs = save(open_pairs(lists, comps, known.select("sid", "signature"), percent, limit), "jaccard-pairs")
+    linked = components(followers.filter("linked").select(F.col("sid").alias("a"), F.col("leader").alias("b")))
+
+    def labelled(comps: DataFrame, merged: DataFrame) -> DataFrame:
+        top = merged.select(F.col("node").alias("comp"), F.col("root").alias("top"))
+        return save(comps.join(top, "comp", "left").select("sid", F.coalesce("top", "comp").alias("comp")), "jaccard-components", narrow=True)
+
+    comps = labelled(known.select("sid", F.col("sid").alias("comp")), linked)
+    signatures = known.select("sid", "signature")
+    for left in range(ROUNDS, -1, -1):  # the last round, with all pairs, is always run
+        pairs = save(open_pairs(lists, comps, signatures, percent, limit, nearest=left > 0), "jaccard-pairs")
+        sids = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct()
+        more = save(bodies(docs, sids.join(texts, "sid", "left_anti"), known), "jaccard-more-texts")
+        texts = texts.unionByName(more.join(texts, "sid", "left_anti"))
+        links = save(answers(pairs, texts, followers, percent, shingle), "jaccard-answers")
+        comps = labelled(comps, components(links))
     discard(lists)
-    more = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(texts, "sid", "left_anti")
-    texts = texts.unionByName(save(bodies(docs, more, known), "jaccard-more-texts"))
-    merged = components(save(answers(pairs, texts, followers, percent, shingle), "jaccard-answers"))
-    roots = (known.select("sid", "first").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-             .join(merged.select(F.col("node").alias("comp"), F.col("root").alias("top")), "comp", "left")
-             .select("sid", "first", F.coalesce("top", "comp").alias("root")))
+    roots = comps.join(known.select("sid", "first"), "sid").select("sid", "first", F.col("comp").alias("root"))
     roots = save(roots, "jaccard-roots", narrow=True)
     ids = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "jaccard-ids", narrow=True)
     classes = save(roots.join(ids, "root").select("sid", "component_id"), "jaccard-classes", narrow=True)

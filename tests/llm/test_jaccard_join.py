@@ -69,10 +69,24 @@ def test_links_at_the_threshold(make):
         assert sorted(map(tuple, got), key=str) == brute(pairs, percent)
 
 
-def test_skips_lose_no_pair():
+def test_signatures_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n, m, shared in ((5, 6, 4), (100, 120, 90), (127, 130, 100), (600, 500, 400), (9000, 9000, 8500)):
+        pool = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
+        sides = []
+        for own in (pool[:n], pool[n - shared:]):
+            bits = int(jaccard_join.signature_bits(np.array([len(own)]))[0])
+            parity = np.bincount((jaccard_join.mix(own) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+            sides.append(np.frombuffer(np.packbits(parity.astype(np.uint8)).tobytes(), np.uint64)[None])
+        difference = n + m - 2 * shared
+        assert difference * 0.5 < jaccard_join.apart(*sides)[0] <= difference
+
+
+@pytest.mark.parametrize("most", [7, 1 << 18])
+def test_skips_lose_no_pair(most):
     rng = np.random.default_rng(1)
     size, pos = rng.integers(4, 60, 300), rng.integers(0, 12, 300)
-    kept = {(min(x, y), max(x, y)) for a, b in jaccard_join.block_pairs(size, pos, 80) for x, y in zip(a.tolist(), b.tolist())}
+    kept = {(min(x, y), max(x, y)) for _, _, a, b in jaccard_join.block_pairs(size, pos, 80, most) for x, y in zip(a.tolist(), b.tolist())}
     for i in range(300):
         for j in range(i):
             need = jaccard_join.least_overlap(int(size[i]), int(size[j]), 80)
