@@ -9,17 +9,24 @@ to right; words with nothing left to merge leave the array. That equals merging
 pair at a time, because every merge of the file makes a token of its own, so no
 new pair can rank before the pair that made it (checked on loading).
 
-Texts are cut at ASCII white space, which no token crosses, and the ids of a chunk
-are remembered within a bounded cache, so a worker merges each new chunk once.
+A word of more than ``LONG_WORD`` symbols (a text without blanks) is merged by itself: its
+rounds take the lowest rank from a heap and touch that pair's places and their
+neighbours only, so its work is that of its merges, not rounds times length.
+
+Texts are cut at ASCII white space, which no token crosses, and the ids of short chunks
+are remembered within a cache bounded in entries and bytes, so a worker merges each
+new chunk once.
 
 Null and empty texts have no tokens and decode to the empty text; repeated rows are
-encoded each. Texts are encoded whole; a slice of rows holds a few MB or one text.
+encoded each, a null doc_id stays null, an empty table gives no rows, and other columns
+are not looked at. Texts are encoded whole; a slice of rows holds a few MB or one text.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -34,7 +41,9 @@ from tokenizers.pre_tokenizers import Split
 
 from kpiloom.llm.common import slices
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 400_000  # of
+CACHE_BYTES = 64  # at most
+LONG_WORD = 512  # symbols above which a word is merged by itself
 MARKS = b".,;:!?)]}"
 
 
@@ -81,6 +90,13 @@ class Bpe:
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each (non-empty) word."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG_WORD]
+        if long:
+            out = [self.merge_long(w) if len(w) > LONG_WORD else [] for w in words]
+            short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+            for i, ids in zip(short, self.merge([words[i] for i in short]) if short else ()):
+                out[i] = ids
+            return out
         sizes = np.array([len(w) for w in words], np.int64)
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(sizes)
@@ -125,6 +141,63 @@ class Bpe:
             ids, word = ids[keep], word[keep]
         return out
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs (beyond all ranks where they do not merge) and what they make."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], len(self.ranks)), self.made[at]
+
+    def merge_long(self, word: bytes) -> list[int]:
+        """Ids of one long word: merge rounds that touch only the pairs they merge and their
+        neighbours. Symbols are linked to their neighbours, and places wait by the rank of
+        the pair that begins there."""
+        data = np.frombuffer(word, np.uint8)
+        n, none = len(data), len(self.ranks)
+        ids = np.append(self.inner[data], -1)
+        ids[n - 1] = self.last[data[-1]]
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        alive, rank, made = np.append(np.ones(n, bool), False), np.full(n + 1, none), np.zeros(n + 1, np.int64)
+        rank[:n - 1], made[:n - 1] = self._rank(ids[:n - 1], ids[1:n])
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            own = rank[places]
+            order = np.argsort(own, kind="stable")
+            order = order[own[order] < none]
+            own, places = own[order], places[order]
+            cuts = np.flatnonzero(np.diff(own, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(own)]):
+                r = int(own[a])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(places[a:b])
+
+        wait(np.arange(n))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            hit = np.unique(np.concatenate(waiting.pop(lowest)))
+            hit = hit[alive[hit] & (rank[hit] == lowest)]
+            if not len(hit):
+                continue
+            # of hits that overlap (a pair of equal symbols), every second one counts
+            fresh = np.append(True, after[hit[:-1]] != hit[1:])
+            run = np.maximum.accumulate(np.where(fresh, np.arange(len(hit)), 0))
+            hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
+            gone = after[hit]
+            ids[hit] = made[hit]
+            alive[gone] = False
+            after[hit] = after[gone]
+            before[after[hit]] = hit
+            left = before[hit]
+            touched = np.unique(np.concatenate([hit, left[left >= 0]]))
+            right = after[touched]
+            rank[touched], made[touched] = self._rank(ids[touched], ids[right])
+            rank[touched[right >= n]] = none
+            wait(touched)
+        return ids[:n][alive[:n]].tolist()
+
     def split(self, chunk: bytes) -> list[bytes | int]:
         """Words of a chunk without ASCII white space; ids of special tokens as they are."""
         core = chunk.rstrip(MARKS)
@@ -153,8 +226,12 @@ class Bpe:
         words = list({w for p in parts for w in p if not isinstance(w, int)})
         ids: dict[bytes | int, list[int]] = dict(zip(words, self.merge(words))) if words else {}
         ids.update((i, [i]) for i in self.special.values())
-        cache.update((c, tuple(chain.from_iterable(map(ids.__getitem__, p)))) for c, p in zip(new, parts))
-        return [list(chain.from_iterable(map(cache.__getitem__, c))) for c in chunks]
+        made = ((c, tuple(chain.from_iterable(map(ids.__getitem__, p)))) for c, p in zip(new, parts))
+        long: dict[bytes, tuple[int, ...]] = {}
+        for c, found in made:
+            (cache if len(c) <= CACHE_BYTES else long)[c] = found
+        get = (lambda c: cache[c] if c in cache else long[c]) if long else cache.__getitem__
+        return [list(chain.from_iterable(map(get, c))) for c in chunks]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space: the file names no decoder of its own."""

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -61,3 +62,16 @@ def test_rows(make, library):
     assert sorted(((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got), key=str) == sorted(want, key=str)
     assert all(len(r.ids) == r.n_tokens for r in got)
     assert bpe.encode(make([]), PATH).collect() == []
+
+
+def test_long_words_equal_the_library_in_little_time(own, library):
+    rng = random.Random(8)
+    words = ["".join(rng.choices(alphabet, k=n)) for n, alphabet in (
+        (bpe.LONG_WORD, "ab"), (bpe.LONG_WORD + 1, "ab"), (3000, "a"), (20_000, "etaoin"), (4000, "日本語漢字"),
+        (1_000_000, "abcdefghijklmnopqrstuvwxyz0123456789"))]
+    text = "short words " + " ".join(words) + " and more"
+    began = time.process_time()
+    got = own.encode([text.encode()])[0]
+    assert time.process_time() - began < 30
+    assert got == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, own.cache)) <= bpe.CACHE_BYTES
