@@ -14,7 +14,9 @@ statistics and scores cover all rows. Labels, language, source and id are never
 inputs. Null and empty texts have zero statistics and a score like any other; a
 null doc_id or quality does not train; several labels of one document count as 1
 only if all are; repeated rows are scored each; without labels of both kinds all
-scores are the share of good labels (0.5 without any).
+scores are the share of good labels (0.5 without any). A text of any length is counted
+whole; an empty table gives no rows; other columns are not looked at. The steps run from
+the lowest to the highest ridge score of the fitted rows.
 """
 
 from __future__ import annotations
@@ -121,9 +123,14 @@ class Model:
         z = np.clip((x - self.centre) / self.scale, -8, 8) @ self.w + self.b
         return np.hstack([np.sqrt(2 / FEATURES) * np.cos(z), np.ones((len(x), 1))])
 
+    def ridge(self, x: np.ndarray) -> np.ndarray:
+        return self.features(x) @ self.beta
+
     def step(self, x: np.ndarray) -> np.ndarray:
-        raw = (self.features(x) @ self.beta - self.low) / max(self.high - self.low, 1e-12)
-        return np.clip((raw * STEPS).astype(np.int64), 0, STEPS - 1)
+        """The step of each row's ridge score, of STEPS from the lowest to the highest that
+        the fitted rows have."""
+        raw = (self.ridge(x) - self.low) / max(self.high - self.low, 1e-12)
+        return np.clip(np.floor(raw * STEPS), 0, STEPS - 1).astype(np.int64)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return self.level[self.step(x)]
@@ -189,6 +196,14 @@ def train(stats: DataFrame, labels: DataFrame, learns: Column) -> Model:
     xx, xy = _normal_sums(fit, model)
     model.beta = np.linalg.solve(xx + RIDGE * n * np.eye(len(xx)), xy)
 
+    def ridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(model.ridge(_matrix(batch.column("x"))))], ["r"])
+
+    # ridge scores are no probabilities: the steps cover what the fitted rows have
+    model.low, model.high = fit.select("x").mapInArrow(ridge, "r double").agg(F.min("r"), F.max("r")).first()
+
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kpiloom.llm import classifier
 from tests.llm.texts import corpus
@@ -51,6 +52,19 @@ def test_normal_equations_equal_numpy(spark):
     assert np.allclose(xx, f.T @ f) and np.allclose(xy, f.T @ y)
 
 
+def test_scores_beyond_zero_and_one_keep_their_order(make, spark):
+    pairs, rows = train_set(600)
+    stats = classifier.stats_table(make(pairs))
+    model = classifier.train(stats, labels(spark, rows), F.lit(True))
+    x = np.array([r.x for r in stats.collect()])
+    raw, step, score = model.ridge(x), model.step(x), model.score(x)
+    assert model.low < 0 and model.high > 1 and ((raw < 0) | (raw > 1)).mean() > 0.1
+    order = np.argsort(raw)
+    assert (np.diff(step[order]) >= 0).all() and (np.diff(score[order]) >= 0).all()
+    # neither end is one step for all that lies beyond 0 or 1
+    assert len(set(step[raw > 1])) > 1 and len(set(step)) > 20
+
+
 def test_features_approximate_the_kernel():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(40, len(classifier.STATS)))
