@@ -19,7 +19,8 @@ need a large share; clustered data need far less.
 
 Rows whose id or vector is null, zero, of another length than the most frequent one,
 or has null or non-finite components take no part; ties go to the smaller vec_id;
-repeated rows (same id and vector) count once; a table without such rows has no answers.
+repeated rows (same id and vector) count once; a table without such rows has no answers. Other
+columns are not looked at.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ documents of a source, only its ``BUCKETS`` sums.
 
 Null texts have size 0 and are taken 0 times; a null source is one source, last in
 order; repeated rows count each and share a draw; a source without words has target 0.
+Texts of any length are counted and cut whole; an empty table gives no rows; columns of
+any name pass through, as helper columns get names that the table does not have.
 """
 
 from __future__ import annotations
@@ -101,9 +103,10 @@ def taken(doc_id: Column, size: Column, p: Column, seed: int) -> Column:
 
 
 def _joined(sized: DataFrame, source: str, plans: DataFrame, name: str, keep: list[str]) -> DataFrame:
-    p = plans.select(F.col("source").alias(name + "_source"), F.struct(
+    own, = fresh(sized, name + "_source")
+    p = plans.select(F.col("source").alias(own), F.struct(
         "source_size", "target", "whole", "bucket", "part").alias(name))
-    return sized.join(p, F.col(source).eqNullSafe(F.col(name + "_source"))).select(*keep, name)
+    return sized.join(p, F.col(source).eqNullSafe(F.col(own))).select(*keep, name)
 
 
 def mix_counts(docs: DataFrame, seed: int = 7, **how) -> DataFrame:

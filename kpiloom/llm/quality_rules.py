@@ -12,7 +12,9 @@ gets no cutoff, and the rule rejects nothing there.
 
 Null texts have no words; a null language is a stratum of its own; repeated rows
 are judged each; documents without any word fail the base rules. Several labels of
-one document count as good only if all are 1.
+one document count as good only if all are 1. Texts of any length are counted whole; an
+empty table gives no rows and, without labels, no cutoff; columns of any name pass
+through, as helper columns get names that the table does not have.
 """
 
 from __future__ import annotations
@@ -147,12 +149,14 @@ def thresholds(stats: DataFrame, labels: DataFrame, column: str, stratum: str =
 
 def judged(stats: DataFrame, cutoffs: DataFrame, column: str, kept: str, stratum: str = "lang") -> DataFrame:
     """``stats`` with a boolean column ``kept``."""
-    c = cutoffs.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in GRID])
+    own, *cuts = fresh(stats, "_stratum", *[f"_cut_{r}" for r in GRID])
+    cut = dict(zip(GRID, cuts))
+    c = cutoffs.select(F.col("stratum").alias(own), *[F.col(r).alias(cut[r]) for r in GRID])
     s = F.col(column)
-    out = stats.join(c, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    out = stats.join(c, F.col(stratum).eqNullSafe(F.col(own)), "left")
     above = F.lit(False)
     for r, v in rule_values(s).items():
-        above = above | F.coalesce(v > F.col(f"_cut_{r}"), F.lit(False))
+        above = above | F.coalesce(v > F.col(cut[r]), F.lit(False))
     return out.withColumn(kept, ~base_failed(s) & ~above).drop(*c.columns)
 
 

@@ -156,7 +156,42 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source LEFT JOIN c ON d.source IS NOT DISTINCT FROM c.source
 """
 
+OP2_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+n AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM d, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i)),
+f AS (SELECT s, min(doc_id) AS first FROM n GROUP BY s),
+g AS (
+  SELECT r, list(DISTINCT i + k) AS gone FROM n JOIN f USING (s), LATERAL (SELECT unnest(range(0, 50)) AS k)
+  WHERE first < doc_id GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_transform(list_filter(list_zip(w, range(1, len(w) + 1)),
+              lambda x: gone IS NULL OR NOT list_contains(gone, x[2])), lambda x: x[1]), ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
+
+OP13_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS (
+  SELECT a.r AS x, b.r AS y FROM s a JOIN s b USING (g) JOIN n p ON p.r = a.r JOIN n q ON q.r = b.r
+  GROUP BY a.r, b.r, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+c AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x),
+m AS (SELECT c.x AS r, min(d.doc_id) AS component_id FROM c JOIN d ON d.r = c.y GROUP BY c.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       CASE WHEN n.n IS NULL THEN d.doc_id ELSE m.component_id END AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": OP2_SQL,
+    "op13_jaccard_join": OP13_SQL,
     "op5_warc": OP5_SQL,
     "op6_mixing": OP6_SQL,
     "op8_url_filter": OP8_SQL,

@@ -23,7 +23,8 @@ fingerprint, so their number is linear in the fingerprints, not in the pairs.
 
 Null, empty and blank texts have fingerprint zero and are linked like any other;
 repeated rows are near-duplicates; a null doc_id never names a component unless all
-its rows have none.
+its rows have none. Texts of any length are worked on whole (a slice holds 1 MB or one
+text); an empty table gives no rows; columns of any name pass through.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ words, never keys of the corpus, come to the driver.
 
 Null URLs and those without ``://`` have an empty host and path and meet no rule. A
 URL that no rule fits is allowed: neither cascade lists any of its keys. Repeated
-rows get the same verdict each.
+rows get the same verdict each; URLs of any length are split whole; an empty table gives
+no rows, and an empty list of rules fits nothing; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -62,12 +63,17 @@ class Level:
         bits = max(64, math.ceil(n * -math.log(rate) / math.log(2) ** 2))
         self.seed, self.size = seed, -(-bits // BITS)
         self.hashes = max(1, round(-math.log2(rate)))
-        at = keys.select(F.explode(F.array(*self._bits(F.col(column)))).alias("bit"))
-        power = F.call_function("shiftleft", F.lit(1), F.pmod("bit", F.lit(BITS)).cast("int"))
-        filled = at.groupBy(F.floor(F.col("bit") / BITS).alias("byte")).agg(F.bit_or(power).alias("value"))
-        self.bytes = bytearray(self.size)
-        for row in filled.collect():  # at most self.size rows
-            self.bytes[row["byte"]] = row["value"]
+        # blocks of 4 KB of bits, put together by Spark; positions there count from 1
+        at = keys.select(F.explode(F.array(*self._bits(F.col(column)))).alias("bit")).withColumn("place", F.col("bit") + 1)
+        filled = at.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        value = 0
+        for row in filled.collect():  # a row for each 4 KB of the filter, whose size ``max_listed`` bounds
+            value |= int.from_bytes(row["bits"], "little") << 32768 * (row["block"] - 1)
+        raw = value.to_bytes(4096 * (BITS * self.size // 32768 + 1), "little")
+        self.bytes = bytearray(
+            (int.from_bytes(raw[i * BITS // 8:i * BITS // 8 + 2], "little") >> i * BITS % 8) & (1 << BITS) - 1
+            for i in range(self.size))
 
     def _bits(self, key: Column) -> list[Column]:
         return [F.pmod(F.xxhash64(key, F.lit(self.seed), F.lit(i)), F.lit(BITS * self.size).cast("long"))

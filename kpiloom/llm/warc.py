@@ -18,7 +18,10 @@ so a lost executor leaves no records behind. Folders may be any URI that
 ``pyarrow.fs`` opens, and must be shared by all executors.
 
 Null texts are empty payloads; null URLs have no target header; control characters
-in a URL are percent-encoded. Rows with the same page_id are records of their own.
+in a URL are percent-encoded. Rows with the same page_id are records of their own,
+and of equal payloads the largest page_id is the response (if all are null, each is one);
+a payload of any length is one record, held once in memory; an empty table writes no
+file and reads back as no rows; other columns are not written.
 """
 
 from __future__ import annotations

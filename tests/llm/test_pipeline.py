@@ -1,10 +1,12 @@
 import importlib
+import inspect
+import re
 
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from kpiloom.llm import mixing, quality_rules, simhash, substring_dedup
+from kpiloom.llm import bpe, components, mixing, quality_rules, simhash, substring_dedup
 from tests.llm import test_quality_rules, test_simhash, test_substring_dedup
 from tests.llm.texts import corpus, words
 
@@ -76,7 +78,21 @@ def test_empty_documents(spark, make, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_stages_call_their_operators():
-    used = corpus_pipeline.quality.__code__.co_names + corpus_pipeline.near_duplicates.__code__.co_names
-    assert {"quality_rules", "keep_good", "simhash", "keep_one"} <= set(used)
-    assert all(m.__doc__ for m in (quality_rules, simhash, substring_dedup, mixing))
+def test_stages_take_columns_named_like_their_helpers(spark, make, tmp_path):
+    """Every helper name that the operators make, as a further column of the documents."""
+    names = set()
+    for m in (bpe, components, mixing, quality_rules, simhash, substring_dedup):
+        names |= set(re.findall(r'"(_[a-z_]+)"', inspect.getsource(m)))
+        names |= set(re.findall(r'alias\("([a-z]+)"\)', inspect.getsource(m)))
+    names |= {f"_cut_{r}" for r in quality_rules.GRID} | {"_stratum", "_plan_source", "source_size", "stratum", "fp", "root"}
+    names -= {"doc_id", "text", "lang", "source", "n_chars"}
+    assert len(names) > 30
+    docs = make(corpus(30), " ".join(sorted(names)))
+    test_quality_rules.labels(spark, [(i, 1, 0) for i in range(30)]).write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r.root == r.doc_id and r._plan_source == r.doc_id for r in rows), name
+    assert stage is corpus_pipeline.mixed
+    assert corpus_pipeline.encoded(spark, docs, str(tmp_path)).count() == docs.count()

@@ -42,6 +42,25 @@ def test_small_windows_and_many_branches(make, window, k):
     assert rows(substring_dedup.removal_counts(make(pairs), window, k)) == brute(pairs, window)
 
 
+def test_a_large_group_of_near_copies(make, spark):
+    import random
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(300)}" for _ in range(200)]
+    pairs = []
+    for i in range(250):
+        own = list(base)
+        for _ in range(rng.randint(0, 3)):
+            own[rng.randrange(len(own))] = f"e{rng.randrange(40)}"
+        pairs.append((i, " ".join(own)))
+    docs = make(pairs)
+    assert rows(substring_dedup.removal_counts(docs)) == brute(pairs)
+    # windows of branches leave as runs: far fewer spans than windows, and few of one document
+    found = substring_dedup.save(substring_dedup.pieces(docs), "dedup-pieces")
+    spans, _ = substring_dedup.repeated_spans(docs, found)
+    sizes = spans.groupBy("doc_id").count().agg({"count": "max"}).first()[0]
+    assert sizes < 40
+
+
 def test_repeated_rows_lose_what_single_rows_lose(make):
     import random
     rng = random.Random(5)
