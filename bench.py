@@ -1,6 +1,7 @@
 """Benchmark: build each KPI mart over the whole tables and write it to parquet.
 
-Each mart is built from the driver tables under ``BENCH_SF_DIR`` (through the
+``hot_customers`` finds the customers whose joins are split, once a round, as the pipeline
+does before its marts.  Each mart is built from the driver tables under ``BENCH_SF_DIR`` (through the
 source mapping and the staging plans, built once) and its full result written
 to parquet; ``dq_suite`` then runs the 68 declared checks as the pipeline does
 (``plans.marts.build_and_write``): staging models from the sources, marts from
@@ -29,7 +30,7 @@ sys.path.insert(0, ROOT)
 from kpiloom.config import DEFAULT_AS_OF  # noqa: E402
 from kpiloom.operators import quality  # noqa: E402
 from kpiloom.plans.marts import (  # noqa: E402
-    MART_NAMES, STAGING_NAMES, build_mart,
+    MART_NAMES, STAGING_NAMES, build_mart, find_hot_customers,
 )
 from kpiloom.plans.registry import staged  # noqa: E402
 from kpiloom.session import local_session, shared_dir  # noqa: E402
@@ -43,7 +44,8 @@ def main() -> None:
     out = f"{shared_dir(spark)}/kpiloom-bench"
 
     st = staged(spark, sf_dir)  # lazy staged plans at DEFAULT_AS_OF, shared by every mart
-    jobs = {name: (lambda name=name: build_mart(name, st, as_of=DEFAULT_AS_OF))
+    hot = {}
+    jobs = {name: (lambda name=name: build_mart(name, st, as_of=DEFAULT_AS_OF, hot=hot["customers"]))
             for name in MART_NAMES}
 
     def dq_suite():
@@ -57,8 +59,12 @@ def main() -> None:
 
     # rounds over all jobs, the first one to warm the JVM and the file cache, so that
     # no job pays for being first and a slow spell of the host falls on all of them
-    samples = {name: [] for name in jobs}
+    samples = {name: [] for name in ["hot_customers", *jobs]}
     for i in range(runs + 1):
+        t = time.perf_counter()
+        hot["customers"] = find_hot_customers(st, f"{out}/hot_customers_{i}")
+        if i:
+            samples["hot_customers"].append(time.perf_counter() - t)
         for name, build in jobs.items():
             t = time.perf_counter()
             build().write.mode("overwrite").parquet(f"{out}/{name}_{i}")

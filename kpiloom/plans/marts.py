@@ -12,7 +12,9 @@ from kpiloom.operators import (
     churn, debt, partners, quality, satisfaction, staging, supply_demand, upselling,
 )
 from kpiloom.operators.joins import DEFAULT_HOT_ROWS, side_counts
+from kpiloom.operators.ordering import full_order, sort_columns, with_position
 from kpiloom.sources.io import register, write_mart
+from kpiloom.sources.published import publish, read_published, refresh
 
 MART_NAMES = ("mart_supply_demand", "mart_churn", "mart_upselling", "mart_roi_partnerships",
               "mart_debt_collection", "mart_customer_satisfaction")
@@ -80,11 +82,6 @@ def build_marts(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
     return {name: build_mart(name, st, cfg, as_of, hot, hot_rows) for name in MART_NAMES}
 
 
-def sort_columns(spec):
-    """``[(column, 'asc'|'desc', 'first'|'last'), ...]`` → sort expressions."""
-    return [getattr(F.col(c), f"{d}_nulls_{n}")() for c, d, n in spec]
-
-
 def register_models(frames: Dict[str, DataFrame]) -> Dict[str, DataFrame]:
     """Expose frames as SQL temporary views under their model names
     (``stg_customers`` … ``mart_customer_satisfaction``), as the staging views
@@ -103,10 +100,13 @@ def present(df: DataFrame, mart: str) -> DataFrame:
     columns are appended as tiebreakers, so ties spread over partitions while
     the declared order is kept.
     """
-    spec = MART_ORDER[mart]
-    named = {c for c, _, _ in spec}
-    ties = [(c, "asc", "last") for c in df.columns if c not in named]
-    return df.orderBy(*sort_columns(spec + ties))
+    return df.orderBy(*sort_columns(full_order(df, MART_ORDER[mart])))
+
+
+def present_numbered(df: DataFrame, mart: str) -> DataFrame:
+    """The mart and each row's ``position`` in its presentation order, for consumers that
+    page through it or read it back from files, which keep no order."""
+    return with_position(df, MART_ORDER[mart])
 
 
 def model_frames(sources: Dict[str, DataFrame], cfg: KpiConfig = DEFAULT_CONFIG,
@@ -132,20 +132,32 @@ def build_and_write(spark: SparkSession, sources: Dict[str, DataFrame],
                     out_dir: str, cfg: KpiConfig = DEFAULT_CONFIG,
                     as_of=None, run_checks: bool = True,
                     hot_rows: int = DEFAULT_HOT_ROWS) -> Optional[DataFrame]:
-    """Full refresh: write every mart under ``out_dir``, then check the written tables.
+    """Full refresh: publish every mart under ``out_dir``, then check the published tables.
 
-    ``out_dir`` is on storage that all executors share.  Hot customers are found
-    first, once for all marts, and saved next to them.  The marts are checked from
-    their written copies, so the quality suite does not recompute any mart and a
-    lost executor only re-runs from the files.
+    ``out_dir`` is on storage that all executors share; marts are read back with
+    :func:`kpiloom.sources.published.read_published`, and stay as they were published
+    before until their new version is complete.  Hot customers are found first, once
+    for all marts.  The marts are checked from their written copies, so the quality
+    suite does not recompute any mart and a lost executor only re-runs from the files.
     """
     st = staging.stage_all(sources, cfg, as_of)
     hot = find_hot_customers(st, f"{out_dir}/hot_customers", hot_rows)
     for name in MART_NAMES:
-        write_mart(build_mart(name, st, cfg, as_of, hot, hot_rows), path=f"{out_dir}/{name}")
+        publish(build_mart(name, st, cfg, as_of, hot, hot_rows), f"{out_dir}/{name}")
     if not run_checks:
         return None
-    written = {name: spark.read.parquet(f"{out_dir}/{name}") for name in MART_NAMES}
+    written = {name: read_published(spark, f"{out_dir}/{name}") for name in MART_NAMES}
     report = quality_report(sources, cfg, as_of, marts=written)
-    write_mart(report, path=f"{out_dir}/quality_report")
-    return spark.read.parquet(f"{out_dir}/quality_report")
+    publish(report, f"{out_dir}/quality_report")
+    return read_published(spark, f"{out_dir}/quality_report")
+
+
+def refresh_months(mart: DataFrame, path: str, months) -> int:
+    """Publish the rows of ``months`` (dates, or None for rows without one) of a mart anew;
+    the months are filtered before the mart's own work where its plan allows it, and the
+    files of all other months stay as they are."""
+    days = [m for m in months if m is not None]
+    keep = F.col("month").isin(days) if days else F.lit(False)
+    if None in months:
+        keep = keep | F.col("month").isNull()
+    return refresh(mart.filter(keep), path, months)

@@ -188,3 +188,30 @@ def load_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_sources(spark: SparkSession, sf_dir: str) -> dict:
     """All seven source frames (lazy; each is a pruned parquet scan)."""
     return {name: load_source(spark, sf_dir, name) for name in _BUILDERS}
+
+
+def load_skewed_sources(spark: SparkSession, sf_dir: str) -> dict:
+    """The sources with one hot customer: it has every 200th subscription and invoice and
+    every 50th survey, next to customers with a few rows each."""
+    out = load_sources(spark, sf_dir)
+    for name, key, every in (("subscriptions", "substr(subscription_id, 2)", 200),
+                             ("invoices", "substr(invoice_id, 4)", 200),
+                             ("nps_surveys", "substr(survey_id, 3)", 50)):
+        hot = f"if(cast({key} as bigint) % {every} = 1, 'C1', customer_id)"
+        out[name] = out[name].selectExpr(*[f"{hot} as customer_id" if c == "customer_id" else c
+                                           for c in out[name].columns])
+    return out
+
+
+def write_dirty_invoices(invoices: DataFrame, path: str) -> None:
+    """The invoices as CSV with some amounts that are no numbers, due dates that are no
+    dates, and lines with a field too many (an unquoted comma in a market)."""
+    key = "cast(substr(invoice_id, 4) as bigint)"
+    dirty = {"amount": f"case when {key} % 97 = 3 then 'n/a' when {key} % 97 = 5 then '12.5.1' "
+                       "else cast(amount as string) end",
+             "due_date": f"case when {key} % 89 = 7 then '2024-02-31' else due_date end",
+             "country": f"case when {key} % 101 = 9 then concat(country, ',', country) else country end"}
+    rows = invoices.selectExpr(*[f"{dirty[c]} as {c}" if c in dirty else f"nullif({c}, '') as {c}"
+                                 for c in invoices.columns])
+    # without a quote character, so that the comma stands as it is
+    rows.write.option("header", True).option("quote", "\u0000").csv(path)

@@ -2,49 +2,106 @@
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from typing import Dict, List, Optional, Sequence, Tuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.sources.schemas import SOURCE_SCHEMAS
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    """Columns by header name; every file must have the first file's header order."""
-    reader = (spark.read.option("header", True).option("mode", "FAILFAST").option("encoding", "UTF-8")
-              .option("escape", '"').option("multiLine", multi_line))
-    names = reader.csv(path).columns  # reads one header line
-    missing = [f.name for f in schema.fields if f.name not in names]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return reader.schema(text).option("enforceSchema", False).csv(path)
+# The column that a permissive CSV reader fills with a line that does not fit.
+BAD_LINE = "_bad_line"
+
+# Files whose headers are read at a time (one line each).
+_HEADER_THREADS = 16
+
+
+def csv_headers(spark: SparkSession, path: str) -> Dict[Tuple[str, ...], List[str]]:
+    """The files under ``path`` by their header's column names; empty files are left out.
+
+    The driver reads one line of each file, several at a time, through the file system
+    and codecs that Spark uses.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in spark.read.text(path).inputFiles()]
+
+    def first_line(file) -> str:
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+            data = codec.createInputStream(stream) if codec else stream
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8"))
+            line = lines.readLine()
+            while line is not None and not line.strip():
+                line = lines.readLine()
+            return line or ""
+        finally:
+            stream.close()
+
+    groups: Dict[Tuple[str, ...], List[str]] = {}
+    with ThreadPoolExecutor(_HEADER_THREADS) as pool:
+        for file, line in zip(paths, pool.map(first_line, paths)):
+            if line:
+                names = tuple(next(csv.reader([line.lstrip("\ufeff")])))
+                groups.setdefault(names, []).append(file.toString())
+    return groups
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool,
+              permissive: bool = False) -> DataFrame:
+    """The schema's columns as text, found by the names of each file's own header: files
+    with the same header are one scan, and the scans are united by name.  With
+    ``permissive`` a line that does not fit its header is in the column ``BAD_LINE``."""
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE" if permissive else "FAILFAST")
+              .option("encoding", "UTF-8").option("escape", '"').option("multiLine", multi_line)
+              .option("enforceSchema", False).option("columnNameOfCorruptRecord", BAD_LINE))
+    names = [f.name for f in schema.fields]
+    groups = csv_headers(spark, path)
+    if not groups:
+        raise ValueError(f"{path} has no header")
+    out = None
+    for header, files in sorted(groups.items()):
+        missing = [n for n in names if n not in header]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        twice = [n for n in names if header.count(n) > 1]
+        if twice:
+            raise ValueError(f"{files[0]} has the column {', '.join(twice)} twice")
+        # of other columns that a header names twice, each but the first gets a name of its own
+        text = [T.StructField(n if n not in header[:i] else f"{n}.{i}", T.StringType()) for i, n in enumerate(header)]
+        if permissive:
+            text.append(T.StructField(BAD_LINE, T.StringType()))
+        part = reader.schema(T.StructType(text)).csv(files)
+        part = part.select(*names, *([BAD_LINE] if permissive else []))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _field(f: T.StructField, fmt: str) -> Column:
+    """A source column before its cast: an empty number of a CSV file is null."""
+    blank = fmt == "csv" and not isinstance(f.dataType, T.StringType)
+    return F.nullif(F.trim(f.name), F.lit("")) if blank else F.col(f.name)
 
 
 def read_source(spark: SparkSession, path: str, name: str, fmt: str = "csv",
                 multi_line: bool = False) -> DataFrame:
     """Read one source table with its fixed schema (no inference).
 
-    CSV files carry a header row, by whose names the columns are found in any
-    order; quotes within quoted fields are doubled (RFC 4180), and ``multi_line``
-    allows line breaks in them (such a file is then read by one task).  Empty
-    fields read as null, other text (including a single blank) is kept verbatim for
-    staging to clean.  Parquet columns are selected by name and cast to the
-    declared types.
+    CSV files carry a header row each, by whose names the columns are found in any
+    order, which may differ from file to file; quotes within quoted fields are doubled
+    (RFC 4180), and ``multi_line`` allows line breaks in them (such a file is then read
+    by one task).  Empty fields read as null, other text (including a single blank) is
+    kept verbatim for staging to clean.  Parquet columns are selected by name and cast
+    to the declared types.  A line that does not fit its header, or a number that does
+    not cast, ends the run; :mod:`kpiloom.sources.rejects` sets such rows aside.
     """
     schema = SOURCE_SCHEMAS[name]
-    if fmt == "csv":
-        df = _read_csv(spark, path, schema, multi_line)
-    else:
-        df = spark.read.format(fmt).load(path)
-
-    def typed(f: T.StructField):
-        blank = fmt == "csv" and not isinstance(f.dataType, T.StringType)
-        return (F.nullif(F.trim(f.name), F.lit("")) if blank else F.col(f.name)).cast(f.dataType).alias(f.name)
-
-    return df.select([typed(f) for f in schema.fields])
+    df = _read_csv(spark, path, schema, multi_line) if fmt == "csv" else spark.read.format(fmt).load(path)
+    return df.select([_field(f, fmt).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_sources(spark: SparkSession, base: str, fmt: str = "csv") -> dict:

@@ -36,4 +36,15 @@ SOURCE_SCHEMAS = {
         ("country", _S)),
 }
 
+# Columns that staging casts to dates.
+DATE_COLUMNS = {
+    "customers": ("signup_date",),
+    "subscriptions": ("start_date", "end_date", "churn_date"),
+    "leads": ("lead_date", "assigned_at", "converted_at"),
+    "invoices": ("issue_date", "due_date", "paid_date"),
+    "partners": ("contract_start_date",),
+    "nps_surveys": ("survey_date",),
+    "upsell_events": ("upsell_date",),
+}
+
 SOURCE_NAMES = tuple(SOURCE_SCHEMAS)

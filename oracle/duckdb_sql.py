@@ -804,9 +804,25 @@ CTES["dq_between"] = _dq_sql({"between"})
 CTES["dq_suite"] = _dq_sql({"unique", "not_null", "accepted_values", "relationships", "between"})
 
 # an empty field of a CSV file is null, whatever was written
-CTES["read_source_csv"] = """
-SELECT * REPLACE (NULLIF(assigned_at, '') AS assigned_at, NULLIF(converted_at, '') AS converted_at)
-FROM src_leads"""
+_CSV_TEXT = {
+    "leads": ["assigned_at", "converted_at"],
+    "customers": ["partner_id"],
+    "subscriptions": ["end_date", "churn_date"],
+    "partners": ["status"],
+    "nps_surveys": ["customer_id"],
+    "upsell_events": ["add_on"],
+}
+
+
+def _from_csv(source: str) -> str:
+    nulled = ", ".join(f"NULLIF({c}, '') AS {c}" for c in _CSV_TEXT[source])
+    return f"SELECT * REPLACE ({nulled}) FROM src_{source}"
+
+
+CTES["read_source_csv"] = _from_csv("leads")
+CTES["read_source_headers"] = _from_csv("leads")
+for _name in ("customers", "subscriptions", "partners", "nps_surveys", "upsell_events"):
+    CTES[f"read_source_{_name}"] = _from_csv(_name)
 
 CTES["read_source_parquet"] = "SELECT * FROM src_invoices"
 
@@ -828,20 +844,91 @@ WHERE customer_id IS NOT NULL"""
 CTES["dq_failing_between"] = """
 SELECT survey_id, nps_score FROM stg_nps_surveys WHERE nps_score <= 2 OR nps_score >= 9"""
 
+# invoices with faults: a line with a field too many, no number, no date
+CTES["dirty_invoices"] = """
+SELECT *, k % 101 = 9 AS bad_line, k % 97 IN (3, 5) AS bad_amount, k % 89 = 7 AS bad_due
+FROM (SELECT *, CAST(substr(invoice_id, 4) AS BIGINT) AS k FROM src_invoices)"""
+
+CTES["read_source_rejects"] = """
+SELECT 'invoices' AS source, CAST(NULL AS VARCHAR) AS column_name, 'malformed line' AS reason, count(*) AS rejected
+FROM dirty_invoices WHERE bad_line HAVING count(*) > 0
+UNION ALL
+SELECT 'invoices', 'amount', 'not a number', count(*) FROM dirty_invoices WHERE bad_amount AND NOT bad_line HAVING count(*) > 0
+UNION ALL
+SELECT 'invoices', 'due_date', 'not a date', count(*) FROM dirty_invoices WHERE bad_due AND NOT bad_line HAVING count(*) > 0"""
+
+CTES["read_source_accepted"] = """
+SELECT * EXCLUDE (k, bad_line, bad_amount, bad_due) REPLACE (NULLIF(paid_date, '') AS paid_date)
+FROM dirty_invoices WHERE NOT (bad_line OR bad_amount OR bad_due)"""
+
+# --------------------------------------------------------------------------
+# presentation order: the declared keys, then all columns
+# --------------------------------------------------------------------------
+
+# Declared order of each mart; descending keys are nulls last where the
+# models say so, and keys without a word on nulls sort them as the highest value.
+_ORDERS = {
+    "supply_demand": "t.month DESC NULLS FIRST, t.country ASC NULLS LAST, t.service_type ASC NULLS LAST",
+    "churn": "t.record_type ASC NULLS LAST, t.month DESC NULLS LAST, t.churn_risk_level ASC NULLS LAST",
+    "upselling": "t.record_type ASC NULLS LAST, t.month DESC NULLS LAST",
+    "roi_partnerships": "t.roi_pct DESC NULLS FIRST",
+    "debt_collection": "t.record_type ASC NULLS LAST, t.month DESC NULLS LAST",
+    "customer_satisfaction": "t.record_type ASC NULLS LAST, t.month DESC NULLS LAST",
+}
+for _name, _keys in _ORDERS.items():
+    CTES[f"present_{_name}"] = (f"SELECT t.*, row_number() OVER (ORDER BY {_keys}, t ASC NULLS LAST) AS position "
+                                f"FROM mart_{_name} t")
+
+# --------------------------------------------------------------------------
+# sinks, and statements over the models
+# --------------------------------------------------------------------------
+
+CTES["sink_mart"] = "SELECT * FROM mart_debt_collection"
+CTES["sink_mart_month"] = "SELECT * FROM mart_churn WHERE month >= DATE '2023-04-01'"
+
+CTES["sql_supply_demand"] = f"""
+SELECT country, {B('sum(total_leads)')} AS leads, {B('sum(converted_leads)')} AS converted
+FROM mart_supply_demand GROUP BY country"""
+CTES["sql_churn"] = """
+SELECT c.segment, r.churn_risk_level, count(*) AS at_risk_rows, count(DISTINCT r.customer_id) AS customers
+FROM at_risk_customers r JOIN stg_customers c USING (customer_id) GROUP BY ALL"""
+CTES["sql_upselling"] = """
+SELECT record_type, count(*) AS n, count(DISTINCT country) AS countries FROM mart_upselling GROUP BY record_type"""
+CTES["sql_roi_partnerships"] = """
+SELECT p.country, p.status, count(*) AS partners, count(CASE WHEN r.roi_pct > 0 THEN 1 END) AS gaining
+FROM mart_roi_partnerships r JOIN stg_partners p USING (partner_id) GROUP BY ALL"""
+CTES["sql_debt_collection"] = """
+SELECT record_type, country, count(*) AS n FROM mart_debt_collection GROUP BY ALL"""
+CTES["sql_customer_satisfaction"] = f"""
+SELECT country, {B('sum(survey_responses)')} AS responses, {B('sum(detractors)')} AS detractors
+FROM nps_monthly GROUP BY country"""
+
 # Helper CTEs that are not queries of their own.
-_INTERNAL = {"partner_revenue_x", "active_subscriptions", "overdue_invoices", "risk_base"}
+_INTERNAL = {"partner_revenue_x", "active_subscriptions", "overdue_invoices", "risk_base", "dirty_invoices"}
+
+# Sources in which one customer has every 200th subscription and invoice and every 50th survey.
+_SKEWED = {"src_subscriptions": ("subscription_id, 2", 200), "src_invoices": ("invoice_id, 4", 200),
+           "src_nps_surveys": ("survey_id, 3", 50)}
+_SKEWED_QUERIES = ["at_risk_customers", "enriched_surveys", "mart_churn", "mart_customer_satisfaction"]
+
+
+def _skewed(source: str) -> str:
+    number, every = _SKEWED[source]
+    return (f"SELECT * REPLACE (CASE WHEN CAST(substr({number}) AS BIGINT) % {every} = 1 THEN 'C1' "
+            f"ELSE customer_id END AS customer_id) FROM ({CTES[source]}\n)")
 
 
-def _statement(name: str) -> str:
+def _statement(name: str, skewed: bool = False) -> str:
     """``WITH <every CTE defined before name> SELECT * FROM <name>``."""
     order = list(CTES)
     upto = order[:order.index(name) + 1]
     # the DQ suites reference staging and marts, which are all defined earlier
-    withs = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in upto)
+    withs = ",\n".join(f"{n} AS ({_skewed(n) if skewed and n in _SKEWED else CTES[n]}\n)" for n in upto)
     return f"WITH {withs}\nSELECT * FROM {name}"
 
 
 def oracle_sql() -> dict:
     """Query name → DuckDB SQL (sources included; no views beyond the driver's)."""
     names = [n for n in CTES if not n.startswith("src_") and n not in _INTERNAL]
-    return {n: _statement(n) for n in names}
+    return {**{n: _statement(n) for n in names},
+            **{f"skewed_{n}": _statement(n, skewed=True) for n in _SKEWED_QUERIES}}

@@ -25,7 +25,7 @@ def con():
 def test_every_query_has_an_oracle():
     assert sorted(oracle_sql()) == sorted(NAMES)
     assert set(NAMES) <= set(entry.queries())
-    assert len(NAMES) == 49
+    assert len(NAMES) == 75
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,11 +1,19 @@
 """Source readers and sinks: CSV with a header and fixed schema, views, tables."""
 
 import datetime as dt
+import gzip
+import json
+
+import pytest
+from pyspark.sql import functions as F
 
 from kpiloom.operators import staging
 from kpiloom.plans.marts import MART_NAMES, build_and_write
 from kpiloom.sources import read_source, read_sources, register, write_mart
 from kpiloom.sources.driver_tables import load_sources
+from kpiloom.sources.published import read_published
+from kpiloom.sources.rejects import TooManyRejects, land_source, reject_counts
+from kpiloom.sources.schemas import SOURCE_SCHEMAS
 
 CUSTOMERS_CSV = """customer_id,customer_name,country,segment,signup_date,plan_type,monthly_revenue,partner_id
 K1,Nordlys Revision ApS,DK,MID,2020-05-04,premium,1500,P7
@@ -46,7 +54,6 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
 
 
 def test_csv_line_breaks_missing_columns_and_mixed_headers(spark, tmp_path):
-    import pytest
     header = "survey_id,customer_id,survey_date,nps_score,csat_score,country,comment\n"
     (tmp_path / "b.csv").write_text(header + 'S1,C1,2024-01-05,9,5,DK,"two\nlines"\n', encoding="utf-8")
     row = read_source(spark, str(tmp_path / "b.csv"), "nps_surveys", multi_line=True).first()
@@ -57,10 +64,57 @@ def test_csv_line_breaks_missing_columns_and_mixed_headers(spark, tmp_path):
     folder = tmp_path / "d"
     folder.mkdir()
     (folder / "1.csv").write_text(header + "S1,C1,2024-01-05,9,5,DK,a\n", encoding="utf-8")
-    (folder / "2.csv").write_text(header.replace("nps_score,csat_score", "csat_score,nps_score")
+    (folder / "2.csv").write_text("\ufeff" + header.replace("nps_score,csat_score", "csat_score,nps_score")
                                   + "S2,C1,2024-01-05,9,5,DK,b\n", encoding="utf-8")
-    with pytest.raises(Exception, match="header"):
-        read_source(spark, str(folder), "nps_surveys").collect()
+    with gzip.open(folder / "3 x.csv.gz", "wt", encoding="utf-8") as f:
+        f.write('"note, long",note,note,' + header + "q,r,s,S3,C2,2024-01-06,7,4,SE,c\n")
+    (folder / "4.csv").write_text("", encoding="utf-8")
+    rows = {r.survey_id: (r.nps_score, r.csat_score, r.comment) for r in read_source(spark, str(folder), "nps_surveys").collect()}
+    assert rows == {"S1": (9, 5, "a"), "S2": (5, 9, "b"), "S3": (7, 4, "c")}
+    (folder / "5.csv").write_text(header.replace("country", "comment") + "S4,C1,2024-01-05,9,5,DK,a\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="country"):
+        read_source(spark, str(folder), "nps_surveys")
+
+
+DIRTY = ("survey_id,customer_id,survey_date,nps_score,csat_score,country,comment\n"
+         "S1,C1,2024-01-05,9,5,DK,fine\n"
+         "S2,C1,2024-02-30,nine,5,DK,two faults\n"
+         "S3,C1,2024-01-05,9,5,DK,a,field too many\n"
+         "S4,C1,2024-01-05\n"
+         "S5,,,,,,\n"
+         "S6,C1, 2024-01-05 , 7 ,5,DK,blanks are trimmed\n")
+
+
+def test_rejects_are_set_aside_and_explained(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(DIRTY, encoding="utf-8")
+    good, rejects = land_source(spark, str(tmp_path / "s.csv"), "nps_surveys", str(tmp_path / "out"))
+    assert good.schema == SOURCE_SCHEMAS["nps_surveys"]
+    assert sorted(r.survey_id for r in good.collect()) == ["S1", "S5", "S6"]
+    assert good.filter("survey_id = 'S6'").first().nps_score == 7
+    found = sorted((r.column_name or "", r.reason, r.value) for r in rejects.collect())
+    assert found == [("", "malformed line", "S3,C1,2024-01-05,9,5,DK,a,field too many"), ("", "malformed line", "S4,C1,2024-01-05"),
+                     ("nps_score", "not a number", "nine"), ("survey_date", "not a date", "2024-02-30")]
+    record = json.loads(rejects.filter("reason = 'not a date'").first().record)
+    assert record["comment"] == "two faults" and record["nps_score"] == "nine"
+    assert {(r.column_name, r.rejected) for r in reject_counts(rejects).collect()} == {
+        (None, 2), ("nps_score", 1), ("survey_date", 1)}
+    # what is set aside is what the strict reader and staging stop at, and nothing else
+    staging.stg_nps_surveys(good).collect()
+    with pytest.raises(Exception, match="(?i)malformed|cast"):
+        read_source(spark, str(tmp_path / "s.csv"), "nps_surveys").collect()
+    with pytest.raises(TooManyRejects, match="3 rows"):
+        land_source(spark, str(tmp_path / "s.csv"), "nps_surveys", str(tmp_path / "out2"), max_rejected=2)
+
+
+def test_rejects_of_a_clean_and_of_a_parquet_source(spark, tmp_path, sf_small):
+    src = load_sources(spark, sf_small)["invoices"]
+    write_mart(src.withColumn("amount", F.expr("IF(amount % 7 = 0, 'x', CAST(amount AS STRING))")), path=str(tmp_path / "p"))
+    good, rejects = land_source(spark, str(tmp_path / "p"), "invoices", str(tmp_path / "o1"), fmt="parquet")
+    bad = src.filter("amount % 7 = 0").count()
+    assert rejects.count() == bad > 0 and good.count() == src.count() - bad
+    write_mart(src, path=str(tmp_path / "q"))
+    good, rejects = land_source(spark, str(tmp_path / "q"), "invoices", str(tmp_path / "o2"), fmt="parquet", max_rejected=0)
+    assert good.count() == src.count() and rejects.count() == 0
 
 
 def test_parquet_round_trip_and_view(spark, tmp_path, sf_small):
@@ -81,7 +135,7 @@ def test_build_and_write_checks_written_marts(spark, tmp_path, sf_small):
     assert failed == {("stg_invoices", "customer_id", "not_null"), ("stg_invoices", "customer_id", "relationships"),
                       ("stg_leads", "customer_id", "not_null"), ("stg_nps_surveys", "customer_id", "not_null")}
     for name in MART_NAMES:
-        assert spark.read.parquet(str(tmp_path / name)).count() > 0
+        assert read_published(spark, str(tmp_path / name)).count() > 0
 
 
 def test_models_as_sql_views(spark, sf_small):
