@@ -15,7 +15,8 @@ Skipping in lists. A list's entries stand in blocks by set size, by position wit
 block. Two blocks of sizes n and m need an overlap of o; at their first common shingle
 no more than n - p and m - q are left from positions p and q, so only the heads up to
 n - o and m - o meet, and the rest of both blocks is skipped unseen. Of pairs left, parity
-signatures of some 2 to 4 bits a shingle bound the symmetric difference from below.
+signatures of some 2 to 4 bits a shingle bound the symmetric difference from below: in
+lists folded to 2**SHORT_BITS bits, as a set is in many of them, and whole afterwards.
 
 Answers from similar sets. Each set is first compared with one leader: of the sets that
 head its lists and may be linked by size and signature, that which most lists name. If
@@ -54,7 +55,8 @@ PERCENT = 80
 BUCKET_BITS = 20
 BUCKET_RANGES = 16
 LIST = 4096
-SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signature
+SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signature,
+SHORT_BITS = 10  # and the most of those that lists carry
 FILTER_BITS = 28  # of the table of sets whose shingles are wanted, at most
 FOLLOWERS = 64  # answered in one row
 ROUNDS = 2
@@ -104,10 +106,18 @@ def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray
     return h[new], np.add.reduceat(np.append(new, False), at[:-1], dtype=np.int64) * (each > 0)
 
 
-def signature_bits(size: np.ndarray) -> np.ndarray:
+def signature_bits(size: np.ndarray, most: int = SIGNATURE_BITS[1]) -> np.ndarray:
     """Bits of the signature of sets of ``size``: the power of two from twice the size on."""
-    least, most = SIGNATURE_BITS
-    return 1 << np.clip(np.frexp(np.maximum(2 * size - 1, 1))[1], least, most).astype(np.int64)
+    return 1 << np.clip(np.frexp(np.maximum(2 * size - 1, 1))[1], SIGNATURE_BITS[0], most).astype(np.int64)
+
+
+def parities(h: np.ndarray, text: np.ndarray, sizes: np.ndarray, most: int) -> list[bytes]:
+    """Each text's signature: for every bit whether an odd number of its shingles fall there."""
+    bits = signature_bits(sizes, most)
+    begin = np.append(0, np.cumsum(bits))
+    place = begin[text] + (mix(h) & (bits[text] - 1).astype(np.uint64)).astype(np.int64)
+    marks = np.packbits((np.bincount(place, minlength=begin[-1]) & 1).astype(np.uint8)).tobytes()
+    return [marks[a // 8:b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
 
 
 def _folded(marks: np.ndarray, words: int) -> np.ndarray:
@@ -169,10 +179,7 @@ def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> Data
             h, sizes = shingle_sets(part.column("text"), shingle)
             at = np.append(0, np.cumsum(sizes))
             text = np.repeat(np.arange(len(sizes)), sizes)
-            bits = signature_bits(sizes)
-            begin = np.append(0, np.cumsum(bits))
-            place = begin[text] + (mix(h) & (bits[text] - 1).astype(np.uint64)).astype(np.int64)
-            marks = np.packbits((np.bincount(place, minlength=begin[-1]) & 1).astype(np.uint8)).tobytes()
+            signatures, short = (parities(h, text, sizes, most) for most in (SIGNATURE_BITS[1], SHORT_BITS))
             rank = table[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
             keys = [xxhash.xxh3_64_intdigest(h[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             place = rank.astype(np.uint64) << np.uint64(58) | h >> np.uint64(6)  # by rank, then by hash
@@ -185,13 +192,13 @@ def sets(docs: DataFrame, ranks: np.ndarray, percent: int, shingle: int) -> Data
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("key"), pa.array(row + np.arange(len(sizes))), pa.array(np.array(keys, np.uint64).view(np.int64)),
                 pa.array(sizes), 
-                pa.array([marks[a // 8:b // 8] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())], pa.binary()),
+                pa.array(signatures, pa.binary()), pa.array(short, pa.binary()),
                 lists(pa.array(h[chosen].view(np.int64))), lists(pa.array(rank[chosen].view(np.int8)))],
-                ["doc_id", "key", "row", "sid", "size", "signature", "prefix", "rank"])
+                ["doc_id", "key", "row", "sid", "size", "signature", "short", "prefix", "rank"])
             row += len(sizes)
 
     return _keyed(docs).mapInArrow(
-        run, "doc_id long, key long, row long, sid long, size long, signature binary, prefix array<long>, rank array<tinyint>")
+        run, "doc_id long, key long, row long, sid long, size long, signature binary, short binary, prefix array<long>, rank array<tinyint>")
 
 
 def shared_lists(own: DataFrame, mean: int) -> DataFrame:
@@ -301,16 +308,27 @@ def leaders(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     of = lambda key, *more: known.select(F.col("sid").alias(key), *more)
     both = named.join(of("sid", F.col("signature").alias("s")), "sid").join(
         of("leader", F.col("signature").alias("t"), F.col("size").alias("m")), "leader")
+    near = both.mapInArrow(_may_link(percent, "sid", "leader", "c"), "sid long, leader long, c long")
+    return near.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+
 
+def likely(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y, cx, cy) that whole signatures leave."""
+    of = lambda key, s, n: known.select(F.col("sid").alias(key), F.col("signature").alias(s), F.col("size").alias(n))
+    both = pairs.join(of("x", "s", "size"), "x").join(of("y", "t", "m"), "y")
+    return both.mapInArrow(_may_link(percent, "x", "y", "cx", "cy"), "x long, y long, cx long, cy long")
+
+
+def _may_link(percent: int, *columns: str):
+    """Keeps rows whose sets may be linked by signatures s and t and sizes size and m."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = lambda c: [np.frombuffer(x, np.uint64)[None] for x in batch.column(c).to_pylist()]
         for batch in batches:
             far = np.fromiter((apart(s, t)[0] for s, t in zip(rows("s"), rows("t"))), np.int64, batch.num_rows)
             n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "m"))
-            yield batch.select(["sid", "leader", "c"]).filter(pa.array(far <= most_apart(n, m, percent)))
+            yield batch.select(list(columns)).filter(pa.array(far <= most_apart(n, m, percent)))
 
-    near = both.mapInArrow(run, "sid long, leader long, c long")
-    return near.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+    return run
 
 
 def most_apart(n, m, percent: int):
@@ -370,7 +388,7 @@ def _cell_pairs(size: np.ndarray, pos: np.ndarray, comp: np.ndarray, part: np.nd
     """Places x, y of pairs of different components in a cell that signatures leave; only
     each set's ``nearest`` if so asked. ``across``: pairs of different parts only."""
     found = [(np.zeros(0, np.int64),) * 3]
-    wide = int(signature_bits(size.max())) // 64
+    wide = max(map(len, marks)) // 8
     best = np.full(len(size), np.inf)
     partner = np.full(len(size), -1)
     matrix: dict[int, np.ndarray] = {}  # signatures of a size, by place
@@ -479,7 +497,7 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
     ranks, mean = bucket_ranks(docs, shingle)
     made = save(sets(docs, ranks, percent, shingle), "jaccard-sets")
     known = save(made.filter("size > 0").groupBy("sid").agg(
-        F.min("row").alias("row"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"),
+        F.min("row").alias("row"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"), F.first("short").alias("short"),
         F.first("size").alias("size"), F.min("key").alias("key")), "jaccard-known", narrow=True)
     own = made.select("row", "sid", "size", "prefix", "rank").join(known.select("row"), "row", "left_semi")
     lists = save(shared_lists(own, mean), "jaccard-lists")
@@ -495,9 +513,11 @@ def components_of(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGL
         return save(comps.join(top, "comp", "left").select("sid", F.coalesce("top", "comp").alias("comp")), "jaccard-components", narrow=True)
 
     comps = labelled(known.select("sid", F.col("sid").alias("comp")), linked)
-    signatures = known.select("sid", "signature")
+    short = known.select("sid", F.col("short").alias("signature"))
     for left in range(ROUNDS, -1, -1):  # the last round, with all pairs, is always run
-        pairs = save(open_pairs(lists, comps, signatures, percent, limit, nearest=left > 0), "jaccard-pairs")
+        found = save(open_pairs(lists, comps, short, percent, limit, nearest=left > 0), "jaccard-found")
+        pairs = save(likely(found, known, percent), "jaccard-pairs")
+        discard(found)
         sids = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct()
         more = save(bodies(docs, sids.join(texts, "sid", "left_anti"), known), "jaccard-more-texts")
         texts = texts.unionByName(more.join(texts, "sid", "left_anti"))

@@ -73,13 +73,15 @@ def test_signatures_bound_the_difference():
     rng = np.random.default_rng(3)
     for n, m, shared in ((5, 6, 4), (100, 120, 90), (127, 130, 100), (600, 500, 400), (9000, 9000, 8500)):
         pool = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
-        sides = []
+        sides, short = [], []
         for own in (pool[:n], pool[n - shared:]):
-            bits = int(jaccard_join.signature_bits(np.array([len(own)]))[0])
-            parity = np.bincount((jaccard_join.mix(own) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-            sides.append(np.frombuffer(np.packbits(parity.astype(np.uint8)).tobytes(), np.uint64)[None])
+            mark, = jaccard_join.parities(own, np.zeros(len(own), np.int64), np.array([len(own)]), 15)
+            sides.append(np.frombuffer(mark, np.uint64)[None])
+            mark, = jaccard_join.parities(own, np.zeros(len(own), np.int64), np.array([len(own)]), 10)
+            short.append(np.frombuffer(mark, np.uint64)[None])
         difference = n + m - 2 * shared
         assert difference * 0.5 < jaccard_join.apart(*sides)[0] <= difference
+        assert (jaccard_join.apart(*short) == jaccard_join.apart(sides[0], short[1])).all() and jaccard_join.apart(*short)[0] <= difference
 
 
 @pytest.mark.parametrize("most", [7, 1 << 18])
