@@ -25,8 +25,7 @@ leader's answers give the set's: |x & y| = |L & y| - |(L - x) & y| + |(x - L) &
 |L & y| computed once for all followers of a leader that meet y. Linked sets and leaders
 form components, and lists whose sets all are in one component are dropped whole. In
 other lists, in pieces of at most ``LIST`` sets, each set is compared with the nearest by
-signature of another component, for up to ``ROUNDS`` rounds while links are found; at
-last with every set of another component that the skips leave. So a group of near
+signature of another component, in ``ROUNDS`` rounds; at last with every set of another component that the skips leave. So a group of near
 copies costs a few comparisons a set, and no list emits its pairs within a component.
 
 Shingles and sets are compared by 64-bit hashes. Null and empty texts have empty sets;
@@ -59,7 +58,7 @@ SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signat
 SHORT_BITS = 10  # and the most of those that lists carry
 FILTER_BITS = 28  # of the table of sets whose shingles are wanted, at most
 FOLLOWERS = 64  # answered in one row
-ROUNDS = 2
+ROUNDS = 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
