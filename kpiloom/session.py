@@ -49,10 +49,16 @@ def cluster_conf(input_bytes: int, executor_cores: int, split_bytes: int = 512 <
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that the cluster names in
-    ``spark.checkpoint.dir`` (or the session's checkpoint folder)."""
+    ``spark.checkpoint.dir`` (or the session's checkpoint folder).
+
+    Only a local session that names none (a test) gets one under the temporary folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kpiloom-"))
+        base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")
 
 
