@@ -54,6 +54,7 @@ PERCENT = 80
 BUCKET_BITS = 20
 BUCKET_RANGES = 16
 LIST = 4096
+SMALL_CELL = 64  # sets of a piece that is compared together with others
 SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signature,
 SHORT_BITS = 10  # and the most of those that lists carry
 FILTER_BITS = 28  # of the table of sets whose shingles are wanted, at most
@@ -420,6 +421,46 @@ def _cell_pairs(size: np.ndarray, pos: np.ndarray, comp: np.ndarray, part: np.nd
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def _small_cells(cell: np.ndarray, size: np.ndarray, pos: np.ndarray, comp: np.ndarray, part: np.ndarray,
+                 across: np.ndarray, marks: list[bytes], percent: int) -> tuple[np.ndarray, ...]:
+    """The same pairs (x, y and how near they are) of many small cells at once, whose
+    entries stand together: neighbours at distance 1, 2 and so on."""
+    wide = np.array([len(m) for m in marks]) // 8
+    row, matrix = np.zeros(len(wide), np.int64), {}
+    for w in np.unique(wide).tolist():
+        at = np.flatnonzero(wide == w)
+        row[at] = np.arange(len(at))
+        matrix[w] = np.frombuffer(b"".join([marks[i] for i in at.tolist()]), np.uint64).reshape(-1, w)
+    found, step = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+    while True:
+        step += 1
+        x = np.flatnonzero(cell[:-step] == cell[step:]) if step < len(cell) else np.zeros(0, np.int64)
+        if not len(x):
+            return tuple(np.concatenate(c) for c in zip(*found))
+        y = x + step
+        n, m = size[x], size[y]
+        need = least_overlap(n, m, percent)
+        good = (comp[x] != comp[y]) & (pos[x] <= n - need) & (pos[y] <= m - need) & (
+            100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (~across[x] | (part[x] != part[y]))
+        x, y = x[good], y[good]
+        for w in matrix:
+            for v in matrix:
+                own = (wide[x] == w) & (wide[y] == v)
+                if own.any():
+                    i, j = x[own], y[own]
+                    far, most = apart(matrix[w][row[i]], matrix[v][row[j]]), most_apart(size[i], size[j], percent)
+                    near = far <= most
+                    found.append((i[near], j[near], far[near] / np.maximum(most[near], 1)))
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all pairs of a place, with either end, the nearest."""
+    a, b, s = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([share, share])
+    order = np.lexsort((s, a))
+    first = order[np.append(True, a[order][1:] != a[order][:-1])[:len(order)]]
+    return a[first], b[first]
+
+
 def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percent: int, limit: int,
                nearest: bool = False) -> DataFrame:
     """x, y, cx, cy: pairs of sets of different components that lists leave to be compared;
@@ -443,14 +484,32 @@ def open_pairs(lists: DataFrame, comps: DataFrame, signatures: DataFrame, percen
             marks = items.field("signature")
             across = batch.column("g").to_numpy() != batch.column("h").to_numpy()
             out: list[tuple] = [(np.zeros(0, np.int64),) * 4]
-            for i in range(batch.num_rows):
-                a, b = at[i], at[i + 1]
-                x, y = _cell_pairs(size[a:b].astype(np.int64), pos[a:b].astype(np.int64), comp[a:b], part[a:b],
-                                   marks.slice(a, b - a).to_pylist(), bool(across[i]), percent, nearest)
-                x, y = x + a, y + a
+
+            def add(x: np.ndarray, y: np.ndarray) -> None:
                 swap = sid[x] > sid[y]
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
                 out.append((sid[x], sid[y], comp[x], comp[y]))
+
+            length = np.diff(at)
+            cell = np.repeat(np.arange(len(length)), length)
+            size, pos = size.astype(np.int64), pos.astype(np.int64)
+            small = np.flatnonzero(length[cell] <= SMALL_CELL)
+            for k in range(0, len(small), 1 << 16):
+                # cut at a cell's begin: the last one of a slice is left to the next
+                some = small[k:k + (1 << 16) + SMALL_CELL]
+                first_cell = cell[small[k - 1]] if k else -1
+                last_cell = cell[small[k + (1 << 16) - 1]] if k + (1 << 16) <= len(small) else len(length)
+                some = some[(cell[some] > first_cell) & (cell[some] <= last_cell)]
+                x, y, share = _small_cells(cell[some], size[some], pos[some], comp[some], part[some], across[cell[some]],
+                                           marks.take(pa.array(some)).to_pylist(), percent)
+                if nearest:
+                    x, y = _nearest(x, y, share)
+                add(some[x], some[y])
+            for i in np.flatnonzero(length > SMALL_CELL).tolist():
+                a, b = at[i], at[i + 1]
+                x, y = _cell_pairs(size[a:b], pos[a:b], comp[a:b], part[a:b], marks.slice(a, b - a).to_pylist(),
+                                   bool(across[i]), percent, nearest)
+                add(x + a, y + a)
             rows = np.unique(np.stack([np.concatenate(c) for c in zip(*out)], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["x", "y", "cx", "cy"])
 

@@ -84,6 +84,30 @@ def test_signatures_bound_the_difference():
         assert (jaccard_join.apart(*short) == jaccard_join.apart(sides[0], short[1])).all() and jaccard_join.apart(*short)[0] <= difference
 
 
+def test_small_cells_give_the_pairs_of_large_ones():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 90, dtype=np.uint64)
+    length = rng.integers(1, 30, 40)
+    cell = np.repeat(np.arange(40), length)
+    sets = [np.sort(rng.choice(pool, int(rng.integers(50, 80)), replace=False)) for _ in cell]
+    size = np.array([len(x) for x in sets])
+    marks = [jaccard_join.parities(x, np.zeros(len(x), np.int64), np.array([len(x)]), 10)[0] for x in sets]
+    pos, comp, part = rng.integers(0, 8, len(cell)), rng.integers(0, 9, len(cell)), rng.integers(0, 2, len(cell))
+    across = (np.arange(40) % 2 == 0)[cell]
+    x, y, share = jaccard_join._small_cells(cell, size, pos, comp, part, across, marks, 60)
+    got = set(zip(x.tolist(), y.tolist()))
+    want, near = set(), set()
+    for c in range(40):
+        at = np.flatnonzero(cell == c)
+        for nearest, into in ((False, want), (True, near)):
+            i, j = jaccard_join._cell_pairs(size[at], pos[at], comp[at], part[at], [marks[k] for k in at], c % 2 == 0, 60, nearest)
+            into |= {(int(min(at[a], at[b])), int(max(at[a], at[b]))) for a, b in zip(i, j)}
+    assert got == want and len(want) > 20
+    i, j = jaccard_join._nearest(x, y, share)
+    assert set(i.tolist()) == {k for p in want for k in p} and {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())} <= want
+    assert len(near) <= len(set(i.tolist()))
+
+
 @pytest.mark.parametrize("most", [7, 1 << 18])
 def test_skips_lose_no_pair(most):
     rng = np.random.default_rng(1)
