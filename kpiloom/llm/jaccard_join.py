@@ -56,7 +56,7 @@ BUCKET_RANGES = 16
 LIST = 4096
 SMALL_CELL = 64  # sets of a piece that is compared together with others
 SIGNATURE_BITS = 8, 15  # powers of two: the least and the most bits of a signature,
-SHORT_BITS = 10  # and the most of those that lists carry
+SHORT_BITS = 9  # and the most of those that lists carry
 FILTER_BITS = 28  # of the table of sets whose shingles are wanted, at most
 FOLLOWERS = 64  # answered in one row
 ROUNDS = 1
@@ -302,12 +302,12 @@ def _links(o, n, m, percent: int):
 
 
 def leaders(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """sid and leader: of the sets that head its lists and may be linked by size and
+    """sid and leader: of the sets that head its lists and may be linked by size and short
     signature, the one that most lists name."""
     named = lists.filter("sid <> leader").groupBy("sid", "leader", "size").agg(F.count("*").alias("c"))
     of = lambda key, *more: known.select(F.col("sid").alias(key), *more)
-    both = named.join(of("sid", F.col("signature").alias("s")), "sid").join(
-        of("leader", F.col("signature").alias("t"), F.col("size").alias("m")), "leader")
+    both = named.join(of("sid", F.col("short").alias("s")), "sid").join(
+        of("leader", F.col("short").alias("t"), F.col("size").alias("m")), "leader")
     near = both.mapInArrow(_may_link(percent, "sid", "leader", "c"), "sid long, leader long, c long")
     return near.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
 
