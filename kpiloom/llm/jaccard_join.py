@@ -19,7 +19,7 @@ signatures of some 2 to 4 bits a shingle bound the symmetric difference from bel
 lists folded to 2**SHORT_BITS bits, as a set is in many of them, and whole afterwards.
 
 Answers from similar sets. Each set is first compared with one leader: of the sets that
-head its lists and may be linked by size and signature, that which most lists name. If
+head its lists that which most name, if size and signature leave a link possible. If
 they differ by half the set or less, the two differences are kept: with them the
 leader's answers give the set's: |x & y| = |L & y| - |(L - x) & y| + |(x - L) & y|, with
 |L & y| computed once for all followers of a leader that meet y. Linked sets and leaders
@@ -302,14 +302,13 @@ def _links(o, n, m, percent: int):
 
 
 def leaders(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """sid and leader: of the sets that head its lists and may be linked by size and short
-    signature, the one that most lists name."""
-    named = lists.filter("sid <> leader").groupBy("sid", "leader", "size").agg(F.count("*").alias("c"))
-    of = lambda key, *more: known.select(F.col("sid").alias(key), *more)
-    both = named.join(of("sid", F.col("short").alias("s")), "sid").join(
-        of("leader", F.col("short").alias("t"), F.col("size").alias("m")), "leader")
-    near = both.mapInArrow(_may_link(percent, "sid", "leader", "c"), "sid long, leader long, c long")
-    return near.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+    """sid and leader: of the sets that head its lists that which most of them name, if
+    both may be linked by size and signature."""
+    named = lists.filter("sid <> leader").groupBy("sid", "leader").agg(F.count("*").alias("c"))
+    named = named.groupBy("sid").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+    of = lambda key, s, n: known.select(F.col("sid").alias(key), F.col("signature").alias(s), F.col("size").alias(n))
+    both = named.join(of("sid", "s", "size"), "sid").join(of("leader", "t", "m"), "leader")
+    return both.mapInArrow(_may_link(percent, "sid", "leader"), "sid long, leader long")
 
 
 def likely(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
