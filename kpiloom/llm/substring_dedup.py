@@ -14,8 +14,10 @@ Paths. Edges that follow each other in every occurrence of both are joined, in S
 to nonbranching paths: a repeated passage becomes one row for each occurrence, with
 the coordinates (document, text, first window) of its first occurrence, its source.
 An edge's key holds a hash of its k-mer and a 64-bit digest of all the words that it
-spans, so each edge of a path is verified by that digest against the edge at the
-source's coordinates; a later document than the source loses the whole path.
+spans. A later document than the source may lose the whole path: the words of every
+such span are read from both texts, at the span's own coordinates and at the source's,
+and compared by their sha256. A span that differs from its source (keys that collide)
+stays.
 
 Branches. Where a k-mer continues in different ways, only some windows of an edge may
 be repeated. Each distinct edge of such a k-mer is read once more at its source
@@ -148,16 +150,23 @@ def _paths(edges: DataFrame) -> DataFrame:
                   .select("km", "edge", F.lit(True).alias("joined")), "path-joints", narrow=True)
     marked = save(steps.join(joints, ["km", "edge"], "left"), "path-marked")
     number = F.sum(F.when(F.col("joined"), 0).otherwise(1)).over(in_text)
-    return (marked.withColumn("path", number).groupBy("doc_id", "txt", "path")
-            .agg(F.min("lo").alias("lo"), F.sum("n").alias("n"), F.min_by("source", "lo").alias("source")))
-
-
-def _branch_windows(edges: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """km, edge, w (digest of a window with its offset), i (its place in the edge) and
-    doc_id of each window of ``edges``, read at their source coordinates."""
-    wanted = edges.select("source.doc_id", "source.txt", F.struct("km", "edge", "source.lo", "n").alias("e"))
-    wanted = wanted.groupBy("doc_id", "txt").agg(F.collect_list("e").alias("edges"))
-    rows = texts.join(wanted, "doc_id").select("doc_id", "text", "txt", "edges")
+    paths = save(marked.withColumn("path", number).groupBy("doc_id", "txt", "path")
+                 .agg(F.min("lo").alias("lo"), F.sum("n").alias("n"), F.min_by("source", "lo").alias("source")), "paths", narrow=True)
+    discard(steps, joints, marked)
+    return paths
+
+
+def _read_places(edges: DataFrame, spans: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """What ``texts`` have at coordinates. A row for each window of ``edges`` at their
+    sources: km, edge, w (digest of the window with its offset), i (its place in the edge)
+    and doc_id. And one for each span of ``spans`` and its place in the source: doc_id,
+    txt, start, end and words (their sha256), if the text has so many."""
+    at_source = edges.select("source.doc_id", "source.txt", F.struct("km", "edge", "source.lo", "n").alias("e"))
+    at_source = at_source.groupBy("doc_id", "txt").agg(F.collect_list("e").alias("edges"))
+    places = spans.select("doc_id", "txt", "start", "end").union(_in_source(spans).select("doc_id", "txt", "start", "end"))
+    places = places.distinct().groupBy("doc_id", "txt").agg(F.collect_list(F.struct("start", "end")).alias("places"))
+    wanted = at_source.join(places, ["doc_id", "txt"], "full")
+    rows = texts.join(wanted, "doc_id").select("doc_id", "text", "txt", "edges", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -165,22 +174,51 @@ def _branch_windows(edges: DataFrame, texts: DataFrame, window: int) -> DataFram
             for part in slices(batch, "text"):
                 text = _Text(part.column("text"))
                 out: list[list] = [[], [], [], [], []]
-                for d, (doc, txt, found) in enumerate(zip(*(part.column(c).to_pylist() for c in ("doc_id", "txt", "edges")))):
+                read: list[list] = [[], [], [], [], []]
+                for d, (doc, txt, found, places) in enumerate(zip(*(
+                        part.column(c).to_pylist() for c in ("doc_id", "txt", "edges", "places")))):
                     a, b = text.first[d].item(), text.first[d + 1].item()
                     if _text_key(text.words(a, b)) != txt:
                         continue
-                    for e in found:
+                    for s in places or ():
+                        if a + s["end"] <= b:
+                            w = hashlib.sha256(text.words(a + s["start"], a + s["end"])).digest()
+                            for column, v in zip(read, (doc, txt, s["start"], s["end"], w)):
+                                column.append(v)
+                    for e in found or ():
                         for i in range(e["n"]):
                             p = a + e["lo"] + i
                             w = digest(text.words(p, p + window))
                             for column, v in zip(out, (e["km"], e["edge"], w, i, doc)):
                                 column.append(v)
+                none = lambda rows, *types: [pa.nulls(len(rows[0]), t) for t in types]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                     pa.array(np.array(out[2], np.uint64).view(np.int64)), pa.array(out[3], pa.int32()),
-                    pa.array(out[4], pa.int64())], ["km", "edge", "w", "i", "doc_id"])
+                    pa.array(out[4], pa.int64()),
+                    *none(out, pa.int64(), pa.int64(), pa.int64(), pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([
+                    *none(read, pa.int64(), pa.int64(), pa.int64(), pa.int32()), pa.array(read[0], pa.int64()),
+                    pa.array(read[1], pa.int64()), pa.array(read[2], pa.int64()), pa.array(read[3], pa.int64()),
+                    pa.array(read[4], pa.binary())], names)
+
+    names = ["km", "edge", "w", "i", "doc_id", "txt", "start", "end", "words"]
+    return rows.mapInArrow(run, "km long, edge long, w long, i int, doc_id long, txt long, start long, end long, words binary")
 
-    return rows.mapInArrow(run, "km long, edge long, w long, i int, doc_id long")
+
+def _in_source(spans: DataFrame) -> DataFrame:
+    """The spans' places in their sources."""
+    return spans.select("source.doc_id", "source.txt", F.col("source.lo").cast("long").alias("start"),
+                        (F.col("source.lo") + F.col("end") - F.col("start")).alias("end"))
+
+
+def _verified(spans: DataFrame, read: DataFrame) -> DataFrame:
+    """The ``spans`` whose words are those at their source's coordinates."""
+    here = read.select("doc_id", "txt", "start", "end", "words")
+    there = read.select(F.struct("doc_id", "txt", F.col("start").cast("int").alias("lo")).alias("source"),
+                        (F.col("end") - F.col("start")).alias("n"), "words")
+    return (spans.join(here, ["doc_id", "txt", "start", "end"]).withColumn("n", F.col("end") - F.col("start"))
+            .join(there, ["source", "n", "words"]).select(*spans.columns))
 
 
 def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +237,7 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
     several = kinds.filter("source.doc_id < last").select("km", "edge", "source", "occurs")
     paths = _paths(near.join(several, ["km", "edge"]))
     spans = paths.filter("source.doc_id < doc_id").select(
-        "doc_id", "txt", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + (window - 1)).alias("end"), "source")
+        "doc_id", "txt", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("n") + (window - 1)).alias("end"), "source")
 
     branching = save(kinds.groupBy("km").agg(
         F.count("*").alias("ways"), F.min("source.doc_id").alias("a"), F.max("source.doc_id").alias("b"))
@@ -207,7 +245,12 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
     open_kinds = save(kinds.join(branching, "km"), "branching-edges", narrow=True)
     texts = save(docs.select("doc_id", "text").join(
         near.select("doc_id").distinct(), "doc_id", "left_semi"), "shared-texts")
-    windows = save(_branch_windows(open_kinds, texts, window), "branch-windows")
+    read = save(_read_places(open_kinds, spans, texts, window), "places-read")
+    discard(kinds, branching, open_kinds)
+    # repeated rows are read once each
+    words = save(read.filter("words IS NOT NULL").select("doc_id", "txt", "start", "end", "words").distinct(),
+                 "span-words", narrow=True)
+    windows = read.filter("w IS NOT NULL")
     first = save(windows.groupBy("km", "w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                  .filter("a < b").select("km", "w", "a"), "branch-first", narrow=True)
     found = (windows.join(first, ["km", "w"]).filter("a < doc_id").groupBy("km", "edge", "doc_id")
@@ -219,9 +262,11 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int = WINDOW) -> t
     # later documents with the same edge lose all of it with its path
     single = near.join(gone, ["km", "edge", "doc_id"]).select(
         "doc_id", "txt", "lo", F.explode("runs").alias("r")).select(
-        "doc_id", "txt", (F.col("lo") + F.col("r.a")).alias("start"),
-        (F.col("lo") + F.col("r.b") + window).alias("end"), F.lit(None).cast(paths.schema["source"].dataType).alias("source"))
-    return spans.unionByName(single), texts
+        "doc_id", "txt", (F.col("lo") + F.col("r.a")).cast("long").alias("start"),
+        (F.col("lo") + F.col("r.b") + window).cast("long").alias("end"), F.lit(None).cast(paths.schema["source"].dataType).alias("source"))
+    out = save(_verified(spans, words).unionByName(single), "repeated-spans", narrow=True)
+    discard(near, paths, read, words, first, gone)
+    return out, texts
 
 
 def _cut(rows: DataFrame, columns: list[str], spans: str, made: list[str]) -> DataFrame:
@@ -277,7 +322,8 @@ def removal_counts(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """``docs`` with all columns and rows, each text less its repeated words."""
     found = save(pieces(docs, window, k), "dedup-pieces")
-    spans, _ = repeated_spans(docs, found, window)
+    spans, texts = repeated_spans(docs, found, window)
+    discard(found, texts)
     names = fresh(docs, "_spans", "_txt", "_removed", "_kept")
     rows = docs.join(_by_doc(spans, names[0]), "doc_id", "left").select(*docs.columns, names[0])
     return _cut(rows, docs.columns, names[0], names[1:]).select(*docs.columns)

@@ -87,6 +87,20 @@ def test_removed_texts_keep_rows_and_columns(make):
     assert all((r.doc_id, r.text) in old for r in out.collect() if r.doc_id not in lost)
 
 
+def test_spans_are_compared_with_the_words_at_their_source(make):
+    from pyspark.sql import functions as F
+    text = lambda name: " ".join([f"{name}{i}" for i in range(30)] + [f"k{i}" for i in range(16)] + [f"{name}{i}" for i in range(30, 60)])
+    same = " ".join(f"s{i}" for i in range(90))
+    docs = make([(1, text("a")), (2, text("b")), (3, same), (4, same)])
+    found = substring_dedup.pieces(docs)
+    # text 2 claims the edges of text 1
+    one = found.filter("km IS NOT NULL AND doc_id = 1")
+    blind = found.filter("km IS NULL OR doc_id <> 2").unionByName(one.withColumn("doc_id", F.lit(2).cast("long")).withColumn(
+        "txt", F.lit(found.filter("doc_id = 2").first().txt)))
+    spans, _ = substring_dedup.repeated_spans(docs, substring_dedup.save(blind, "dedup-pieces"))
+    assert {r.doc_id for r in spans.collect()} == {4}
+
+
 def test_nothing_to_compare(make):
     assert rows(substring_dedup.removal_counts(make([]))) == []
     assert rows(substring_dedup.removal_counts(make([(1, None), (2, "a b")]))) == brute([(1, None), (2, "a b")])
