@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kpiloom.llm.common import discard, save
+from kpiloom.llm.common import discard, narrowed, save
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,15 +18,15 @@ def components(edges: DataFrame) -> DataFrame:
     rounds, one after the other, lead to the root. Every round is saved, and joins run
     between saved tables, so that a hub's rows can be split by adaptive execution.
     """
-    left = save(edges.filter("a <> b").distinct(), "cc-edges", narrow=True)
+    left = save(narrowed(edges.filter("a <> b").distinct()), "cc-edges")
     rounds = []
     while not left.isEmpty():
         both = left.select(F.col("a").alias("node"), F.col("b").alias("p")).union(left.select("b", "a"))
-        to = save(both.groupBy("node").agg(F.min("p").alias("p")).select(
-            "node", F.least("node", "p").alias("p")), "cc-parents", narrow=True)
+        to = save(narrowed(both.groupBy("node").agg(F.min("p").alias("p")).select(
+            "node", F.least("node", "p").alias("p"))), "cc-parents")
         before = to.agg(F.sum(F.col("p").cast("decimal(38,0)"))).first()[0]  # pointers only ever get smaller
         while True:
-            jumped = save(_follow(to, to), "cc-jump", narrow=True)
+            jumped = save(narrowed(_follow(to, to)), "cc-jump")
             moved = jumped.agg(F.sum(F.col("p").cast("decimal(38,0)"))).first()[0]
             if moved == before:
                 discard(jumped)
@@ -36,16 +36,16 @@ def components(edges: DataFrame) -> DataFrame:
         rounds.append(to)
         a = to.select(F.col("node").alias("a"), F.col("p").alias("pa"))
         b = to.select(F.col("node").alias("b"), F.col("p").alias("pb"))
-        half = save(left.join(a, "a").select("pa", "b"), "cc-half", narrow=True)
-        fewer = save(half.join(b, "b").filter("pa <> pb")
-                     .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "cc-edges", narrow=True)
+        half = save(narrowed(left.join(a, "a").select("pa", "b")), "cc-half")
+        fewer = save(narrowed(half.join(b, "b").filter("pa <> pb").select(
+            F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()), "cc-edges")
         discard(half, left)
         left = fewer
     if not rounds:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = rounds[0]
     for to in rounds[1:]:
-        ahead = save(_follow(out, to), "cc-roots", narrow=True)
+        ahead = save(narrowed(_follow(out, to)), "cc-roots")
         discard(out, to)
         out = ahead
     return out.withColumnRenamed("p", "root")
