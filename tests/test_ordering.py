@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from kpiloom.operators import ordering
 from kpiloom.operators.ordering import with_position
 from kpiloom.plans.marts import MART_ORDER
 
@@ -36,3 +39,16 @@ def test_no_rows(spark):
 
 def test_every_mart_has_an_order():
     assert len(MART_ORDER) == 6
+
+
+def test_a_task_sorts_a_bounded_number_of_rows(spark, monkeypatch):
+    """Rows that compress well are not put together in one task by their size."""
+    monkeypatch.setattr(ordering, "SORT_ROWS", 500)
+    monkeypatch.setattr(ordering, "SPREAD_ROWS", 500)
+    df = spark.range(8000).selectExpr("id % 3 AS a", "id % 2 AS b")
+    out = ordering.with_position(df, [("a", "desc", "last")])
+    rows = sorted(out.collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(1, 8001))
+    assert [(r.a, r.b) for r in rows] == sorted(((i % 3, i % 2) for i in range(8000)), key=lambda x: (-x[0], x[1]))
+    sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 1200
