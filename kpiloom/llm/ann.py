@@ -33,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from kpiloom.llm.common import save
+from kpiloom.llm.common import save, settings
 
 SAMPLE = 20_000
+TOP_BITS = 12
 MAX_CENTROIDS = 64
 BIN = 2048
 BLOCK = 256
@@ -93,6 +94,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def sampled(entries: DataFrame, size: int) -> np.ndarray:
+    """The vectors of the at most ``SAMPLE`` entries with the smallest id hashes.
+
+    Rows beyond the hash range that holds so many are dropped first, by its top bits'
+    counts, and the rest is sorted by a shuffle: a top-k would send ``SAMPLE`` rows of
+    every partition to the driver, which grows with the table."""
+    drawn = entries.select("vector", F.xxhash64(F.get("ids", F.lit(0))).alias("h"))
+    top = F.shiftright("h", 64 - TOP_BITS)
+    if size > SAMPLE:
+        held = 0
+        for row in sorted(drawn.groupBy(top.alias("top")).count().collect()):  # at most 2 ** TOP_BITS rows
+            held += row["count"]
+            if held >= SAMPLE:
+                break
+        drawn = drawn.filter(top <= row["top"])
+    with settings(entries.sparkSession, {"spark.sql.execution.topKSortFallbackThreshold": "0"}):
+        found = drawn.orderBy("h", "vector").limit(SAMPLE).select("vector").toArrow()
+    return _matrix(found.column("vector").combine_chunks()) if found.num_rows else np.zeros((0, 0))
+
+
 class Index:
     """Entries (cell, bin, ids, vector) in a saved table, codebooks and cell sizes."""
 
@@ -108,8 +129,7 @@ class Index:
                        .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-entries")
         self.size = entries.count()
         self.cut = self.dim // 2
-        sample = entries.select("vector").orderBy(F.xxhash64(F.get("ids", F.lit(0))), "vector").limit(SAMPLE)
-        x = np.array([r["vector"] for r in sample.collect()])
+        x = sampled(entries, self.size)
         n = centroids or min(MAX_CENTROIDS, max(4, math.ceil(math.sqrt(self.size / 16))))
         self.books = codebook(x[:, :self.cut], n), codebook(x[:, self.cut:], n)
         self.width = len(self.books[1])
@@ -180,7 +200,10 @@ class Index:
             F.array_distinct(F.flatten(F.collect_list("bins"))).alias("bins")), "ann-queries")
         bins = save(self.entries.groupBy("bin").agg(
             F.collect_list(F.struct("vector", "ids", "cell")).alias("entries")), "ann-bins")
-        pairs = blocks.select("queries", F.explode("bins").alias("bin")).join(bins, "bin").select("queries", "entries")
+        # a block goes to each of its bins: its size as saved says nothing of that, and a
+        # broadcast decided by it would pass all of these copies through the driver
+        pairs = (blocks.select("queries", F.explode("bins").alias("bin")).join(bins.hint("merge"), "bin")
+                 .select("queries", "entries"))
 
         def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

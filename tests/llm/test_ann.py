@@ -80,3 +80,30 @@ def test_rows_that_take_no_part(spark):
     assert ann.nearest(spark, table(spark, [])).collect() == []
     assert ann.nearest(spark, table(spark, [(0, [1.0, 2.0], 0)])).collect() == []
     assert ann.nearest(spark, table(spark, [(1, [1.0, 2.0], 0), (2, [1.0, 3.0], 0)])).collect() == []
+
+
+def test_sample_is_not_a_top_k_of_every_partition(spark, monkeypatch):
+    """A top-k sends SAMPLE rows of each partition to the driver."""
+    monkeypatch.setattr(ann, "SAMPLE", 40)
+    plans, frame = [], type(spark.range(0))
+    keep = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    for n in (30, 3000):
+        entries = spark.range(0, n, 1, 8).selectExpr("array(id) AS ids", "array(cast(id AS double), 0.5D) AS vector")
+        want = entries.selectExpr("xxhash64(ids[0]) AS h", "vector").orderBy("h").limit(40).collect()
+        assert ann.sampled(entries, n).tolist() == [r.vector for r in want]
+    assert plans and all("TakeOrdered" not in p for p in plans)
+
+
+def test_blocks_times_bins_are_not_broadcast(spark):
+    """Blocks as saved are small, their copies for every bin are not."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(600, 8)).astype(np.float32))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        found = ann.nearest(spark, table(spark, rows))
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
