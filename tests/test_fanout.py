@@ -142,3 +142,22 @@ def test_at_risk_with_a_hot_customer(spark, staged_small, tmp_path):
     surveys = satisfaction.enriched_surveys(frames["surv"], frames["cust"], frames["subs"], hot, 20)
     assert bag(surveys) == bag(satisfaction.enriched_surveys(frames["surv"], frames["cust"], frames["subs"]))
     assert find_hot_customers(frames, str(tmp_path / "none"), hot_rows=10 ** 6) is None
+
+
+def test_copies_grow_with_the_sides_not_with_their_product(spark):
+    """Small cells copied two rows for every hot_rows pairs: what is dealt out grew with the output."""
+    from kpiloom.operators import joins
+
+    def dealt(n):
+        left, right = one_key(spark, n, "l"), one_key(spark, n, "r")
+        hot = hot_keys(side_counts("k", a=left, b=right), "k", "a", "b", 2)
+        grid = joins._sized(hot, 2, 4).first()
+        assert n * n / (grid["_fj_lb"] * grid["_fj_rb"]) <= joins.DEFAULT_HOT_ROWS ** 2
+        return n * (grid["_fj_lb"] + grid["_fj_rb"])
+    assert dealt(8000) <= 9 * dealt(1000)
+    with conf(spark, spark__sql__shuffle__partitions="16"):
+        left = one_key(spark, 500, "l")
+        right = one_key(spark, 3000, "r").withColumn("r", F.col("r") % 2)  # copies of two rows
+        out = split(left, right, "k", "left", 2)
+        assert bag(out.groupBy("l", "r").count()) == bag(left.join(right, "k").groupBy("l", "r").count())
+        assert largest_share(out) < 0.25
